@@ -1 +1,203 @@
-"""Queries."""
+"""Streaming queries, incremental reads and composite jobs."""
+
+from pyspark.sql import functions as F
+
+from flexspark.examples.registry import exact_sum, load, query
+from flexspark.functions.columns import add_ingestion_time_columns
+from flexspark.jobs.summary import ENTITY_PATTERNS, entity_share as share_of_entities, evaluate_rules
+from flexspark.jobs.versions import backup, restore, rollback, write_backup
+from flexspark.operators.rows import latest_per_key
+from flexspark.sources.read import FlexDataFrameReader, read_incremental
+from flexspark.sources.scratch import new_dir
+from flexspark.sources.write import write_data_frame
+from flexspark.streaming.batches import for_each_batch, sample_stream as take_sample
+
+
+def event_files(spark, sf):
+    """Events as a folder of files, streamed four files per batch."""
+    path = new_dir(spark, "event-files")
+    events = load(spark, sf, "events")
+    events.repartition(8, "event_id").write.parquet(path)
+    stream = FlexDataFrameReader(spark).from_options("file", {"path": path}, "parquet", {"maxFilesPerTrigger": 4}, events.schema)
+    return stream, path
+
+
+@query("SELECT event_type, count(*) AS n, sum(event_id) AS ids FROM events GROUP BY event_type")
+def stream_foreach(spark, sf):
+    """Micro-batches written one by one; the first attempt at the second batch fails and is retried."""
+    stream, _ = event_files(spark, sf)
+    target, failed = new_dir(spark, "batches"), []
+
+    def process(batch, batch_id):
+        if batch_id == 1 and not failed:
+            failed.append(batch_id)
+            raise RuntimeError("lost once")
+        batch.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
+
+    for_each_batch(stream, process, "availableNow", new_dir(spark, "state"), wait=lambda s: None)
+    assert failed == [1]
+    return spark.read.parquet(target).groupBy("event_type").agg(F.count("*").alias("n"), F.sum("event_id").alias("ids"))
+
+
+@query("SELECT event_type, count(*) AS n, 2 AS runs FROM events GROUP BY event_type")
+def bookmark_incremental(spark, sf):
+    """Two runs over a growing folder, and a third that finds nothing new."""
+    path, bookmark, target = new_dir(spark, "inbox"), new_dir(spark, "bookmark"), new_dir(spark, "inbox-seen")
+    events, runs = load(spark, sf, "events"), []
+
+    def process(df):
+        runs.append(len(runs))
+        df.write.mode("overwrite").parquet(f"{target}/run={runs[-1]}")
+
+    for part in ("event_type in ('click', 'view')", "event_type not in ('click', 'view')", None):
+        if part:
+            events.where(part).write.mode("append").parquet(path)
+        read_incremental(spark, path, "parquet", events.schema, process, bookmark)
+    seen = spark.read.parquet(target)
+    return seen.groupBy("event_type").agg(F.count("*").alias("n"), F.lit(len(runs)).alias("runs"))
+
+
+@query()
+def stream_sample(spark, sf):
+    """A sample of a stream is whatever arrives first, so there is no SQL to compare with."""
+    stream, _ = event_files(spark, sf)
+    return take_sample(stream, "1 second", polling_time_ms=8000, record_polling_limit=100).df
+
+
+def _drained(spark, stream):
+    target = new_dir(spark, "drained")
+    query = (
+        stream.writeStream.format("parquet").option("path", target).option("checkpointLocation", new_dir(spark, "state"))
+        .trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    return spark.read.parquet(target)
+
+
+@query("SELECT user_id, count(*) AS n FROM events GROUP BY user_id")
+def stream_options(spark, sf):
+    stream, _ = event_files(spark, sf)
+    return _drained(spark, stream.select("user_id")).groupBy("user_id").agg(F.count("*").alias("n"))
+
+
+@query("SELECT event_type, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total FROM events GROUP BY event_type")
+def stream_catalog(spark, sf):
+    from flexspark.examples.storage import _table, database
+
+    db, table = database(spark), _table("events")
+    write_data_frame(load(spark, sf, "events"), db, table)
+    stream = FlexDataFrameReader(spark).from_catalog(db, table)
+    return _drained(spark, stream).groupBy("event_type").agg(exact_sum("value").alias("total"))
+
+
+@query("SELECT event_id, year(ts) AS ingest_year, month(ts) AS ingest_month, day(ts) AS ingest_day FROM events")
+def stream_ingest_columns(spark, sf):
+    stream, _ = event_files(spark, sf)
+    dated = add_ingestion_time_columns(stream, "day", ts="ts")
+    return _drained(spark, dated.select("event_id", "ingest_year", "ingest_month", "ingest_day"))
+
+
+_AS_OF = "1998-06-01 00:00:00"
+
+
+def _versions(spark, sf):
+    """Orders read as versions: a customer is the versioned name, the order date its time of change."""
+    return load(spark, sf, "orders").select(
+        F.col("o_custkey").alias("name"), F.col("o_orderdate").alias("updateTime"), "o_orderkey", F.col("o_orderstatus").alias("owner")
+    )
+
+
+def _parts(spark, sf):
+    """Line items as parts of suppliers, which share the customers' numbers."""
+    return load(spark, sf, "lineitem").select(
+        F.col("l_suppkey").alias("tableName"), F.col("l_shipdate").alias("creationTime"), "l_orderkey", "l_linenumber"
+    )
+
+
+def _rolled(spark, sf):
+    return rollback(_versions(spark, sf), _parts(spark, sf), F.lit(_AS_OF).cast("timestamp_ntz"))
+
+
+@query(f"""
+SELECT name, "updateTime", o_orderkey, owner FROM (
+  SELECT o_custkey AS name, o_orderdate AS "updateTime", o_orderkey, o_orderstatus AS owner,
+         rank() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC) AS r
+  FROM orders WHERE o_orderdate <= TIMESTAMP '{_AS_OF}') WHERE r = 1""")
+def rollback_restore(spark, sf):
+    return _rolled(spark, sf)["restore"].df
+
+
+@query(f"SELECT o_custkey AS name FROM orders EXCEPT SELECT o_custkey FROM orders WHERE o_orderdate <= TIMESTAMP '{_AS_OF}'")
+def rollback_delete(spark, sf):
+    return _rolled(spark, sf)["delete"].df
+
+
+@query(f"""
+SELECT l_suppkey AS "tableName", l_orderkey, l_linenumber FROM lineitem
+WHERE l_shipdate > TIMESTAMP '{_AS_OF}' AND l_suppkey IN (SELECT o_custkey FROM orders)""")
+def rollback_delete_parts(spark, sf):
+    return _rolled(spark, sf)["delete_parts"].df.select("tableName", "l_orderkey", "l_linenumber")
+
+
+def _entities(spark, sf):
+    customers = load(spark, sf, "customer").select(
+        F.col("c_custkey").alias("name"), F.col("c_mktsegment").alias("owner"), F.lit(None).cast("bigint").alias("tableName"), F.lit(None).cast("bigint").alias("part")
+    )
+    orders = load(spark, sf, "orders").select(
+        F.lit(None).cast("bigint").alias("name"), F.lit(None).cast("string").alias("owner"), F.col("o_custkey").alias("tableName"), F.col("o_orderkey").alias("part")
+    )
+    return customers, orders
+
+
+def _restored(spark, sf):
+    path = new_dir(spark, "backup")
+    saved = backup(*_entities(spark, sf), owner="BUILDING", database="sales")
+    write_backup(saved, path)
+    return restore(spark, path, saved.schema)
+
+
+@query("SELECT c_custkey AS name, c_mktsegment AS owner FROM customer WHERE c_mktsegment = 'BUILDING'")
+def backup_restore(spark, sf):
+    return _restored(spark, sf)["table"].df.select("name", "owner")
+
+
+@query("""
+SELECT o_custkey AS "tableName", o_orderkey AS part FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_mktsegment = 'BUILDING'""")
+def backup_restore_parts(spark, sf):
+    return _restored(spark, sf)["partition"].df.select("tableName", "part")
+
+
+@query("""
+WITH keys AS (SELECT l_orderkey, count(*) AS c FROM lineitem GROUP BY l_orderkey)
+SELECT 'complete' AS rule, 'l_partkey' AS "column", count(*) AS checked, count(*) FILTER (WHERE l_partkey IS NULL) AS failed,
+       count(*) FILTER (WHERE l_partkey IS NULL) = 0 AS passed FROM lineitem
+UNION ALL SELECT 'in_range', 'l_quantity', count(*), count(*) FILTER (WHERE l_quantity < 1 OR l_quantity > 40), count(*) FILTER (WHERE l_quantity < 1 OR l_quantity > 40) = 0 FROM lineitem
+UNION ALL SELECT 'in_set', 'l_returnflag', count(*), count(*) FILTER (WHERE l_returnflag NOT IN ('A', 'N')), count(*) FILTER (WHERE l_returnflag NOT IN ('A', 'N')) = 0 FROM lineitem
+UNION ALL SELECT 'row_count', NULL, count(*), CASE WHEN count(*) >= 1 THEN 0 ELSE count(*) END, count(*) >= 1 FROM lineitem
+UNION ALL SELECT 'unique', 'l_orderkey', sum(c), coalesce(sum(c) FILTER (WHERE c > 1), 0), coalesce(sum(c) FILTER (WHERE c > 1), 0) = 0 FROM keys""")
+def quality_rules(spark, sf):
+    rules = [
+        {"rule": "complete", "column": "l_partkey"},
+        {"rule": "in_range", "column": "l_quantity", "min": 1, "max": 40},
+        {"rule": "in_set", "column": "l_returnflag", "values": ["A", "N"]},
+        {"rule": "row_count", "min": 1},
+        {"rule": "unique", "column": "l_orderkey"},
+    ]
+    return evaluate_rules(load(spark, sf, "lineitem"), rules).select("rule", "column", "checked", "failed", "passed")
+
+
+@query("\nUNION ALL ".join(
+    f"""SELECT 'text' AS "column", '{e}' AS entity, count(*) AS "rows", count(*) FILTER (WHERE regexp_matches(text, '{p}')) AS matches FROM documents"""
+    for e, p in ENTITY_PATTERNS.items()
+))
+def entity_share(spark, sf):
+    return share_of_entities(load(spark, sf, "documents"), ["text"])
+
+
+@query("""
+SELECT event_type, user_id, event_id FROM (
+  SELECT *, rank() OVER (PARTITION BY event_type, user_id ORDER BY ts DESC) AS r FROM events) WHERE r = 1""")
+def latest_pair(spark, sf):
+    """Latest version of a key made of two columns."""
+    keyed = load(spark, sf, "events").withColumn("pair", F.struct("event_type", "user_id"))
+    return latest_per_key(keyed, "pair", "ts").select("event_type", "user_id", "event_id")

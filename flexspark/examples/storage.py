@@ -1 +1,218 @@
-"""Queries."""
+"""Queries that read and write files and catalog tables."""
+
+import datetime
+import uuid
+
+from pyspark.sql import functions as F
+
+from flexspark.examples.registry import exact_sum, load, query
+from flexspark.frame import FlexFrame, FrameSet
+from flexspark.sources.purge import purge_path
+from flexspark.sources.purge import purge_table as purge_catalog_table
+from flexspark.sources.read import FlexDataFrameReader, FlexReader
+from flexspark.sources.scratch import new_dir
+from flexspark.sources.write import FlexWriter, stamped, write_data_frame
+
+_ORDERS = "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders"
+
+
+def _orders(spark, sf):
+    return load(spark, sf, "orders").drop("o_orderdate")
+
+
+def database(spark):
+    """Demo database whose tables live in the shared folder."""
+    name = "flexspark_demo"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION '{new_dir(spark, name)}'")
+    return name
+
+
+def _table(prefix):
+    return f"{prefix}_{uuid.uuid4().hex[:12]}"
+
+
+@query("""
+SELECT c_mktsegment AS segment, count(*) AS n, CAST(sum(CAST(c_acctbal AS DECIMAL(18,2))) AS DOUBLE) AS balance
+FROM customer WHERE c_acctbal > 0 GROUP BY c_mktsegment""")
+def read_options(spark, sf):
+    """CSV through connection, format, options and a predicate."""
+    path = new_dir(spark, "customer-csv")
+    FlexWriter().from_options(FlexFrame(load(spark, sf, "customer")), "file", {"path": path}, "CSV", {"withHeader": True, "separator": "|"})
+    read = FlexReader(spark).from_options(
+        "file", {"paths": [path]}, "csv", {"withHeader": True, "separator": "|"},
+        push_down_predicate="c_acctbal > 0",
+        schema="c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    )
+    return read.df.groupBy(F.col("c_mktsegment").alias("segment")).agg(F.count("*").alias("n"), exact_sum("c_acctbal").alias("balance"))
+
+
+@query("SELECT event_type, count(*) AS n, sum(event_id) AS ids FROM events GROUP BY event_type")
+def read_json_dynamic(spark, sf):
+    path = new_dir(spark, "events-json")
+    load(spark, sf, "events").write.json(path)
+    frame = FlexReader(spark).from_options("file", {"paths": [path]}, "json")
+    return frame.df.groupBy("event_type").agg(F.count("*").alias("n"), F.sum("event_id").alias("ids"))
+
+
+@query("SELECT 'read_json' AS stage, count(*) AS bad, sum(event_id) AS ids FROM events WHERE event_type = 'error'")
+def read_json_errors(spark, sf):
+    """Lines that are no JSON object come back as error records."""
+    path = new_dir(spark, "lines")
+    events = load(spark, sf, "events")
+    line = F.to_json(F.struct("event_id", "event_type"))
+    events.select(F.when(F.col("event_type") == "error", F.col("event_id").cast("string")).otherwise(line)).write.text(path)
+    bad = FlexReader(spark).json([path], "lines", discover_types=False).errors().df
+    return bad.groupBy("stage").agg(F.count("*").alias("bad"), F.sum(F.col("record").cast("long")).alias("ids"))
+
+
+@query("SELECT l_returnflag, count(*) AS n FROM lineitem WHERE l_quantity >= 25 GROUP BY l_returnflag")
+def read_parquet_frame(spark, sf):
+    frame = FlexReader(spark).from_options("parquet", {"paths": [f"{sf}/lineitem.parquet"]}, push_down_predicate="l_quantity >= 25")
+    return FlexFrame.fromDF(frame.toDF(), "lines").df.groupBy("l_returnflag").agg(F.count("*").alias("n"))
+
+
+@query(_ORDERS)
+def json_roundtrip(spark, sf):
+    path = new_dir(spark, "orders-json")
+    FlexFrame(_orders(spark, sf)).write("file", {"path": path}, "json")
+    columns = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
+    return FlexReader(spark).from_options("file", {"paths": [path]}, "json").df.select(*columns)
+
+
+@query(_ORDERS)
+def orc_roundtrip(spark, sf):
+    path = new_dir(spark, "orders-orc")
+    FlexWriter().from_options(FlexFrame(_orders(spark, sf)), "orc", {"path": path, "mode": "overwrite"})
+    return FlexReader(spark).from_options("orc", {"paths": [path]}).df
+
+
+@query("SELECT o_orderstatus, count(*) AS n FROM orders WHERE o_orderstatus IN ('F', 'O') GROUP BY o_orderstatus")
+def parquet_partitioned(spark, sf):
+    path = new_dir(spark, "orders-parquet")
+    FlexFrame(_orders(spark, sf)).write("file", {"path": path, "partitionBy": ["o_orderstatus"]}, "parquet")
+    read = FlexReader(spark).from_options("parquet", {"paths": [path]}, push_down_predicate="o_orderstatus in ('F', 'O')")
+    return read.df.groupBy("o_orderstatus").agg(F.count("*").alias("n"))
+
+
+@query(_ORDERS)
+def catalog_roundtrip(spark, sf):
+    db, table = database(spark), _table("orders")
+    frame, writer = FlexFrame(_orders(spark, sf)), FlexWriter()
+    writer.from_catalog(frame.filter("o_orderstatus = 'F'"), db, table, additional_options={"path": new_dir(spark, table)})
+    writer.from_catalog(frame.filter("o_orderstatus <> 'F'"), name_space=db, table_name=table)
+    return FlexReader(spark).from_catalog(name_space=db, table_name=table).df
+
+
+@query(_ORDERS)
+def catalog_data_frame(spark, sf):
+    db, table = database(spark), _table("orders_plain")
+    write_data_frame(_orders(spark, sf), db, table)
+    return FlexDataFrameReader(spark).from_catalog(db, table, stream=False)
+
+
+def _partitioned_table(spark, sf):
+    db, table = database(spark), _table("orders_by_status")
+    write_data_frame(_orders(spark, sf), db, table, path=new_dir(spark, table), partitionBy=["o_orderstatus"])
+    return db, table
+
+
+@query("SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders WHERE o_orderstatus = 'P'")
+def catalog_predicate(spark, sf):
+    db, table = _partitioned_table(spark, sf)
+    return FlexReader(spark).from_catalog(db, table, push_down_predicate="o_orderstatus = 'P'").df.select("o_orderkey", "o_totalprice", "o_orderstatus")
+
+
+@query("""
+SELECT n AS name, t AS type, (SELECT count(*) FROM orders) AS n_rows FROM (VALUES
+('o_orderkey', 'bigint'), ('o_custkey', 'bigint'), ('o_totalprice', 'double'), ('o_orderpriority', 'string'), ('o_orderstatus', 'string')) AS v(n, t)""")
+def catalog_schema(spark, sf):
+    db, table = _partitioned_table(spark, sf)
+    reader = FlexReader(spark)
+    fields = [F.struct(F.lit(f.name).alias("name"), F.lit(f.dataType.simpleString()).alias("type")) for f in reader.catalog_schema(db, table).fields]
+    counted = reader.from_catalog(db, table).df.agg(F.count("*").alias("n_rows"))
+    return counted.select("n_rows", F.inline(F.array(*fields)))
+
+
+@query("SELECT c_mktsegment, count(*) AS n FROM customer GROUP BY c_mktsegment")
+def collection_write(spark, sf):
+    """Every member of a set under its own name."""
+    base, customer = new_dir(spark, "segments"), load(spark, sf, "customer")
+    names = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+    FlexWriter().from_options(FrameSet([FlexFrame(customer.where(F.col("c_mktsegment") == n), n) for n in names]), "file", {"path": base}, "parquet")
+    read = spark.read.parquet(*[f"{base}/{n}" for n in names])
+    return read.groupBy("c_mktsegment").agg(F.count("*").alias("n"))
+
+
+@query("""
+SELECT 'event_id is ok' AS what, count(*) AS n FROM events WHERE event_type <> 'error'
+UNION ALL SELECT 'amount is not double', count(*) FROM events WHERE event_type = 'error'""")
+def write_errors(spark, sf):
+    """Rows whose required field does not fit its type are refused by the sink and returned."""
+    path = new_dir(spark, "checked")
+    amount = F.when(F.col("event_type") == "error", F.lit("n/a")).otherwise(F.col("value").cast("string"))
+    events = FlexFrame(load(spark, sf, "events").select("event_id", amount.alias("amount")), "events")
+    refused = events.write("file", {"path": path, "required": {"amount": "double"}}, "parquet")
+    assert refused.name == "events_errors"
+    good = spark.read.parquet(path).select(F.lit("event_id is ok").alias("what"))
+    return good.union(refused.df.select("error_message")).groupBy("what").agg(F.count("*").alias("n"))
+
+
+@query("SELECT count(*) AS n, true AS stamped FROM orders")
+def stamped_path(spark, sf):
+    """Output name with a time stamp before the extension."""
+    base = new_dir(spark, "stamped")
+    fixed = stamped(f"{base}/orders.parquet", datetime.datetime(2024, 3, 9, 7, 5))
+    FlexWriter().from_options(FlexFrame(_orders(spark, sf)), "file", {"path": fixed}, "parquet")
+    named = spark.read.parquet(base + "/orders_2024-03-09-07_05.parquet")
+    return named.agg(F.count("*").alias("n"), F.lit(fixed.endswith("orders_2024-03-09-07_05.parquet")).alias("stamped"))
+
+
+@query("SELECT count(*) AS n, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total FROM orders")
+def spigot_pass(spark, sf):
+    """A sample is written on the way; the frame goes on unchanged."""
+    passed = FlexFrame(_orders(spark, sf)).spigot(new_dir(spark, "spigot"), {"topk": 50, "prob": 0.5})
+    return passed.df.agg(F.count("*").alias("n"), exact_sum("o_totalprice").alias("total"))
+
+
+@query()
+def sample_rows(spark, sf):
+    """Sampling is the feature here; which rows come is not promised, so there is no SQL to compare with."""
+    reader = FlexReader(spark)
+    return reader.sample_from_options("parquet", {"paths": [f"{sf}/orders.parquet"]}, 100, {"fraction": 0.5, "seed": 7}).df
+
+
+@query()
+def sample_catalog(spark, sf):
+    """As above, from a catalog table."""
+    db, table = _partitioned_table(spark, sf)
+    return FlexReader(spark).sample_from_catalog(db, table, 10).df
+
+
+@query("SELECT 'F' AS part, count(*) AS n_rows, true AS found FROM orders WHERE o_orderstatus = 'F'")
+def purge_dry_run(spark, sf):
+    """Old files of a folder are listed, none is touched: the rows are still there afterwards."""
+    path = new_dir(spark, "to-purge")
+    _orders(spark, sf).where("o_orderstatus = 'F'").repartition(3).write.parquet(path)
+    later = datetime.datetime.now() + datetime.timedelta(days=30)
+    found = purge_path(spark, path, now=later).where("path like '%.parquet'").count() >= 3
+    return spark.read.parquet(path).agg(F.lit("F").alias("part"), F.count("*").alias("n_rows"), F.lit(found).alias("found"))
+
+
+@query("SELECT o_orderstatus, count(*) AS n FROM orders WHERE o_orderstatus <> 'F' GROUP BY o_orderstatus")
+def purge_table(spark, sf):
+    """One partition of a scratch table is purged for real: files deleted, partition dropped, the others whole."""
+    db, table = _partitioned_table(spark, sf)
+    later = datetime.datetime.now() + datetime.timedelta(days=30)
+    purge_catalog_table(spark, db, table, "o_orderstatus = 'F'", dry_run=False, now=later)
+    assert spark.sql(f"SHOW PARTITIONS `{db}`.`{table}`").count() == 2
+    return spark.table(f"`{db}`.`{table}`").groupBy("o_orderstatus").agg(F.count("*").alias("n"))
+
+
+@query("SELECT event_type, count(*) AS n FROM events GROUP BY event_type")
+def read_modified_between(spark, sf):
+    """A paused bookmark with a range: the files modified in it."""
+    path = new_dir(spark, "event-files")
+    load(spark, sf, "events").write.parquet(path)
+    at = datetime.datetime.now(datetime.timezone.utc)
+    frame = FlexReader(spark).modified_between(path, "parquet", at - datetime.timedelta(days=1), at + datetime.timedelta(days=1))
+    return frame.df.groupBy("event_type").agg(F.count("*").alias("n"))

@@ -130,7 +130,7 @@ def map_records(df: DataFrame, f: Callable[[Record], dict], schema: T.StructType
     out = T.StructType(
         [T.StructField("out", result), T.StructField("error", T.StringType()), T.StructField("record", given)]
     )
-    arrow = None if target is None else to_arrow_schema(target, timezone="UTC")
+    arrow = None if target is None else to_arrow_schema(target)
 
     def run(batches):
         for batch in batches:
@@ -202,7 +202,7 @@ def map_partitions(
     """Run ``f(partition number, records)`` once per partition; it yields dicts that fit the schema."""
     given, target = df.schema, _declared(schema)
     _check_output(target)
-    arrow = to_arrow_schema(target, timezone="UTC")
+    arrow = to_arrow_schema(target)
 
     def run(batches):
         source = (r for b in batches for r in _records(b, given))
