@@ -43,11 +43,22 @@ class Step(NamedTuple):
     total_threshold: int = 0
 
 
+def _limited(step: Step, transformation_ctx: str = "", info: str | None = "", stage_threshold: int = 0, total_threshold: int = 0,
+             stageThreshold: int = 0, totalThreshold: int = 0) -> Step:
+    """Step with the options every operator takes; a ``transformation_ctx`` replaces its label."""
+    return step._replace(
+        stage=transformation_ctx or step.stage,
+        info=info or "",
+        stage_threshold=stage_threshold or stageThreshold,
+        total_threshold=total_threshold or totalThreshold,
+    )
+
+
 class FlexFrame:
     """An ordinary DataFrame (``.df``) that carries a name and the error rows of the steps that made it.
 
-    Every operator takes ``info``, ``stage_threshold`` and ``total_threshold``. Nothing runs before an action; limits
-    are checked by :meth:`assert_error_threshold` and before every write.
+    Every operator takes ``transformation_ctx`` (label of the step), ``info``, ``stage_threshold`` and ``total_threshold``.
+    Nothing runs before an action; limits are checked by :meth:`assert_error_threshold` and before every write.
     """
 
     def __init__(self, df: DataFrame, name: str = "", steps: Iterable[Step] = ()):
@@ -64,9 +75,9 @@ class FlexFrame:
         """Plain DataFrame: choices resolved by the options, the rest as structs with one field per type."""
         return _choice.to_plain(self.df, options)
 
-    def _next(self, stage: str, df: DataFrame, errors: DataFrame | None = None, name: str | None = None, *,
-              info: str = "", stage_threshold: int = 0, total_threshold: int = 0, others: Iterable[Step] = ()) -> FlexFrame:
-        step = Step(stage, info, errors, stage_threshold, total_threshold)
+    def _next(self, stage: str, df: DataFrame, errors: DataFrame | None = None, name: str | None = None,
+              others: Iterable[Step] = (), **limits) -> FlexFrame:
+        step = _limited(Step(stage, errors=errors), **limits)
         return FlexFrame(df, self.name if name is None else name, [*self.steps, *others, step])
 
     # ------------------------------------------------------------------------------------------ schema
@@ -81,7 +92,7 @@ class FlexFrame:
         """Supply the schema instead of discovering it."""
         schema = T.DataType.fromDDL(schema) if isinstance(schema, str) else schema
         fields = self.df.schema.fields
-        if len(fields) == 1 and isinstance(fields[0].dataType, T.VariantType) and fields[0].name not in schema.names:
+        if len(fields) == 1 and isinstance(fields[0].dataType, T.VariantType) and schema.names != [fields[0].name]:
             return FlexFrame(from_variant(self.df, fields[0].name, schema), self.name, self.steps)
         have = {f.name: f.dataType for f in fields}
         if any(isinstance(t, T.VariantType) for t in have.values()):
@@ -133,9 +144,10 @@ class FlexFrame:
         tables = _nest.relationalize(self.df, root_table_name, staging_path, key_cols)
         return FrameSet([self._next("relationalize", t, name=n, **limits) for n, t in tables.items()])
 
-    def unbox(self, path: str, format: str, info: str = "", stage_threshold: int = 0, total_threshold: int = 0, **options) -> FlexFrame:
-        good, errors = _nest.unbox(self.df, path, format, **options)
-        return self._next("unbox", good, errors, info=info, stage_threshold=stage_threshold, total_threshold=total_threshold)
+    def unbox(self, path: str, format: str, schema=None, separator: str = ",", escaper: str = "\\", skip_first: bool = False,
+              with_header: bool = False, multi_line: bool = False, **limits) -> FlexFrame:
+        good, errors = _nest.unbox(self.df, path, format, schema, separator, escaper, skip_first, with_header, multi_line)
+        return self._next("unbox", good, errors, **limits)
 
     def open_variant(self, path: str, **limits) -> FlexFrame:
         return self._next("open_variant", _nest.open_variant(self.df, path), **limits)

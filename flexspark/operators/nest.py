@@ -113,48 +113,59 @@ def _pivot(tables: dict, df: DataFrame, schema: T.StructType, base: Column | Non
 
 # ----------------------------------------------------------------------------------------------- nest rows
 
-def nest_rows(df: DataFrame, keys: str | Iterable[str] = (), part_rows: int = 10_000, items: str = "items") -> DataFrame:
+def nest_rows(
+    df: DataFrame,
+    keys: str | Iterable[str] = (),
+    part_rows: int = 10_000,
+    items: str = "items",
+    part_bytes: int = 64 << 20,
+) -> DataFrame:
     """Whole rows collected into an array of structs, over all rows or per key.
 
-    An array holds at most ``part_rows`` rows; a larger group continues in further rows with the same key, so no
-    group has to fit one task or one record. Without keys there is no shuffle. With keys the rows are
+    An array holds at most ``part_rows`` rows and about ``part_bytes`` bytes; a larger group continues in further rows
+    with the same key, so no group has to fit one task or one record. Without keys there is no shuffle. With keys the rows are
     rebalanced by key, which lets adaptive execution split a partition that one hot key fills.
     """
     keys = as_list(keys)
     schema = T.StructType([df.schema[k] for k in keys] + [T.StructField(items, T.ArrayType(df.schema))])
     if keys:
         df = df.hint("rebalance", *[top(k) for k in keys]).sortWithinPartitions(*[top(k) for k in keys])
-    return df.mapInArrow(_Nester(keys, part_rows, items), schema)
+    return df.mapInArrow(_Nester(keys, part_rows, part_bytes, items), schema)
 
 
 class _Nester:
     """Cuts the rows of a partition, sorted by key, into one list per run of equal keys."""
 
-    def __init__(self, keys: list[str], part_rows: int, items: str):
-        self.keys, self.part_rows, self.items = keys, part_rows, items
+    def __init__(self, keys: list[str], part_rows: int, part_bytes: int, items: str):
+        self.keys, self.part_rows, self.part_bytes, self.items = keys, part_rows, part_bytes, items
 
     def __call__(self, batches):
         held: pa.Table | None = None
         for batch in batches:
             table = pa.Table.from_batches([batch])
             held = table if held is None else pa.concat_tables([held, table])
-            while held.num_rows >= self.part_rows + 1:
-                cuts = self._cuts(held)
+            while held.num_rows > (limit := self._limit(held)):
+                cuts = self._cuts(held, limit)
                 done = max((c for c in cuts if c < held.num_rows), default=0)
                 yield self._lists(held.slice(0, done), [c for c in cuts if c <= done])
                 held = held.slice(done)
         if held is not None and held.num_rows:
-            yield self._lists(held, self._cuts(held))
+            yield self._lists(held, self._cuts(held, self._limit(held)))
+
+    def _limit(self, table: pa.Table) -> int:
+        """Rows a list may hold, given how wide the rows at hand are."""
+        width = max(1, table.nbytes // max(1, table.num_rows))
+        return max(1, min(self.part_rows, self.part_bytes // width))
 
-    def _cuts(self, table: pa.Table) -> list[int]:
-        """Row numbers where a list starts, and the end; no list longer than ``part_rows``."""
+    def _cuts(self, table: pa.Table, limit: int) -> list[int]:
+        """Row numbers where a list starts, and the end; no list longer than ``limit``."""
         ends = [table.num_rows]
         for k in self.keys:
             codes = table[k].combine_chunks().dictionary_encode(null_encoding="encode").indices.to_pandas()
             ends += [i for i in codes.index[codes.diff().fillna(0) != 0]]
         cuts = [0]
         for end in sorted(set(ends)):
-            cuts += list(range(cuts[-1] + self.part_rows, end, self.part_rows)) + [end]
+            cuts += list(range(cuts[-1] + limit, end, limit)) + [end]
         return cuts
 
     def _lists(self, table: pa.Table, cuts: list[int]) -> pa.RecordBatch:

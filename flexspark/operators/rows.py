@@ -69,10 +69,20 @@ def merge_rows(source: DataFrame, staged: DataFrame, keys) -> DataFrame:
 
     Only the distinct staged keys travel to the anti join, and source rows with a null key always stay.
     """
-    keys = as_list(keys)
-    _comparable(staged.select(*keys), "merge on")
-    replaced = staged.select(*keys).distinct()
-    return union_rows(source.join(replaced, keys, "left_anti").select(*[top(c) for c in source.columns]), staged)
+    return union_rows(_by_keys(source, staged, as_list(keys), "left_anti"), staged)
+
+
+def _by_keys(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """Semi or anti join against the distinct keys of the right side.
+
+    Copies of a key are combined before they travel. They are combined as one struct, so the keys are shuffled once
+    more for the join itself: with a join directly above its own two shuffles adaptive execution can split the
+    partition of a hot key on the left, which it cannot when an aggregation sits in between.
+    """
+    for side in (left, right):
+        _comparable(side.select(*keys), "match on")
+    distinct = right.select(F.struct(*[top(k) for k in keys]).alias("__keys")).distinct().select("__keys.*")
+    return left.join(distinct, keys, how).select(*[top(c) for c in left.columns])
 
 
 def union_rows(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -180,8 +190,7 @@ def subtract_rows(left: DataFrame, right: DataFrame) -> DataFrame:
 
 def semi_join(left: DataFrame, right: DataFrame, keys) -> DataFrame:
     """Left rows that have a match, matched on shared column names."""
-    keys = as_list(keys)
-    return left.join(right.select(*keys).distinct(), keys, "left_semi").select(*[top(c) for c in left.columns])
+    return _by_keys(left, right, as_list(keys), "left_semi")
 
 
 def count_distinct_tuples(df: DataFrame, cols: Iterable[str], name: str = "distinct_tuples") -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from flexspark.plans.paths import top
 from flexspark.sources.read import table_name_of
-from flexspark.sources.scratch import new_dir
+from flexspark.sources.scratch import new_dir, stage
 
 # Fixed value: hours a file is kept by default.
 RETENTION_HOURS = 168
@@ -98,33 +98,44 @@ def purge_table(
     manifest_path: str | None = None,
     now: datetime.datetime | None = None,
 ) -> DataFrame:
-    """Old files of a table, or of the partitions a predicate picks. Partitions left without files are dropped."""
+    """Old files of a table, or of the partitions a predicate picks. Partitions left without files are dropped.
+
+    Files are listed below the table's location, with the partition values in their paths; no row is read.
+    """
     table = table_name_of(database, table_name)
-    rows = spark.table(table)
-    if partition_predicate:
-        rows = rows.where(partition_predicate)
-    by = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
-    file, modified = F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_modification_time").alias("modified")
-    files = rows.select(file, modified, *[top(c) for c in by]).distinct()
-    old = files.where(F.col("modified") < _cutoff(retention_hours, now))
     root = spark.sql(f"DESCRIBE FORMATTED {table}").where("col_name = 'Location'").first()["data_type"]
-    if dry_run or not by:
+    by = {c.name: c.dataType for c in spark.catalog.listColumns(table) if c.isPartition}
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", str(not by).lower()).load(root)
+    values = [top(c).cast(t).alias(c) for c, t in by.items() if c in listed.columns]
+    files = listed.select("path", F.col("modificationTime").alias("modified"), *values)
+    if partition_predicate:
+        files = files.where(partition_predicate)
+    if dry_run or not values:
+        old = files.where(F.col("modified") < _cutoff(retention_hours, now))
         result = _delete(old.select("path", "modified"), root, dry_run, manifest_path)
     else:
-        listed = new_dir(spark, "listed")
-        files.write.parquet(listed)
-        files = spark.read.parquet(listed)
+        files = stage(files, "listed")
         old = files.where(F.col("modified") < _cutoff(retention_hours, now))
         result = _delete(old.select("path", "modified"), root, dry_run, manifest_path)
-        gone = result.where("ok").select("path", F.lit(1).alias("deleted"))
-        whole = files.join(gone, "path", "left").groupBy(*[top(c) for c in by]).agg(F.count("*").alias("n"), F.count("deleted").alias("d"))
-        for row in whole.where("n = d").select(*[top(c).cast("string").alias(c) for c in by]).toLocalIterator():
-            spec = ", ".join(f"`{c}` = {_literal(row[c])}" for c in by)
-            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
+        _drop_emptied(spark, table, files, result, list(by))
     if not dry_run:
         spark.catalog.refreshTable(table)
     return result
 
 
+def _drop_emptied(spark: SparkSession, table: str, files: DataFrame, result: DataFrame, by: list[str]) -> None:
+    """Drop the partitions whose listed files are all deleted, some at a time: as many as there are partitions."""
+    gone = result.where("ok").select("path", F.lit(1).alias("deleted"))
+    counts = files.join(gone, "path", "left").groupBy(*[top(c) for c in by]).agg(F.count("*").alias("n"), F.count("deleted").alias("d"))
+    specs: list[str] = []
+    for row in counts.where("n = d").select(*[top(c).cast("string").alias(c) for c in by]).toLocalIterator():
+        specs.append("PARTITION (" + ", ".join(f"`{c}` = {_literal(row[c])}" for c in by) + ")")
+        if len(specs) == 100:
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {', '.join(specs)}")
+            specs = []
+    if specs:
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {', '.join(specs)}")
+
+
 def _literal(value: str | None) -> str:
     return "NULL" if value is None else "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
