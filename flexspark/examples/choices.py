@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flexspark.examples.registry import load, query
+from flexspark.examples.registry import load, load_wide, query
 from flexspark.frame import FlexFrame
 from flexspark.operators.choice import ResolveOption
 from flexspark.plans.discover import discover, from_variant
@@ -33,7 +33,7 @@ def choice_discover(spark, sf):
     pick = F.when(F.col("event_type") == "view", F.lit('"x"')).otherwise(F.col("value").cast("decimal(18,2)").cast("string"))
     arr = F.concat(F.lit('[{"k": '), F.col("user_id"), F.lit('}, {"k": "z"}, {"k": 0.5}]'))
     text = F.concat(F.lit('{"id": '), "event_id", F.lit(', "v": '), pick, F.lit(', "arr": '), arr, F.lit("}"))
-    raw = load(spark, sf, "events").select(F.parse_json(text).alias("v"))
+    raw = load_wide(spark, sf, "events").select(F.parse_json(text).alias("v"))
     rows = []
     for names, dtype in nodes(discover(raw, ["v"])["v"]):
         options = dtype.options.values() if isinstance(dtype, Choice) else [dtype]

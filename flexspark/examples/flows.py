@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from flexspark.examples.registry import exact_sum, load, query
+from flexspark.examples.registry import exact_sum, load, load_wide, query
 from flexspark.functions.columns import add_ingestion_time_columns
 from flexspark.jobs.summary import ENTITY_PATTERNS, entity_share as share_of_entities, evaluate_rules
 from flexspark.jobs.versions import backup, restore, rollback, write_backup
@@ -191,7 +191,7 @@ def quality_rules(spark, sf):
     for e, p in ENTITY_PATTERNS.items()
 ))
 def entity_share(spark, sf):
-    return share_of_entities(load(spark, sf, "documents"), ["text"])
+    return share_of_entities(load_wide(spark, sf, "documents"), ["text"])
 
 
 @query("""

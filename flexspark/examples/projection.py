@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from flexspark.examples.registry import exact_sum, load, query
+from flexspark.examples.registry import exact_sum, load, load_wide, query
 from flexspark.frame import FlexFrame, FrameSet
 from flexspark.functions.columns import add_ingestion_time_columns, expand_items, explode_with_index, named_struct, replace_array_element
 from flexspark.jobs.summary import distinct_pairs as count_pairs
@@ -169,7 +169,7 @@ def unnest_flat(spark, sf):
 
 def documents_nested(spark, sf):
     """Documents with origin as a struct and their words as arrays, per line."""
-    return load(spark, sf, "documents").select(
+    return load_wide(spark, sf, "documents").select(
         "doc_id",
         F.struct("lang", "source").alias("origin"),
         F.transform(
@@ -217,7 +217,7 @@ def relationalize_staged(spark, sf):
 
 @query("""
 SELECT user_id AS user, event_type AS kind, event_id AS first, value AS second, value > 10 AS big FROM events""")
-def ddb_unnest(spark, sf):
+def tagged_unnest(spark, sf):
     text = F.col("value").cast("decimal(18,2)").cast("string")
     tagged = load(spark, sf, "events").select(
         F.struct(F.col("user_id").cast("string").alias("N")).alias("user"),
@@ -225,7 +225,7 @@ def ddb_unnest(spark, sf):
         F.struct(F.array(F.struct(F.col("event_id").cast("string").alias("N")), F.struct(text.alias("N"))).alias("L")).alias("pair"),
         F.struct(F.struct(F.struct((F.col("value") > 10).alias("BOOL")).alias("big")).alias("M")).alias("more"),
     )
-    plain = FlexFrame(tagged).unnest_ddb_json().df
+    plain = FlexFrame(tagged).unnest_tagged_json().df
     return plain.select(
         F.col("user").cast("long").alias("user"), "kind", F.col("pair")[0].cast("long").alias("first"),
         F.col("pair")[1].cast("double").alias("second"), "more.big",

@@ -30,6 +30,17 @@ def load(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
+def load_wide(spark: SparkSession, folder: str, table: str) -> DataFrame:
+    """Table read with at least as many partitions as there are cores, for work that is heavy per row.
+
+    Only inputs of fewer splits than cores, like the small test files, are shuffled for it.
+    """
+    from flexspark.sources.read import FlexReader
+
+    cores = spark.sparkContext.defaultParallelism
+    return FlexReader(spark, min_partitions=cores).from_options("parquet", {"paths": [f"{folder}/{table}.parquet"]}).df
+
+
 def exact_sum(column: str):
     """Sum of two-decimal amounts, exact and so the same in any order."""
     return F.sum(F.col(column).cast("decimal(18,2)")).cast("double")

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from flexspark.examples.registry import exact_sum, load, query
+from flexspark.examples.registry import exact_sum, load, load_wide, query
 from flexspark.frame import FlexFrame, FrameSet
 from flexspark.operators.rows import group_max as max_per_group
 from flexspark.operators.rows import latest_per_key, semi_join as keep_matching
@@ -34,7 +34,7 @@ def filter_expr(spark, sf):
 @query("SELECT event_id, user_id FROM events WHERE event_type IN ('click', 'view') AND value > 20")
 def filter_callable(spark, sf):
     """The predicate fails with ValueError on purchases (dropped) and with RuntimeError on errors (kept apart)."""
-    return FlexFrame(load(spark, sf, "events").drop("ts")).filter(_wanted).df.select("event_id", "user_id")
+    return FlexFrame(load_wide(spark, sf, "events").drop("ts")).filter(_wanted).df.select("event_id", "user_id")
 
 
 def _wanted(r):
@@ -62,7 +62,7 @@ def _priced(r):
 
 @query('SELECT event_id AS id, user_id AS user, value * 2 AS double FROM events WHERE event_type <> \'error\'')
 def map_records(spark, sf):
-    return FlexFrame(load(spark, sf, "events").drop("ts", "props")).map(_priced, "id bigint, user bigint, double double").df
+    return FlexFrame(load_wide(spark, sf, "events").drop("ts", "props")).map(_priced, "id bigint, user bigint, double double").df
 
 
 @query("""
@@ -96,7 +96,7 @@ def _count_types(rows):
 
 @query("SELECT event_type AS kind, count(*) AS n FROM events GROUP BY event_type")
 def map_partitions(spark, sf):
-    counts = FlexFrame(load(spark, sf, "events")).map_partitions(_count_types, "kind string, n bigint").df
+    counts = FlexFrame(load_wide(spark, sf, "events")).map_partitions(_count_types, "kind string, n bigint").df
     return counts.groupBy("kind").agg(F.sum("n").cast("long").alias("n"))
 
 

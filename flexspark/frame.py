@@ -34,13 +34,14 @@ class ErrorThresholdExceeded(RuntimeError):
 
 
 class Step(NamedTuple):
-    """What one operator left behind: its error rows (``error_message``, ``record``) and its limits, 0 for none."""
+    """What one operator left behind: error rows (``error_message``, ``record``), limits (0 for none), what it persisted."""
 
     stage: str
     info: str = ""
     errors: DataFrame | None = None
     stage_threshold: int = 0
     total_threshold: int = 0
+    cached: DataFrame | None = None
 
 
 def _limited(step: Step, transformation_ctx: str = "", info: str | None = "", stage_threshold: int = 0, total_threshold: int = 0,
@@ -152,8 +153,8 @@ class FlexFrame:
     def open_variant(self, path: str, **limits) -> FlexFrame:
         return self._next("open_variant", _nest.open_variant(self.df, path), **limits)
 
-    def unnest_ddb_json(self, **limits) -> FlexFrame:
-        return self._next("unnest_ddb_json", _nest.unnest_tagged_json(self.df), **limits)
+    def unnest_tagged_json(self, **limits) -> FlexFrame:
+        return self._next("unnest_tagged_json", _nest.unnest_tagged_json(self.df), **limits)
 
     def nest(self, keys=(), part_rows: int = 10_000, items: str = "items", **limits) -> FlexFrame:
         return self._next("nest", _nest.nest_rows(self.df, keys, part_rows, items), **limits)
@@ -196,8 +197,19 @@ class FlexFrame:
             from flexspark.sources.scratch import scratch_root
 
             staging_path = scratch_root(self.df.sparkSession)
-        good, errors = _records.split_mapped(both, persist, staging_path)
-        return self._next("map", good if schema is not None else _records.open_json_records(good), errors, **limits)
+        both = _records.keep(both, persist, staging_path)
+        good, errors = _records.split_mapped(both)
+        frame = self._next("map", good if schema is not None else _records.open_json_records(good), errors, **limits)
+        if persist:
+            frame.steps = (*frame.steps[:-1], frame.steps[-1]._replace(cached=both))
+        return frame
+
+    def unpersist(self) -> FlexFrame:
+        """Release what the steps up to this frame persisted."""
+        for step in self.steps:
+            if step.cached is not None:
+                step.cached.unpersist()
+        return self
 
     def map_partitions(self, f: Callable, schema, **limits) -> FlexFrame:
         return self._next("map_partitions", _records.map_partitions(self.df, lambda _, rows: f(rows), schema), **limits)

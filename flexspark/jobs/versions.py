@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from flexspark.frame import FlexFrame, FrameSet
 from flexspark.functions.columns import expand_items
 from flexspark.operators.nest import nest_rows
-from flexspark.operators.rows import latest_per_key, semi_join, subtract_rows
+from flexspark.operators.rows import latest_per_key, semi_join
 from flexspark.plans.paths import top
 
 # Kinds of entities in a backup and the names of the frames they restore to.
@@ -27,14 +27,14 @@ def rollback(
     """What undoes every change after ``as_of``.
 
     ``restore``: the latest version of each name by then (ties kept). ``delete``: names without a version by then.
-    ``delete_parts``: parts of versioned names created after it. The two deletes follow from the first version time
-    of each name, one small row per name, so the full versions are shuffled for the restore only.
+    ``delete_parts``: parts of versioned names created after it. The deletes need one row per name, combined map-side; whole
+    versions are shuffled for the restore only.
     """
     restore = latest_per_key(versions, name, updated, as_of)
-    names = versions.select(top(name))
-    delete = subtract_rows(names, versions.where(top(updated) <= F.lit(as_of)).select(top(name)))
+    seen = versions.groupBy(top(name)).agg(F.count_if(top(updated) <= F.lit(as_of)).alias("__by_then"))
+    delete = seen.where((F.col("__by_then") == 0) | top(name).isNull()).select(top(name))
     later = parts.where(top(created) > F.lit(as_of))
-    owners = names.select(top(name).alias(part_of))
+    owners = versions.select(top(name).alias(part_of))
     delete_parts = semi_join(later, owners, part_of)
     return FrameSet({"restore": FlexFrame(restore, "restore"), "delete": FlexFrame(delete, "delete"), "delete_parts": FlexFrame(delete_parts, "delete_parts")})
 
@@ -53,12 +53,14 @@ def backup(entities: DataFrame, parts: DataFrame, owner: str, database: str, own
     return tables.select("*", tag, F.lit("table").alias("type")).union(nested.select("*", tag, F.lit("partition").alias("type")))
 
 
-def write_backup(saved: DataFrame, path: str) -> None:
-    saved.write.mode("overwrite").json(path)
+def write_backup(saved: DataFrame, path: str, by_type: bool = True) -> None:
+    """Backup as JSON, one folder per kind of entity so that a restore reads only the kinds it uses."""
+    writer = saved.write.mode("overwrite")
+    (writer.partitionBy("type") if by_type else writer).json(path)
 
 
 def restore(spark: SparkSession, path: str, schema) -> FrameSet:
-    """Read a backup and give one frame per kind of entity, items expanded to rows."""
+    """Read a backup, of either layout, and give one frame per kind of entity, items expanded to rows."""
     return restore_frames(spark.read.schema(schema).json(path))
 
 

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from flexspark.plans.discover import choice_paths, discover, extract
 from flexspark.plans.nested import edit_fields
 from flexspark.plans.paths import as_list, crosses_array, join_path, resolve, top, value_at
+from flexspark.plans.types import contains
 from flexspark.sources.scratch import stage
 
 KEY = "__row_key"
@@ -124,15 +125,21 @@ def nest_rows(
 
     An array holds at most ``part_rows`` rows and about ``part_bytes`` bytes; a larger group continues in further rows
     with the same key, so no group has to fit one task or one record. Without keys there is no shuffle. With keys the rows are
-    rebalanced by key, which lets adaptive execution split a partition that one hot key fills.
+    rebalanced by key, which lets adaptive execution split a partition that one hot key fills, and sorted whole, so
+    that a repeated task cuts the same parts.
     """
     keys = as_list(keys)
     schema = T.StructType([df.schema[k] for k in keys] + [T.StructField(items, T.ArrayType(df.schema))])
     if keys:
-        df = df.hint("rebalance", *[top(k) for k in keys]).sortWithinPartitions(*[top(k) for k in keys])
+        rest = [f.name for f in df.schema.fields if f.name not in keys and _orderable(f.dataType)]
+        df = df.hint("rebalance", *[top(k) for k in keys]).sortWithinPartitions(*[top(c) for c in [*keys, *rest]])
     return df.mapInArrow(_Nester(keys, part_rows, part_bytes, items), schema)
 
 
+def _orderable(dtype: T.DataType) -> bool:
+    return not (contains(dtype, T.MapType) or contains(dtype, T.VariantType))
+
+
 class _Nester:
     """Cuts the rows of a partition, sorted by key, into one list per run of equal keys."""
 

@@ -26,6 +26,7 @@ from flexspark.plans.paths import top
 from flexspark.plans.types import contains
 from flexspark.sources.scratch import stage
 
+# Fixed value: message for a falsy result.
 EMPTY_RESULT = "User-specified function returned None instead of a record"
 _OUT_ROWS = 5_000
 
@@ -174,12 +175,15 @@ def _encode(results: list, errors: list, arrow: pa.Schema | None) -> pa.Array:
         return pa.array(results, kind)
 
 
-def split_mapped(both: DataFrame, persist: bool = False, staging_path: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """Good results and error rows of :func:`map_records`."""
+def keep(both: DataFrame, persist: bool = False, staging_path: str | None = None) -> DataFrame:
+    """Mapped rows held for several uses: persisted, or written once below ``staging_path``."""
     if staging_path is not None:
-        both = stage(both, "mapped", staging_path)
-    elif persist:
-        both = both.persist(StorageLevel.MEMORY_AND_DISK)
+        return stage(both, "mapped", staging_path)
+    return both.persist(StorageLevel.MEMORY_AND_DISK) if persist else both
+
+
+def split_mapped(both: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Good results and error rows of :func:`map_records`."""
     failed = both.where("error is not null")
     errors = failed.select(F.col("error").alias("error_message"), F.to_json("record").alias("record"))
     good = both.where("error is null")

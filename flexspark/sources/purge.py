@@ -34,7 +34,7 @@ def purge_path(
     """Files below a path, at any depth, older than the retention: one row per file with what happened to it.
 
     Only names and times are read. Deleting happens once, in tasks; the result is kept in a written table, and with
-    ``manifest_path`` also as CSV under ``Success`` and ``Failed``.
+    ``manifest_path`` also as CSV in ``Success.csv`` and ``Failed.csv``.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     old = files.select("path", F.col("modificationTime").alias("modified")).where(F.col("modified") < _cutoff(retention_hours, now))
@@ -50,8 +50,8 @@ def _delete(old: DataFrame, root: str, dry_run: bool, manifest_path: str | None)
     result = spark.read.parquet(kept)
     if manifest_path:
         base = manifest_path.rstrip("/")
-        result.where("ok").write.mode("append").option("header", "true").csv(f"{base}/Success")
-        result.where("not ok").write.mode("append").option("header", "true").csv(f"{base}/Failed")
+        result.where("ok").write.mode("append").option("header", "true").csv(f"{base}/Success.csv")
+        result.where("not ok").write.mode("append").option("header", "true").csv(f"{base}/Failed.csv")
     return result
 
 

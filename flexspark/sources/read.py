@@ -14,11 +14,8 @@ from pyspark.sql import types as T
 from flexspark.frame import FlexFrame, Step
 from flexspark.plans.discover import discover, from_variant
 
-# Formats that go straight to Spark's own readers, codecs that need a named format,
-# and connection types that stand for "files at the given paths".
-SPARK_FORMATS = ["parquet", "orc"]
+# Codecs that need a named format, and CSV options under their names here and in Spark.
 NAMED_FORMAT_CODECS = ["lzo"]
-FILE_CONNECTIONS = ["file", "s3", "hdfs"]
 CSV_OPTIONS = {
     "separator": "sep",
     "quoteChar": "quote",
@@ -195,12 +192,15 @@ class FlexDataFrameReader:
 
     def from_options(self, connection_type: str, connection_options: dict | None = None, format: str | None = None,
                      format_options: dict | None = None, schema: T.StructType | str | None = None) -> DataFrame:
+        """Stream of files in a format, when there is a path, else of the connection type (``rate``, ``kafka``, ...)."""
         options = dict(connection_options or {})
-        kind = format.lower() if format and connection_type.lower() in FILE_CONNECTIONS + SPARK_FORMATS else connection_type
+        paths = _paths(options)
+        if len(paths) > 1:
+            raise ValueError("a stream reads one path; use a glob pattern for several folders")
+        kind = format.lower() if format and paths else connection_type
         reader = self.spark.readStream.format(kind).options(**_reader_options(options, dict(format_options or {})))
         if schema is not None:
             reader = reader.schema(schema)
-        paths = _paths(options)
         return reader.load(paths[0]) if paths else reader.load()
 
 

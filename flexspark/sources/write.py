@@ -17,7 +17,7 @@ from flexspark.operators.choice import drop_null_fields
 from flexspark.plans.paths import top
 from flexspark.plans.types import contains, parse_type
 from flexspark.sources.jdbc import write_jdbc
-from flexspark.sources.read import CSV_OPTIONS, FILE_CONNECTIONS, table_name_of
+from flexspark.sources.read import CSV_OPTIONS, table_name_of
 
 # Fixed value: time stamp put before the extension of an output name.
 STAMP = "%Y-%m-%d-%H_%M"
@@ -59,18 +59,15 @@ class FlexWriter:
                      format: str | None = None, format_options: dict | None = None):
         """Write files or a JDBC table.
 
-        Options: ``path``, ``mode``, ``partitionBy`` (list), ``stamp_path``, ``required`` ({field: type}, misfits are
+        The format decides; without one the connection type is the format. Options: ``path``, ``mode``, ``partitionBy`` (list), ``stamp_path``, ``required`` ({field: type}, misfits are
         refused); others go to the Spark writer. A set writes each member under its own name.
         """
         options = dict(connection_options or {})
         if connection_type.lower() == "jdbc":
             return self._each(frame, options, lambda f, o: self._jdbc(f, o), "dbtable")
-        if connection_type.lower() in FILE_CONNECTIONS:
-            if not format:
-                raise ValueError("a file sink needs a format")
-            kind = format.lower()
-        else:
-            kind = connection_type.lower()
+        if connection_type.lower() == "file" and not format:
+            raise ValueError("a file sink needs a format")
+        kind = (format or connection_type).lower()
         return self._each(frame, options, lambda f, o: self._files(f, o, kind, dict(format_options or {})), "path")
 
     def from_jdbc_conf(self, frame, connection: dict, connection_options: dict | None = None):

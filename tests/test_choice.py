@@ -133,3 +133,81 @@ def test_drop_null_fields(typed):
 def test_with_schema(raw):
     frame = FlexFrame(raw).with_frame_schema("id string, v int")
     assert [tuple(r) for r in frame.df.collect()] == [("2", None), ("1", 5), ("3", None), ("7", None)]
+
+
+def _brute(value):
+    """Type of one JSON value by plain recursion."""
+    from functools import reduce
+
+    from flexspark.plans.types import merge_types
+
+    if value is None:
+        return T.NullType()
+    if isinstance(value, bool):
+        return T.BooleanType()
+    if isinstance(value, int):
+        return L
+    if isinstance(value, float):
+        return D
+    if isinstance(value, str):
+        return S
+    if isinstance(value, list):
+        return T.ArrayType(reduce(merge_types, [_brute(v) for v in value], T.NullType()))
+    return T.StructType([T.StructField(k, _brute(v)) for k, v in value.items()])
+
+
+def _canonical(dtype):
+    if isinstance(dtype, Choice):
+        return ("choice", tuple(sorted((n, _canonical(o)) for n, o in dtype.options.items())))
+    if isinstance(dtype, T.StructType):
+        return ("struct", tuple(sorted((f.name, _canonical(f.dataType)) for f in dtype.fields)))
+    if isinstance(dtype, T.ArrayType):
+        return ("array", _canonical(dtype.elementType))
+    return (dtype.simpleString(),)
+
+
+def _value(rng, depth):
+    kinds = ["int", "float", "str", "bool", "null"] + (["list", "dict", "list", "dict"] if depth else [])
+    kind = rng.choice(kinds)
+    if kind == "int":
+        return rng.randint(-5, 10**12)
+    if kind == "float":
+        return rng.randint(-50, 50) + 0.25
+    if kind == "list":
+        return [_value(rng, depth - 1) for _ in range(rng.randint(0, 3))]
+    if kind == "dict":
+        return {k: _value(rng, depth - 1) for k in rng.sample(["a", "b c", "d.e", "f`g"], rng.randint(0, 3))}
+    return {"str": "x", "bool": True, "null": None}[kind]
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_discovery_equals_brute_force(spark, seed):
+    import json
+    import random
+    from functools import reduce
+
+    from flexspark.plans.types import merge_types
+
+    rng = random.Random(seed)
+    docs = [{k: _value(rng, 4) for k in ("p", "q", "r")} for _ in range(30)]
+    want = reduce(merge_types, [_brute(d) for d in docs])
+    df = spark.createDataFrame([(json.dumps(d),) for d in docs], "j string").select(F.parse_json("j").alias("v"))
+    got = discover(df)["v"]
+    assert _canonical(got) == _canonical(want)
+    typed = from_variant(df, "v", got)
+    assert _canonical(frame_schema(typed)) == _canonical(want)
+    typed.collect()
+
+
+def test_plain_frame_reproduces_every_value(spark):
+    """Every alternative lands in its own field: nothing is lost on the way to plain types."""
+    import json
+
+    docs = [{"v": v} for v in [1, "a", 2.5, True, None, [1, "b"], {"k": [None, {"z": 1}]}, {"k": "c"}]]
+    df = spark.createDataFrame([(json.dumps(d),) for d in docs], "j string").select(F.parse_json("j").alias("v"))
+    plain = FlexFrame(from_variant(df, "v", discover(df)["v"])).toDF()
+    got = [r["v"].asDict(recursive=True) if r["v"] is not None else None for r in plain.collect()]
+    only = [{k: v for k, v in (g or {}).items() if v is not None} for g in got]
+    assert only[:5] == [{"long": 1}, {"string": "a"}, {"double": 2.5}, {"boolean": True}, {}]
+    assert only[5]["array"][0]["long"] == 1 and only[5]["array"][1]["string"] == "b"
+    assert only[6]["struct"]["k"]["array"][1] == {"z": 1} and only[7]["struct"]["k"]["string"] == "c"

@@ -167,6 +167,6 @@ def test_unbox_csv(spark):
 def test_tagged_json(spark):
     df = spark.read.json(spark.sparkContext.parallelize([
         '{"a":{"N":"1.5"},"b":{"M":{"c":{"S":"x"},"n":{"NULL":true}}},"d":{"L":[{"N":"1"},{"S":"y"}]},"e":{"SS":["p"]},"f":{"NS":["4"]},"g":{"BOOL":true}}']))
-    got = FlexFrame(df).unnest_ddb_json().df
+    got = FlexFrame(df).unnest_tagged_json().df
     r = got.select(F.col("a").cast("double"), "b.c", F.to_json("d"), "e", F.col("f")[0].cast("int"), "g").first()
     assert tuple(r) == (1.5, "x", '[1,"y"]', ["p"], 4, True)

@@ -175,6 +175,7 @@ def test_map_cases(spark):
     assert set(messages) == {'{"n":0}', '{"n":1}', '{"n":2}', '{"n":3}'}
     assert messages['{"n":0}'] == messages['{"n":1}'] and "None" in messages['{"n":0}']
     assert frame.count() + frame.errors_count() == 6
+    assert frame.steps[-1].cached.is_cached and not frame.unpersist().steps[-1].cached.is_cached
 
 
 def test_records_are_nested_dicts_with_attributes(spark):

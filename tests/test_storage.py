@@ -22,7 +22,7 @@ def test_names():
     for bad in ((None, "t"), ("d", None), ("d", "t", "d")):
         with pytest.raises(ValueError):
             table_name_of(*bad)
-    assert frame_name({"paths": ["s3://b/in/a", "s3://b/in/b"]}) == "bin"
+    assert frame_name({"paths": ["store://b/in/a", "store://b/in/b"]}) == "bin"
     assert frame_name({}) != frame_name({})
     assert stamped("x/a.b.csv", datetime.datetime(2024, 1, 2, 3, 4)) == "x/a.b_2024-01-02-03_04.csv"
 
@@ -115,7 +115,7 @@ def test_purge_keeps_new_files(spark, folder):
     assert [r["ok"] for r in done.collect()] == [True]
     assert not os.path.exists(f"{data}/deep/{old}")
     assert len([f for f in os.listdir(data + "/deep") if f.endswith(".parquet")]) == 1
-    listed = spark.read.option("header", "true").csv(folder + "/manifest/Success")
+    listed = spark.read.option("header", "true").csv(folder + "/manifest/Success.csv")
     assert listed.first()["path"].endswith(old)
 
 
@@ -143,7 +143,7 @@ def test_for_each_batch_retries(stream, folder):
 
     metrics = for_each_batch(stream, process, "availableNow", folder + "/c", wait=waits.append)
     assert calls == [0, 1, 1, 1, 2, 2, 3] and waits == [1, 2, 1]
-    assert [m["batch"] for m in metrics] == [0, 1, 2, 3]
+    assert [m["batch"] for m in metrics] == [0, 1, 2, 3] and sum(m["rows"] for m in metrics) == 40
 
 
 def test_for_each_batch_gives_up(stream, folder):
