@@ -38,8 +38,8 @@ def split_rows(df: DataFrame, comparisons: dict[str, dict[str, object]]) -> tupl
             tests.append(COMPARE[sign](col, F.lit(value).cast("long") if whole else F.lit(value)))
     if not tests:
         raise ValueError("no comparison given")
-    inside = F.coalesce(reduce(operator.and_, tests), F.lit(False))
-    return df.where(inside), df.where(~inside)
+    inside = reduce(operator.and_, tests)
+    return df.where(inside), df.where(~F.coalesce(inside, F.lit(False)))
 
 
 def join_on(left: DataFrame, right: DataFrame, left_paths, right_paths, how: str = "inner") -> DataFrame:

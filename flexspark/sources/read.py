@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from flexspark.frame import FlexFrame, Step
 from flexspark.plans.discover import discover, from_variant
+from flexspark.plans.types import Choice, merge_types, type_name
 
 # Codecs that need a named format, and CSV options under their names here and in Spark.
 NAMED_FORMAT_CODECS = ["lzo"]
@@ -98,25 +99,26 @@ class FlexReader:
         return FlexFrame(df, name, frame.steps)
 
     def json(self, paths: list[str], name: str = "", options: dict | None = None, discover_types: bool = True) -> FlexFrame:
-        """JSON records with their types discovered; lines that are no JSON object become error records."""
-        options = options or {}
-        if str(options.get("multiLine", "false")).lower() == "true":
-            raw = self.spark.read.options(**{**options, "singleVariantColumn": "v"}).json(paths)
-            errors = None
-            good = raw
-        else:
-            keep = {k: v for k, v in options.items() if k in ("recursiveFileLookup", "pathGlobFilter", "encoding", "compression")}
-            lines = self.spark.read.options(**keep).text(paths).where("length(trim(value)) > 0")
-            parsed = lines.select("value", F.try_parse_json("value").alias("v"))
-            is_object = F.coalesce(F.schema_of_variant("v").startswith("OBJECT<"), F.lit(False))
-            good = parsed.where(is_object).select("v")
-            errors = parsed.where(~is_object).select(F.lit("not a JSON object").alias("error_message"), F.col("value").alias("record"))
-        steps = [Step("read_json", errors=errors)]
-        if not discover_types:
-            return FlexFrame(good, name, steps)
-        found = discover(good, ["v"])["v"]
-        typed = from_variant(good, "v", found) if isinstance(found, T.StructType) else good
-        return FlexFrame(typed, name, steps)
+        """JSON records with their types discovered. Top-level arrays count as their elements.
+
+        Text that does not parse, and values that are no objects, become error records. Each text is parsed once, by
+        the scan; the test for objects is left out where discovery saw nothing else.
+        """
+        raw = (
+            self.spark.read.options(**{**(options or {}), "singleVariantColumn": "v", "columnNameOfCorruptRecord": _CORRUPT})
+            .schema(f"v variant, {_CORRUPT} string")
+            .json(paths)
+        )
+        found = discover(raw, ["v"])["v"] if discover_types else None
+        records, objects, mixed = _objects(raw, found)
+        present = F.col("v").isNotNull() & ~F.is_variant_null("v")
+        if mixed:
+            present = present & F.schema_of_variant("v").startswith("OBJECT<")
+        errors = records.where(~F.coalesce(present, F.lit(False))).select(
+            F.lit("not a JSON object").alias("error_message"), F.coalesce(_CORRUPT, F.to_json("v")).alias("record")
+        )
+        good = records.where(present).select("v")
+        return FlexFrame(good if objects is None else from_variant(good, "v", objects), name, [Step("read_json", errors=errors)])
 
     def from_catalog(
         self,
@@ -163,6 +165,31 @@ class FlexReader:
         return FlexFrame(df.where((at > F.lit(start)) & (at <= F.lit(end))), frame_name({"paths": [path]}))
 
 
+_CORRUPT = "_corrupt_record"
+
+
+def _objects(raw: DataFrame, found: T.DataType | None) -> tuple[DataFrame, T.StructType | None, bool]:
+    """Records of a raw read, their type, and whether some may be no objects, from the discovered type of the root."""
+    if found is None:
+        return raw, None, True
+    options = dict(_options(found))
+    array = options.pop("array", None)
+    objects = options.pop("struct", T.NullType())
+    if array is not None:
+        items = F.coalesce(F.try_variant_get("v", "$", "array<variant>"), F.array("v"))
+        raw = raw.select(_CORRUPT, F.explode(items).alias("v"))
+        inner = dict(_options(array.elementType))
+        objects = merge_types(objects, inner.pop("struct", T.NullType()))
+        options.update(inner)
+    return raw, objects if isinstance(objects, T.StructType) else T.StructType([]), bool(options)
+
+
+def _options(dtype: T.DataType) -> dict[str, T.DataType]:
+    if isinstance(dtype, Choice):
+        return dtype.options
+    return {} if isinstance(dtype, T.NullType) else {type_name(dtype): dtype}
+
+
 def _paths(options: dict) -> list[str]:
     paths = options.get("paths") or options.get("path") or []
     return [paths] if isinstance(paths, str) else list(paths)
