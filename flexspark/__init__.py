@@ -9,11 +9,12 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 from flexspark.frame import FlexFrame, FrameSet  # noqa: E402
 from flexspark.operators.choice import ResolveOption  # noqa: E402
-from flexspark.sources.read import FlexDataFrameReader, FlexReader, read_incremental  # noqa: E402
+from flexspark.sources.bookmarks import Bookmarks  # noqa: E402
+from flexspark.sources.read import FlexDataFrameReader, FlexReader  # noqa: E402
 from flexspark.sources.write import FlexWriter  # noqa: E402
 from flexspark.streaming.batches import for_each_batch, sample_stream  # noqa: E402
 
 __all__ = [
-    "FlexDataFrameReader", "FlexFrame", "FlexReader", "FlexWriter", "FrameSet", "ResolveOption",
-    "for_each_batch", "read_incremental", "sample_stream",
+    "Bookmarks", "FlexDataFrameReader", "FlexFrame", "FlexReader", "FlexWriter", "FrameSet", "ResolveOption",
+    "for_each_batch", "sample_stream",
 ]

@@ -7,7 +7,8 @@ from flexspark.functions.columns import add_ingestion_time_columns
 from flexspark.jobs.summary import ENTITY_PATTERNS, entity_share as share_of_entities, evaluate_rules
 from flexspark.jobs.versions import backup, restore, rollback, write_backup
 from flexspark.operators.rows import latest_per_key
-from flexspark.sources.read import FlexDataFrameReader, read_incremental
+from flexspark.sources.bookmarks import Bookmarks
+from flexspark.sources.read import FlexDataFrameReader
 from flexspark.sources.scratch import new_dir
 from flexspark.sources.write import write_data_frame
 from flexspark.streaming.batches import for_each_batch, sample_stream as take_sample
@@ -42,7 +43,8 @@ def stream_foreach(spark, sf):
 @query("SELECT event_type, count(*) AS n, 2 AS runs FROM events GROUP BY event_type")
 def bookmark_incremental(spark, sf):
     """Two runs over a growing folder, and a third that finds nothing new."""
-    path, bookmark, target = new_dir(spark, "inbox"), new_dir(spark, "bookmark"), new_dir(spark, "inbox-seen")
+    path, target = new_dir(spark, "inbox"), new_dir(spark, "inbox-seen")
+    bookmarks = Bookmarks(new_dir(spark, "bookmarks"), "events job")
     events, runs = load(spark, sf, "events"), []
 
     def process(df):
@@ -52,7 +54,7 @@ def bookmark_incremental(spark, sf):
     for part in ("event_type in ('click', 'view')", "event_type not in ('click', 'view')", None):
         if part:
             events.where(part).write.mode("append").parquet(path)
-        read_incremental(spark, path, "parquet", events.schema, process, bookmark)
+        bookmarks.read(spark, "inbox", path, "parquet", events.schema, process)
     seen = spark.read.parquet(target)
     return seen.groupBy("event_type").agg(F.count("*").alias("n"), F.lit(len(runs)).alias("runs"))
 

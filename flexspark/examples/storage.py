@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from flexspark.examples.registry import exact_sum, load, query
 from flexspark.frame import FlexFrame, FrameSet
+from flexspark.sources.bookmarks import Bookmarks
 from flexspark.sources.purge import purge_path
 from flexspark.sources.purge import purge_table as purge_catalog_table
 from flexspark.sources.read import FlexDataFrameReader, FlexReader
@@ -209,10 +210,12 @@ def purge_table(spark, sf):
 
 
 @query("SELECT event_type, count(*) AS n FROM events GROUP BY event_type")
-def read_modified_between(spark, sf):
-    """A paused bookmark with a range: the files modified in it."""
-    path = new_dir(spark, "event-files")
-    load(spark, sf, "events").write.parquet(path)
-    at = datetime.datetime.now(datetime.timezone.utc)
-    frame = FlexReader(spark).modified_between(path, "parquet", at - datetime.timedelta(days=1), at + datetime.timedelta(days=1))
-    return frame.df.groupBy("event_type").agg(F.count("*").alias("n"))
+def bookmark_paused(spark, sf):
+    """A paused bookmark: the files modified in a range of time."""
+    path, target = new_dir(spark, "event-files"), new_dir(spark, "event-files-seen")
+    events = load(spark, sf, "events")
+    events.write.parquet(path)
+    now, day = datetime.datetime.now(datetime.timezone.utc), datetime.timedelta(days=1)
+    paused = Bookmarks(new_dir(spark, "bookmarks"), "events job", "pause", now - day, now + day)
+    paused.read(spark, "inbox", path, "parquet", events.schema, lambda df: df.write.parquet(target))
+    return spark.read.parquet(target).groupBy("event_type").agg(F.count("*").alias("n"))

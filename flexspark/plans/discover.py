@@ -15,7 +15,7 @@ import json
 import re
 from collections import defaultdict
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,6 +43,7 @@ _ITEM = "[]"
 _TOKEN = re.compile(r"OBJECT<|ARRAY<|>|, |: |`(?:[^`]|``)*`|[^<>,:`(]+(?:\([^)]*\))?")
 
 Step = tuple[str, ...]
+_PAIRS = pa.schema([("i", pa.int32()), ("path", pa.string()), ("kind", pa.string())])
 
 
 def describe(col: Column) -> Column:
@@ -78,9 +79,14 @@ def _take_apart(text: str) -> list[tuple[Step, str]]:
 
 
 def _pairs(batches):
-    for pdf in batches:
-        rows = {(i, json.dumps(path), kind) for i, s in zip(pdf["i"], pdf["s"]) for path, kind in _take_apart(s)}
-        yield pd.DataFrame(sorted(rows), columns=["i", "path", "kind"])
+    """Arrow batches of (root, description) as distinct (root, path, kind) rows."""
+    for batch in batches:
+        rows = {
+            (i, json.dumps(path), kind)
+            for i, s in zip(batch.column("i").to_pylist(), batch.column("s").to_pylist())
+            for path, kind in _take_apart(s)
+        }
+        yield pa.RecordBatch.from_pylist([{"i": i, "path": p, "kind": k} for i, p, k in sorted(rows)], _PAIRS)
 
 
 def variant_paths(df: DataFrame) -> list[str]:
@@ -112,7 +118,7 @@ def discover(df: DataFrame, paths: list[str] | None = None) -> dict[str, T.DataT
             df.select(F.inline(F.concat(*[_tagged(d, n) for n, d in enumerate(described)])))
             .where("s is not null")
             .distinct()
-            .mapInPandas(_pairs, "i int, path string, kind string")
+            .mapInArrow(_pairs, "i int, path string, kind string")
             .distinct()
             .limit(MAX_NODES + 1)
             .collect()

@@ -1,11 +1,10 @@
-"""Sources: files, catalog tables, JDBC, streams, samples and incremental reads."""
+"""Sources: files, catalog tables, JDBC, streams and samples."""
 
 from __future__ import annotations
 
 import os.path
 import re
 import uuid
-from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -158,12 +157,6 @@ class FlexReader:
     def catalog_schema(self, database: str, table_name: str) -> T.StructType:
         return self.spark.table(table_name_of(database, table_name)).schema
 
-    def modified_between(self, path: str, format: str, start, end, **options) -> FlexFrame:
-        """Files modified after ``start`` and up to ``end``: a paused bookmark with a range, nothing recorded."""
-        df = self.spark.read.format(format).options(**options).load(path)
-        at = F.col("_metadata.file_modification_time")
-        return FlexFrame(df.where((at > F.lit(start)) & (at <= F.lit(end))), frame_name({"paths": [path]}))
-
 
 _CORRUPT = "_corrupt_record"
 
@@ -229,33 +222,3 @@ class FlexDataFrameReader:
         if schema is not None:
             reader = reader.schema(schema)
         return reader.load(paths[0]) if paths else reader.load()
-
-
-def read_incremental(
-    spark: SparkSession,
-    path: str,
-    format: str,
-    schema: T.StructType,
-    process: Callable[[DataFrame], None],
-    bookmark: str,
-    mode: str = "enable",
-    **options,
-) -> None:
-    """Hand the rows that are new since the last run to ``process``.
-
-    The bookmark is a streaming checkpoint folder, one per reading place. It advances only after ``process`` returned,
-    so a failed run is repeated. ``mode="disable"`` ignores it and reads everything.
-    """
-    if mode == "disable":
-        process(spark.read.format(format).schema(schema).options(**options).load(path))
-        return
-    if mode != "enable":
-        raise ValueError("mode is enable or disable; for a pause with a range use modified_between")
-    stream = spark.readStream.format(format).schema(schema).options(**options).load(path)
-    query = (
-        stream.writeStream.foreachBatch(lambda df, _: process(df))
-        .option("checkpointLocation", bookmark)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()

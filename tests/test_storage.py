@@ -6,9 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from flexspark.frame import ErrorThresholdExceeded, FlexFrame, FrameSet
+from flexspark.sources.bookmarks import Bookmarks
 from flexspark.sources.jdbc import jdbc_options
 from flexspark.sources.purge import purge_path
-from flexspark.sources.read import FlexDataFrameReader, FlexReader, frame_name, read_incremental, table_name_of
+from flexspark.sources.read import FlexDataFrameReader, FlexReader, frame_name, table_name_of
 from flexspark.sources.write import FlexWriter, stamped, storable
 from flexspark.streaming.batches import for_each_batch, sample_stream, window_ms
 
@@ -182,22 +183,36 @@ def test_sample_stream(stream):
         sample_stream(stream, "20 seconds")
 
 
-def test_incremental(spark, folder):
-    got = []
-    schema = spark.range(1).schema
-    run = lambda mode="enable": read_incremental(spark, folder + "/in", "parquet", schema, lambda df: got.append(df.count()), folder + "/mark", mode)
+def test_bookmarks(spark, folder):
+    got, schema = [], spark.range(1).schema
+
+    def run(mode="enable", **kwargs):
+        marks = Bookmarks(folder + "/marks", "nightly job", mode, **kwargs)
+        marks.read(spark, "ids", folder + "/in", "parquet", schema, lambda df: got.append(df.count()))
+
     spark.range(5).write.parquet(folder + "/in")
     run()
     run()
     spark.range(7).write.mode("append").parquet(folder + "/in")
     run()
     run("disable")
-    assert got == [5, 7, 12]
+    now, day = datetime.datetime.now(datetime.timezone.utc), datetime.timedelta(days=1)
+    run("pause", start=now - day, end=now + day)
+    run("pause", start=now - 2 * day, end=now - day)
+    run()
+    assert got == [5, 7, 12, 12, 0]
+
+
+def test_bookmark_arguments(folder):
+    for kwargs in ({"mode": "stop"}, {"mode": "pause"}, {"mode": "pause", "start": 1}, {"start": 1, "end": 2}, {"mode": "disable", "end": 2}):
+        with pytest.raises(ValueError):
+            Bookmarks(folder, "j", **kwargs)
+    assert Bookmarks("/b/", "my job").location("a/b") == "/b/my_job/a_b"
     with pytest.raises(ValueError):
-        run("pause")
+        Bookmarks(folder, "j").location("")
 
 
-def test_incremental_repeats_a_failed_run(spark, folder):
+def test_a_failed_run_is_repeated(spark, folder):
     spark.range(5).write.parquet(folder + "/in")
     got = []
 
@@ -208,7 +223,7 @@ def test_incremental_repeats_a_failed_run(spark, folder):
 
     for _ in range(2):
         try:
-            read_incremental(spark, folder + "/in", "parquet", spark.range(1).schema, process, folder + "/mark")
+            Bookmarks(folder + "/m", "j").read(spark, "c", folder + "/in", "parquet", "id bigint", process)
         except Exception:
             pass
     assert got == [5, 5]
