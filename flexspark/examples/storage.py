@@ -175,18 +175,22 @@ def spigot_pass(spark, sf):
     return passed.df.agg(F.count("*").alias("n"), exact_sum("o_totalprice").alias("total"))
 
 
-@query()
+def distinct_known(sample, source, key):
+    """Which rows a sample holds is not promised: count its distinct rows that the source knows."""
+    return sample.join(source.select(key), key, "left_semi").agg(F.count_distinct(key).alias("n"))
+
+
+@query("SELECT least(100, count(*)) AS n FROM orders")
 def sample_rows(spark, sf):
-    """Sampling is the feature here; which rows come is not promised, so there is no SQL to compare with."""
     reader = FlexReader(spark)
-    return reader.sample_from_options("parquet", {"paths": [f"{sf}/orders.parquet"]}, 100, {"fraction": 0.5, "seed": 7}).df
+    sample = reader.sample_from_options("parquet", {"paths": [f"{sf}/orders.parquet"]}, 100, {"fraction": 0.5, "seed": 7})
+    return distinct_known(sample.df, load(spark, sf, "orders"), "o_orderkey")
 
 
-@query()
+@query("SELECT least(10, count(*)) AS n FROM orders")
 def sample_catalog(spark, sf):
-    """As above, from a catalog table."""
     db, table = _partitioned_table(spark, sf)
-    return FlexReader(spark).sample_from_catalog(db, table, 10).df
+    return distinct_known(FlexReader(spark).sample_from_catalog(db, table, 10).df, load(spark, sf, "orders"), "o_orderkey")
 
 
 @query("SELECT 'F' AS part, count(*) AS n_rows, true AS found FROM orders WHERE o_orderstatus = 'F'")

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from flexspark.plans.discover import choice_paths, discover, extract, variant_paths
 from flexspark.plans.nested import drop_paths, edit_fields, nodes
-from flexspark.plans.paths import join_path, resolve, split_path, top
+from flexspark.plans.paths import crosses_array, join_path, resolve, split_path, top, value_at
 from flexspark.plans.types import Choice, parse_type, schema_from_json, to_spark, type_name
 
 # The actions of a resolve spec; the first two take a type after a colon.
@@ -37,9 +37,8 @@ def alternatives(df: DataFrame, path: str) -> list[T.DataType]:
     return [o for o in options if not isinstance(o, T.NullType)]
 
 
-def holds(variant: Column, dtype: T.DataType, others: Iterable[T.DataType] = ()) -> Column:
-    """True where the stored value is of this type; ``others`` are the alternatives it is told apart from."""
-    kind = F.schema_of_variant(variant)
+def is_kind(kind: Column, dtype: T.DataType, others: Iterable[T.DataType] = ()) -> Column:
+    """True where ``schema_of_variant`` names this type; ``others`` are the alternatives it is told apart from."""
     names = {type_name(o) for o in others}
     if isinstance(dtype, T.StructType):
         return kind.startswith("OBJECT<")
@@ -97,13 +96,24 @@ def resolve_choice(
         return match_schema(df, catalog_schema)
     if choice:
         specs = [(p, choice) for p in variant_paths(df)]
-    edits, notes = {}, {}
+    edits, notes, described = {}, {}, {}
     for path, action in specs:
-        edits[path] = _edit(df, path, action, notes)
-    return _note(edit_fields(df, edits), notes) if edits else df
+        edits[path] = _edit(df, path, action, notes, described)
+    if not edits:
+        return df
+    if not described:
+        return _note(edit_fields(df, edits), notes)
+    # Describing a value costs as much as reading it. The one-element explode does it once per row, where the same
+    # expression inside several conditions would be evaluated for each of them.
+    kinds = F.struct(*[F.schema_of_variant(value_at(df.schema, p)).alias(n) for p, n in described.items()])
+    widened = df.select("*", F.explode(F.array(kinds)).alias(_KINDS))
+    return _note(edit_fields(widened, edits).drop(_KINDS), notes)
 
 
-def _edit(df: DataFrame, path: str, action: str, notes: dict):
+_KINDS = "__kinds"
+
+
+def _edit(df: DataFrame, path: str, action: str, notes: dict, described: dict[str, str]):
     verb, _, target = action.partition(":")
     verb = verb.strip().lower()
     if verb not in ACTIONS[:4] or bool(target) != (verb in ACTIONS[:2]):
@@ -118,28 +128,36 @@ def _edit(df: DataFrame, path: str, action: str, notes: dict):
     if not isinstance(_inner(dtype), T.VariantType):
         return lambda c, f: [(f.name, c)]
     options = alternatives(df, path)
+    kind = None
+    if isinstance(dtype, T.VariantType) and not crosses_array(df.schema, names):
+        described[path] = f"k{len(described)}"
+        kind = top(_KINDS).getField(described[path])
     if verb == "make_cols":
         for o in options:
             spot = names[:-1] + (f"{names[-1]}_{type_name(o)}",)
             _remember(notes, spot, o)
-        return lambda c, f: [(f"{f.name}_{type_name(o)}", _at_variant(c, f.dataType, _only(o, options))) for o in options]
+        return lambda c, f: [
+            (f"{f.name}_{type_name(o)}", _at_variant(c, f.dataType, _only(o, options, kind))) for o in options
+        ]
     for o in options:
         _remember(notes, names + (type_name(o),), o)
-    return lambda c, f: [(f.name, _at_variant(c, f.dataType, lambda x, t: _one_field_each(x, options)))]
+    return lambda c, f: [(f.name, _at_variant(c, f.dataType, lambda x, t: _one_field_each(x, options, kind)))]
 
 
 def _project(col: Column, dtype: T.DataType, target: T.DataType) -> Column:
     if not isinstance(dtype, T.VariantType):
         return col if dtype == target else col.try_cast(target)
-    return F.when(holds(col, target), extract(col, "$", target))
+    return F.when(is_kind(F.schema_of_variant(col), target), extract(col, "$", target))
 
 
-def _only(option: T.DataType, options: list[T.DataType]):
-    return lambda x, t: F.when(holds(x, option, options), extract(x, "$", option))
+def _only(option: T.DataType, options: list[T.DataType], kind: Column | None):
+    return lambda x, t: F.when(
+        is_kind(F.schema_of_variant(x) if kind is None else kind, option, options), extract(x, "$", option)
+    )
 
 
-def _one_field_each(col: Column, options: list[T.DataType]) -> Column:
-    fields = [_only(o, options)(col, None).alias(type_name(o)) for o in options]
+def _one_field_each(col: Column, options: list[T.DataType], kind: Column | None) -> Column:
+    fields = [_only(o, options, kind)(col, None).alias(type_name(o)) for o in options]
     return F.when(col.isNotNull(), F.struct(*fields)) if fields else F.lit(None)
 
 
