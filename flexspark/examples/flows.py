@@ -205,3 +205,13 @@ def latest_pair(spark, sf):
     """Latest version of a key made of two columns."""
     keyed = load(spark, sf, "events").withColumn("pair", F.struct("event_type", "user_id"))
     return latest_per_key(keyed, "pair", "ts").select("event_type", "user_id", "event_id")
+
+
+@query("SELECT count(DISTINCT {'a': c_nationkey, 'b': c_mktsegment}) AS distinct_count FROM customer")
+def sql_pairs(spark, sf):
+    """The pair count as SQL text over a view, written with overwrite and read back."""
+    load(spark, sf, "customer").createOrReplaceTempView("customer_pairs")
+    counted = spark.sql("SELECT COUNT(DISTINCT struct(c_nationkey, c_mktsegment)) AS distinct_count FROM customer_pairs")
+    path = new_dir(spark, "pairs")
+    counted.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

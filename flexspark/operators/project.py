@@ -30,11 +30,15 @@ def split_fields(df: DataFrame, paths: str | Iterable[str]) -> tuple[DataFrame,
 
 
 def rename_field(df: DataFrame, old: str, new: str) -> DataFrame:
-    """Rename a node, or move it: both names are full paths and missing parents of the new one are created."""
+    """Rename a node, or move it: both names are full paths, missing parents of the new one are created.
+
+    A node that has the new name already is replaced.
+    """
     names, _ = resolve(df.schema, old)
     target = split_path(new)
     if names[:-1] == target[:-1]:
-        return edit_fields(df, {old: lambda col, f: [(target[-1], col)]})
+        replaced = {new: lambda col, f: []} if names != target else {}
+        return edit_fields(df, {**replaced, old: lambda col, f: [(target[-1], col)]}, missing_ok=True)
     if crosses_array(df.schema, names):
         raise ValueError(f"cannot move {old!r} out of an array")
     value = value_at(df.schema, old)

@@ -47,6 +47,8 @@ def test_drop_reads_only_kept_leaves(spark, nested, folder):
 def test_rename_and_move(nested):
     assert rename_field(nested, "o.a", "o.z").schema["o"].dataType.names == ["z", "p"]
     assert rename_field(nested, "arr.k", "arr.key").schema["arr"].dataType.elementType.names == ["key", "l"]
+    assert rename_field(nested, "id", "`d.t`").columns == ["d.t", "o", "arr"]
+    assert rename_field(nested, "id", "ID").columns == ["ID", "o", "arr", "d.t"]
     moved = rename_field(nested, "o.a", "o.p.new")
     assert moved.schema["o"].dataType.simpleString() == "struct<p:struct<s:string,t:string,new:int>>"
     assert moved.collect()[0]["o"]["p"]["new"] == 10

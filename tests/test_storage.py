@@ -42,7 +42,9 @@ def test_json_with_bad_lines(spark, folder):
     raw = FlexReader(spark).json([folder], discover_types=False)
     assert raw.count() == 2 and raw.errors_count() == 4
     fixed = FlexReader(spark).from_options("file", {"paths": [folder]}, "json", schema="a string")
-    assert fixed.df.columns == ["a"]
+    assert rows(fixed.df) == [("1",), ("x",)] and fixed.errors_count() == 4
+    typed = FlexReader(spark).from_options("file", {"paths": [folder]}, "json", {"mode": "DROPMALFORMED"}, schema="a string")
+    assert typed.df.columns == ["a"] and typed.errors_count() == 0
 
 
 def test_multi_line_json(spark, folder):
@@ -52,11 +54,12 @@ def test_multi_line_json(spark, folder):
     assert frame.count() == 2 and frame.schema()["a"].dataType.simpleString() == "choice<bigint,string>"
 
 
-def test_json_of_objects_only_is_not_tested_again(spark, folder):
+def test_json_is_parsed_by_the_scan_only(spark, folder):
     with open(folder + "/a.json", "w") as f:
         f.write('{"a":1}\nbroken\n')
     frame = FlexReader(spark).from_options("file", {"paths": [folder]}, "json")
-    assert "SchemaOfVariant" not in frame.df._jdf.queryExecution().executedPlan().toString()
+    plan = frame.df._jdf.queryExecution().executedPlan().toString()
+    assert "SchemaOfVariant" not in plan and "parseJson" not in plan
     assert frame.count() == 1 and frame.errors().df.first()["record"] == "broken"
 
 

@@ -25,7 +25,7 @@ def test_paths():
 
 
 @given(st.lists(st.text(min_size=1, max_size=5), min_size=1, max_size=4))
-@settings(max_examples=200)
+@settings(max_examples=200, deadline=None)
 def test_path_round_trip(names):
     assert split_path(join_path(names)) == tuple(names)
 
@@ -79,7 +79,7 @@ _types = st.recursive(
 
 
 @given(_types, _types)
-@settings(max_examples=150)
+@settings(max_examples=150, deadline=None)
 def test_merge_is_idempotent(a, b):
     both = merge_types(a, b)
     assert merge_types(both, both) == both
@@ -87,7 +87,7 @@ def test_merge_is_idempotent(a, b):
 
 
 @given(_types, _types)
-@settings(max_examples=100)
+@settings(max_examples=100, deadline=None)
 def test_json_round_trip(a, b):
     schema = struct(x=merge_types(a, b))
     assert schema_from_json(schema_to_json(schema)).simpleString() == schema.simpleString()
