@@ -135,12 +135,12 @@ def explode_index(spark, sf):
 @query("SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, l_shipdate FROM lineitem")
 def nest_roundtrip(spark, sf):
     lines = load(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_shipdate")
-    return expand_items(nest_rows(lines, "l_orderkey"))
+    return expand_items(nest_rows(lines, "l_orderkey", whole=False))
 
 
 @query("SELECT l_orderkey, count(*) AS lines, sum(l_quantity) AS quantity FROM lineitem GROUP BY l_orderkey")
 def nest_per_key(spark, sf):
-    nested = nest_rows(load(spark, sf, "lineitem").select("l_orderkey", "l_quantity"), "l_orderkey")
+    nested = nest_rows(load(spark, sf, "lineitem").select("l_orderkey", "l_quantity"), "l_orderkey", part_rows=5)
     per_part = nested.select(
         "l_orderkey",
         F.size("items").alias("n"),
@@ -149,6 +149,14 @@ def nest_per_key(spark, sf):
     return per_part.groupBy("l_orderkey").agg(F.sum("n").alias("lines"), F.sum("q").alias("quantity"))
 
 
+@query("SELECT l_returnflag, l_linestatus, count(*) AS n FROM lineitem GROUP BY ALL")
+def nest_whole(spark, sf):
+    """Six large groups, each in several bounded rows."""
+    lines = load(spark, sf, "lineitem").select("l_returnflag", "l_linestatus", "l_orderkey")
+    nested = nest_rows(lines, ["l_returnflag", "l_linestatus"], part_rows=500).where("size(items) <= 500")
+    return nested.groupBy("l_returnflag", "l_linestatus").agg(F.sum(F.size("items")).alias("n"))
+
+
 @query("SELECT count(*) AS n_rows, true AS bounded FROM lineitem")
 def nest_all(spark, sf):
     nested = nest_rows(load(spark, sf, "lineitem"), part_rows=1000)

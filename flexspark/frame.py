@@ -156,8 +156,8 @@ class FlexFrame:
     def unnest_tagged_json(self, **limits) -> FlexFrame:
         return self._next("unnest_tagged_json", _nest.unnest_tagged_json(self.df), **limits)
 
-    def nest(self, keys=(), part_rows: int = 10_000, items: str = "items", **limits) -> FlexFrame:
-        return self._next("nest", _nest.nest_rows(self.df, keys, part_rows, items), **limits)
+    def nest(self, keys=(), part_rows: int = 10_000, items: str = "items", whole: bool = True, **limits) -> FlexFrame:
+        return self._next("nest", _nest.nest_rows(self.df, keys, part_rows, items, whole=whole), **limits)
 
     def add_ingestion_time_columns(self, granularity: str = "minute", ts=None, **limits) -> FlexFrame:
         return self._next("add_ingestion_time_columns", add_ingestion_time_columns(self.df, granularity, ts), **limits)

@@ -48,7 +48,7 @@ def backup(entities: DataFrame, parts: DataFrame, owner: str, database: str, own
     mine = entities.where(top(owner_col) == F.lit(owner))
     theirs = semi_join(parts, mine.select(top(name).alias(part_of)), part_of)
     tables = nest_rows(mine).select(F.lit("empty").alias("table"), "items")
-    nested = nest_rows(theirs, part_of).select(top(part_of).cast("string").alias("table"), "items")
+    nested = nest_rows(theirs, part_of, whole=False).select(top(part_of).cast("string").alias("table"), "items")
     tag = F.lit(database).alias("database")
     return tables.select("*", tag, F.lit("table").alias("type")).union(nested.select("*", tag, F.lit("partition").alias("type")))
 

@@ -5,7 +5,9 @@ from __future__ import annotations
 import csv
 import io
 import json
+import operator
 from collections.abc import Iterable
+from functools import reduce
 
 import pandas as pd
 import pyarrow as pa
@@ -120,15 +122,33 @@ def nest_rows(
     part_rows: int = 10_000,
     items: str = "items",
     part_bytes: int = 64 << 20,
+    whole: bool = True,
 ) -> DataFrame:
     """Whole rows collected into an array of structs, over all rows or per key.
 
-    An array holds at most ``part_rows`` rows and about ``part_bytes`` bytes; a larger group continues in further rows
-    with the same key, so no group has to fit one task or one record. Without keys there is no shuffle. With keys the rows are
-    rebalanced by key, which lets adaptive execution split a partition that one hot key fills, and sorted whole, so
-    that a repeated task cuts the same parts.
+    No group has to fit one task or one record: an array holds at most ``part_rows`` rows, and where a group is cut also
+    at most about ``part_bytes`` bytes; the group continues in further rows with the same key. Without keys there is no
+    shuffle. With ``whole``, every key of at most ``part_rows`` rows comes as one row, for which a pass over the keys counts
+    the groups first. Without it, one shuffle does, but a small group may also come in pieces.
     """
     keys = as_list(keys)
+    if not (keys and whole):
+        return _in_parts(df, keys, part_rows, items, part_bytes)
+    group = F.struct(*[top(k) for k in keys])
+    large = df.groupBy(group.alias("__group")).agg(F.count("*").alias("n")).where(F.col("n") > part_rows)
+    large = large.select(*[F.col("__group").getField(k).alias(f"__large{i}") for i, k in enumerate(keys)])
+    same = reduce(operator.and_, [top(k).eqNullSafe(F.col(f"__large{i}")) for i, k in enumerate(keys)])
+    # The shuffle by key after the anti join is the one the grouping needs. Asked for here, it leaves the join free to
+    # be split where a large group fills a partition.
+    small = df.join(large, same, "left_anti").repartition(*[top(k) for k in keys])
+    row = F.struct(*[top(c) for c in df.columns])
+    listed = small.groupBy(*[top(k) for k in keys]).agg(F.collect_list(row).alias(items))
+    return listed.unionAll(_in_parts(df.join(large, same, "left_semi"), keys, part_rows, items, part_bytes))
+
+
+def _in_parts(df: DataFrame, keys: list[str], part_rows: int, items: str, part_bytes: int) -> DataFrame:
+    """Lists cut inside tasks. Rows are rebalanced by key, so that adaptive execution splits a partition that one hot key
+    fills, and sorted whole, so that a repeated task cuts the same parts."""
     schema = T.StructType([df.schema[k] for k in keys] + [T.StructField(items, T.ArrayType(df.schema))])
     if keys:
         rest = [f.name for f in df.schema.fields if f.name not in keys and _orderable(f.dataType)]

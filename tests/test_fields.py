@@ -115,6 +115,20 @@ def test_nest_splits_long_groups(spark):
     assert nested.where("k > 0").count() == 300
 
 
+def test_nest_keeps_small_groups_whole(spark):
+    df = spark.range(6000).select(
+        F.when(F.col("id") < 2000, None).when(F.col("id") < 4000, 1).otherwise(F.col("id") % 500 + 2).alias("k"),
+        (F.col("id") % 2).alias("m"), "id",
+    )
+    nested = nest_rows(df, ["k", "m"], part_rows=100)
+    sizes = {tuple(r)[:2]: r[2:] for r in nested.groupBy("k", "m").agg(F.count("*"), F.sum(F.size("items"))).collect()}
+    assert sizes[None, 0] == (10, 1000) and sizes[1, 1] == (10, 1000)
+    assert all(v == (1, 4) for (k, _), v in sizes.items() if k not in (None, 1)) and len(sizes) == 504
+    assert sorted(rows(nested.selectExpr("inline(items)")), key=str) == sorted(rows(df), key=str)
+    pieces = nest_rows(df, "k", part_rows=100, whole=False)
+    assert sorted(rows(pieces.selectExpr("inline(items)")), key=str) == sorted(rows(df), key=str)
+
+
 def test_nest_bounds_bytes(spark):
     df = spark.range(400).select("id", F.repeat(F.lit("x"), 1000).alias("t"))
     nested = nest_rows(df, part_bytes=50_000)
