@@ -40,7 +40,10 @@ def evaluate_rules(df: DataFrame, rules: list[dict]) -> DataFrame:
     for i, r in enumerate(rules):
         if r["rule"] == "unique":
             counts = df.groupBy(top(r["column"]).alias("v")).count().where("v is not null")
-            totals = counts.agg(F.coalesce(F.sum("count"), F.lit(0)).alias("n"), F.coalesce(F.sum(F.when(F.col("count") > 1, F.col("count"))), F.lit(0)).alias("f"))
+            shared = F.when(F.col("count") > 1, F.col("count"))
+            totals = counts.agg(
+                F.coalesce(F.sum("count"), F.lit(0)).alias("n"), F.coalesce(F.sum(shared), F.lit(0)).alias("f")
+            )
             out.append(totals.select(F.inline(F.array(_entry(i, r, F.col("n"), F.col("f"))))))
     return reduce(DataFrame.unionByName, out)
 

@@ -36,7 +36,8 @@ def rollback(
     later = parts.where(top(created) > F.lit(as_of))
     owners = versions.select(top(name).alias(part_of))
     delete_parts = semi_join(later, owners, part_of)
-    return FrameSet({"restore": FlexFrame(restore, "restore"), "delete": FlexFrame(delete, "delete"), "delete_parts": FlexFrame(delete_parts, "delete_parts")})
+    made = {"restore": restore, "delete": delete, "delete_parts": delete_parts}
+    return FrameSet([FlexFrame(df, kind) for kind, df in made.items()])
 
 
 def backup(entities: DataFrame, parts: DataFrame, owner: str, database: str, owner_col: str = "owner",

@@ -37,7 +37,11 @@ def rename_field(df: DataFrame, old: str, new: str) -> DataFrame:
     names, _ = resolve(df.schema, old)
     target = split_path(new)
     if names[:-1] == target[:-1]:
-        replaced = {new: lambda col, f: []} if names != target else {}
+        if len(names) == 1:
+            clash = find_field(df.schema, target[0])
+            others = [c for c in df.columns if c == names[0] or clash is None or c != clash.name]
+            return df.select(*[top(c).alias(target[0]) if c == names[0] else top(c) for c in others])
+        replaced = {new: lambda col, f: []}
         return edit_fields(df, {**replaced, old: lambda col, f: [(target[-1], col)]}, missing_ok=True)
     if crosses_array(df.schema, names):
         raise ValueError(f"cannot move {old!r} out of an array")

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flexspark.plans.paths import resolve, split_path, top
+from flexspark.plans.paths import join_path, resolve, split_path, top
 
 Edit = Callable[[Column, T.StructField], list[tuple[str, Column]]]
 
@@ -53,30 +53,27 @@ def edit_fields(df: DataFrame, edits: dict[str, Edit], missing_ok: bool = False)
     out: list[Column] = []
     for f in df.schema.fields:
         out += [
-            c if name == f.name and f.name not in tree else c.alias(name, metadata=kept_metadata(f, name, c, tree))
+            c if f.name not in tree else c.alias(name, metadata=_kept_metadata(f, tree[f.name]))
             for name, c in _edit_one(top(f.name), f, tree)
         ]
     return df.select(*out)
 
 
-def kept_metadata(field: T.StructField, name: str, col: Column, tree: dict) -> dict:
+def _kept_metadata(field: T.StructField, edited) -> dict:
     """Column metadata after an edit: entries about edited nodes are dropped, they no longer hold."""
     metadata = dict(field.metadata or {})
-    choices = metadata.get("choices")
+    choices = metadata.pop("choices", None)
     if choices:
-        gone = ["" if callable(tree[field.name]) else p for p in _edited(tree[field.name], ())]
+        gone = list(_edited(edited, ()))
         left = {k: v for k, v in choices.items() if not any(g == "" or k == g or k.startswith(g + ".") for g in gone)}
-        metadata.pop("choices")
         if left:
             metadata["choices"] = left
     return metadata
 
 
 def _edited(node, at: tuple[str, ...]):
-    from flexspark.plans.paths import join_path
-
     if callable(node):
-        yield join_path(at) if at else ""
+        yield join_path(at)
     else:
         for name, sub in node.items():
             yield from _edited(sub, at + (name,))

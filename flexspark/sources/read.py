@@ -122,7 +122,8 @@ class FlexReader:
             F.lit("not a JSON object").alias("error_message"), F.coalesce(_CORRUPT, F.to_json("v")).alias("record")
         )
         good = records.where(is_object).select("v")
-        return FlexFrame(good if objects is None else from_variant(good, "v", objects), name, [Step("read_json", errors=errors)])
+        typed = good if objects is None else from_variant(good, "v", objects)
+        return FlexFrame(typed, name, [Step("read_json", errors=errors)])
 
     def from_catalog(
         self,
@@ -208,7 +209,9 @@ class FlexDataFrameReader:
     def __init__(self, spark: SparkSession):
         self.spark = spark
 
-    def from_catalog(self, database: str | None = None, table_name: str | None = None, name_space: str | None = None, stream: bool = True, **options) -> DataFrame:
+    def from_catalog(self, database: str | None = None, table_name: str | None = None, name_space: str | None = None,
+                     stream: bool = True, **options) -> DataFrame:
+        """Stream of the rows of a catalog table, or with ``stream=False`` the table."""
         table = table_name_of(database, table_name, name_space)
         return self.spark.readStream.options(**options).table(table) if stream else self.spark.table(table)
 

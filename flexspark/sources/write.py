@@ -59,8 +59,9 @@ class FlexWriter:
                      format: str | None = None, format_options: dict | None = None):
         """Write files or a JDBC table.
 
-        The format decides; without one the connection type is the format. Options: ``path``, ``mode``, ``partitionBy`` (list), ``stamp_path``, ``required`` ({field: type}, misfits are
-        refused); others go to the Spark writer. A set writes each member under its own name.
+        The format decides; without one the connection type is the format. Options: ``path``, ``mode``, ``partitionBy``
+        (list), ``stamp_path``, ``required`` ({field: type}, misfits are refused); others go to the Spark writer. A set
+        writes each member under its own name.
         """
         options = dict(connection_options or {})
         if connection_type.lower() == "jdbc":

@@ -4,6 +4,7 @@ from pyspark.sql import types as T
 
 from flexspark.frame import FlexFrame
 from flexspark.operators.choice import ResolveOption, alternatives, drop_null_fields
+from flexspark.operators.project import rename_field
 from flexspark.plans.discover import _take_apart, discover, from_variant, frame_schema
 from flexspark.plans.types import Choice
 
@@ -65,6 +66,8 @@ def test_deep_conflicts(spark):
 
 def test_alternatives_with_and_without_metadata(typed):
     assert alternatives(typed, "id") == [L, S]
+    renamed = rename_field(typed, "id", "key")
+    assert "choices" in renamed.schema["key"].metadata and alternatives(renamed, "key") == [L, S]
     plain = typed.withMetadata("id", {})
     assert alternatives(plain, "id") == [L, S]
 
