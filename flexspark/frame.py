@@ -191,7 +191,10 @@ class FlexFrame:
         return FrameSet([self._next("split_rows", inside, name=name1, **limits), self._next("split_rows", rest, name=name2, **limits)])
 
     def map(self, f: Callable, schema=None, persist: bool = False, staging_path: str | None = None, **limits) -> FlexFrame:
-        """Function per record. Without a schema the results are staged as JSON and their schema discovered."""
+        """Function per record. Without a schema the results are staged as JSON and their schema discovered.
+
+        JSON has no dates, decimals or bytes: in results without a schema those are text.
+        """
         both = _records.map_records(self.df, f, schema)
         if schema is None and staging_path is None:
             from flexspark.sources.scratch import scratch_root

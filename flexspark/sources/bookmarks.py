@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Callable
 
@@ -34,7 +35,7 @@ class Bookmarks:
         """Checkpoint folder of one reading place."""
         if not transformation_ctx:
             raise ValueError("a bookmark needs a transformation_ctx")
-        return "/".join([self.root, *[re.sub(r"[^\w.-]", "_", part) for part in (self.job, transformation_ctx)]])
+        return f"{self.root}/{_folder(self.job)}/{_folder(transformation_ctx)}"
 
     def read(
         self,
@@ -54,6 +55,12 @@ class Bookmarks:
         process(df if self.mode == "disable" else modified_between(df, self.start, self.end))
 
 
+def _folder(name: str) -> str:
+    """Folder name for any text; a digest keeps apart names that differ only in what a folder name cannot hold."""
+    clean = re.sub(r"[^A-Za-z0-9_.-]", "_", name)
+    return clean if clean == name else f"{clean}-{hashlib.sha256(name.encode()).hexdigest()[:12]}"
+
+
 def modified_between(df: DataFrame, start, end) -> DataFrame:
     """Rows of a file read whose files were modified after ``start`` and up to ``end``; whole files are skipped."""
     at = F.col("_metadata.file_modification_time")

@@ -210,7 +210,8 @@ def test_bookmark_arguments(folder):
     for kwargs in ({"mode": "stop"}, {"mode": "pause"}, {"mode": "pause", "start": 1}, {"start": 1, "end": 2}, {"mode": "disable", "end": 2}):
         with pytest.raises(ValueError):
             Bookmarks(folder, "j", **kwargs)
-    assert Bookmarks("/b/", "my job").location("a/b") == "/b/my_job/a_b"
+    assert Bookmarks("/b/", "my-job").location("a_b") == "/b/my-job/a_b"
+    assert Bookmarks("/b/", "my-job").location("a/b") not in ("/b/my-job/a_b", Bookmarks("/b", "my-job").location("a b"))
     with pytest.raises(ValueError):
         Bookmarks(folder, "j").location("")
 
