@@ -93,7 +93,10 @@ u AS (SELECT *, unnest(range(0, whole + CASE WHEN room > 0 AND upto <= room THEN
 SELECT * FROM u"""
 
 
-@query(sql=f"SELECT doc_id, d AS domain, lang, source, tok AS tokens, epoch FROM ({mix_sql('documents', 0.5, 4)})")
+SQL_MIX = f"SELECT doc_id, d AS domain, lang, source, tok AS tokens, epoch FROM ({mix_sql('documents', 0.5, 4)})"
+
+
+@query(sql=SQL_MIX)
 def op10_budget_mix(spark: SparkSession, folder: str) -> DataFrame:
     """A mixture of half of all tokens: one row for each document and epoch that takes it."""
     mixed = mix_documents(load(spark, folder, "documents"), 0.5, 4)

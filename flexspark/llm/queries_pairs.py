@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flexspark.llm import minhash
+from flexspark.llm import minhash, suffix
 from flexspark.llm.registry import load, query
 
 
@@ -12,3 +12,9 @@ from flexspark.llm.registry import load, query
 def op6_minhash_groups(spark: SparkSession, folder: str) -> DataFrame:
     """Groups of documents linked at Jaccard similarity 0.8 of four-word shingles."""
     return minhash.near_duplicates(load(spark, folder, "documents"), 4, 80).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@query()
+def op2_suffix_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    """What is left of every document without the 200-byte strings that start more than once."""
+    return suffix.remove_repeats(load(spark, folder, "documents"), 200, texts=False).drop("spans", "kept")
