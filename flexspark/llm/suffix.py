@@ -24,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -158,7 +159,7 @@ def _strings(phrases: DataFrame, length: int, trigger: int) -> DataFrame:
                 flat = x.flatten()
                 if not len(flat):
                     continue
-                doc = np.repeat(np.arange(c.count), pa.compute.list_value_length(x).to_numpy(zero_copy_only=False))
+                doc = np.repeat(np.arange(c.count), pc.list_value_length(x).to_numpy(zero_copy_only=False))
                 lo, n = (flat.field(f).to_numpy(zero_copy_only=False).astype(np.int64) for f in ("lo", "n"))
                 sums = parser.roll.sums(c.data)
                 of = np.repeat(np.arange(len(n)), n)

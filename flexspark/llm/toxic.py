@@ -17,6 +17,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -171,47 +172,67 @@ def build(examples: list, vocab_size: int, df: np.ndarray, total: int, weight: d
     return Index(idf, np.searchsorted(t, ends), e, v, np.searchsorted(of, ends), block, top, col(0), col(1), col(2), [x[3] for x in kept], (none[0], none[1], none[3]), base)
 
 
-def vote(ix: Index, terms: np.ndarray, counts: np.ndarray) -> tuple[float, list, list]:
-    """Score, and the nearest examples (keys, cosines) it rests on."""
-    if not len(terms) or not len(ix.rows):
-        a, b, ids = ix.none
-        return ((a + PRIOR * ix.base) / (a + b + PRIOR) if len(terms) == 0 else ix.base), ids[:NEIGHBOURS], [1.0] * len(ids[:NEIGHBOURS])
-    w = (1 + np.log(counts)) * ix.idf[terms]
-    w = w / np.linalg.norm(w)
-    blocks = len(ix.rows) // BLOCK + 1
-    bound = np.zeros(blocks)
-    for t, x in zip(terms, w):
-        s = slice(ix.top_first[t], ix.top_first[t + 1])
-        bound[ix.block[s]] += x * ix.top[s]
-    order = np.argsort(-bound, kind="stable")
-    order = order[bound[order] > 0]
-    best_e, best_s, floor = np.zeros(0, np.int64), np.zeros(0), 0.0
-    done, step = 0, 4
-    while done < len(order) and bound[order[done]] >= floor - 1e-9:
-        score = np.zeros((step, BLOCK))
-        now = order[done : done + step]
-        for t, x in zip(terms, w):
-            lo, hi = ix.first[t], ix.first[t + 1]
-            e = ix.entry[lo:hi]
-            for j, b in enumerate(now):
-                i, k = np.searchsorted(e, (b * BLOCK, (b + 1) * BLOCK))
-                score[j, e[i:k] - b * BLOCK] += x * ix.value[lo + i : lo + k]
-        got = (now[:, None] * BLOCK + np.arange(BLOCK))[score[: len(now)] > 0]
-        best_e, best_s = np.concatenate([best_e, got]), np.concatenate([best_s, score[: len(now)][score[: len(now)] > 0]])
-        rank = np.argsort(-best_s, kind="stable")
-        best_e, best_s = best_e[rank], best_s[rank]
-        enough = np.searchsorted(np.cumsum(ix.rows[best_e]), NEIGHBOURS)
-        if enough < len(best_s):
-            floor = best_s[enough]
-            keep = best_s >= floor - 1e-9
-            best_e, best_s = best_e[keep], best_s[keep]
-        done += step
-        step = min(step * 2, 64)
-    if not len(best_e):
-        return ix.base, [], []
-    a, b = float((best_s * ix.votes1[best_e]).sum()), float((best_s * ix.votes0[best_e]).sum())
-    ids = [(k, float(s)) for e, s in zip(best_e, best_s) for k in ix.ids[e]][:NEIGHBOURS]
-    return (a + PRIOR * ix.base) / (a + b + PRIOR), [k for k, _ in ids], [s for _, s in ids]
+def _expand(first: np.ndarray, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of all postings of the terms, and which place of the list each belongs to."""
+    n = first[terms + 1] - first[terms]
+    owner = np.repeat(np.arange(len(terms)), n)
+    return np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + first[terms][owner], owner
+
+
+def _ranked(ix: Index, doc: np.ndarray, term: np.ndarray, w: np.ndarray, open_: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(document, entry, cosine, first cosine too low) of the entries in each document's open blocks, nearest first."""
+    p, owner = _expand(ix.first, term)
+    e, d = ix.entry[p], doc[owner]
+    keep = open_[d, e // BLOCK]
+    cell, inverse = np.unique(d[keep] * len(ix.rows) + e[keep], return_inverse=True)
+    score = np.bincount(inverse, weights=w[owner[keep]] * ix.value[p[keep]], minlength=len(cell))
+    d, e = cell // len(ix.rows), cell % len(ix.rows)
+    order = np.lexsort((e, -score, d))
+    d, e, score = d[order], e[order], score[order]
+    # the cosine at which NEIGHBOURS examples are reached; none, while they are fewer
+    total = np.cumsum(ix.rows[e])
+    start = np.searchsorted(d, np.arange(len(open_)))
+    before = np.concatenate([[0], total])[start]
+    reach = np.searchsorted(total, before + NEIGHBOURS)
+    floor = np.zeros(len(open_))
+    full = reach < np.append(start[1:], len(d))
+    floor[full] = score[reach[full]]
+    return d, e, score, floor
+
+
+def vote(ix: Index, doc: np.ndarray, term: np.ndarray, count: np.ndarray, docs: int) -> tuple[np.ndarray, list, list]:
+    """Scores of ``docs`` documents given as (document, term, count) rows by document, and the nearest examples (keys, cosines) each rests on."""
+    size = len(ix.rows)
+    score = np.full(docs, ix.base)
+    near: list = [[] for _ in range(docs)]
+    cosine: list = [[] for _ in range(docs)]
+    a, b, ids = ix.none
+    bare = np.bincount(doc, minlength=docs) == 0
+    score[bare] = (a + PRIOR * ix.base) / (a + b + PRIOR)
+    for d in np.flatnonzero(bare):
+        near[d], cosine[d] = ids, [1.0] * len(ids)
+    if not len(doc) or not size:
+        return score, near, cosine
+    w = (1 + np.log(count)) * ix.idf[term]
+    w = w / np.sqrt(np.bincount(doc, weights=w * w, minlength=docs))[doc]
+    blocks = size // BLOCK + 1
+    p, owner = _expand(ix.top_first, term)
+    bound = np.bincount(doc[owner] * blocks + ix.block[p], weights=w[owner] * ix.top[p], minlength=docs * blocks).reshape(docs, blocks)
+    # the best blocks give a floor; then every block whose bound reaches it
+    best = np.zeros((docs, blocks), bool)
+    np.put_along_axis(best, np.argsort(-bound, axis=1)[:, :4], True, axis=1)
+    floor = _ranked(ix, doc, term, w, best & (bound > 0))[3]
+    d, e, s, floor = _ranked(ix, doc, term, w, (bound > 0) & (bound >= floor[:, None] - 1e-9))
+    keep = s >= floor[d] - 1e-9
+    d, e, s = d[keep], e[keep], s[keep]
+    toxic, clean = (np.bincount(d, weights=s * v[e], minlength=docs) for v in (ix.votes1, ix.votes0))
+    met = np.bincount(d, minlength=docs) > 0
+    score[met] = (toxic[met] + PRIOR * ix.base) / (toxic[met] + clean[met] + PRIOR)
+    for i, j, x in zip(d.tolist(), e.tolist(), s.tolist()):
+        if len(near[i]) < NEIGHBOURS:
+            near[i].extend(ix.ids[j])
+            cosine[i].extend([x] * len(ix.ids[j]))
+    return score, [n[:NEIGHBOURS] for n in near], [c[:NEIGHBOURS] for c in cosine]
 
 
 class Model(NamedTuple):
@@ -245,11 +266,12 @@ def score_vectors(every: DataFrame, model: Model, key: str = "doc_id") -> DataFr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ix = shared.value.index
         for batch in batches:
-            out = [vote(ix, np.array(t, np.int64), np.array(n, float)) for t, n in zip(batch["__terms"].to_pylist(), batch["__counts"].to_pylist())]
-            yield pa.RecordBatch.from_arrays(
-                [batch[key], pa.array([o[0] for o in out], pa.float64()), pa.array([o[1] for o in out], pa.list_(pa.int64())), pa.array([o[2] for o in out], pa.list_(pa.float64()))],
-                names=[key, "score", "near", "cosine"],
-            )
+            for at in range(0, len(batch), 256):
+                part = batch.slice(at, 256)
+                terms = part["__terms"]
+                doc = np.repeat(np.arange(len(part)), pc.list_value_length(terms).to_numpy(zero_copy_only=False))
+                score, near, cosine = vote(ix, doc, terms.flatten().to_numpy().astype(np.int64), part["__counts"].flatten().to_numpy().astype(float), len(part))
+                yield pa.RecordBatch.from_arrays([part[key], pa.array(score), pa.array(near, pa.list_(pa.int64())), pa.array(cosine, pa.list_(pa.float64()))], names=[key, "score", "near", "cosine"])
 
     return every.select(key, "__terms", "__counts").mapInArrow(run, f"{key} {kind}, score double, near array<bigint>, cosine array<double>")
 
@@ -265,9 +287,10 @@ def reject(docs: DataFrame, model: Model, threshold: float) -> DataFrame:
             keep = []
             for c in H.chunks(batch.column(at)):
                 doc, term, n = found(terms, c, m.vocab)
-                cut = np.searchsorted(doc, np.arange(c.count + 1))
-                keep.extend(vote(m.index, term[i:j], n[i:j].astype(float))[0] < threshold for i, j in zip(cut[:-1], cut[1:]))
-            yield batch.filter(pa.array(keep, pa.bool_()))
+                for low in range(0, c.count, 256):
+                    i, j = np.searchsorted(doc, (low, low + 256))
+                    keep.append(vote(m.index, doc[i:j] - low, term[i:j], n[i:j].astype(float), min(256, c.count - low))[0] < threshold)
+            yield batch.filter(pa.array(np.concatenate([np.zeros(0, bool), *keep])))
 
     return docs.mapInArrow(run, docs.schema)
 
