@@ -235,6 +235,19 @@ def vote(ix: Index, doc: np.ndarray, term: np.ndarray, count: np.ndarray, docs:
     return score, [n[:NEIGHBOURS] for n in near], [c[:NEIGHBOURS] for c in cosine]
 
 
+def _counter(size: int):
+    """Function over batches of __terms: each task's number of texts with each term."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = np.zeros(size, np.int64)
+        for batch in batches:
+            n += np.bincount(batch["__terms"].flatten().to_numpy(), minlength=size)
+        t = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(t, pa.int32()), pa.array(n[t])], names=["t", "n"])
+
+    return run
+
+
 class Model(NamedTuple):
     vocab: np.ndarray
     index: Index
@@ -250,9 +263,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "do
     examples = stage(picked.select("id", "text", "y"), "examples")
     vocab = vocabulary(examples)
     every = stage(vectors(docs, vocab, [key]), "vectors")
-    counted = every.select(F.explode("__terms").alias("t")).groupBy("t").agg(F.count("*").alias("n")).collect()  # a row for each term of the vocabulary
     df = np.zeros(len(vocab))
-    for r in counted:
+    for r in every.select("__terms").mapInArrow(_counter(len(vocab)), "t int, n long").groupBy("t").agg(F.sum("n").alias("n")).collect():  # a row for each term of the vocabulary
         df[r["t"]] = r["n"]
     rows = vectors(examples, vocab, ["id", "y"]).collect()
     return Model(vocab, build([(r["id"], r["y"], r["__terms"], r["__counts"]) for r in rows], len(vocab), df, every.count(), weight, base)), every
