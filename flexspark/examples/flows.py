@@ -40,6 +40,16 @@ def stream_foreach(spark, sf):
     return spark.read.parquet(target).groupBy("event_type").agg(F.count("*").alias("n"), F.sum("event_id").alias("ids"))
 
 
+@query("SELECT count(*) AS n_rows, 2 AS batches FROM events")
+def stream_metrics(spark, sf):
+    """Metrics of every batch arrive while the stream runs; only the latest ones are kept."""
+    stream, _ = event_files(spark, sf)
+    live = []
+    kept = for_each_batch(stream, lambda batch, i: None, "availableNow", new_dir(spark, "state"), on_batch=live.append)
+    assert kept == live and all(m["ms"] >= 0 for m in live)
+    return spark.createDataFrame([(m["batch"], m["rows"]) for m in live], "batch long, n long").agg(F.sum("n").alias("n_rows"), F.count("*").cast("int").alias("batches"))
+
+
 @query("SELECT event_type, count(*) AS n, 2 AS runs FROM events GROUP BY event_type")
 def bookmark_incremental(spark, sf):
     """Two runs over a growing folder, and a third that finds nothing new."""

@@ -21,7 +21,7 @@ def distinct_pairs(spark, sf):
 @query("SELECT count(DISTINCT {'a': user_id, 'b': event_type}) AS distinct_count FROM events")
 def csv_summary(spark, sf):
     source = new_dir(spark, "events-csv")
-    load(spark, sf, "events").drop("ts").write.option("header", "true").option("escape", '"').csv(source)
+    load(spark, sf, "events").write.option("header", "true").option("escape", '"').csv(source)
     return summarize_csv(spark, source, new_dir(spark, "summary"), "user_id", "event_type")
 
 
@@ -135,32 +135,46 @@ def explode_index(spark, sf):
 @query("SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, l_shipdate FROM lineitem")
 def nest_roundtrip(spark, sf):
     lines = load(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_shipdate")
-    return expand_items(nest_rows(lines, "l_orderkey", whole=False))
+    return expand_items(nest_rows(lines, "l_orderkey", 4))
 
 
-@query("SELECT l_orderkey, count(*) AS lines, sum(l_quantity) AS quantity FROM lineitem GROUP BY l_orderkey")
+@query("""
+SELECT l_orderkey, array_to_string(list_sort(list(l_linenumber * 1000 + l_quantity::INT)), ',') AS items
+FROM lineitem GROUP BY l_orderkey""")
 def nest_per_key(spark, sf):
-    nested = nest_rows(load(spark, sf, "lineitem").select("l_orderkey", "l_quantity"), "l_orderkey", part_rows=5)
-    per_part = nested.select(
-        "l_orderkey",
-        F.size("items").alias("n"),
-        F.aggregate(F.transform("items", lambda x: x.l_quantity), F.lit(0.0), lambda a, x: a + x).alias("q"),
-    )
-    return per_part.groupBy("l_orderkey").agg(F.sum("n").alias("lines"), F.sum("q").alias("quantity"))
+    """One row per key, its items compared."""
+    return _listed(nest_rows(load(spark, sf, "lineitem").withColumn("n", F.expr("l_linenumber * 1000 + int(l_quantity)")), "l_orderkey", 1), "l_orderkey")
+
 
+def _listed(nested, *keys):
+    numbers = F.array_sort(F.transform("items", lambda x: x.n))
+    return nested.select(*keys, F.array_join(F.transform(numbers, lambda n: n.cast("string")), ",").alias("items"))
 
-@query("SELECT l_returnflag, l_linestatus, count(*) AS n FROM lineitem GROUP BY ALL")
+
+@query("""
+SELECT l_returnflag, l_linestatus, md5(array_to_string(list_sort(list(l_orderkey * 10 + l_linenumber)), ',')) AS items
+FROM lineitem GROUP BY ALL""")
 def nest_whole(spark, sf):
-    """Six large groups, each in several bounded rows."""
-    lines = load(spark, sf, "lineitem").select("l_returnflag", "l_linestatus", "l_orderkey")
-    nested = nest_rows(lines, ["l_returnflag", "l_linestatus"], part_rows=500).where("size(items) <= 500")
-    return nested.groupBy("l_returnflag", "l_linestatus").agg(F.sum(F.size("items")).alias("n"))
+    """A few large groups, each in one row."""
+    lines = load(spark, sf, "lineitem").withColumn("n", F.expr("l_orderkey * 10 + l_linenumber"))
+    listed = _listed(nest_rows(lines, ["l_returnflag", "l_linestatus"], 1), "l_returnflag", "l_linestatus")
+    return listed.withColumn("items", F.md5("items"))
 
 
-@query("SELECT count(*) AS n_rows, true AS bounded FROM lineitem")
+@query("SELECT l_returnflag, l_linestatus, l_orderkey, l_linenumber, 16 AS parts, true AS split FROM lineitem")
+def nest_parts(spark, sf):
+    """The same groups in 16 parts each: no part holds a quarter of its group, and the items are all there."""
+    nested = nest_rows(load(spark, sf, "lineitem"), ["l_returnflag", "l_linestatus"], 16)
+    by = nested.groupBy("l_returnflag", "l_linestatus").agg(F.count_distinct("part").alias("parts"), (F.max(F.size("items")) * 4 < F.sum(F.size("items"))).alias("split"))
+    rows = nested.select(F.inline("items")).select("l_returnflag", "l_linestatus", "l_orderkey", "l_linenumber")
+    return rows.join(by.withColumn("parts", F.col("parts").cast("int")), ["l_returnflag", "l_linestatus"])
+
+
+@query("SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem")
 def nest_all(spark, sf):
-    nested = nest_rows(load(spark, sf, "lineitem"), part_rows=1000)
-    return nested.agg(F.sum(F.size("items")).alias("n_rows"), (F.max(F.size("items")) <= 1000).alias("bounded"))
+    """All rows, without a key, in 8 parts."""
+    nested = nest_rows(load(spark, sf, "lineitem"), (), 8)
+    return nested.where("part between 0 and 7").select(F.inline("items")).select("l_orderkey", "l_linenumber", "l_partkey")
 
 
 @query("""
@@ -216,7 +230,7 @@ def relationalize_grandchild(spark, sf):
 @query("SELECT conv_id, turn, role, text FROM conversations")
 def relationalize_staged(spark, sf):
     """Rows without a natural key are numbered in one staged copy; root and child join back to the whole."""
-    talks = nest_rows(load(spark, sf, "conversations"), "conv_id", items="turns")
+    talks = nest_rows(load(spark, sf, "conversations"), "conv_id", 1, items="turns")
     tables = FlexFrame(talks).relationalize("talks", new_dir(spark, "pivot"))
     root, turns = tables["talks"].df, tables["talks_turns"].df
     joined = root.select("conv_id", F.col("turns").alias("key")).join(turns, F.col("key") == F.col("id"))
@@ -256,7 +270,60 @@ def unbox_json_open(spark, sf):
 def unbox_csv(spark, sf):
     boxed = load(spark, sf, "events").select(F.struct(F.concat_ws("|", "event_id", "user_id", "event_type").alias("text")).alias("a"))
     opened = FlexFrame(boxed).unbox("a.text", "csv", schema="struct<id:bigint,who:bigint,kind:string>", separator="|")
-    return opened.df.select("a.text.*")
+    return opened.df.select(F.inline("a.text"))
+
+
+@query("SELECT event_id AS id, user_id AS who, event_type || chr(10) || 'x' AS kind FROM events")
+def unbox_csv_lines(spark, sf):
+    """Many records in one text, with a header line and line breaks in quotes: every one comes back."""
+    line = F.concat_ws(",", "event_id", "user_id", F.concat(F.lit('"'), "event_type", F.lit('\nx"')))
+    texts = load(spark, sf, "events").groupBy("user_id").agg(F.concat(F.lit("id,who,kind\n"), F.array_join(F.collect_list(line), "\n")).alias("text"))
+    opened = FlexFrame(texts).unbox("text", "csv", schema="struct<id:bigint,who:bigint,kind:string>", with_header=True)
+    return opened.df.select(F.inline("text"))
+
+
+@query("""
+SELECT 'unbox' AS stage, count(*) AS errors, sum(event_id) AS ids, (SELECT count(*) FROM events) AS n_rows
+FROM events WHERE event_type = 'error'""")
+def unbox_array_errors(spark, sf):
+    """Text inside arrays: a row with one that does not parse stays, and is reported."""
+    broken = F.when(F.col("event_type") == "error", F.concat(F.lit("<"), "props")).otherwise(F.col("props"))
+    boxed = load(spark, sf, "events").select("event_id", F.array(F.struct(F.col("props").alias("text")), F.struct(broken.alias("text"))).alias("list"))
+    opened = FlexFrame(boxed).unbox("list.text", "json", schema="struct<k:bigint>")
+    n = opened.df.agg(F.count("*").alias("n_rows"))
+    bad = opened.errors().df.groupBy("stage").agg(F.count("*").alias("errors"), F.sum(F.get_json_object("record", "$.event_id").cast("long")).alias("ids"))
+    return bad.join(n)
+
+
+@query("""
+SELECT doc_id, len(string_split(text, chr(10))) AS n_lines, 2 AS copies
+FROM documents""")
+def relationalize_repeated_keys(spark, sf):
+    """Every document twice, some keys null: each root row still meets its own lines only."""
+    nested = documents_nested(spark, sf).withColumn("k", F.when(F.col("doc_id") % 7 > 0, F.col("doc_id")))
+    tables = relationalize(nested.union(nested), "documents", key_cols="k")
+    lines = tables["documents_lines"].groupBy("id").agg(F.count("*").alias("n"))
+    joined = tables["documents"].join(lines, F.col("lines") == F.col("id"))
+    return joined.groupBy("doc_id").agg(F.max("n").alias("n_lines"), F.count("*").cast("int").alias("copies"))
+
+
+@query("""
+SELECT n AS name, t AS type, (SELECT count(*) FROM customer) AS n_rows FROM (VALUES
+('c_custkey', 'bigint'), ('c_name', 'string'), ('c_nationkey', 'int'), ('c_acctbal', 'double'), ('c_mktsegment', 'string')) AS v(n, t)""")
+def schema_as_rows(spark, sf):
+    """What a frame's schema says, beside its rows."""
+    frame = FlexFrame(load(spark, sf, "customer"))
+    fields = [F.struct(F.lit(f.name).alias("name"), F.lit(f.dataType.simpleString()).alias("type")) for f in frame.schema().fields]
+    return frame.df.agg(F.count("*").alias("n_rows")).select("n_rows", F.inline(F.array(*fields)))
+
+
+@query("SELECT count(*) AS n_rows, count(*) - count(*) AS missing FROM customer")
+def frameset_missing(spark, sf):
+    """A name the set does not have is an empty frame without columns."""
+    frames = _by_segment(spark, sf)
+    none = frames.select("no such segment").df
+    assert none.columns == []
+    return _together(frames).agg(F.count("*").alias("n_rows")).withColumn("missing", F.lit(none.count()).cast("long"))
 
 
 @query("SELECT event_id, event_type FROM events")

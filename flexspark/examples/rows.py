@@ -3,10 +3,11 @@
 from pyspark.sql import functions as F
 
 from flexspark.examples.registry import exact_sum, load, load_wide, query
-from flexspark.frame import FlexFrame, FrameSet
+from flexspark.frame import ErrorThresholdExceeded, FlexFrame, FrameSet
 from flexspark.operators.rows import group_max as max_per_group
 from flexspark.operators.rows import latest_per_key, semi_join as keep_matching
 from flexspark.operators.rows import subtract_rows
+from flexspark.sources.scratch import new_dir
 
 
 @query("SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_quantity > 10 AND l_quantity < 20")
@@ -34,7 +35,7 @@ def filter_expr(spark, sf):
 @query("SELECT event_id, user_id FROM events WHERE event_type IN ('click', 'view') AND value > 20")
 def filter_callable(spark, sf):
     """The predicate fails with ValueError on purchases (dropped) and with RuntimeError on errors (kept apart)."""
-    return FlexFrame(load_wide(spark, sf, "events").drop("ts")).filter(_wanted).df.select("event_id", "user_id")
+    return FlexFrame(load_wide(spark, sf, "events")).filter(_wanted).df.select("event_id", "user_id")
 
 
 def _wanted(r):
@@ -49,7 +50,7 @@ def _wanted(r):
 SELECT 'filter' AS stage, 'cannot judge error' AS error_message, count(*) AS n, sum(event_id) AS ids
 FROM events WHERE event_type = 'error'""")
 def filter_errors(spark, sf):
-    kept = FlexFrame(load(spark, sf, "events").drop("ts")).filter(_wanted)
+    kept = FlexFrame(load(spark, sf, "events")).filter(_wanted)
     ids = F.get_json_object("record", "$.event_id").cast("long")
     return kept.errors().df.groupBy("stage", "error_message").agg(F.count("*").alias("n"), F.sum(ids).alias("ids"))
 
@@ -60,16 +61,17 @@ def _priced(r):
     return {"id": r.event_id, "user": r.user_id, "double": r["value"] * 2}
 
 
-@query('SELECT event_id AS id, user_id AS user, value * 2 AS double FROM events WHERE event_type <> \'error\'')
+@query("SELECT event_id AS id, user_id AS user, value * 2 AS double, ts AS at, props FROM events WHERE event_type <> 'error'")
 def map_records(spark, sf):
-    return FlexFrame(load_wide(spark, sf, "events").drop("ts", "props")).map(_priced, "id bigint, user bigint, double double").df
+    made = FlexFrame(load_wide(spark, sf, "events")).map(lambda r: {**_priced(r), "at": r.ts, "props": r.props}, "id bigint, user bigint, double double, at timestamp_ntz, props string")
+    return made.df
 
 
 @query("""
 SELECT 'map' AS stage, 'prices' AS info, 'no price for error' AS error_message, count(*) AS n, sum(event_id) AS ids
 FROM events WHERE event_type = 'error'""")
 def map_errors(spark, sf):
-    mapped = FlexFrame(load(spark, sf, "events").drop("ts")).map(_priced, "id bigint, user bigint, double double", info="prices")
+    mapped = FlexFrame(load(spark, sf, "events")).map(_priced, "id bigint, user bigint, double double", info="prices")
     ids = F.get_json_object("record", "$.event_id").cast("long")
     return mapped.errors().df.groupBy("stage", "info", "error_message").agg(F.count("*").alias("n"), F.sum(ids).alias("ids"))
 
@@ -80,7 +82,7 @@ SELECT event_id AS id, CASE WHEN event_type = 'click' THEN user_id END AS v_long
 FROM events""")
 def map_free_form(spark, sf):
     """Results of different types under one name: staged once, discovered, then one column per type."""
-    mapped = FlexFrame(load(spark, sf, "events").drop("ts")).map(
+    mapped = FlexFrame(load(spark, sf, "events")).map(
         lambda r: {"id": r.event_id, "v": r.user_id if r.event_type == "click" else r.event_type}
     )
     return mapped.resolve_choice(specs=[("v", "make_cols")]).df.select("id", "v_long", "v_string")
@@ -205,6 +207,62 @@ def subtract_names(spark, sf):
     return subtract_rows(names, load(spark, sf, "orders").select(F.col("o_custkey").alias("name")))
 
 
+@query("SELECT o_custkey AS name FROM orders WHERE o_totalprice > 100000 EXCEPT SELECT o_custkey FROM orders WHERE o_orderstatus = 'P'")
+def subtract_customers(spark, sf):
+    """Customers with a large order and no partial one, each once."""
+    orders = load(spark, sf, "orders").withColumnRenamed("o_custkey", "name")
+    return subtract_rows(orders.where("o_totalprice > 100000").select("name"), orders.where("o_orderstatus = 'P'").select("name"))
+
+
+def _failing(r):
+    if r.event_type == "error":
+        raise RuntimeError("no price")
+    return {"id": r.event_id, "value": r["value"]}
+
+
+@query("""
+SELECT count(*) FILTER (event_type = 'error') AS errors, count(*) FILTER (event_type <> 'error') AS n_rows FROM events""")
+def errors_total_split_union(spark, sf):
+    """Errors of a step that several branches share count once, also after the branches meet again."""
+    mapped = FlexFrame(load(spark, sf, "events")).map(_failing, "id bigint, value double")
+    parts = mapped.split_rows({"value": {">": 20}})
+    whole = parts["frame1"].union(parts["frame2"])
+    twice = whole.join("id", "id", parts["frame1"].union(parts["frame2"]))
+    counted = whole.df.agg(F.count("*").alias("n_rows")).withColumn("errors", F.lit(whole.errors_count()).cast("long"))
+    assert twice.errors_count() == whole.errors_count()
+    return counted
+
+
+@query("""
+SELECT count(*) FILTER (event_type = 'error') AS first, count(*) FILTER (event_type = 'purchase' AND value > 30) AS last FROM events""")
+def errors_stage(spark, sf):
+    """Errors of one step and of the last step only."""
+
+    def cheap(r):
+        if r["value"] > 30 and r.kind == "purchase":
+            raise RuntimeError("too dear")
+        return True
+
+    first = FlexFrame(load(spark, sf, "events")).map(lambda r: {**_failing(r), "kind": r.event_type}, "id bigint, value double, kind string")
+    last = first.filter(cheap)
+    return last.errors().df.agg(F.count_if(F.col("step") == 0).alias("first"), F.lit(last.stage_errors_count()).cast("long").alias("last"))
+
+
+@query("SELECT count(*) AS n_rows, 'errors' AS stopped_by FROM events WHERE event_type <> 'error'")
+def errors_threshold(spark, sf):
+    """A limit below the number of errors stops the sink; one above lets it write. The function runs once for rows, errors and checks."""
+    path = new_dir(spark, "limited")
+    errors = load(spark, sf, "events").where("event_type = 'error'").count()
+    mapped = lambda limit: FlexFrame(load(spark, sf, "events")).map(_failing, "id bigint, value double", total_threshold=limit)
+    try:
+        mapped(errors - 1).write("file", {"path": path}, "parquet")
+        stopped = "nothing"
+    except ErrorThresholdExceeded:
+        stopped = "errors"
+    mapped(errors).write("file", {"path": path}, "parquet")
+    return spark.read.parquet(path).agg(F.count("*").alias("n_rows"), F.lit(stopped).alias("stopped_by"))
+
+
 @query("""
 SELECT o_orderkey AS key, o_orderstatus AS status, NULL::DOUBLE AS amount FROM orders
 UNION ALL SELECT l_orderkey, NULL, l_extendedprice FROM lineitem""")

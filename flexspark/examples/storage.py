@@ -14,11 +14,11 @@ from flexspark.sources.read import FlexDataFrameReader, FlexReader
 from flexspark.sources.scratch import new_dir
 from flexspark.sources.write import FlexWriter, stamped, write_data_frame
 
-_ORDERS = "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders"
+_ORDERS = "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders"
 
 
 def _orders(spark, sf):
-    return load(spark, sf, "orders").drop("o_orderdate")
+    return load(spark, sf, "orders")
 
 
 def database(spark):
@@ -77,7 +77,57 @@ def json_roundtrip(spark, sf):
     path = new_dir(spark, "orders-json")
     FlexFrame(_orders(spark, sf)).write("file", {"path": path}, "json")
     columns = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
-    return FlexReader(spark).from_options("file", {"paths": [path]}, "json").df.select(*columns)
+    read = FlexReader(spark).from_options("file", {"paths": [path]}, "json").df
+    return read.select(*columns, F.col("o_orderdate").cast("timestamp_ntz").alias("o_orderdate"))
+
+
+@query("SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority, o_orderstatus FROM orders WHERE o_orderstatus = 'F' AND o_totalprice > 50000")
+def json_partitioned(spark, sf):
+    """JSON in folders: the folders' column comes back, and only the folders the predicate needs are looked at."""
+    path = new_dir(spark, "orders-by-status")
+    FlexFrame(_orders(spark, sf)).write("file", {"path": path, "partitionBy": ["o_orderstatus"]}, "json")
+    read = FlexReader(spark).from_options("file", {"paths": [path]}, "json", push_down_predicate="o_orderstatus = 'F' AND o_totalprice > 50000")
+    return read.df.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority", "o_orderstatus")
+
+
+@query("SELECT event_id, user_id, event_type, CASE WHEN event_id % 3 = 0 THEN 1 ELSE 2 END AS copies FROM events")
+def json_root_array_schema(spark, sf):
+    """Root arrays count as their elements, also where the schema is given."""
+    path = new_dir(spark, "arrays")
+    record = F.to_json(F.struct("event_id", "user_id", "event_type"))
+    line = F.when(F.col("event_id") % 3 == 0, record).otherwise(F.concat(F.lit("["), record, F.lit(","), record, F.lit("]")))
+    load(spark, sf, "events").select(line).write.text(path)
+    read = FlexReader(spark).from_options("file", {"paths": [path]}, "json", schema="event_id bigint, user_id bigint, event_type string").df
+    return read.groupBy("event_id", "user_id", "event_type").agg(F.count("*").cast("int").alias("copies"))
+
+
+@query("SELECT event_id, event_type, 'compressionType lzo needs a format' AS refused FROM events")
+def codec_needs_format(spark, sf):
+    """A codec that has to be read in a named format is refused without one; with one the format's reader decides."""
+    path = new_dir(spark, "packed")
+    load(spark, sf, "events").select("event_id", "event_type").write.option("compression", "gzip").json(path)
+    reader = FlexReader(spark)
+    try:
+        reader.from_options("file", {"paths": [path], "compressionType": "lzo"})
+        refused = "not at all"
+    except ValueError as e:
+        refused = str(e)
+    read = reader.from_options("file", {"paths": [path], "compressionType": "gzip"}, "json").df
+    return read.select("event_id", "event_type", F.lit(refused).alias("refused"))
+
+
+@query("""
+SELECT doc_id, lang AS "origin.lang", source AS "origin.source", len(string_split(text, chr(10))) AS n_lines FROM documents""")
+def collection_write_relationalized(spark, sf):
+    """All tables of a pivot written in one go, the source read and keyed once."""
+    from flexspark.examples.projection import documents_nested
+
+    tables = FlexFrame(documents_nested(spark, sf)).relationalize("documents", new_dir(spark, "pivot"), key_cols="doc_id")
+    base = new_dir(spark, "tables")
+    FlexWriter().from_options(tables, "file", {"path": base}, "parquet")
+    root, lines = spark.read.parquet(f"{base}/documents"), spark.read.parquet(f"{base}/documents_lines")
+    counted = lines.groupBy("id").agg(F.count("*").alias("n_lines"))
+    return root.join(counted, F.col("lines") == F.col("id")).select("doc_id", "`origin.lang`", "`origin.source`", "n_lines")
 
 
 @query(_ORDERS)
@@ -125,7 +175,7 @@ def catalog_predicate(spark, sf):
 
 @query("""
 SELECT n AS name, t AS type, (SELECT count(*) FROM orders) AS n_rows FROM (VALUES
-('o_orderkey', 'bigint'), ('o_custkey', 'bigint'), ('o_totalprice', 'double'), ('o_orderpriority', 'string'), ('o_orderstatus', 'string')) AS v(n, t)""")
+('o_orderkey', 'bigint'), ('o_custkey', 'bigint'), ('o_totalprice', 'double'), ('o_orderdate', 'timestamp_ntz'), ('o_orderpriority', 'string'), ('o_orderstatus', 'string')) AS v(n, t)""")
 def catalog_schema(spark, sf):
     db, table = _partitioned_table(spark, sf)
     reader = FlexReader(spark)
@@ -193,14 +243,14 @@ def sample_catalog(spark, sf):
     return distinct_known(FlexReader(spark).sample_from_catalog(db, table, 10).df, load(spark, sf, "orders"), "o_orderkey")
 
 
-@query("SELECT 'F' AS part, count(*) AS n_rows, true AS found FROM orders WHERE o_orderstatus = 'F'")
+@query("SELECT o_orderstatus, count(*) AS n_rows, max(o_orderdate) AS latest, true AS found FROM orders GROUP BY o_orderstatus")
 def purge_dry_run(spark, sf):
     """Old files of a folder are listed, none is touched: the rows are still there afterwards."""
     path = new_dir(spark, "to-purge")
-    _orders(spark, sf).where("o_orderstatus = 'F'").repartition(3).write.parquet(path)
+    _orders(spark, sf).repartition(3).write.parquet(path)
     later = datetime.datetime.now() + datetime.timedelta(days=30)
     found = purge_path(spark, path, now=later).where("path like '%.parquet'").count() >= 3
-    return spark.read.parquet(path).agg(F.lit("F").alias("part"), F.count("*").alias("n_rows"), F.lit(found).alias("found"))
+    return spark.read.parquet(path).groupBy("o_orderstatus").agg(F.count("*").alias("n_rows"), F.max("o_orderdate").alias("latest"), F.lit(found).alias("found"))
 
 
 @query("SELECT o_orderstatus, count(*) AS n FROM orders WHERE o_orderstatus <> 'F' GROUP BY o_orderstatus")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Mapping
 from functools import reduce
 from typing import NamedTuple
 
@@ -34,7 +34,10 @@ class ErrorThresholdExceeded(RuntimeError):
 
 
 class Step(NamedTuple):
-    """What one operator left behind: error rows (``error_message``, ``record``), limits (0 for none), what it persisted."""
+    """What one operator left behind: error rows (``error_message``, ``record``), limits (0 for none), what it persisted.
+
+    A step is itself, not its values: frames that share an ancestor share its steps, and each counts once.
+    """
 
     stage: str
     info: str = ""
@@ -65,7 +68,7 @@ class FlexFrame:
     def __init__(self, df: DataFrame, name: str = "", steps: Iterable[Step] = ()):
         self.df = df
         self.name = name
-        self.steps = tuple(steps)
+        self.steps = tuple({id(s): s for s in steps}.values())
         self._schema: T.StructType | None = None
 
     @classmethod
@@ -146,8 +149,8 @@ class FlexFrame:
         return FrameSet([self._next("relationalize", t, name=n, **limits) for n, t in tables.items()])
 
     def unbox(self, path: str, format: str, schema=None, separator: str = ",", escaper: str = "\\", skip_first: bool = False,
-              with_header: bool = False, multi_line: bool = False, **limits) -> FlexFrame:
-        good, errors = _nest.unbox(self.df, path, format, schema, separator, escaper, skip_first, with_header, multi_line)
+              with_header: bool = False, persist: bool = False, staging_path: str | None = None, **limits) -> FlexFrame:
+        good, errors = _nest.unbox(self.df, path, format, schema, separator, escaper, skip_first, with_header, persist, staging_path)
         return self._next("unbox", good, errors, **limits)
 
     def open_variant(self, path: str, **limits) -> FlexFrame:
@@ -156,8 +159,8 @@ class FlexFrame:
     def unnest_tagged_json(self, **limits) -> FlexFrame:
         return self._next("unnest_tagged_json", _nest.unnest_tagged_json(self.df), **limits)
 
-    def nest(self, keys=(), part_rows: int = 10_000, items: str = "items", whole: bool = True, **limits) -> FlexFrame:
-        return self._next("nest", _nest.nest_rows(self.df, keys, part_rows, items, whole=whole), **limits)
+    def nest(self, keys=(), parts: int = 1, items: str = "items", part: str = "part", **limits) -> FlexFrame:
+        return self._next("nest", _nest.nest_rows(self.df, keys, parts, items, part), **limits)
 
     def add_ingestion_time_columns(self, granularity: str = "minute", ts=None, **limits) -> FlexFrame:
         return self._next("add_ingestion_time_columns", add_ingestion_time_columns(self.df, granularity, ts), **limits)
@@ -179,21 +182,27 @@ class FlexFrame:
 
     # -------------------------------------------------------------------------------------------- rows
 
-    def filter(self, f: Column | str | Callable, **limits) -> FlexFrame:
-        """Column or SQL text: a plain filter. A Python predicate runs per record, with error capture."""
+    def filter(self, f: Column | str | Callable, persist: bool = True, staging_path: str | None = None, **limits) -> FlexFrame:
+        """Column or SQL text: a plain filter. A Python predicate runs per record, with error capture.
+
+        The predicate's rows are persisted, so that kept rows, errors and limits are of one run; ``staging_path`` writes them instead,
+        ``persist=False`` runs it for every use.
+        """
         if isinstance(f, (Column, str)):
             return self._next("filter", self.df.where(f), **limits)
-        both = _records.filter_records(self.df, f)
-        return self._next("filter", both.where("__error is null").drop("__error"), _records.errors_of(both), **limits)
+        both = _records.keep(_records.filter_records(self.df, f), persist, staging_path)
+        frame = self._next("filter", both.where("__error is null").drop("__error"), _records.errors_of(both), **limits)
+        return frame._holding(both) if persist and staging_path is None else frame
 
     def split_rows(self, comparisons: dict, name1: str = "frame1", name2: str = "frame2", **limits) -> FrameSet:
         inside, rest = _rows.split_rows(self.df, comparisons)
         return FrameSet([self._next("split_rows", inside, name=name1, **limits), self._next("split_rows", rest, name=name2, **limits)])
 
-    def map(self, f: Callable, schema=None, persist: bool = False, staging_path: str | None = None, **limits) -> FlexFrame:
+    def map(self, f: Callable, schema=None, persist: bool = True, staging_path: str | None = None, **limits) -> FlexFrame:
         """Function per record. Without a schema the results are staged as JSON and their schema discovered.
 
-        JSON has no dates, decimals or bytes: in results without a schema those are text.
+        JSON has no dates, decimals or bytes: in results without a schema those are text. Results are persisted like
+        those of :meth:`filter`.
         """
         both = _records.map_records(self.df, f, schema)
         if schema is None and staging_path is None:
@@ -203,9 +212,11 @@ class FlexFrame:
         both = _records.keep(both, persist, staging_path)
         good, errors = _records.split_mapped(both)
         frame = self._next("map", good if schema is not None else _records.open_json_records(good), errors, **limits)
-        if persist:
-            frame.steps = (*frame.steps[:-1], frame.steps[-1]._replace(cached=both))
-        return frame
+        return frame._holding(both) if persist and staging_path is None else frame
+
+    def _holding(self, cached: DataFrame) -> FlexFrame:
+        """This frame with its last step owning what was persisted for it."""
+        return FlexFrame(self.df, self.name, [*self.steps[:-1], self.steps[-1]._replace(cached=cached)])
 
     def unpersist(self) -> FlexFrame:
         """Release what the steps up to this frame persisted."""
@@ -310,65 +321,46 @@ class FlexFrame:
     assertErrorThreshold = assert_error_threshold
 
 
-class FrameSet:
+class FrameSet(Mapping):
     """Frames by name."""
 
-    def __init__(self, frames: list[FlexFrame] | dict[str, FlexFrame]):
-        if isinstance(frames, dict):
-            self._frames = dict(frames)
-        elif isinstance(frames, list):
-            self._frames = {f.name: f for f in frames}
-        else:
-            raise TypeError("frames must be a list or a dict")
+    def __init__(self, frames: Iterable[FlexFrame] | Mapping[str, FlexFrame]):
+        pairs = frames.items() if isinstance(frames, Mapping) else ((f.name, f) for f in _members(frames, "frames"))
+        self._by_name: dict[str, FlexFrame] = dict(pairs)
 
     def __getitem__(self, name: str) -> FlexFrame:
-        return self._frames[name]
-
-    def __len__(self) -> int:
-        return len(self._frames)
+        return self._by_name[name]
 
     def __iter__(self) -> Iterator[str]:
-        return iter(self._frames)
-
-    def keys(self):
-        return self._frames.keys()
-
-    def values(self):
-        return self._frames.values()
+        return iter(self._by_name)
 
-    def items(self):
-        return self._frames.items()
+    def __len__(self) -> int:
+        return len(self._by_name)
 
     def select(self, name: str) -> FlexFrame:
         """Frame by name; an unknown name gives an empty frame without columns."""
-        if name in self._frames:
-            return self._frames[name]
-        spark = SparkSession.active()
-        return FlexFrame(spark.createDataFrame([], T.StructType([])), name)
+        nothing = lambda: FlexFrame(SparkSession.active().createDataFrame([], T.StructType([])), name)
+        return self.get(name) or nothing()
 
     def map(self, f: Callable[[FlexFrame, str], FlexFrame], ctx: str = "") -> FrameSet:
         """Apply ``f(frame, "ctx:name")`` to every frame; names stay."""
-        out = {}
-        for name, frame in self._frames.items():
-            made = f(frame, f"{ctx}:{name}")
-            if not isinstance(made, FlexFrame):
-                raise TypeError(f"the function must return a FlexFrame, not {type(made).__name__}")
-            out[name] = made
-        return FrameSet(out)
+        return FrameSet({name: _members(f(frame, f"{ctx}:{name}"), "result", single=True)[0] for name, frame in self.items()})
 
     def flatmap(self, f: Callable[[FlexFrame, str], FlexFrame | FrameSet], ctx: str = "") -> FrameSet:
         """Apply ``f``, which may return several frames; the result is keyed by their names, later ones win."""
-        out: dict[str, FlexFrame] = {}
-        for frame in self._frames.values():
-            made = f(frame, f"{ctx}:{frame.name}")
-            if isinstance(made, FlexFrame):
-                out[made.name] = made
-            elif isinstance(made, FrameSet):
-                out.update(made.items())
-            else:
-                raise TypeError(f"the function must return a FlexFrame or FrameSet, not {type(made).__name__}")
-        return FrameSet(out)
+        return FrameSet([made for name, frame in self.items() for made in _members(f(frame, f"{ctx}:{name}"), "result")])
 
     def apply(self, op: Callable, frame_name: str = "frame", **kwargs) -> FrameSet:
         """Run one operator over every frame, passed under ``frame_name``."""
         return self.flatmap(lambda frame, ctx: op(**{frame_name: frame}, **kwargs))
+
+
+def _members(made, what: str, single: bool = False) -> list[FlexFrame]:
+    """The frames in a frame, a set (under its names) or a list; anything else is a TypeError."""
+    if isinstance(made, FlexFrame):
+        return [made]
+    if isinstance(made, FrameSet) and not single:
+        return [FlexFrame(f.df, name, f.steps) for name, f in made.items()]
+    if isinstance(made, (list, tuple)) and not single and all(isinstance(f, FlexFrame) for f in made):
+        return list(made)
+    raise TypeError(f"{what}: expected {'a FlexFrame' if single else 'FlexFrames'}, got {type(made).__name__}")

@@ -41,15 +41,16 @@ def rollback(
 
 
 def backup(entities: DataFrame, parts: DataFrame, owner: str, database: str, owner_col: str = "owner",
-           name: str = "name", part_of: str = "tableName") -> DataFrame:
-    """One owner's entities and their parts, nested into ``items``: rows of ``table, items, database, type``.
+           name: str = "name", part_of: str = "tableName", pieces: int = 1) -> DataFrame:
+    """One owner's entities and their parts, nested into ``items``: rows of ``table, part, items, database, type``.
 
-    Long item lists continue in further rows. Both frames need the same columns.
+    Every list comes in at most ``pieces`` rows, told apart by ``part``; a restore reads them in any order. Both frames
+    need the same columns.
     """
     mine = entities.where(top(owner_col) == F.lit(owner))
     theirs = semi_join(parts, mine.select(top(name).alias(part_of)), part_of)
-    tables = nest_rows(mine).select(F.lit("empty").alias("table"), "items")
-    nested = nest_rows(theirs, part_of, whole=False).select(top(part_of).cast("string").alias("table"), "items")
+    tables = nest_rows(mine, (), pieces).select(F.lit("empty").alias("table"), "part", "items")
+    nested = nest_rows(theirs, part_of, pieces).select(top(part_of).cast("string").alias("table"), "part", "items")
     tag = F.lit(database).alias("database")
     return tables.select("*", tag, F.lit("table").alias("type")).union(nested.select("*", tag, F.lit("partition").alias("type")))
 

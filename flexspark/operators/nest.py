@@ -10,11 +10,11 @@ from collections.abc import Iterable
 from functools import reduce
 
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from flexspark.operators.records import keep
 from flexspark.plans.discover import choice_paths, discover, extract
 from flexspark.plans.nested import edit_fields
 from flexspark.plans.paths import as_list, crosses_array, join_path, resolve, top, value_at
@@ -49,22 +49,30 @@ def relationalize(
 
     Children have ``id``, ``index`` and ``val`` or ``val.<field>``; a null array gives a null key, an empty one a
     key without rows. Maps count as arrays of (key, value). Every table is a narrow projection of the keyed
-    frame: no shuffle and no collected group, however long one array is.
+    frame: no shuffle and no collected group, however long one array is. With ``staging_path`` the keyed frame is written there
+    once, so that many tables do not read and parse the source as often.
     """
     if key_cols is None and staging_path is None:
         raise RuntimeError("relationalize needs key_cols or a staging_path")
     keyed = _with_key(df, key_cols, staging_path)
+    if key_cols is not None and staging_path is not None:
+        keyed = stage(keyed, "keyed", staging_path)
     tables = {root: _table(keyed, _inner_schema(keyed), None, top(KEY))}
     _pivot(tables, keyed, _inner_schema(keyed), None, top(KEY), root)
     return tables
 
 
 def _with_key(df: DataFrame, key_cols, staging_path) -> DataFrame:
-    if key_cols is not None:
-        cols = [value_at(df.schema, c) for c in as_list(key_cols)]
-        key = cols[0] if len(cols) == 1 else F.to_json(F.struct(*cols))
-        return df.withColumn(KEY, key)
-    return stage(df.withColumn(KEY, F.monotonically_increasing_id()), "keyed", staging_path)
+    """Frame with a key no two rows share. Key columns that repeat or hold nulls get the row's number in a staged copy besides."""
+    if key_cols is None:
+        return stage(df.withColumn(KEY, F.monotonically_increasing_id()), "keyed", staging_path)
+    cols = [value_at(df.schema, c).alias(f"k{i}") for i, c in enumerate(as_list(key_cols))]
+    counted = df.select(*cols).groupBy(*[f"k{i}" for i in range(len(cols))]).agg(F.count("*").alias("n"))
+    missing = reduce(operator.or_, [F.col(f"k{i}").isNull() for i in range(len(cols))])
+    if counted.where((F.col("n") > 1) | missing).isEmpty():
+        return df.withColumn(KEY, cols[0] if len(cols) == 1 else F.to_json(F.struct(*cols)))
+    numbered = F.to_json(F.struct(*cols, F.monotonically_increasing_id().alias("row")))
+    return stage(df.withColumn(KEY, numbered), "keyed", staging_path)
 
 
 def _inner_schema(keyed: DataFrame) -> T.StructType:
@@ -116,92 +124,23 @@ def _pivot(tables: dict, df: DataFrame, schema: T.StructType, base: Column | Non
 
 # ----------------------------------------------------------------------------------------------- nest rows
 
-def nest_rows(
-    df: DataFrame,
-    keys: str | Iterable[str] = (),
-    part_rows: int = 10_000,
-    items: str = "items",
-    part_bytes: int = 64 << 20,
-    whole: bool = True,
-) -> DataFrame:
-    """Whole rows collected into an array of structs, over all rows or per key.
-
-    No group has to fit one task or one record: an array holds at most ``part_rows`` rows, and where a group is cut also
-    at most about ``part_bytes`` bytes; the group continues in further rows with the same key. Without keys there is no
-    shuffle. With ``whole``, every key of at most ``part_rows`` rows comes as one row, for which a pass over the keys counts
-    the groups first. Without it, one shuffle does, but a small group may also come in pieces.
+def nest_rows(df: DataFrame, keys: str | Iterable[str], parts: int, items: str = "items", part: str = "part") -> DataFrame:
+    """Whole rows collected into arrays of structs: one row (keys, part, items) for each part of a key that holds rows.
+
+    ``parts`` is how many parts every key has: with 1 a key is one row; more keep a large key out of one task and one record.
+    A row's part comes from the hash of all its columns that can be hashed, so it does not depend on the partitioning; equal rows
+    share a part. Without keys the parts are of all rows. Readers that expand ``items`` need not look at ``part``.
     """
+    if parts < 1:
+        raise ValueError("parts must be 1 or more")
     keys = as_list(keys)
-    if not (keys and whole):
-        return _in_parts(df, keys, part_rows, items, part_bytes)
-    group = F.struct(*[top(k) for k in keys])
-    large = df.groupBy(group.alias("__group")).agg(F.count("*").alias("n")).where(F.col("n") > part_rows)
-    large = large.select(*[F.col("__group").getField(k).alias(f"__large{i}") for i, k in enumerate(keys)])
-    same = reduce(operator.and_, [top(k).eqNullSafe(F.col(f"__large{i}")) for i, k in enumerate(keys)])
-    # The shuffle by key after the anti join is the one the grouping needs. Asked for here, it leaves the join free to
-    # be split where a large group fills a partition.
-    small = df.join(large, same, "left_anti").repartition(*[top(k) for k in keys])
+    hashed = [top(f.name) for f in df.schema.fields if not (contains(f.dataType, T.MapType) or contains(f.dataType, T.VariantType))]
+    number = F.pmod(F.xxhash64(*hashed), F.lit(parts)).cast("int") if hashed and parts > 1 else F.lit(0)
     row = F.struct(*[top(c) for c in df.columns])
-    listed = small.groupBy(*[top(k) for k in keys]).agg(F.collect_list(row).alias(items))
-    return listed.unionAll(_in_parts(df.join(large, same, "left_semi"), keys, part_rows, items, part_bytes))
-
-
-def _in_parts(df: DataFrame, keys: list[str], part_rows: int, items: str, part_bytes: int) -> DataFrame:
-    """Lists cut inside tasks. Rows are rebalanced by key, so that adaptive execution splits a partition that one hot key
-    fills, and sorted whole, so that a repeated task cuts the same parts."""
-    schema = T.StructType([df.schema[k] for k in keys] + [T.StructField(items, T.ArrayType(df.schema))])
-    if keys:
-        rest = [f.name for f in df.schema.fields if f.name not in keys and _orderable(f.dataType)]
-        df = df.hint("rebalance", *[top(k) for k in keys]).sortWithinPartitions(*[top(c) for c in [*keys, *rest]])
-    return df.mapInArrow(_Nester(keys, part_rows, part_bytes, items), schema)
-
-
-def _orderable(dtype: T.DataType) -> bool:
-    return not (contains(dtype, T.MapType) or contains(dtype, T.VariantType))
-
-
-class _Nester:
-    """Cuts the rows of a partition, sorted by key, into one list per run of equal keys."""
-
-    def __init__(self, keys: list[str], part_rows: int, part_bytes: int, items: str):
-        self.keys, self.part_rows, self.part_bytes, self.items = keys, part_rows, part_bytes, items
-
-    def __call__(self, batches):
-        held: pa.Table | None = None
-        for batch in batches:
-            table = pa.Table.from_batches([batch])
-            held = table if held is None else pa.concat_tables([held, table])
-            while held.num_rows > (limit := self._limit(held)):
-                cuts = self._cuts(held, limit)
-                done = max((c for c in cuts if c < held.num_rows), default=0)
-                yield self._lists(held.slice(0, done), [c for c in cuts if c <= done])
-                held = held.slice(done)
-        if held is not None and held.num_rows:
-            yield self._lists(held, self._cuts(held, self._limit(held)))
-
-    def _limit(self, table: pa.Table) -> int:
-        """Rows a list may hold, given how wide the rows at hand are."""
-        width = max(1, table.nbytes // max(1, table.num_rows))
-        return max(1, min(self.part_rows, self.part_bytes // width))
-
-    def _cuts(self, table: pa.Table, limit: int) -> list[int]:
-        """Row numbers where a list starts, and the end; no list longer than ``limit``."""
-        ends = [table.num_rows]
-        for k in self.keys:
-            codes = table[k].combine_chunks().dictionary_encode(null_encoding="encode").indices.to_pandas()
-            ends += [i for i in codes.index[codes.diff().fillna(0) != 0]]
-        cuts = [0]
-        for end in sorted(set(ends)):
-            cuts += list(range(cuts[-1] + limit, end, limit)) + [end]
-        return cuts
-
-    def _lists(self, table: pa.Table, cuts: list[int]) -> pa.RecordBatch:
-        batch = table.combine_chunks().to_batches()[0]
-        rows = pa.StructArray.from_arrays(batch.columns, fields=list(batch.schema))
-        lists = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), rows)
-        first = pa.array(cuts[:-1], pa.int64())
-        keys = [batch.column(k).take(first) for k in self.keys]
-        return pa.RecordBatch.from_arrays(keys + [lists], self.keys + [self.items])
+    salted = df.select(*[top(k).alias(f"__k{i}") for i, k in enumerate(keys)], number.alias("__part"), row.alias("__row"))
+    by = [f"__k{i}" for i in range(len(keys))]
+    listed = salted.groupBy(*by, "__part").agg(F.collect_list("__row").alias("__rows"))
+    return listed.select(*[F.col(b).alias(k) for b, k in zip(by, keys)], F.col("__part").alias(part), F.col("__rows").alias(items))
 
 
 # -------------------------------------------------------------------------------------------------- unbox
@@ -215,15 +154,17 @@ def unbox(
     escaper: str = "\\",
     skip_first: bool = False,
     with_header: bool = False,
-    multi_line: bool = False,
+    persist: bool = False,
+    staging_path: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Parse the text at a path in place; rows whose text does not parse come back in the second frame.
 
-    ``json`` and ``csv`` with a schema give structs; json without one gives VARIANT; csv without one gives a VARIANT
-    list of records, keyed by the header line or by ``_c0, _c1, ...``. ``multi_line`` keeps every csv line as an
-    array of structs. ``schema`` may be Spark schema JSON, DDL or a type. Text inside arrays that does not parse
-    becomes null. The parsed value goes through a one-element ``explode``: the filters on it then stay above it
-    instead of parsing every text a second time.
+    ``json`` with a schema gives it, without one VARIANT. ``csv`` gives a list with every record of the text: structs with a schema (by
+    position, a header line is left out), else VARIANT objects keyed by the header line or by ``_c0, _c1, ...``; the latter is one
+    Python call per text. ``schema`` may be Spark schema JSON, DDL or a type. A row with text inside an array that does
+    not parse stays, with null there, and is reported too. ``persist`` or ``staging_path`` keep the parsed rows, so
+    that the two frames are of one run. The parsed value goes through a one-element ``explode``: the
+    filters on it then stay above it instead of parsing every text a second time.
     """
     format = format.lower()
     if format not in ("json", "csv"):
@@ -238,29 +179,43 @@ def unbox(
             return F.try_parse_json(text) if schema is None else _from_json(text, schema)
         if schema is None:
             return F.try_parse_json(csv_records(separator, escaper, skip_first, with_header)(text))
-        options = {"sep": separator, "escape": escaper, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD}
+        options = {"sep": separator, "escape": escaper, "mode": "PERMISSIVE", "multiLine": "true", "columnNameOfCorruptRecord": _BAD}
         ddl = _with_bad(schema).simpleString()
-        lines = F.split(text, "\r?\n")
+        lines = F.when(text.contains('"'), _unquoted_lines(text)).otherwise(F.split(text, "\r?\n"))
         if skip_first or with_header:
             lines = F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(0)))
-        lines = F.filter(lines, lambda x: F.length(x) > 0)
-        if multi_line:
-            return F.transform(lines, lambda x: F.from_csv(x, ddl, options))
-        return F.from_csv(F.get(lines, F.lit(0)), ddl, options)
+        return F.transform(F.filter(lines, lambda x: F.length(x) > 0), lambda x: F.from_csv(x, ddl, options))
 
+    message = F.lit(f"cannot read {join_path(names)} as {format}").alias("error_message")
+    record = F.to_json(F.struct(*[top(c) for c in df.columns])).alias("record")
     if crosses_array(df.schema, names):
+        df = keep(df, persist, staging_path)
         opened = edit_fields(df, {path: lambda col, f: [(f.name, parse(col))]})
         good = edit_fields(opened, {path: lambda col, f: [(f.name, _without_bad(col, f.dataType))]})
-        return good, df.sparkSession.createDataFrame([], "error_message string, record string")
+        kind = df.select(F.lit("").alias("t")).select(parse(top("t")).alias("p")).schema["p"].dataType
+        texts = value_at(df.schema, path)
+        while isinstance(df.select(texts.alias("c")).schema["c"].dataType.elementType, T.ArrayType):
+            texts = F.flatten(texts)
+        return good, df.where(F.exists(texts, lambda t: t.isNotNull() & _unparsed(parse(t), kind))).select(message, record)
     text = value_at(df.schema, path)
-    parsed = df.select("*", F.explode(F.array(parse(text))).alias(_PARSED))
+    parsed = keep(df.select("*", F.explode(F.array(parse(text))).alias(_PARSED)), persist, staging_path)
     dtype = parsed.schema[_PARSED].dataType
     bad = text.isNotNull() & _unparsed(top(_PARSED), dtype)
     value = _without_bad(top(_PARSED), dtype)
     good = edit_fields(parsed.where(~bad), {path: lambda col, f: [(f.name, value)]}).drop(_PARSED)
-    message = F.lit(f"cannot read {join_path(names)} as {format}").alias("error_message")
-    errors = parsed.where(bad).select(message, F.to_json(F.struct(*[top(c) for c in df.columns])).alias("record"))
-    return good, errors
+    return good, parsed.where(bad).select(message, record)
+
+
+def _unquoted_lines(text: Column) -> Column:
+    """Lines of CSV text; a line break between double quotes does not end one."""
+
+    def add(lines: Column, line: Column) -> Column:
+        last = F.get(lines, F.size(lines) - 1)
+        open_ = (F.size(lines) > 0) & (F.length(F.regexp_replace(last, '[^"]', "")) % 2 == 1)
+        longer = F.concat(F.slice(lines, 1, F.size(lines) - 1), F.array(F.concat(last, F.lit("\n"), line)))
+        return F.when(open_, longer).otherwise(F.concat(lines, F.array(line)))
+
+    return F.aggregate(F.split(text, "\r?\n"), F.array().cast("array<string>"), add)
 
 
 _PARSED = "__parsed"

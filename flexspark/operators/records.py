@@ -26,19 +26,16 @@ from flexspark.plans.paths import top
 from flexspark.plans.types import contains
 from flexspark.sources.scratch import stage
 
-# Fixed value: message for a falsy result.
-EMPTY_RESULT = "User-specified function returned None instead of a record"
+EMPTY_RESULT = "the function gave no record"
 _OUT_ROWS = 5_000
 
 
 class Record(dict):
-    """Dict whose keys are also attributes; nested dicts too."""
+    """Fields by key or attribute: ``r["a"]`` and ``r.a`` are the same place, also for writing. A field that is missing is a KeyError either way."""
 
-    def __getattr__(self, name: str) -> Any:
-        return self[name]
-
-    def __setattr__(self, name: str, value: Any) -> None:
-        self[name] = value
+    __getattr__ = dict.__getitem__
+    __setattr__ = dict.__setitem__
+    __delattr__ = dict.__delitem__
 
 
 def _record(value: Any, dtype: T.DataType) -> Any:

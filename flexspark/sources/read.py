@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-import os.path
+import itertools
 import re
-import uuid
+from functools import reduce
+from pathlib import PurePosixPath
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,11 +37,13 @@ def table_name_of(database: str | None, table: str | None, name_space: str | Non
 
 
 def frame_name(options: dict) -> str:
-    """Common prefix of the paths without separators, else a unique name."""
-    paths = options.get("paths")
-    prefix = os.path.commonprefix(list(paths)) if paths else ""
-    prefix = re.sub(r"[:/.]", "", prefix.split(":")[-1])
-    return prefix or str(uuid.uuid1()).replace("-", "_")
+    """Last folder or file of the first path, without its extension; ``frame`` with a number where there is none."""
+    first = next(iter(_paths(options)), "")
+    last = PurePosixPath(first.rstrip("/*")).name.partition(".")[0]
+    return last or f"frame{next(_UNNAMED)}"
+
+
+_UNNAMED = itertools.count(1)
 
 
 def partition_hint(df: DataFrame, minimum: int | None = None, target: int | None = None) -> DataFrame:
@@ -88,7 +92,7 @@ class FlexReader:
 
             frame = FlexFrame(read_jdbc(self.spark, options), name)
         elif format == "json" and (schema is None or "mode" not in format_options):
-            frame = self.json(_paths(options), name, _reader_options(options, format_options), schema)
+            frame = self.json(_paths(options), name, _reader_options(options, format_options), schema, predicate=push_down_predicate)
         else:
             kind = format or connection_type.lower()
             reader = self.spark.read.format(kind).options(**_reader_options(options, format_options))
@@ -102,26 +106,32 @@ class FlexReader:
         return FlexFrame(df, name, frame.steps)
 
     def json(self, paths: list[str], name: str = "", options: dict | None = None, schema: T.StructType | str | None = None,
-             discover_types: bool = True) -> FlexFrame:
-        """JSON records, their types given or discovered. Top-level arrays count as their elements.
+             discover_types: bool = True, predicate: str = "") -> FlexFrame:
+        """JSON records and partition columns, the records' types given or discovered. Top-level arrays count as their elements.
 
         Text that does not parse, and values that are no objects, become error records; values that do not fit a given
-        type are null. Each text is parsed once, by the scan.
+        type are null. Each text is parsed once, by the scan. The parts of ``predicate`` that need partition columns only are applied
+        first, so that other folders are neither discovered nor read; the rest is left to the caller.
         """
         raw = (
             self.spark.read.options(**{**(options or {}), "singleVariantColumn": "v", "columnNameOfCorruptRecord": _CORRUPT})
             .schema(f"v variant, {_CORRUPT} string")
             .json(paths)
         )
+        partitions = [c for c in raw.columns if c not in ("v", _CORRUPT)]
+        for part in _conjuncts(predicate) if partitions else ():
+            if _fits(raw.select(*partitions), part):
+                raw = raw.where(part)
         found = T.DataType.fromDDL(schema) if isinstance(schema, str) else schema
-        if found is None and discover_types:
+        given = found is not None or not discover_types
+        if not given:
             found = discover(raw, ["v"])["v"]
-        records, objects = _objects(raw, found)
+        records, objects = _objects(raw, found, given)
         is_object = F.try_variant_get("v", "$", "struct<>").isNotNull()
         errors = records.where(~is_object).select(
             F.lit("not a JSON object").alias("error_message"), F.coalesce(_CORRUPT, F.to_json("v")).alias("record")
         )
-        good = records.where(is_object).select("v")
+        good = records.where(is_object).select("v", *partitions)
         typed = good if objects is None else from_variant(good, "v", objects)
         return FlexFrame(typed, name, [Step("read_json", errors=errors)])
 
@@ -167,19 +177,39 @@ class FlexReader:
 _CORRUPT = "_corrupt_record"
 
 
-def _objects(raw: DataFrame, found: T.DataType | None) -> tuple[DataFrame, T.StructType | None]:
-    """Records of a raw read and their type, from the type of the root; arrays at the root are opened."""
-    if found is None or isinstance(found, T.StructType):
-        return raw, found
-    options = _options(found)
-    objects = options.get("struct", T.StructType([]))
-    if "array" in options:
+def _objects(raw: DataFrame, found: T.DataType | None, given: bool) -> tuple[DataFrame, T.StructType | None]:
+    """Records of a raw read and their type, from the type of the root; arrays at the root are opened, always where the type is ``given``."""
+    options = {} if found is None else _options(found)
+    objects = None if found is None else options.get("struct", T.StructType([]))
+    if given or "array" in options:
         items = F.coalesce(F.try_variant_get("v", "$", "array<variant>"), F.array("v"))
-        raw = raw.select(_CORRUPT, F.explode(items).alias("v"))
+        raw = raw.select(*[c for c in raw.columns if c != "v"], F.explode(items).alias("v"))
+    if "array" in options:
         objects = merge_types(objects, _options(options["array"].elementType).get("struct", T.NullType()))
     return raw, objects
 
 
+def _conjuncts(predicate: str) -> list[str]:
+    """Parts of a predicate joined by AND outside quotes and brackets; with BETWEEN or CASE in it, the predicate as it is."""
+    if not predicate or re.search(r"\b(between|case)\b", predicate, re.I):
+        return [predicate] if predicate else []
+    parts, depth, last = [], 0, 0
+    for m in re.finditer(r"'(?:[^'\\]|\\.)*'|\"(?:[^\"\\]|\\.)*\"|`[^`]*`|[()]|\band\b", predicate, re.I):
+        depth += {"(": 1, ")": -1}.get(m[0], 0)
+        if m[0].lower() == "and" and depth == 0:
+            parts.append(predicate[last : m.start()])
+            last = m.end()
+    return [*parts, predicate[last:]]
+
+
+def _fits(df: DataFrame, predicate: str) -> bool:
+    """Whether a predicate needs no other columns than these."""
+    try:
+        return df.where(predicate).schema is not None
+    except AnalysisException:
+        return False
+
+
 def _options(dtype: T.DataType) -> dict[str, T.DataType]:
     if isinstance(dtype, Choice):
         return dtype.options
@@ -217,13 +247,13 @@ class FlexDataFrameReader:
 
     def from_options(self, connection_type: str, connection_options: dict | None = None, format: str | None = None,
                      format_options: dict | None = None, schema: T.StructType | str | None = None) -> DataFrame:
-        """Stream of files in a format, when there is a path, else of the connection type (``rate``, ``kafka``, ...)."""
+        """Stream of files in a format, when there are paths (several are united), else of the connection type (``rate``, ``kafka``, ...)."""
         options = dict(connection_options or {})
         paths = _paths(options)
-        if len(paths) > 1:
-            raise ValueError("a stream reads one path; use a glob pattern for several folders")
         kind = format.lower() if format and paths else connection_type
         reader = self.spark.readStream.format(kind).options(**_reader_options(options, dict(format_options or {})))
         if schema is not None:
             reader = reader.schema(schema)
-        return reader.load(paths[0]) if paths else reader.load()
+        if len(paths) <= 1:
+            return reader.load(paths[0]) if paths else reader.load()
+        return reduce(DataFrame.unionByName, [reader.load(p) for p in paths])

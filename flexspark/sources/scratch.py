@@ -8,6 +8,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_MADE: list[str] = []
+
 
 @functools.cache
 def _local_root() -> str:
@@ -15,17 +17,21 @@ def _local_root() -> str:
 
 
 def scratch_root(spark: SparkSession) -> str:
+    """The shared folder; a temporary one only in a session known to run in this process."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    if not spark.conf.get("spark.master", "local").startswith("local"):
+    master = spark.conf.get("spark.master", None) or ""
+    if master != "local" and not master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     return _local_root()
 
 
 def new_dir(spark: SparkSession, kind: str, under: str | None = None) -> str:
     """Unused folder below the shared one (or below ``under``)."""
-    return f"{(under or scratch_root(spark)).rstrip('/')}/{kind}-{uuid.uuid4().hex}"
+    path = f"{(under or scratch_root(spark)).rstrip('/')}/{kind}-{uuid.uuid4().hex}"
+    _MADE.append(path)
+    return path
 
 
 def stage(df: DataFrame, kind: str = "stage", under: str | None = None) -> DataFrame:
@@ -33,3 +39,12 @@ def stage(df: DataFrame, kind: str = "stage", under: str | None = None) -> DataF
     path = new_dir(df.sparkSession, kind, under)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clear(spark: SparkSession) -> int:
+    """Remove every folder this process made here; frames that read them can't be used any more. Returns how many there were."""
+    gone = 0
+    while _MADE:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_MADE.pop())
+        gone += bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True))
+    return gone

@@ -5,11 +5,11 @@ from __future__ import annotations
 import logging
 import re
 import time
+from collections import deque
 from collections.abc import Callable
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
-from pyspark.sql.streaming import StreamingQuery
 
 from flexspark.frame import FlexFrame
 from flexspark.sources.scratch import new_dir
@@ -22,7 +22,9 @@ RETRY_LIMITS = (0, 100)
 RETRY_WAIT_SECONDS = [1, 2, 5]
 POLLING_TIME_MS = 10_000
 RECORD_POLLING_LIMIT = 100
+NEVER_RETRIED = "CheckpointMetadataNotFound"
 UNIT_MS = {"second": 1_000, "minute": 60_000, "hour": 3_600_000}
+METRICS_KEPT = 1000
 
 
 def window_ms(text: str) -> int:
@@ -33,6 +35,46 @@ def window_ms(text: str) -> int:
     return int(m.group(1)) * UNIT_MS[m.group(2)]
 
 
+class _Attempts:
+    """When to try again: waits RETRY_WAIT_SECONDS, the last one from then on; a success starts over."""
+
+    def __init__(self, most: int):
+        self.most, self.failed = most, 0
+
+    def succeeded(self) -> None:
+        self.failed = 0
+
+    def wait_after(self, cause: BaseException) -> float | None:
+        """Seconds until the next attempt; None for no more."""
+        self.failed += 1
+        if self.failed > self.most or NEVER_RETRIED in f"{type(cause).__name__}: {cause}":
+            return None
+        return RETRY_WAIT_SECONDS[min(self.failed, len(RETRY_WAIT_SECONDS)) - 1]
+
+
+class _Batches:
+    """The function Spark calls: runs ``process`` on batches with rows, reports each, and keeps what made one fail."""
+
+    def __init__(self, process: Callable, level: StorageLevel | None, report: Callable[[dict], None]):
+        self.process, self.level, self.report = process, level, report
+        self.cause: BaseException | None = None
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        began = time.monotonic()
+        held = batch if self.level is None else batch.persist(self.level)
+        try:
+            rows = None if self.level is None else held.count()
+            if rows or (rows is None and not held.isEmpty()):
+                self.process(held, batch_id)
+        except BaseException as e:
+            self.cause = e
+            raise
+        finally:
+            if self.level is not None:
+                held.unpersist()
+        self.report({"batch": batch_id, "rows": rows, "ms": round((time.monotonic() - began) * 1000)})
+
+
 def for_each_batch(
     stream: DataFrame,
     process: Callable[[DataFrame, int], None],
@@ -42,62 +84,44 @@ def for_each_batch(
     persist: bool = True,
     storage_level: str = "MEMORY_AND_DISK",
     wait: Callable[[float], None] = time.sleep,
+    on_batch: Callable[[dict], None] | None = None,
 ) -> list[dict]:
-    """Run ``process(batch, id)`` on every non-empty micro-batch until the stream ends; returns batch metrics.
+    """Run ``process(batch, id)`` on every non-empty micro-batch until the stream ends.
 
-    A persisted batch is counted first, which fills the cache in parallel and gives the metrics.
-    ``window_size`` is the trigger interval, or ``"availableNow"`` to drain what is there and return. A failed batch is
-    retried from the checkpoint; the count of retries starts over after a success.
+    ``on_batch`` gets the metrics of every batch (``batch``, ``rows``, ``ms``) as soon as it is done; the metrics of the last METRICS_KEPT
+    batches are returned. A persisted batch is counted first, which fills the cache in parallel; rows of others are unknown.
+    ``window_size`` is the trigger interval, or ``"availableNow"`` to drain what is there and return. A failed batch
+    is retried from the checkpoint, unless the failure says that the checkpoint's metadata are gone.
     """
-    if not window_size:
-        raise ValueError("window_size is missing")
-    if not checkpoint_location:
-        raise ValueError("checkpoint_location is missing")
-    batch_max_retries = int(batch_max_retries)
-    if not RETRY_LIMITS[0] <= batch_max_retries <= RETRY_LIMITS[1]:
-        raise ValueError(f"batch_max_retries must be between {RETRY_LIMITS[0]} and {RETRY_LIMITS[1]}")
-    state = {"failures": 0}
-    metrics: list[dict] = []
-    level = getattr(StorageLevel, storage_level.upper())
-
-    def run(batch: DataFrame, batch_id: int) -> None:
-        started, rows = time.monotonic(), None
-        if persist:
-            batch.persist(level)
-        try:
-            if persist:
-                rows = batch.count()
-            if rows if persist else not batch.isEmpty():
-                process(batch, batch_id)
-        finally:
-            if persist:
-                batch.unpersist()
-        state["failures"] = 0
-        metrics.append({"batch": batch_id, "rows": rows, "ms": round((time.monotonic() - started) * 1000)})
-
+    for name, value in (("window_size", window_size), ("checkpoint_location", checkpoint_location)):
+        if not value:
+            raise ValueError(f"{name} is missing")
+    low, high = RETRY_LIMITS
+    if not low <= int(batch_max_retries) <= high:
+        raise ValueError(f"batch_max_retries must be between {low} and {high}")
+    attempts, kept = _Attempts(int(batch_max_retries)), deque(maxlen=METRICS_KEPT)
+
+    def report(metrics: dict) -> None:
+        attempts.succeeded()
+        kept.append(metrics)
+        if on_batch is not None:
+            on_batch(metrics)
+
+    batches = _Batches(process, getattr(StorageLevel, storage_level.upper()) if persist else None, report)
     trigger = {"availableNow": True} if window_size == "availableNow" else {"processingTime": window_size}
-    writer = stream.writeStream.foreachBatch(run).trigger(**trigger).option("checkpointLocation", checkpoint_location)
+    writer = stream.writeStream.foreachBatch(batches).trigger(**trigger).option("checkpointLocation", checkpoint_location)
     while True:
-        query = writer.start()
+        batches.cause = None
         try:
-            query.awaitTermination()
-            return _with_counts(metrics, query)
-        except Exception as e:
-            if str(e).startswith("CheckpointMetadataNotFound"):
-                raise
-            state["failures"] += 1
-            if state["failures"] > batch_max_retries:
-                log.error("giving up after %d retries of a batch", batch_max_retries)
+            writer.start().awaitTermination()
+            return list(kept)
+        except Exception as failure:
+            pause = attempts.wait_after(batches.cause or failure)
+            if pause is None:
+                log.error("a batch failed %d times", attempts.failed)
                 raise
-            pause = RETRY_WAIT_SECONDS[min(state["failures"], len(RETRY_WAIT_SECONDS)) - 1]
-            log.warning("batch failed, retry %d of %d in %d s", state["failures"], batch_max_retries, pause)
-            wait(pause)
-
-
-def _with_counts(metrics: list[dict], query: StreamingQuery) -> list[dict]:
-    """Row counts of batches that were not persisted, from Spark's own progress of the latest ones."""
-    rows = {p["batchId"]: p["numInputRows"] for p in query.recentProgress}
-    return [{**m, "rows": rows.get(m["batch"]) if m["rows"] is None else m["rows"]} for m in metrics]
+            log.warning("a batch failed, attempt %d of %d follows in %d s", attempts.failed, attempts.most, pause)
+        wait(pause)
 
 
 def sample_stream(

@@ -106,39 +106,37 @@ def test_relationalize_arrays_of_arrays(spark, folder):
         relationalize(df)
 
 
-def test_nest_splits_long_groups(spark):
-    df = spark.range(1000).select((F.when(F.col("id") < 700, 0).otherwise(F.col("id"))).alias("k"), "id")
-    nested = nest_rows(df, "k", part_rows=100)
-    assert nested.where("size(items) > 100").count() == 0
+def test_repeated_and_null_keys_stay_apart(spark, folder):
+    df = spark.createDataFrame([(1, [10, 11]), (1, [12]), (None, [13]), (None, [14, 15]), (2, None)], "id int, p array<int>")
+    for path in (None, folder):
+        tables = relationalize(df, "r", path, key_cols="id")
+        joined = tables["r"].join(tables["r_p"].withColumnRenamed("id", "key"), F.col("p") == F.col("key"))
+        assert sorted(rows(joined.select("id", "index", "val")), key=str) == sorted([(1, 0, 10), (1, 1, 11), (1, 0, 12), (None, 0, 13), (None, 0, 14), (None, 1, 15)], key=str)
+    assert rows(relationalize(df.where("id = 2"), "r", key_cols="id")["r"]) == [(2, None)]
+
+
+def test_nest_one_row_per_key(spark):
+    df = spark.range(30_000).select(F.when(F.col("id") < 25_000, 0).otherwise(F.col("id")).alias("k"), "id")
+    nested = nest_rows(df, "k", 1)
+    assert nested.count() == 5001 and nested.where("k = 0").select(F.size("items")).first()[0] == 25_000
     assert sorted(rows(nested.selectExpr("inline(items)"))) == sorted(rows(df))
-    assert nested.where("exists(items, x -> x.k <> k)").count() == 0
-    assert nested.where("k > 0").count() == 300
 
 
-def test_nest_keeps_small_groups_whole(spark):
-    df = spark.range(6000).select(
-        F.when(F.col("id") < 2000, None).when(F.col("id") < 4000, 1).otherwise(F.col("id") % 500 + 2).alias("k"),
-        (F.col("id") % 2).alias("m"), "id",
-    )
-    nested = nest_rows(df, ["k", "m"], part_rows=100)
-    sizes = {tuple(r)[:2]: r[2:] for r in nested.groupBy("k", "m").agg(F.count("*"), F.sum(F.size("items"))).collect()}
-    assert sizes[None, 0] == (10, 1000) and sizes[1, 1] == (10, 1000)
-    assert all(v == (1, 4) for (k, _), v in sizes.items() if k not in (None, 1)) and len(sizes) == 504
-    assert sorted(rows(nested.selectExpr("inline(items)")), key=str) == sorted(rows(df), key=str)
-    pieces = nest_rows(df, "k", part_rows=100, whole=False)
-    assert sorted(rows(pieces.selectExpr("inline(items)")), key=str) == sorted(rows(df), key=str)
-
-
-def test_nest_bounds_bytes(spark):
-    df = spark.range(400).select("id", F.repeat(F.lit("x"), 1000).alias("t"))
-    nested = nest_rows(df, part_bytes=50_000)
-    assert nested.agg(F.max(F.size("items"))).first()[0] <= 51
-    assert nested.agg(F.sum(F.size("items"))).first()[0] == 400
+@pytest.mark.parametrize("partitions", [1, 7])
+def test_nest_parts_do_not_depend_on_partitions(spark, partitions):
+    df = spark.range(6000).select(F.when(F.col("id") < 2000, None).otherwise(F.col("id") % 5).alias("k"), (F.col("id") % 2).alias("m"), "id")
+    parts = nest_rows(df.repartition(partitions), ["k", "m"], 10)
+    got = {(r.k, r.m, r.part): sorted(i.id for i in r["items"]) for r in parts.collect()}
+    want = {(r.k, r.m, r.part): sorted(i.id for i in r["items"]) for r in nest_rows(df, ["k", "m"], 10).collect()}
+    assert got == want and sum(map(len, got.values())) == 6000
+    assert {p for k, m, p in got if k is None and m == 0} == set(range(10))
+    with pytest.raises(ValueError):
+        nest_rows(df, "k", 0)
 
 
 def test_nest_null_keys_and_choices(spark):
     df = spark.createDataFrame([(None, '{"a":1}'), ("x", '"q"'), (None, "3")], "k string, j string").select("k", F.parse_json("j").alias("v"))
-    nested = nest_rows(df, "k").selectExpr("k", "inline(items) as (k2, v)")
+    nested = nest_rows(df, "k", 3).selectExpr("k", "inline(items) as (k2, v)")
     assert sorted(rows(nested.select("k", F.to_json("v"))), key=str) == [("x", '"q"'), (None, "3"), (None, '{"a":1}')]
 
 
@@ -170,14 +168,25 @@ def test_unbox_errors_keep_the_text(spark):
 
 def test_unbox_csv(spark):
     df = spark.createDataFrame([("h|h\n1|a\n2|b",), ("h|h\nx|c",)], "t string")
-    many = FlexFrame(df).unbox("t", "csv", schema="struct<n:int,s:string>", separator="|", skip_first=True, multi_line=True)
+    many = FlexFrame(df).unbox("t", "csv", schema="struct<n:int,s:string>", separator="|", skip_first=True)
     assert [tuple(x) for x in many.df.first()["t"]] == [(1, "a"), (2, "b")]
     assert many.errors_count() == 1
     quoted = spark.createDataFrame([('a,b\n"x,y",2',)], "t string")
     opened = FlexFrame(quoted).unbox("t", "csv", with_header=True).open_variant("t")
     assert [tuple(x) for x in opened.df.first()["t"]] == [("x,y", "2")]
     json_schema = T.StructType([T.StructField("n", T.IntegerType())]).json()
-    assert FlexFrame(spark.createDataFrame([("5",)], "t string")).unbox("t", "csv", schema=json_schema).df.first()["t"]["n"] == 5
+    assert FlexFrame(spark.createDataFrame([("5",)], "t string")).unbox("t", "csv", schema=json_schema).df.first()["t"][0]["n"] == 5
+    lines = spark.createDataFrame([('1,"a\nb"\n2,c\n3,"d ""e""\n\n f"',)], "t string")
+    got = FlexFrame(lines).unbox("t", "csv", schema="struct<n:int,s:string>", escaper='"').df.first()["t"]
+    assert [tuple(x) for x in got] == [(1, "a\nb"), (2, "c"), (3, 'd "e"\n\n f')]
+
+
+def test_unbox_inside_arrays_reports_errors(spark):
+    df = spark.createDataFrame([(1, [('{"k":1}',), ("{",)]), (2, [('{"k":2}',)]), (3, None), (4, [(None,)])], "id int, a array<struct<t:string>>")
+    for schema in (None, "struct<k:int>"):
+        opened = FlexFrame(df).unbox("a.t", "json", schema=schema)
+        assert opened.count() == 4 and opened.errors_count() == 1
+        assert '"id":1' in opened.errors().df.first()["record"]
 
 
 def test_tagged_json(spark):

@@ -23,7 +23,8 @@ def test_names():
     for bad in ((None, "t"), ("d", None), ("d", "t", "d")):
         with pytest.raises(ValueError):
             table_name_of(*bad)
-    assert frame_name({"paths": ["store://b/in/a", "store://b/in/b"]}) == "bin"
+    assert frame_name({"paths": ["store://b/in/a", "store://b/in/b"]}) == "a"
+    assert frame_name({"path": "/in/days/x.csv.gz"}) == "x" and frame_name({"paths": ["/in/days/*"]}) == "days"
     assert frame_name({}) != frame_name({})
     assert stamped("x/a.b.csv", datetime.datetime(2024, 1, 2, 3, 4)) == "x/a.b_2024-01-02-03_04.csv"
 
@@ -40,9 +41,46 @@ def test_json_with_bad_lines(spark, folder):
     assert frame.count() == 4 and frame.schema()["a"].dataType.simpleString() == "choice<boolean,bigint,string>"
     assert sorted(r["record"] for r in frame.errors().df.collect()) == ['"no"', "7", "not json", "null"]
     raw = FlexReader(spark).json([folder], discover_types=False)
-    assert raw.count() == 2 and raw.errors_count() == 4
+    assert raw.count() == 4 and raw.errors_count() == 4
     fixed = FlexReader(spark).from_options("file", {"paths": [folder]}, "json", schema="a string")
-    assert rows(fixed.df) == [("1",), ("x",)] and fixed.errors_count() == 4
+    assert rows(fixed.df) == [("1",), ("2",), ("true",), ("x",)] and fixed.errors_count() == 4
+
+
+def test_json_partitions(spark, folder):
+    spark.createDataFrame([(1, "x", 7), (2, "y", 8), (3, "x", 9)], "a int, p string, q int").write.partitionBy("p", "q").json(folder + "/t")
+    read = FlexReader(spark)
+    whole = read.from_options("file", {"paths": [folder + "/t"]}, "json")
+    assert sorted(whole.df.columns) == ["a", "p", "q"] and whole.count() == 3
+    with open(folder + "/t/p=y/q=8/bad.json", "w") as f:
+        f.write('{"a":"not a number","z":1}\n')
+    some = read.from_options("file", {"paths": [folder + "/t"]}, "json", push_down_predicate="p = 'x' AND (q > 7 or a = 1) and a < 3")
+    assert rows(some.df.select("a", "p", "q")) == [(1, "x", 7)]
+    assert "z" not in some.df.columns and some.schema()["a"].dataType.simpleString() == "bigint"
+
+
+def test_streams_of_several_paths(spark, folder):
+    for i in range(2):
+        spark.createDataFrame([(i,)], "a int").write.parquet(f"{folder}/s{i}")
+    stream = FlexDataFrameReader(spark).from_options("file", {"paths": [f"{folder}/s0", f"{folder}/s1"]}, "parquet", schema="a int")
+    seen = []
+    for_each_batch(stream, lambda b, i: seen.extend(r.a for r in b.collect()), "availableNow", folder + "/state")
+    assert sorted(seen) == [0, 1]
+
+
+def test_scratch(spark, folder):
+    from flexspark.sources import scratch
+
+    class Remote:
+        class conf:
+            get = staticmethod(lambda key, default=None: default)
+
+    with pytest.raises(RuntimeError):
+        scratch.scratch_root(Remote)
+    made, scratch._MADE[:] = list(scratch._MADE), []
+    path = scratch.new_dir(spark, "x", folder)
+    spark.range(3).write.parquet(path)
+    assert scratch.clear(spark) == 1 and not os.path.exists(path) and scratch.clear(spark) == 0
+    scratch._MADE[:] = made
     typed = FlexReader(spark).from_options("file", {"paths": [folder]}, "json", {"mode": "DROPMALFORMED"}, schema="a string")
     assert typed.df.columns == ["a"] and typed.errors_count() == 0
 
@@ -170,6 +208,27 @@ def test_for_each_batch_gives_up(stream, folder):
     assert waits == [1, 2, 5, 5]
 
 
+def test_lost_checkpoint_metadata_is_never_retried(stream, folder):
+    calls = []
+
+    def process(df, i):
+        calls.append(i)
+        raise RuntimeError("CheckpointMetadataNotFound: gone")
+
+    with pytest.raises(Exception, match="gone"):
+        for_each_batch(stream, process, "availableNow", folder + "/c", wait=lambda s: calls.append("waited"))
+    assert calls == [0]
+
+
+def test_batch_metrics_are_live_and_bounded(stream, folder, monkeypatch):
+    from flexspark.streaming import batches
+
+    monkeypatch.setattr(batches, "METRICS_KEPT", 2)
+    live = []
+    kept = for_each_batch(stream, lambda df, i: live.append(i), "availableNow", folder + "/c", on_batch=lambda m: live.append(m["rows"]))
+    assert live[0] == 0 and len(live) == 8 and [m["batch"] for m in kept] == [2, 3]
+
+
 def test_for_each_batch_arguments(stream, folder):
     nothing = lambda df, i: None
     for kwargs in ({"window_size": None, "checkpoint_location": "c"}, {"window_size": "1 second", "checkpoint_location": None},
