@@ -10,8 +10,9 @@ trigger's hash, and suffixes are brought together by grouping on them instead of
 
 1. parse: (trigger, phrase) counts. A trigger seen once cannot stand in a repeated string; its phrase is done.
 2. parse order: a phrase that occurs again is repeated with all the strings in it.
-3. dictionary order: where a trigger has several different phrases, the strings in each of them are ranked one by one; one copy of
-   each different phrase is enough. Strings that two different phrases share are repeated.
+3. dictionary order: where a trigger has several different phrases, one copy of each is looked at more closely, first in blocks of strings
+   at the same distances from the trigger. What all strings of a block have in common must occur again, else none of them
+   does; a block that occurs again as a whole is repeated; only in other blocks strings are ranked one by one.
 
 So highly repetitive text costs a row for each phrase, about 2 / (length - TRIGGER + 2) of its bytes, and single strings are only
 looked at around the ends of repeats.
@@ -25,6 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,9 +45,9 @@ class Parser:
         self.salt = H.stream(2, 303)
 
     def phrases(self, c: H.Chunk):
-        """(document, first string's start in it, strings, trigger hash, phrase hash) of every phrase, and the prefix sums."""
+        """(document, first string's start in it, strings, trigger's distance from that start, trigger hash, phrase hash) of every phrase."""
         n, g = len(c.data), self.trigger
-        none = (*[np.zeros(0, np.int64)] * 3, *[np.zeros(0, H.U64)] * 2, None)
+        none = (*[np.zeros(0, np.int64)] * 4, *[np.zeros(0, H.U64)] * 2)
         if n < self.length:
             return none
         sums = self.roll.sums(c.data)
@@ -74,10 +76,10 @@ class Parser:
         lo, of = start[first], doc[first]
         end = lo + count - 1 + self.length
         phrase = H.mix(self.roll.between(sums, lo, end) + self.salt[0] * count.astype(H.U64))
-        return of, lo - c.offsets[of], count, gram[trig[first]], phrase, sums
+        return of, lo - c.offsets[of], count, trig[first] - lo, gram[trig[first]], phrase
 
-    def strings(self, sums: np.ndarray, start: np.ndarray) -> np.ndarray:
-        return H.mix(self.roll.between(sums, start, start + self.length) ^ self.salt[1])
+    def strings(self, sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return H.mix(self.roll.between(sums, start, end) ^ self.salt[1])
 
 
 def _longs(x: np.ndarray) -> pa.Array:
@@ -85,18 +87,19 @@ def _longs(x: np.ndarray) -> pa.Array:
 
 
 def parse(docs: DataFrame, length: int, trigger: int = TRIGGER) -> DataFrame:
-    """(key, lo, n, trig, phrase) of docs (key, text): n strings from byte lo on share the trigger."""
+    """(key, lo, n, d, trig, phrase) of docs (key, text): n strings from byte lo on share the trigger, which stands at lo + d."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parser = Parser(length, trigger)
         for batch in batches:
             at = 0
             for c in H.chunks(batch["text"]):
-                doc, lo, n, trig, phrase, _ = parser.phrases(c)
-                yield pa.RecordBatch.from_arrays([batch["key"].take(pa.array(doc + at)), pa.array(lo, pa.int32()), pa.array(n, pa.int32()), _longs(trig), _longs(phrase)], names=["key", "lo", "n", "trig", "phrase"])
+                doc, lo, n, d, trig, phrase = parser.phrases(c)
+                small = [pa.array(x, pa.int32()) for x in (lo, n, d)]
+                yield pa.RecordBatch.from_arrays([batch["key"].take(pa.array(doc + at)), *small, _longs(trig), _longs(phrase)], names=["key", "lo", "n", "d", "trig", "phrase"])
                 at += c.count
 
-    return docs.mapInArrow(run, "key binary, lo int, n int, trig long, phrase long")
+    return docs.mapInArrow(run, "key binary, lo int, n int, d int, trig long, phrase long")
 
 
 def merged(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -109,66 +112,130 @@ def merged(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return lo[first], hi[np.append(first[1:] - 1, len(hi) - 1)]
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """(key, doc_id, packed): texts compressed before they are shuffled."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=1).compress
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch["key"], batch["doc_id"], pa.array([pack(t) for t in batch["data"].to_pylist()], pa.binary())], names=["key", "doc_id", "packed"])
+
+    return docs.select("key", "doc_id", F.col("text").cast("binary").alias("data")).mapInArrow(run, "key binary, doc_id long, packed binary")
+
+
+def _unpacked(column: pa.Array) -> list[bytes]:
+    unpack = zstandard.ZstdDecompressor().decompress
+    return [unpack(z) for z in column.to_pylist()]
+
+
 def repeats(docs: DataFrame, length: int = 200, trigger: int = TRIGGER) -> tuple[DataFrame, DataFrame]:
-    """Keyed documents (key, doc_id, text), and the repeated ranges of each key: (key, ranges array of (lo, hi)).
+    """Keyed documents (key, doc_id, text), and the repeated ranges of each key: (k, ranges array of (lo, hi)).
 
     The key is the MD5 of doc_id and text: rows equal in both have the same ranges. Every such row counts as an occurrence.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     key = F.unhex(F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.lit(":"), text)))
     keyed = docs.select(key.alias("key"), "doc_id", text.alias("text"))
-    long = keyed.where(F.octet_length("text") >= length).select("key", "text")
-    parsed = parse(long, length, trigger)
+    long = keyed.where(F.octet_length("text") >= length)
+    parsed = parse(long.select("key", "text"), length, trigger)
     seen = parsed.groupBy(F.col("trig").alias("t")).agg(F.count("*").alias("c"), F.min("phrase").alias("p"), F.max("phrase").alias("q"))
     again = seen.where("c > 1").select("t", (F.col("p") != F.col("q")).alias("mixed"))
     hit = stage(parsed.join(again, F.col("trig") == F.col("t")).drop("t"), "phrases")
-    pure = hit.where("not mixed")
-    mixed = hit.where("mixed")
-    kinds = mixed.groupBy("trig", "phrase").agg(F.count("*").alias("c"), F.min(F.struct("key", "lo", "n")).alias("one"))
-    kinds = stage(kinds, "dictionary")
-    # every different phrase once, its strings ranked one by one
-    wanted = kinds.select(F.col("one.key").alias("k"), F.struct(F.col("one.lo").alias("lo"), F.col("one.n").alias("n"), "trig", "phrase").alias("x")).groupBy("k").agg(F.collect_list("x").alias("x"))
-    wanted = stage(wanted, "wanted")
-    one = long.join(wanted, F.col("key") == F.col("k")).dropDuplicates(["key"]).select("text", "x")
-    ranked = stage(_strings(one, length, trigger), "strings")
-    twice = ranked.groupBy("trig", "rank").agg(F.count("*").alias("c")).where("c > 1").select(F.col("trig").alias("t"), F.col("rank").alias("r"))
-    shared = ranked.join(twice, (F.col("trig") == F.col("t")) & (F.col("rank") == F.col("r")))
-    # per phrase: the repeated strings' offsets, as covered ranges relative to the phrase's start
-    parts = shared.groupBy("trig", "phrase").agg(F.sort_array(F.collect_set("at")).alias("ats"))  # at most length of them
-    status = kinds.join(parts, ["trig", "phrase"], "left").select(F.col("trig").alias("t"), F.col("phrase").alias("p"), (F.col("c") > 1).alias("whole"), "ats").where("whole or ats is not null")
-    status = stage(status, "status")
+    pure, mixed = hit.where("not mixed"), hit.where("mixed")
+    kinds = stage(mixed.groupBy("trig", "phrase").agg(F.count("*").alias("c"), F.min(F.struct("key", "lo", "n", "d")).alias("one")), "dictionary")
+    status = kinds.join(_dictionary(long, kinds, length, trigger).withColumnsRenamed({"trig": "t", "phrase": "p"}), (F.col("trig") == F.col("t")) & (F.col("phrase") == F.col("p")), "left")
+    status = stage(status.select("trig", "phrase", (F.col("c") > 1).alias("whole"), "runs").where("whole or runs is not null").withColumnsRenamed({"trig": "t", "phrase": "p"}), "status")
     tagged = mixed.join(status, (F.col("trig") == F.col("t")) & (F.col("phrase") == F.col("p")))
-    full = lambda n: F.array(F.struct(F.lit(0).alias("a"), n.alias("b")))
-    runs = F.when(F.col("whole"), full(F.col("n") - 1)).otherwise(F.transform("ats", lambda a: F.struct(a.alias("a"), a.alias("b"))))
-    spans = pure.select("key", "lo", full(F.col("n") - 1).alias("runs")).unionByName(tagged.select("key", "lo", runs.alias("runs")))
+    full = F.array(F.struct(F.lit(0).alias("a"), (F.col("n") - 1).alias("b")))
+    spans = pure.select("key", "lo", full.alias("runs")).unionByName(tagged.select("key", "lo", F.when(F.col("whole"), full).otherwise(F.col("runs")).alias("runs")))
     spans = spans.select("key", F.explode("runs").alias("r"), "lo").select("key", (F.col("lo") + F.col("r.a")).alias("lo"), (F.col("lo") + F.col("r.b") + length).alias("hi"))
     ranges = spans.groupBy(F.col("key").alias("k")).agg(F.collect_set(F.struct("lo", "hi")).alias("ranges"))
     return keyed, stage(ranges, "ranges")
 
 
-def _strings(phrases: DataFrame, length: int, trigger: int) -> DataFrame:
-    """(trig, phrase, at, rank) of every string of the wanted phrases x of each text."""
+def _dictionary(long: DataFrame, kinds: DataFrame, length: int, trigger: int) -> DataFrame:
+    """(trig, phrase, runs): which strings of a phrase, by offsets (a, b), other phrases of its trigger hold too."""
+    one = kinds.select(F.col("one.key").alias("k"), F.struct("one.lo", "one.n", "one.d", "trig", "phrase").alias("x"))
+    wanted = stage(one.groupBy("k").agg(F.collect_list("x").alias("x")), "wanted")
+    held = packed(long).join(wanted, F.col("key") == F.col("k")).dropDuplicates(["key"]).select("packed", "x")
+    texts = stage(held.mapInArrow(_cut(length), "trig long, phrase long, n int, d int, data binary"), "phrase-texts")
+    size = max(1, min(16, length // 4))
+    blocks = texts.mapInArrow(_blocks(length, trigger, size), "trig long, phrase long, block int, inner long, outer long, a int, b int")
+    met = blocks.groupBy(F.col("trig").alias("t"), F.col("block").alias("l"), F.col("inner").alias("i")).agg(F.count("*").alias("c"), F.min("outer").alias("p"), F.max("outer").alias("q")).where("c > 1")
+    met = met.select("t", "l", "i", (F.col("p") != F.col("q")).alias("open"))
+    found = stage(blocks.join(met, (F.col("trig") == F.col("t")) & (F.col("block") == F.col("l")) & (F.col("inner") == F.col("i"))).select("trig", "phrase", "a", "b", "open"), "blocks")
+    open_ = found.where("open").groupBy(F.col("trig").alias("t"), F.col("phrase").alias("p")).agg(F.collect_list(F.struct("a", "b")).alias("x"))  # length / size at most
+    ranked = texts.join(open_, (F.col("trig") == F.col("t")) & (F.col("phrase") == F.col("p"))).select("trig", "phrase", "data", "x").mapInArrow(_ranks(length, trigger), "trig long, phrase long, a int, rank long")
+    ranked = stage(ranked, "ranks")
+    twice = ranked.groupBy(F.col("trig").alias("t"), F.col("rank").alias("r")).agg(F.count("*").alias("c")).where("c > 1")
+    single = ranked.join(twice, (F.col("trig") == F.col("t")) & (F.col("rank") == F.col("r"))).select("trig", "phrase", "a", F.col("a").alias("b"))
+    runs = found.where("not open").select("trig", "phrase", "a", "b").unionByName(single)
+    return runs.groupBy("trig", "phrase").agg(F.collect_set(F.struct("a", "b")).alias("runs"))  # length at most
+
+
+def _cut(length: int):
+    """Function from texts and their wanted phrases to the phrases' bytes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for text, x in zip(_unpacked(batch["packed"]), batch["x"]):
+                x = x.values
+                lo, n = (x.field(f).to_pylist() for f in ("lo", "n"))
+                data = pa.array([text[i : i + k - 1 + length] for i, k in zip(lo, n)], pa.binary())
+                yield pa.RecordBatch.from_arrays([x.field("trig"), x.field("phrase"), x.field("n"), x.field("d"), data], names=["trig", "phrase", "n", "d", "data"])
+
+    return run
+
+
+def _blocks(length: int, trigger: int, size: int):
+    """Function from phrases to their blocks: strings whose distance from the trigger has the same quotient by ``size``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parser = Parser(length, trigger)
         for batch in batches:
-            wanted, at = batch["x"], 0
-            for c in H.chunks(batch["text"]):
-                x = wanted.slice(at, c.count)
+            at = 0
+            for c in H.chunks(batch["data"]):
+                part = batch.slice(at, c.count)
                 at += c.count
-                flat = x.flatten()
-                if not len(flat):
-                    continue
+                n, d = (part[f].to_numpy().astype(np.int64) for f in ("n", "d"))
+                low, high = (d - n + 1) // size, d // size
+                of = np.repeat(np.arange(c.count), high - low + 1)
+                block = np.arange(len(of)) - np.repeat(np.cumsum(high - low + 1) - (high - low + 1), high - low + 1) + low[of]
+                a = d[of] - np.minimum(d[of], block * size + size - 1)
+                b = d[of] - np.maximum(d[of] - n[of] + 1, block * size)
+                sums, base = parser.roll.sums(c.data), c.offsets[of]
+                common = base + d[of] - block * size
+                inner = parser.strings(sums, common, common - size + 1 + length)
+                outer = H.mix(parser.strings(sums, base + a, base + b + length) + (d[of] - a).astype(H.U64) * H.U64(1 << 20) + (b - a).astype(H.U64))
+                pick = pa.array(of)
+                small = lambda x: pa.array(x, pa.int32())
+                yield pa.RecordBatch.from_arrays([part["trig"].take(pick), part["phrase"].take(pick), small(block), _longs(inner), _longs(outer), small(a), small(b)], names=["trig", "phrase", "block", "inner", "outer", "a", "b"])
+
+    return run
+
+
+def _ranks(length: int, trigger: int):
+    """Function from phrases and ranges of strings in them to these strings' ranks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parser = Parser(length, trigger)
+        for batch in batches:
+            at = 0
+            for c in H.chunks(batch["data"]):
+                part = batch.slice(at, c.count)
+                at += c.count
+                x = part["x"]
                 doc = np.repeat(np.arange(c.count), pc.list_value_length(x).to_numpy(zero_copy_only=False))
-                lo, n = (flat.field(f).to_numpy(zero_copy_only=False).astype(np.int64) for f in ("lo", "n"))
-                sums = parser.roll.sums(c.data)
+                a, b = (x.flatten().field(f).to_numpy().astype(np.int64) for f in ("a", "b"))
+                n = b - a + 1
                 of = np.repeat(np.arange(len(n)), n)
-                step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                rank = parser.strings(sums, c.offsets[doc[of]] + lo[of] + step)
-                pick = pa.array(of)
-                yield pa.RecordBatch.from_arrays([flat.field("trig").take(pick), flat.field("phrase").take(pick), pa.array(step, pa.int32()), _longs(rank)], names=["trig", "phrase", "at", "rank"])
+                place = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n) + a[of]
+                start = c.offsets[doc[of]] + place
+                rank = parser.strings(parser.roll.sums(c.data), start, start + length)
+                pick = pa.array(doc[of])
+                yield pa.RecordBatch.from_arrays([part["trig"].take(pick), part["phrase"].take(pick), pa.array(place, pa.int32()), _longs(rank)], names=["trig", "phrase", "a", "rank"])
 
-    return phrases.mapInArrow(run, "trig long, phrase long, at int, rank long")
+    return run
 
 
 def remove_repeats(docs: DataFrame, length: int = 200, trigger: int = TRIGGER, texts: bool = True) -> DataFrame:
@@ -184,7 +251,7 @@ def remove_repeats(docs: DataFrame, length: int = 200, trigger: int = TRIGGER, t
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for text, ranges in zip(batch["data"].to_pylist(), batch["ranges"]):
+            for text, ranges in zip(_unpacked(batch["packed"]), batch["ranges"]):
                 cuts, rest = [], text
                 if ranges.is_valid and len(ranges.values):
                     lo, hi = merged(*(ranges.values.field(f).to_numpy(zero_copy_only=False).astype(np.int64) for f in ("lo", "hi")))
@@ -194,5 +261,5 @@ def remove_repeats(docs: DataFrame, length: int = 200, trigger: int = TRIGGER, t
             kinds = [pa.int64()] * 3 + [pa.string(), pa.list_(span), pa.binary()]
             yield pa.RecordBatch.from_arrays([batch["doc_id"], *[pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)]], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans", "kept"])
 
-    joined = keyed.join(ranges, F.col("key") == F.col("k"), "left")
-    return joined.select("doc_id", F.col("text").cast("binary").alias("data"), "ranges").mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start:int,end:int>>, kept binary")
+    joined = packed(keyed).join(ranges, F.col("key") == F.col("k"), "left")
+    return joined.select("doc_id", "packed", "ranges").mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start:int,end:int>>, kept binary")
