@@ -101,6 +101,17 @@ def json_root_array_schema(spark, sf):
     return read.groupBy("event_id", "user_id", "event_type").agg(F.count("*").cast("int").alias("copies"))
 
 
+@query("SELECT event_id, 'u' || user_id AS who, event_type AS kind, value AS amount FROM events")
+def json_data_keys(spark, sf):
+    """Objects keyed by data become maps: one node for all keys, however many there are."""
+    path = new_dir(spark, "keyed")
+    inner = F.struct(F.col("event_type").alias("kind"), F.array("value").alias("amounts"))
+    load(spark, sf, "events").select("event_id", F.create_map(F.concat(F.lit("u"), "user_id"), inner).alias("by")).write.json(path)
+    frame = FlexReader(spark).from_options("file", {"paths": [path]}, "json", {"asMap": ["by"]})
+    assert frame.df.schema["by"].dataType.simpleString() == "map<string,struct<amounts:array<double>,kind:string>>"
+    return frame.df.select("event_id", F.explode("by").alias("who", "x")).select("event_id", "who", "x.kind", F.col("x.amounts")[0].alias("amount"))
+
+
 @query("SELECT event_id, event_type, 'compressionType lzo needs a format' AS refused FROM events")
 def codec_needs_format(spark, sf):
     """A codec that has to be read in a named format is refused without one; with one the format's reader decides."""

@@ -153,8 +153,8 @@ class FlexFrame:
         good, errors = _nest.unbox(self.df, path, format, schema, separator, escaper, skip_first, with_header, persist, staging_path)
         return self._next("unbox", good, errors, **limits)
 
-    def open_variant(self, path: str, **limits) -> FlexFrame:
-        return self._next("open_variant", _nest.open_variant(self.df, path), **limits)
+    def open_variant(self, path: str, as_map: Iterable[str] = (), **limits) -> FlexFrame:
+        return self._next("open_variant", _nest.open_variant(self.df, path, as_map), **limits)
 
     def unnest_tagged_json(self, **limits) -> FlexFrame:
         return self._next("unnest_tagged_json", _nest.unnest_tagged_json(self.df), **limits)

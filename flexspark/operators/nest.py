@@ -276,9 +276,9 @@ def csv_records(separator: str, escaper: str, skip_first: bool, with_header: boo
     return read
 
 
-def open_variant(df: DataFrame, path: str) -> DataFrame:
-    """Give an unboxed VARIANT its discovered type, in place."""
-    found = discover(df, [path])[path]
+def open_variant(df: DataFrame, path: str, as_map: Iterable[str] = ()) -> DataFrame:
+    """Give an unboxed VARIANT its discovered type, in place; objects at the ``as_map`` paths in it become maps."""
+    found = discover(df, [path], as_map)[path]
     names, _ = resolve(df.schema, path)
     typed = edit_fields(df, {path: lambda col, f: [(f.name, extract(col, "$", found))]})
     choices = {join_path(names[1:] + ((sub,) if sub else ())): kinds for sub, kinds in choice_paths(found).items()}

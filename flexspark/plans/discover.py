@@ -2,7 +2,9 @@
 
 ``schema_of_variant`` describes one value inside the JVM. Each round reduces the data to the distinct
 descriptions (combined map-side, so hot shapes cost nothing), takes those apart in Python tasks, and brings
-only distinct (path, type) pairs to the driver: as many as the schema has nodes, whatever the data size.
+only distinct (path, type) pairs to the driver: as many as the schema has nodes, whatever the data size. Objects
+whose keys are data, not field names, would make a node of each key: name them in ``as_map``, and all their values
+are one node.
 
 Inside one array ``schema_of_variant`` folds element types together (mixed kinds to VARIANT, integers and
 decimals to one decimal). Where that may have hidden a conflict the next round describes the elements one by
@@ -14,6 +16,7 @@ from __future__ import annotations
 import json
 import re
 from collections import defaultdict
+from collections.abc import Iterable
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -21,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flexspark.plans.nested import nodes
-from flexspark.plans.paths import join_path, quote, top, value_at
+from flexspark.plans.paths import join_path, quote, segments, top, value_at
 from flexspark.plans.types import Choice, contains, schema_to_json, to_spark, type_name
 
 # Scalar names in schema_of_variant output.
@@ -37,9 +40,8 @@ _SCALARS = {
     "TIMESTAMP_NTZ": T.TimestampNTZType(),
     "VOID": T.NullType(),
 }
-MAX_NODES = 200_000
 _FOLDED = {"VARIANT", "DOUBLE"}
-_ITEM = "[]"
+_ITEM, _VALUE = "[]", "{}"
 _TOKEN = re.compile(r"OBJECT<|ARRAY<|>|, |: |`(?:[^`]|``)*`|[^<>,:`(]+(?:\([^)]*\))?")
 
 Step = tuple[str, ...]
@@ -78,15 +80,37 @@ def _take_apart(text: str) -> list[tuple[Step, str]]:
     return found
 
 
-def _pairs(batches):
-    """Arrow batches of (root, description) as distinct (root, path, kind) rows."""
-    for batch in batches:
-        rows = {
-            (i, json.dumps(path), kind)
-            for i, s in zip(batch.column("i").to_pylist(), batch.column("s").to_pylist())
-            for path, kind in _take_apart(s)
-        }
-        yield pa.RecordBatch.from_pylist([{"i": i, "path": p, "kind": k} for i, p, k in sorted(rows)], _PAIRS)
+def _pairs(maps: list[set[Step]]):
+    """Function from Arrow batches of (root, description) to distinct (root, path, kind) rows; ``maps``: each root's paths of maps."""
+
+    def run(batches):
+        for batch in batches:
+            rows = {
+                (i, json.dumps(_merged(path, maps[i])), kind)
+                for i, s in zip(batch.column("i").to_pylist(), batch.column("s").to_pylist())
+                for path, kind in _take_apart(s)
+            }
+            yield pa.RecordBatch.from_pylist([{"i": i, "path": p, "kind": k} for i, p, k in sorted(rows)], _PAIRS)
+
+    return run
+
+
+def _merged(path: Step, maps: set[Step]) -> Step:
+    """Path with one step for all keys of a map."""
+    out: Step = ()
+    for step in path:
+        out = out + (_VALUE if out in maps and step != _ITEM else step,)
+    return out
+
+
+def _steps(path: str) -> Step:
+    """Steps of a path inside variant values; ``[]`` enters array elements, ``{}`` a map's values."""
+    return tuple(s for name, arrays in segments(path) for s in [*_split_suffix(name), *[_ITEM] * arrays])
+
+
+def _split_suffix(name: str) -> list[str]:
+    bare = name.rstrip("{}") if name.endswith(_VALUE) else name
+    return ["." + bare, *[_VALUE] * ((len(name) - len(bare)) // 2)]
 
 
 def variant_paths(df: DataFrame) -> list[str]:
@@ -105,8 +129,12 @@ def _variant_items(dtype: T.DataType) -> bool:
     return layers > 0 and isinstance(dtype, T.VariantType)
 
 
-def discover(df: DataFrame, paths: list[str] | None = None) -> dict[str, T.DataType]:
-    """Type of every given VARIANT path, as a Spark type or :class:`Choice`."""
+def discover(df: DataFrame, paths: list[str] | None = None, as_map: Iterable[str] = ()) -> dict[str, T.DataType]:
+    """Type of every given VARIANT path, as a Spark type or :class:`Choice`.
+
+    Objects at the ``as_map`` paths, which lead from a variant's root (``a.b``, ``lines[].c``, ``m{}.d``), become maps.
+    """
+    maps = {_steps(p) for p in as_map}
     paths = variant_paths(df) if paths is None else paths
     if not paths:
         return {}
@@ -118,15 +146,16 @@ def discover(df: DataFrame, paths: list[str] | None = None) -> dict[str, T.DataT
             df.select(F.inline(F.concat(*[_tagged(d, n) for n, d in enumerate(described)])))
             .where("s is not null")
             .distinct()
-            .mapInArrow(_pairs, "i int, path string, kind string")
+            .mapInArrow(_pairs([{m[len(s):] for m in maps if m[: len(s)] == s} for _, s in todo]), "i int, path string, kind string")
             .distinct()
-            .limit(MAX_NODES + 1)
             .collect()
         )
-        if len(rows) > MAX_NODES:
-            raise ValueError("objects keyed by data, not by field names: read the column with a map type instead")
         todo = _record(seen, todo, [(r.i, tuple(json.loads(r.path)), r.kind) for r in rows])
-    return {p: _assemble(seen, i, ()) for i, p in enumerate(paths)}
+    below: dict[tuple[int, Step], set[str]] = defaultdict(set)
+    for i, at in seen:
+        for n in range(len(at)):
+            below[i, at[:n]].add(at[n])
+    return {p: _assemble(seen, below, maps, i, ()) for i, p in enumerate(paths)}
 
 
 def _tagged(descriptions: Column, n: int) -> Column:
@@ -162,26 +191,22 @@ def _descriptions(df: DataFrame, path: str, steps: Step) -> Column:
     many = isinstance(dtype, T.ArrayType)
     while many and isinstance(dtype.elementType, T.ArrayType):
         col, dtype = F.flatten(col), dtype.elementType
-    legs: list[list[str]] = [[]]
+    leg: list[str] = []
     for step in steps:
-        if step == _ITEM:
-            legs.append([])
-        else:
-            legs[-1].append(step[1:])
-    for leg in legs[:-1]:
-        where = json_path(leg)
-        if many:
-            col = F.flatten(F.transform(col, _items_at(where)))
-        else:
-            col, many = F.try_variant_get(col, where, "array<variant>"), True
+        if step not in (_ITEM, _VALUE):
+            leg.append(step[1:])
+            continue
+        items, leg = _items_at(json_path(leg), step), []
+        col, many = (F.flatten(F.transform(col, items)) if many else items(col)), True
     if not many:
         return F.array(describe(col))
     return F.array_distinct(F.transform(col, describe))
 
 
-def _items_at(where: str):
-    """Function from a variant to the array at a path in it, empty when there is none."""
-    return lambda e: F.coalesce(F.try_variant_get(e, where, "array<variant>"), F.array().cast("array<variant>"))
+def _items_at(where: str, step: str):
+    """Function from a variant to the elements, or a map's values, at a path in it; empty when there are none."""
+    got = (lambda e: F.try_variant_get(e, where, "array<variant>")) if step == _ITEM else (lambda e: F.map_values(F.try_variant_get(e, where, "map<string,variant>")))
+    return lambda e: F.coalesce(got(e), F.array().cast("array<variant>"))
 
 
 def json_path(names: list[str]) -> str:
@@ -199,15 +224,17 @@ def json_path(names: list[str]) -> str:
     return out
 
 
-def _assemble(seen, root: int, at: Step) -> T.DataType:
-    """Type at a path from the kinds recorded there."""
+def _assemble(seen, below, maps: set[Step], root: int, at: Step) -> T.DataType:
+    """Type at a path from the kinds recorded there; ``below`` has the next steps of each path."""
+    inner = lambda step: _assemble(seen, below, maps, root, at + (step,))
     options: dict[str, T.DataType] = {}
     for kind in seen.get((root, at), ()):
-        if kind == "OBJECT":
-            names = sorted({p[len(at)][1:] for i, p in seen if i == root and len(p) > len(at) and p[: len(at)] == at and p[len(at)] != _ITEM})
-            dtype = T.StructType([T.StructField(n, _assemble(seen, root, at + ("." + n,))) for n in names])
+        if kind == "OBJECT" and at in maps:
+            dtype = T.MapType(T.StringType(), inner(_VALUE))
+        elif kind == "OBJECT":
+            dtype = T.StructType([T.StructField(s[1:], inner(s)) for s in sorted(below.get((root, at), ())) if s not in (_ITEM, _VALUE)])
         elif kind == "ARRAY":
-            dtype = T.ArrayType(_assemble(seen, root, at + (_ITEM,)))
+            dtype = T.ArrayType(inner(_ITEM))
         else:
             dtype = T.DoubleType() if kind.startswith("DECIMAL") else _SCALARS[kind]
         options[type_name(dtype)] = dtype
@@ -226,6 +253,8 @@ def choice_paths(dtype: T.DataType, at: tuple[str, ...] = ()) -> dict[str, list[
         return {join_path(at): [schema_to_json(o) for o in dtype.options.values()]}
     if isinstance(dtype, T.ArrayType):
         return choice_paths(dtype.elementType, at)
+    if isinstance(dtype, T.MapType):
+        return choice_paths(dtype.valueType, at)
     out = {}
     if isinstance(dtype, T.StructType):
         for f in dtype.fields:
@@ -264,6 +293,8 @@ def _no_void(dtype: T.DataType) -> T.DataType:
         return _Quoted([T.StructField(f.name, _no_void(f.dataType)) for f in dtype.fields])
     if isinstance(dtype, T.ArrayType):
         return T.ArrayType(_no_void(dtype.elementType))
+    if isinstance(dtype, T.MapType):
+        return T.MapType(dtype.keyType, _no_void(dtype.valueType))
     return dtype
 
 
@@ -281,6 +312,8 @@ def _restore_void(col: Column, dtype: T.DataType) -> Column:
         return col
     if isinstance(dtype, T.ArrayType):
         return F.transform(col, lambda x: _restore_void(x, dtype.elementType))
+    if isinstance(dtype, T.MapType):
+        return F.transform_values(col, lambda k, v: _restore_void(v, dtype.valueType))
     return F.when(
         col.isNotNull(),
         F.struct(*[_restore_void(col.getField(f.name), f.dataType).alias(f.name) for f in dtype.fields]),

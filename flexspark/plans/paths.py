@@ -23,16 +23,22 @@ def as_list(value) -> list:
 
 def split_path(path: str) -> tuple[str, ...]:
     """Cut a path into names; array marks are dropped because the schema already tells where arrays are."""
-    names, at = [], 0
+    return tuple(name for name, _ in segments(path))
+
+
+def segments(path: str) -> list[tuple[str, int]]:
+    """(name, number of array marks) of each part of a path."""
+    found, at = [], 0
     while at < len(path):
         m = _SEGMENT.match(path, at)
         if not m:
             raise ValueError(f"not a field path: {path!r}")
-        names.append(m.group(1).replace("``", "`") if m.group(1) is not None else m.group(2))
+        name = m.group(1).replace("``", "`") if m.group(1) is not None else m.group(2)
+        found.append((name, len(m.group(3)) // 2))
         at = m.end()
-    if not names or path.endswith("."):
+    if not found or path.endswith("."):
         raise ValueError(f"not a field path: {path!r}")
-    return tuple(names)
+    return found
 
 
 def quote(name: str) -> str:

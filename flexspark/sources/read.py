@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import itertools
 import re
+from collections.abc import Iterable
 from functools import reduce
 from pathlib import PurePosixPath
 
@@ -14,6 +15,7 @@ from pyspark.sql import types as T
 
 from flexspark.frame import FlexFrame, Step
 from flexspark.plans.discover import discover, from_variant
+from flexspark.plans.paths import as_list
 from flexspark.plans.types import Choice, merge_types, type_name
 
 # Codecs that need a named format, and CSV options under their names here and in Spark.
@@ -82,6 +84,7 @@ class FlexReader:
         format options it goes to Spark's typed reader, which is about twice as fast and keeps none.
         """
         options, format_options = dict(connection_options or {}), dict(format_options or {})
+        as_map = as_list(format_options.pop("asMap", ()))
         format = format.lower() if format else None
         codec = str(options.pop("compressionType", "") or "").lower()
         if codec in NAMED_FORMAT_CODECS and format is None:
@@ -92,7 +95,7 @@ class FlexReader:
 
             frame = FlexFrame(read_jdbc(self.spark, options), name)
         elif format == "json" and (schema is None or "mode" not in format_options):
-            frame = self.json(_paths(options), name, _reader_options(options, format_options), schema, predicate=push_down_predicate)
+            frame = self.json(_paths(options), name, _reader_options(options, format_options), schema, predicate=push_down_predicate, as_map=as_map)
         else:
             kind = format or connection_type.lower()
             reader = self.spark.read.format(kind).options(**_reader_options(options, format_options))
@@ -106,12 +109,13 @@ class FlexReader:
         return FlexFrame(df, name, frame.steps)
 
     def json(self, paths: list[str], name: str = "", options: dict | None = None, schema: T.StructType | str | None = None,
-             discover_types: bool = True, predicate: str = "") -> FlexFrame:
+             discover_types: bool = True, predicate: str = "", as_map: Iterable[str] = ()) -> FlexFrame:
         """JSON records and partition columns, the records' types given or discovered. Top-level arrays count as their elements.
 
         Text that does not parse, and values that are no objects, become error records; values that do not fit a given
         type are null. Each text is parsed once, by the scan. The parts of ``predicate`` that need partition columns only are applied
-        first, so that other folders are neither discovered nor read; the rest is left to the caller.
+        first, so that other folders are neither discovered nor read; the rest is left to the caller. Objects at the ``as_map`` paths,
+        whose keys are data, are discovered as maps (format option ``asMap`` of :meth:`from_options`).
         """
         raw = (
             self.spark.read.options(**{**(options or {}), "singleVariantColumn": "v", "columnNameOfCorruptRecord": _CORRUPT})
@@ -125,7 +129,7 @@ class FlexReader:
         found = T.DataType.fromDDL(schema) if isinstance(schema, str) else schema
         given = found is not None or not discover_types
         if not given:
-            found = discover(raw, ["v"])["v"]
+            found = discover(raw, ["v"], as_map)["v"]
         records, objects = _objects(raw, found, given)
         is_object = F.try_variant_get("v", "$", "struct<>").isNotNull()
         errors = records.where(~is_object).select(

@@ -214,3 +214,15 @@ def test_plain_frame_reproduces_every_value(spark):
     assert only[:5] == [{"long": 1}, {"string": "a"}, {"double": 2.5}, {"boolean": True}, {}]
     assert only[5]["array"][0]["long"] == 1 and only[5]["array"][1]["string"] == "b"
     assert only[6]["struct"]["k"]["array"][1] == {"z": 1} and only[7]["struct"]["k"]["string"] == "c"
+
+
+def test_objects_keyed_by_data(spark):
+    texts = ['{"m": {"a": {"x": 1}, "b": {"x": "s", "l": [1, {"y": 2}]}}, "o": {"p": 1}}', '{"m": {"c.d": {"x": 2}, "e": 5}}', '{"m": {}}', '{"m": null, "l": [{"n": {"k1": 1, "k2": 2}}]}']
+    raw = spark.createDataFrame([(t,) for t in texts], "t string").select(F.parse_json("t").alias("v"))
+    got = discover(raw, ["v"], ["m", "l[].n"])["v"]
+    assert isinstance(got["m"].dataType, T.MapType) and got["o"].dataType.simpleString() == "struct<p:bigint>"
+    assert got["l"].dataType.elementType["n"].dataType.simpleString() == "map<string,bigint>"
+    typed = from_variant(raw, "v", got)
+    keys = typed.select(F.explode("m").alias("k", "x")).select("k", F.to_json("x").alias("x")).collect()
+    assert {r.k for r in keys} == {"a", "b", "c.d", "e"} and ("e", "5") in {(r.k, r.x) for r in keys}
+    assert typed.where("l is not null").select(F.col("l")[0]["n"]["k2"]).first()[0] == 2
