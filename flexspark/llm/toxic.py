@@ -1,13 +1,14 @@
 """Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max inverted index, distance-weighted votes.
 
 Terms are words (between white space and ASCII punctuation, A-Z in lower case) and their beginnings of PREFIXES bytes, so that inflected forms meet.
-The vocabulary holds the terms whose presence differs between the two labels by more than chance (Z standard errors) in a
-bounded sample of labelled rows: at most MAX_TOXIC and MAX_CLEAN, those with the smallest key hashes. Term frequencies over
-documents are counted on all documents. A text's vector is (1 + ln tf) * ln(1 + N / df), of unit length.
+The vocabulary holds every term of a bounded sample of labelled rows: at most MAX_TOXIC and MAX_CLEAN, those with the smallest key hashes.
+A term weighs the more, the more its presence differs between the labels: evidence is the difference in standard errors, and 1 at least, so no term
+is without weight. Term frequencies over documents are counted on all documents. A text's vector is (1 + ln tf) * ln(1 + N / df) * evidence, of
+unit length. Terms that no example has meet none; they do not count in a text's length.
 
 Examples with equal vectors are one entry with the sum of their votes. A vote weighs cosine * (labelled rows of the class / sampled ones), so
 the sample's class ratio does not matter; the base rate counts as PRIOR votes. Entries at equal cosine are taken
-together. A text without any term of the vocabulary is at distance 0 from examples without any, and these vote.
+together. A text without any term is at distance 0 from examples without any, and these vote; a text none of whose terms an example has gets the base rate.
 """
 
 from __future__ import annotations
@@ -26,8 +27,8 @@ from flexspark.sources.scratch import stage
 
 PREFIXES = (4, 5, 6, 7)
 MAX_TOXIC, MAX_CLEAN = 2000, 4000
-MIN_TEXTS, Z = 4, 5.0
 NEIGHBOURS, PRIOR, BLOCK = 16, 0.5, 32
+DENSE, FEW = 16, 8
 
 
 class Terms:
@@ -61,8 +62,8 @@ def sample(labels: DataFrame, key: str, label: str) -> tuple[DataFrame, dict[int
     return taken, weight, (total.get(1, 0) / n if n else 0.0)
 
 
-def vocabulary(examples: DataFrame) -> np.ndarray:
-    """Hashes of the terms that tell the labels apart, sorted; from examples (text, y)."""
+def vocabulary(examples: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all terms of the examples (text, y), sorted, and each term's evidence."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         terms = Terms()
@@ -84,23 +85,27 @@ def vocabulary(examples: DataFrame) -> np.ndarray:
     n = {r["y"]: r["n"] for r in examples.groupBy("y").agg(F.count("*").alias("n")).collect()}
     n1, n0 = float(n.get(1, 0)), float(n.get(0, 0))
     if not n1 or not n0:
-        return np.zeros(0, H.U64)
+        return np.zeros(0, H.U64), np.zeros(0)
     counts = examples.select("text", "y").mapInArrow(run, "h long, a long, b long").groupBy("h").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
     p = (F.col("a") + F.col("b")) / F.lit(n1 + n0)
     z = (F.col("a") / n1 - F.col("b") / n0) / F.sqrt(F.greatest(p * (1 - p), F.lit(1e-9)) * (1 / n1 + 1 / n0))
-    told = counts.where((F.col("a") + F.col("b") >= MIN_TEXTS) & (F.abs(z) >= Z)).select("h").collect()  # of a bounded sample
-    return np.sort(np.array([r["h"] for r in told], dtype=np.int64).view(H.U64))
+    told = counts.select("h", F.greatest(F.abs(z), F.lit(1.0)).alias("z")).toArrow()  # of a bounded sample
+    h = told["h"].to_numpy().view(H.U64)
+    order = np.argsort(h)
+    return h[order], told["z"].to_numpy()[order]
 
 
 def found(terms: Terms, c: H.Chunk, vocab: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(document, term number, count) of the vocabulary's terms, ordered by document."""
+    """(document, term number, count) of the vocabulary's terms, ordered by document. A text with other terms only has the number after the last, once."""
     if not len(vocab):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     h, doc = terms(c)
     at = np.minimum(np.searchsorted(vocab, h), len(vocab) - 1)
-    hit = np.flatnonzero(vocab[at] == h)
-    u, n = np.unique(doc[hit] * len(vocab) + at[hit], return_counts=True)
-    return u // len(vocab), u % len(vocab), n
+    known = vocab[at] == h
+    other = np.flatnonzero((np.bincount(doc, minlength=c.count) > 0) & (np.bincount(doc[known], minlength=c.count) == 0))
+    size = len(vocab) + 1
+    u, n = np.unique(np.concatenate([doc[known] * size + at[known], other * size + len(vocab)]), return_counts=True)
+    return u // size, u % size, n
 
 
 def vectors(df: DataFrame, vocab: np.ndarray, keep: list[str]) -> DataFrame:
@@ -125,15 +130,12 @@ def vectors(df: DataFrame, vocab: np.ndarray, keep: list[str]) -> DataFrame:
 
 
 class Index(NamedTuple):
-    """Bounded by the sample: unit vectors of distinct examples as postings, term by term, with every block's largest weight."""
+    """Bounded by the sample: unit vectors of distinct examples as postings, term by term."""
 
-    idf: np.ndarray
+    idf: np.ndarray  # times evidence
     first: np.ndarray  # of each term, in entry and value
     entry: np.ndarray
     value: np.ndarray
-    top_first: np.ndarray  # of each term, in block and top
-    block: np.ndarray
-    top: np.ndarray
     votes1: np.ndarray
     votes0: np.ndarray
     rows: np.ndarray
@@ -142,34 +144,48 @@ class Index(NamedTuple):
     base: float
 
 
-def build(examples: list, vocab_size: int, df: np.ndarray, total: int, weight: dict[int, float], base: float) -> Index:
+def build(examples: list, vocab_size: int, df: np.ndarray, total: int, weight: dict[int, float], base: float, evidence: np.ndarray | float = 1.0) -> Index:
     """Index of (id, y, terms, counts) rows."""
-    idf = np.log1p(total / np.maximum(df, 1.0))
+    idf = np.log1p(total / np.maximum(df, 1.0)) * evidence
     entries: dict[tuple, list] = {}
     for key, y, terms, counts in sorted(examples, key=lambda r: r[0]):
-        slot = entries.setdefault((tuple(terms), tuple(counts)), [0.0, 0.0, 0, []])
+        slot = entries.setdefault((np.asarray(terms, np.int32).tobytes(), np.asarray(counts, np.int32).tobytes()), [0.0, 0.0, 0, []])
         slot[1 - y] += weight[y]
         slot[2] += 1
         slot[3] = [*slot[3], key][:NEIGHBOURS]
-    none = entries.pop(((), ()), [0.0, 0.0, 0, []])
-    t, e, v = [], [], []
-    # neighbours in the vocabulary stand in one block, so a block's bounds are tight
-    for i, (terms, counts) in enumerate(sorted(entries)):
-        w = (1 + np.log(np.array(counts))) * idf[list(terms)]
-        t.extend(terms)
-        e.extend([i] * len(terms))
-        v.extend(w / np.linalg.norm(w))
-    kept = [entries[k] for k in sorted(entries)]
-    t, e, v = np.array(t, np.int64), np.array(e, np.int64), np.array(v)
-    order = np.lexsort((e, t))
+    none = entries.pop((b"", b""), [0.0, 0.0, 0, []])
+    units = []
+    for (terms, counts), slot in entries.items():
+        terms = np.frombuffer(terms, np.int32)
+        w = (1 + np.log(np.frombuffer(counts, np.int32))) * idf[terms]
+        units.append((terms[np.argsort(-w, kind="stable")[:4]].tolist(), terms, w / np.linalg.norm(w), slot))
+    # entries with the same heaviest terms stand in one block, so a block's bounds are tight
+    units.sort(key=lambda u: u[0])
+    kept = [u[3] for u in units]
+    t = np.concatenate([np.zeros(0, np.int32), *[u[1] for u in units]])
+    e = np.repeat(np.arange(len(units), dtype=np.int32), [len(u[1]) for u in units])
+    v = np.concatenate([np.zeros(0), *[u[2] for u in units]])
+    order = np.argsort(t, kind="stable")
     t, e, v = t[order], e[order], v[order]
-    group = t * (len(kept) // BLOCK + 1) + e // BLOCK
-    u, at = np.unique(group, return_index=True)
-    top = np.maximum.reduceat(v, at) if len(at) else np.zeros(0)
-    block, of = u % (len(kept) // BLOCK + 1), u // (len(kept) // BLOCK + 1)
     ends = np.arange(vocab_size + 1)
     col = lambda i: np.array([x[i] for x in kept], float)
-    return Index(idf, np.searchsorted(t, ends), e, v, np.searchsorted(of, ends), block, top, col(0), col(1), col(2), [x[3] for x in kept], (none[0], none[1], none[3]), base)
+    return Index(idf, np.searchsorted(t, ends), e, v, col(0), col(1), col(2), [x[3] for x in kept], (none[0], none[1], none[3]), base)
+
+
+class Search:
+    """An index with its frequent terms (those of one entry in DENSE, or more) laid out as a matrix, with every block's largest weight; the others stay postings."""
+
+    def __init__(self, ix: Index):
+        self.ix, size = ix, len(ix.rows)
+        self.blocks = size // BLOCK + 1
+        often = np.flatnonzero(np.diff(ix.first) * DENSE >= max(size, DENSE))
+        self.column = np.full(len(ix.idf), -1, np.int32)
+        self.column[often] = np.arange(len(often))
+        self.values = np.zeros((len(often), self.blocks * BLOCK))
+        for i, t in enumerate(often):
+            a, b = ix.first[t], ix.first[t + 1]
+            self.values[i, ix.entry[a:b]] = ix.value[a:b]
+        self.tops = self.values.reshape(len(often), self.blocks, BLOCK).max(axis=2)
 
 
 def _expand(first: np.ndarray, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -179,29 +195,21 @@ def _expand(first: np.ndarray, terms: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + first[terms][owner], owner
 
 
-def _ranked(ix: Index, doc: np.ndarray, term: np.ndarray, w: np.ndarray, open_: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(document, entry, cosine, first cosine too low) of the entries in each document's open blocks, nearest first."""
-    p, owner = _expand(ix.first, term)
-    e, d = ix.entry[p], doc[owner]
-    keep = open_[d, e // BLOCK]
-    cell, inverse = np.unique(d[keep] * len(ix.rows) + e[keep], return_inverse=True)
-    score = np.bincount(inverse, weights=w[owner[keep]] * ix.value[p[keep]], minlength=len(cell))
-    d, e = cell // len(ix.rows), cell % len(ix.rows)
-    order = np.lexsort((e, -score, d))
-    d, e, score = d[order], e[order], score[order]
-    # the cosine at which NEIGHBOURS examples are reached; none, while they are fewer
-    total = np.cumsum(ix.rows[e])
-    start = np.searchsorted(d, np.arange(len(open_)))
-    before = np.concatenate([[0], total])[start]
-    reach = np.searchsorted(total, before + NEIGHBOURS)
-    floor = np.zeros(len(open_))
-    full = reach < np.append(start[1:], len(d))
-    floor[full] = score[reach[full]]
-    return d, e, score, floor
-
-
-def vote(ix: Index, doc: np.ndarray, term: np.ndarray, count: np.ndarray, docs: int) -> tuple[np.ndarray, list, list]:
+def _floor(score: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Of each document, the cosine at which NEIGHBOURS examples are reached; 0, while they are fewer."""
+    k = min(NEIGHBOURS, score.shape[1])
+    best = np.argpartition(-score, k - 1, axis=1)[:, :k]
+    s = np.take_along_axis(score, best, 1)
+    order = np.argsort(-s, axis=1)
+    s, n = np.take_along_axis(s, order, 1), np.cumsum(rows[np.take_along_axis(best, order, 1)], axis=1)
+    enough = n >= NEIGHBOURS
+    return np.where(enough.any(axis=1), s[np.arange(len(s)), np.argmax(enough, axis=1)], 0.0)
+
+
+def vote(ix: Index | Search, doc: np.ndarray, term: np.ndarray, count: np.ndarray, docs: int) -> tuple[np.ndarray, list, list]:
     """Scores of ``docs`` documents given as (document, term, count) rows by document, and the nearest examples (keys, cosines) each rests on."""
+    search = ix if isinstance(ix, Search) else Search(ix)
+    ix, blocks = search.ix, search.blocks
     size = len(ix.rows)
     score = np.full(docs, ix.base)
     near: list = [[] for _ in range(docs)]
@@ -215,33 +223,56 @@ def vote(ix: Index, doc: np.ndarray, term: np.ndarray, count: np.ndarray, docs:
         return score, near, cosine
     w = (1 + np.log(count)) * ix.idf[term]
     w = w / np.sqrt(np.bincount(doc, weights=w * w, minlength=docs))[doc]
-    blocks = size // BLOCK + 1
-    p, owner = _expand(ix.top_first, term)
-    bound = np.bincount(doc[owner] * blocks + ix.block[p], weights=w[owner] * ix.top[p], minlength=docs * blocks).reshape(docs, blocks)
-    # the best blocks give a floor; then every block whose bound reaches it
-    best = np.zeros((docs, blocks), bool)
-    np.put_along_axis(best, np.argsort(-bound, axis=1)[:, :4], True, axis=1)
-    floor = _ranked(ix, doc, term, w, best & (bound > 0))[3]
-    d, e, s, floor = _ranked(ix, doc, term, w, (bound > 0) & (bound >= floor[:, None] - 1e-9))
-    keep = s >= floor[d] - 1e-9
-    d, e, s = d[keep], e[keep], s[keep]
+    column = search.column[term]
+    often, rare = np.flatnonzero(column >= 0), np.flatnonzero(column < 0)
+    x = np.zeros((docs, len(search.values)))
+    x[doc[often], column[often]] = w[often]
+    width = blocks * BLOCK
+    some = np.zeros((docs, width))
+    begin = np.searchsorted(doc[rare], np.arange(0, docs + FEW, FEW))
+    # a few documents at a time, so that the sums stay in the processor's cache
+    for i, part in enumerate(rare[begin[k] : begin[k + 1]] for k in range(len(begin) - 1)):
+        p, owner = _expand(ix.first, term[part])
+        into = some[i * FEW : (i + 1) * FEW]
+        cell = ((doc[part] - i * FEW) * width)[owner] + ix.entry[p]
+        into += np.bincount(cell, weights=w[part][owner] * ix.value[p], minlength=into.size).reshape(into.shape)
+    bound = x @ search.tops + some.reshape(docs, blocks, BLOCK).max(axis=2)
+    whole = np.zeros_like(some)
+    rows = np.append(ix.rows, np.zeros(width - size))
+
+    def look(which: np.ndarray) -> None:
+        at = (np.flatnonzero(which)[:, None] * BLOCK + np.arange(BLOCK)).ravel()
+        whole[:, at] = some[:, at] + (x @ search.values if which.all() else x @ search.values[:, at])[:, : len(at)]
+
+    # the best block of each document gives a floor; then every block whose bound reaches it for some document
+    first = np.zeros(blocks, bool)
+    first[np.argmax(bound, axis=1)] = True
+    look(first)
+    more = ((bound > 0) & (bound >= _floor(whole, rows)[:, None] - 1e-9)).any(axis=0) & ~first
+    if more.any():
+        look(more)
+    d, e = np.nonzero(whole >= np.maximum(_floor(whole, rows) - 1e-9, 1e-12)[:, None])
+    s = whole[d, e]
+    order = np.lexsort((e, -s, d))
+    d, e, s = d[order], e[order], s[order]
     toxic, clean = (np.bincount(d, weights=s * v[e], minlength=docs) for v in (ix.votes1, ix.votes0))
     met = np.bincount(d, minlength=docs) > 0
     score[met] = (toxic[met] + PRIOR * ix.base) / (toxic[met] + clean[met] + PRIOR)
-    for i, j, x in zip(d.tolist(), e.tolist(), s.tolist()):
+    for i, j, c in zip(d.tolist(), e.tolist(), s.tolist()):
         if len(near[i]) < NEIGHBOURS:
             near[i].extend(ix.ids[j])
-            cosine[i].extend([x] * len(ix.ids[j]))
+            cosine[i].extend([c] * len(ix.ids[j]))
     return score, [n[:NEIGHBOURS] for n in near], [c[:NEIGHBOURS] for c in cosine]
 
 
 def _counter(size: int):
-    """Function over batches of __terms: each task's number of texts with each term."""
+    """Function over batches of __terms: each task's number of texts with each term, and of all texts as that of the term after the last."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n = np.zeros(size, np.int64)
+        n = np.zeros(size + 1, np.int64)
         for batch in batches:
-            n += np.bincount(batch["__terms"].flatten().to_numpy(), minlength=size)
+            n += np.bincount(batch["__terms"].flatten().to_numpy(), minlength=size + 1)
+            n[size] += len(batch)
         t = np.flatnonzero(n)
         yield pa.RecordBatch.from_arrays([pa.array(t, pa.int32()), pa.array(n[t])], names=["t", "n"])
 
@@ -254,20 +285,22 @@ class Model(NamedTuple):
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "doc_id") -> tuple[Model, DataFrame]:
-    """Model from the labels given, and the staged vectors (key, __terms, __counts) of all documents.
+    """Model from the labels given, and the vectors (key, __terms, __counts) of all documents, made anew at each use: with all terms they are larger than the texts.
 
     Without labels of both kinds the vocabulary is empty, and every score is the base rate (0 without labels).
     """
     taken, weight, base = sample(labels, key, label)
     picked = docs.select(F.col(key).alias("id"), "text").join(F.broadcast(taken.select(F.col(key).alias("k"), "y")), F.col("id") == F.col("k"))  # at most MAX_TOXIC + MAX_CLEAN keys
     examples = stage(picked.select("id", "text", "y"), "examples")
-    vocab = vocabulary(examples)
-    every = stage(vectors(docs, vocab, [key]), "vectors")
-    df = np.zeros(len(vocab))
-    for r in every.select("__terms").mapInArrow(_counter(len(vocab)), "t int, n long").groupBy("t").agg(F.sum("n").alias("n")).collect():  # a row for each term of the vocabulary
-        df[r["t"]] = r["n"]
-    rows = vectors(examples, vocab, ["id", "y"]).collect()
-    return Model(vocab, build([(r["id"], r["y"], r["__terms"], r["__counts"]) for r in rows], len(vocab), df, every.count(), weight, base)), every
+    vocab, evidence = vocabulary(examples)
+    size = len(vocab) + 1 if len(vocab) else 0
+    every = vectors(docs, vocab, [key])
+    df = np.zeros(size + 1)
+    seen = every.select("__terms").mapInArrow(_counter(size), "t int, n long").groupBy("t").agg(F.sum("n").alias("n")).toArrow()  # a row for each term of the vocabulary
+    df[seen["t"].to_numpy()] = seen["n"].to_numpy()
+    rows = vectors(examples, vocab, ["id", "y"]).toArrow().combine_chunks()
+    lists = lambda c: [x.values.to_numpy() for x in rows[c]]
+    return Model(vocab, build(list(zip(rows["id"].to_pylist(), rows["y"].to_pylist(), lists("__terms"), lists("__counts"))), size, df[:size], int(df[size]), weight, base, np.append(evidence, 1.0)[:size])), every
 
 
 def score_vectors(every: DataFrame, model: Model, key: str = "doc_id") -> DataFrame:
@@ -276,7 +309,7 @@ def score_vectors(every: DataFrame, model: Model, key: str = "doc_id") -> DataFr
     kind = dict(every.dtypes)[key]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ix = shared.value.index
+        ix = Search(shared.value.index)
         for batch in batches:
             for at in range(0, len(batch), 256):
                 part = batch.slice(at, 256)
@@ -295,13 +328,14 @@ def reject(docs: DataFrame, model: Model, threshold: float) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         terms, m = Terms(), shared.value
+        ix = Search(m.index)
         for batch in batches:
             keep = []
             for c in H.chunks(batch.column(at)):
                 doc, term, n = found(terms, c, m.vocab)
                 for low in range(0, c.count, 256):
                     i, j = np.searchsorted(doc, (low, low + 256))
-                    keep.append(vote(m.index, doc[i:j] - low, term[i:j], n[i:j].astype(float), min(256, c.count - low))[0] < threshold)
+                    keep.append(vote(ix, doc[i:j] - low, term[i:j], n[i:j].astype(float), min(256, c.count - low))[0] < threshold)
             yield batch.filter(pa.array(np.concatenate([np.zeros(0, bool), *keep])))
 
     return docs.mapInArrow(run, docs.schema)

@@ -214,3 +214,14 @@ def test_stages_odd(spark, odd, nothing, stage):
     out = stage(spark, odd, SF)
     assert out.columns == odd.columns and 0 < out.count() <= 2 * len(odd_rows())
     assert stage(spark, nothing, SF).count() == 0
+
+
+def test_toxic_rare_terms_count(spark):
+    """A text equal to a toxic example is nearest to it, though no term of it stands in another example; a text of words no example has gets the base rate."""
+    examples = [(i, f"common words here number{i} thing{i}", 0) for i in range(40)] + [(100 + i, f"zqrare{i} vxodd{i} kwseldom{i}", 1) for i in range(3)]
+    docs = [(i, text) for i, text, _ in examples] + [(200, "zqrare1 vxodd1 kwseldom1"), (201, "unheard unseen"), (202, "")]
+    labels = spark.createDataFrame([(i, y) for i, _, y in examples], "doc_id long, toxic int")
+    model, every = toxic.fit(spark.createDataFrame(docs, "doc_id long, text string"), labels)
+    got = {r.doc_id: r for r in toxic.score_vectors(every, model).collect()}
+    assert got[200].near[0] == 101 and abs(got[200].cosine[0] - 1) < 1e-9 and got[200].score > 0.5 > got[0].score
+    assert got[201].near == [] and abs(got[201].score - 3 / 43) < 1e-9 and abs(got[202].score - 3 / 43) < 1e-9
