@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flexspark.llm import hashing as H
+from flexspark.sources.scratch import stage
 
 PASSAGE, STEP = 64, 32
 THRESHOLD, OVERLAP, PART = 0.5, 0.8, 0.5
@@ -58,8 +59,17 @@ def answer_start(text: str) -> int:
     return ends[-1] + len(text) - len(text.lstrip()) if ends else -1
 
 
-def build(items: list[tuple]) -> Index:
-    """Index of (id, text) items."""
+class Statistics(NamedTuple):
+    """Of all items with words, whichever index holds them: their number, mean number of words, and the items with each term."""
+
+    items: int
+    mean: float
+    terms: np.ndarray  # sorted hashes; at least those of the index to be built
+    counts: np.ndarray
+
+
+def build(items: list[tuple], of_all: Statistics | None = None) -> Index:
+    """Index of (id, text) items, scored by the statistics given, or else by those of these items."""
     words = H.WordHasher(H.spaces(punctuation=True))
     rows = []
     for key, text in sorted(items, key=lambda r: (str(r[0]), r[1] or "")):
@@ -76,8 +86,10 @@ def build(items: list[tuple]) -> Index:
     # items that share their most frequent term stand together: blocks then hold one language
     common = [int(terms[np.searchsorted(terms, u := np.unique(r[1]))][np.argmax(counts[np.searchsorted(terms, u)])]) for r in rows]
     rows = [rows[i] for i in sorted(range(n), key=lambda i: (common[i], len(rows[i][1])))]
-    mean = np.mean([len(r[1]) for r in rows]) if n else 1.0
-    idf = np.log1p((n - counts + 0.5) / (counts + 0.5))
+    if of_all is None:
+        of_all = Statistics(n, np.mean([len(r[1]) for r in rows]) if n else 1.0, terms, counts)
+    mean, counts = of_all.mean, of_all.counts[np.searchsorted(of_all.terms, terms)]
+    idf = np.log1p((of_all.items - counts + 0.5) / (counts + 0.5))
     t, e, v, least = [], [], [], []
     for i, (_, w, _, _) in enumerate(rows):
         u, tf = np.unique(w, return_counts=True)
@@ -183,12 +195,45 @@ def verified(ix: Index, w: H.Words, hits: list[tuple[int, int, float]]) -> list[
     return out
 
 
-def indexes(items: DataFrame, key: str) -> list[Index]:
-    """Indexes of (key, text) items of at most about INDEX_BYTES of text each, every one with statistics of its own; one for an ordinary benchmark."""
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each item with words a row (part, term) for every term, and one without term that has the number of words."""
+    words = H.WordHasher(H.spaces(punctuation=True))
+    for batch in batches:
+        part, first = batch["part"].to_numpy(), 0
+        for c in H.chunks(batch["text"]):
+            w = words(c)
+            order = np.lexsort((w.hash, w.doc))
+            h, doc = w.hash[order], w.doc[order]
+            new = np.ones(len(h), bool)
+            new[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
+            some = np.flatnonzero(w.per_doc)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(part[first : first + c.count][np.concatenate([doc[new], some])]),
+                    pa.concat_arrays([pa.array(h[new].view(np.int64)), pa.nulls(len(some), pa.int64())]),
+                    pa.array(np.concatenate([np.zeros(new.sum(), np.int64), w.per_doc[some]])),
+                ],
+                names=["part", "h", "words"],
+            )
+            first += c.count
+
+
+def indexes(items: DataFrame, key: str) -> Iterator[Index]:
+    """Indexes of (key, text) items of about INDEX_BYTES of text each, one after the other; all score by the statistics of all items."""
     items = items.select(F.col(key).alias("k"), "text").where(F.col("text").isNotNull())
     size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first()["n"]
     parts = max(1, -(-size // INDEX_BYTES))
-    return [build([(r["k"], r["text"]) for r in items.where(F.pmod(F.xxhash64("k", "text"), F.lit(parts)) == i).distinct().collect()]) for i in range(parts)]
+    items = stage(items.distinct().withColumn("part", F.pmod(F.xxhash64("k", "text"), F.lit(parts).cast("long"))), "items")
+    counts = stage(items.select("part", "text").mapInArrow(_counted, "part long, h long, words long").groupBy("part", "h").agg(F.count("*").alias("n"), F.sum("words").alias("words")), "terms")
+    total = counts.where(F.col("h").isNull()).agg(F.sum("n").alias("n"), F.sum("words").alias("words")).first()
+    counts = counts.where(F.col("h").isNotNull())
+    counts = stage(counts.select("part", "h").join(counts.groupBy("h").agg(F.sum("n").alias("n")), "h"), "counts")
+    for i in range(parts):
+        told = counts.where(F.col("part") == i).select("h", "n").toArrow()  # the terms of one part
+        h = told["h"].to_numpy().view(H.U64)
+        order = np.argsort(h)
+        of_all = Statistics(total["n"] or 0, total["words"] / total["n"] if total["n"] else 1.0, h[order], told["n"].to_numpy()[order])
+        yield build([(r["k"], r["text"]) for r in items.where(F.col("part") == i).collect()], of_all)
 
 
 def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", item: str = "item_id") -> DataFrame:

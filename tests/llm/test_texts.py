@@ -225,3 +225,19 @@ def test_toxic_rare_terms_count(spark):
     got = {r.doc_id: r for r in toxic.score_vectors(every, model).collect()}
     assert got[200].near[0] == 101 and abs(got[200].cosine[0] - 1) < 1e-9 and got[200].score > 0.5 > got[0].score
     assert got[201].near == [] and abs(got[201].score - 3 / 43) < 1e-9 and abs(got[202].score - 3 / 43) < 1e-9
+
+
+def test_leaks_same_in_parts(spark, monkeypatch):
+    """Items dealt over several indexes are found with the scores that one index gives."""
+    texts = [(i, f"which of the {i} many w{i % 7} things is{i % 3} named here a{i}? it is the b{i} answer number {i}") for i in range(30)]
+    items = spark.createDataFrame([*texts, (99, ""), (98, None)], "item_id long, text string")
+    docs = spark.createDataFrame([(d, " ".join(t for _, t in texts[d : d + 4])) for d in range(30)], "doc_id long, text string")
+    found = lambda: {(r.doc_id, r.item_id): r.score for r in decontam.leaks(docs, items).collect()}
+    one = decontam.build(texts)
+    want = found()
+    monkeypatch.setattr(decontam, "INDEX_BYTES", 600)
+    parts = list(decontam.indexes(items, "item_id"))
+    least = dict(zip(one.ids, one.least))
+    assert len(parts) > 2 and all(abs(least[i] - x) < 1e-9 for ix in parts for i, x in zip(ix.ids, ix.least))
+    got = found()
+    assert want and got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in got)
