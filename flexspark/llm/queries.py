@@ -4,7 +4,7 @@ import importlib
 
 from flexspark.llm.registry import QUERIES, SQL
 
-_MODULES = ["queries_native", "queries_pairs", "queries_text", "queries_vectors"]
+_MODULES = ["queries_native", "queries_pairs", "queries_search", "queries_text", "queries_vectors"]
 
 
 def load_all():
