@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flexspark.llm import forest, warc
+from flexspark.llm import extract, forest, warc, whiten
 from flexspark.llm.registry import load, query
 from flexspark.sources.scratch import stage
 
@@ -24,3 +24,19 @@ def op7_warc_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     page = lambda c: F.regexp_extract(c, "^<urn:page:(-?[0-9]+)>$", 1)
     as_id = lambda c: F.when(page(c) != "", page(c)).cast("long")
     return warc.read(archives).select(as_id(F.col("record_id")).alias("page_id"), "payload_bytes", "payload_digest", "record_type", as_id(F.col("refers_to")).alias("refers_to"), "error")
+
+
+@query()
+def op12_feast_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """A row for every vector and each of the four leading components."""
+    rows, found = whiten.whiten(load(spark, folder, "embeddings"), "embedding", 4)
+    share = F.array(*[F.lit(x) for x in found.explained]) if found and len(found.values) else F.array().cast("array<double>")
+    return rows.select("vec_id", F.lit(found.n if found else 0).cast("long").alias("n"), "deviation", F.posexplode("whitened").alias("at", "whitened")).select(
+        "vec_id", (F.col("at") + 1).alias("component"), "n", "deviation", "whitened", F.element_at(share, F.col("at") + 1).alias("explained"), F.lit(found.identity_error if found else 0.0).alias("identity_error")
+    )
+
+
+@query()
+def op11_page_text(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page's article as text."""
+    return extract.extract(load(spark, folder, "pages"), ["page_id", "url"])
