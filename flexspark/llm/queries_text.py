@@ -19,8 +19,7 @@ def train_labels(spark: SparkSession, folder: str) -> DataFrame:
 def op9_nearest_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's toxicity score, with the labelled examples nearest to it and their cosines."""
     docs = load(spark, folder, "documents").select("doc_id", "text")
-    model, every = toxic.fit(docs, train_labels(spark, folder))
-    scored = toxic.score_vectors(every, model)
+    scored = toxic.score(docs, toxic.fit(docs, train_labels(spark, folder)))
     return scored.select("doc_id", toxic.held_out().alias("held_out"), "score", (F.col("score") >= TOXIC).cast("int").alias("predicted"), "near", "cosine")
 
 

@@ -8,7 +8,7 @@ unit length. Terms that no example has meet none; they do not count in a text's
 
 Examples with equal vectors are one entry with the sum of their votes. A vote weighs cosine * (labelled rows of the class / sampled ones), so
 the sample's class ratio does not matter; the base rate counts as PRIOR votes. Entries at equal cosine are taken
-together. A text without any term is at distance 0 from examples without any, and these vote; a text none of whose terms an example has gets the base rate.
+together. A key is one example: of the rows that repeat it, the text with the smallest hash. A text without any term is at distance 0 from examples without any, and these vote; a text none of whose terms an example has gets the base rate.
 """
 
 from __future__ import annotations
@@ -18,7 +18,6 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,6 +28,7 @@ PREFIXES = (4, 5, 6, 7)
 MAX_TOXIC, MAX_CLEAN = 2000, 4000
 NEIGHBOURS, PRIOR, BLOCK = 16, 0.5, 32
 DENSE, FEW = 16, 8
+CHUNK = 1 << 20
 
 
 class Terms:
@@ -98,7 +98,7 @@ def vocabulary(examples: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 def found(terms: Terms, c: H.Chunk, vocab: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(document, term number, count) of the vocabulary's terms, ordered by document. A text with other terms only has the number after the last, once."""
     if not len(vocab):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return (np.zeros(0, np.int64),) * 3
     h, doc = terms(c)
     at = np.minimum(np.searchsorted(vocab, h), len(vocab) - 1)
     known = vocab[at] == h
@@ -130,11 +130,11 @@ def vectors(df: DataFrame, vocab: np.ndarray, keep: list[str]) -> DataFrame:
 
 
 class Index(NamedTuple):
-    """Bounded by the sample: unit vectors of distinct examples as postings, term by term."""
+    """Bounded by the sample: unit vectors of distinct examples, entry by entry."""
 
     idf: np.ndarray  # times evidence
-    first: np.ndarray  # of each term, in entry and value
-    entry: np.ndarray
+    first: np.ndarray  # of each entry, in term and value
+    term: np.ndarray
     value: np.ndarray
     votes1: np.ndarray
     votes0: np.ndarray
@@ -161,38 +161,45 @@ def build(examples: list, vocab_size: int, df: np.ndarray, total: int, weight: d
         units.append((terms[np.argsort(-w, kind="stable")[:4]].tolist(), terms, w / np.linalg.norm(w), slot))
     # entries with the same heaviest terms stand in one block, so a block's bounds are tight
     units.sort(key=lambda u: u[0])
-    kept = [u[3] for u in units]
-    t = np.concatenate([np.zeros(0, np.int32), *[u[1] for u in units]])
-    e = np.repeat(np.arange(len(units), dtype=np.int32), [len(u[1]) for u in units])
-    v = np.concatenate([np.zeros(0), *[u[2] for u in units]])
-    order = np.argsort(t, kind="stable")
-    t, e, v = t[order], e[order], v[order]
-    ends = np.arange(vocab_size + 1)
-    col = lambda i: np.array([x[i] for x in kept], float)
-    return Index(idf, np.searchsorted(t, ends), e, v, col(0), col(1), col(2), [x[3] for x in kept], (none[0], none[1], none[3]), base)
+    col = lambda i: np.array([u[3][i] for u in units], float)
+    return Index(
+        idf,
+        np.cumsum([0, *[len(u[1]) for u in units]]),
+        np.concatenate([np.zeros(0, np.int32), *[u[1] for u in units]]),
+        np.concatenate([np.zeros(0), *[u[2] for u in units]]),
+        col(0),
+        col(1),
+        col(2),
+        [u[3][3] for u in units],
+        (none[0], none[1], none[3]),
+        base,
+    )
 
 
 class Search:
-    """An index with its frequent terms (those of one entry in DENSE, or more) laid out as a matrix, with every block's largest weight; the others stay postings."""
+    """An index term by term: its frequent terms (those of one entry in DENSE, or more) as a matrix, with every block's largest weight, the others as
+    postings. Products with the matrix are made in single precision first; what that leaves over is computed in double precision."""
 
     def __init__(self, ix: Index):
         self.ix, size = ix, len(ix.rows)
         self.blocks = size // BLOCK + 1
-        often = np.flatnonzero(np.diff(ix.first) * DENSE >= max(size, DENSE))
+        n = np.bincount(ix.term, minlength=len(ix.idf))
+        often = np.flatnonzero(n * DENSE >= max(size, DENSE))
         self.column = np.full(len(ix.idf), -1, np.int32)
-        self.column[often] = np.arange(len(often))
-        self.values = np.zeros((len(often), self.blocks * BLOCK))
-        for i, t in enumerate(often):
-            a, b = ix.first[t], ix.first[t + 1]
-            self.values[i, ix.entry[a:b]] = ix.value[a:b]
+        self.column[often] = np.arange(len(often), dtype=np.int32)
+        entry = np.repeat(np.arange(size, dtype=np.int32), np.diff(ix.first))
+        column = self.column[ix.term]
+        self.exact = np.zeros((len(often), self.blocks * BLOCK))
+        dense = column >= 0
+        self.exact[column[dense], entry[dense]] = ix.value[dense]
+        self.values = self.exact.astype(np.float32)
         self.tops = self.values.reshape(len(often), self.blocks, BLOCK).max(axis=2)
-
-
-def _expand(first: np.ndarray, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Positions of all postings of the terms, and which place of the list each belongs to."""
-    n = first[terms + 1] - first[terms]
-    owner = np.repeat(np.arange(len(terms)), n)
-    return np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + first[terms][owner], owner
+        rare = np.flatnonzero(~dense)
+        rare = rare[np.argsort(ix.term[rare], kind="stable")]
+        self.first = np.searchsorted(ix.term[rare], np.arange(len(ix.idf) + 1))
+        self.entry, self.value = entry[rare], ix.value[rare]
+        # products with the matrix, in single precision, are off by less than this share
+        self.off = 2.0**-24 * (len(often) + 64)
 
 
 def _floor(score: np.ndarray, rows: np.ndarray) -> np.ndarray:
@@ -225,36 +232,56 @@ def vote(ix: Index | Search, doc: np.ndarray, term: np.ndarray, count: np.ndarra
     w = w / np.sqrt(np.bincount(doc, weights=w * w, minlength=docs))[doc]
     column = search.column[term]
     often, rare = np.flatnonzero(column >= 0), np.flatnonzero(column < 0)
-    x = np.zeros((docs, len(search.values)))
+    x = np.zeros((docs, len(search.values)), np.float32)
     x[doc[often], column[often]] = w[often]
     width = blocks * BLOCK
     some = np.zeros((docs, width))
     begin = np.searchsorted(doc[rare], np.arange(0, docs + FEW, FEW))
     # a few documents at a time, so that the sums stay in the processor's cache
     for i, part in enumerate(rare[begin[k] : begin[k + 1]] for k in range(len(begin) - 1)):
-        p, owner = _expand(ix.first, term[part])
+        n = search.first[term[part] + 1] - search.first[term[part]]
+        part, n = part[n > 0], n[n > 0]
+        at = np.repeat(search.first[term[part]] - np.cumsum(n) + n, n) + np.arange(n.sum())
+        cell = np.repeat((doc[part] - i * FEW) * width, n) + search.entry[at]
         into = some[i * FEW : (i + 1) * FEW]
-        cell = ((doc[part] - i * FEW) * width)[owner] + ix.entry[p]
-        into += np.bincount(cell, weights=w[part][owner] * ix.value[p], minlength=into.size).reshape(into.shape)
+        into += np.bincount(cell, weights=np.repeat(w[part], n) * search.value[at], minlength=into.size).reshape(into.shape)
     bound = x @ search.tops + some.reshape(docs, blocks, BLOCK).max(axis=2)
     whole = np.zeros_like(some)
     rows = np.append(ix.rows, np.zeros(width - size))
+    up, down = 1 + search.off, 1 - search.off
 
     def look(which: np.ndarray) -> None:
+        if which.all():
+            np.add(some, x @ search.values, out=whole)
+            return
         at = (np.flatnonzero(which)[:, None] * BLOCK + np.arange(BLOCK)).ravel()
-        whole[:, at] = some[:, at] + (x @ search.values if which.all() else x @ search.values[:, at])[:, : len(at)]
+        whole[:, at] = some[:, at] + x @ search.values[:, at]
 
     # the best block of each document gives a floor; then every block whose bound reaches it for some document
     first = np.zeros(blocks, bool)
     first[np.argmax(bound, axis=1)] = True
+    first |= first.sum() * 4 > blocks  # most would be looked at anyway
     look(first)
-    more = ((bound > 0) & (bound >= _floor(whole, rows)[:, None] - 1e-9)).any(axis=0) & ~first
+    more = ((bound > 0) & (bound * up >= _floor(whole, rows)[:, None] * down - 1e-9)).any(axis=0) & ~first
     if more.any():
         look(more)
-    d, e = np.nonzero(whole >= np.maximum(_floor(whole, rows) - 1e-9, 1e-12)[:, None])
-    s = whole[d, e]
+    # single precision leaves some candidates too many, none too few
+    d, e = np.nonzero((whole > 0) & (whole * up >= _floor(whole, rows)[:, None] * down - 1e-9))
+    s = some[d, e]
+    ends, terms = np.searchsorted(d, np.arange(docs + 1)), np.searchsorted(doc[often], np.arange(docs + 1))
+    for i in np.flatnonzero(np.diff(ends)).tolist():
+        own, of = slice(ends[i], ends[i + 1]), often[terms[i] : terms[i + 1]]
+        s[own] += w[of] @ search.exact[column[of][:, None], e[own]]
     order = np.lexsort((e, -s, d))
     d, e, s = d[order], e[order], s[order]
+    n = np.cumsum(rows[e])
+    n = n - np.concatenate([[0.0], n])[ends[:-1]][d]  # examples so far, within a document
+    reached = np.flatnonzero(n >= NEIGHBOURS)
+    who, at = np.unique(d[reached], return_index=True)
+    floor = np.zeros(docs)
+    floor[who] = s[reached[at]]
+    keep = s >= np.maximum(floor[d] - 1e-9, 1e-12)
+    d, e, s = d[keep], e[keep], s[keep]
     toxic, clean = (np.bincount(d, weights=s * v[e], minlength=docs) for v in (ix.votes1, ix.votes0))
     met = np.bincount(d, minlength=docs) > 0
     score[met] = (toxic[met] + PRIOR * ix.base) / (toxic[met] + clean[met] + PRIOR)
@@ -265,77 +292,87 @@ def vote(ix: Index | Search, doc: np.ndarray, term: np.ndarray, count: np.ndarra
     return score, [n[:NEIGHBOURS] for n in near], [c[:NEIGHBOURS] for c in cosine]
 
 
-def _counter(size: int):
-    """Function over batches of __terms: each task's number of texts with each term, and of all texts as that of the term after the last."""
+def counts(docs: DataFrame, vocab: np.ndarray) -> tuple[np.ndarray, int]:
+    """How many texts hold each term, or, as the term after the last, only others; and the number of texts. Only these sums leave a task."""
+    shared, size = docs.sparkSession.sparkContext.broadcast(vocab), len(vocab) + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n = np.zeros(size + 1, np.int64)
+        terms, n, vocab = Terms(), np.zeros(size + 1, np.int64), shared.value
         for batch in batches:
-            n += np.bincount(batch["__terms"].flatten().to_numpy(), minlength=size + 1)
+            for c in H.chunks(batch["text"], CHUNK):
+                n[:size] += np.bincount(found(terms, c, vocab)[1], minlength=size)
             n[size] += len(batch)
         t = np.flatnonzero(n)
         yield pa.RecordBatch.from_arrays([pa.array(t, pa.int32()), pa.array(n[t])], names=["t", "n"])
 
-    return run
+    seen = docs.select("text").mapInArrow(run, "t int, n long").groupBy("t").agg(F.sum("n").alias("n")).toArrow()  # a row for each term of the vocabulary
+    out = np.zeros(size + 1, np.int64)
+    out[seen["t"].to_numpy()] = seen["n"].to_numpy()
+    return out[:size].astype(float), int(out[size])
 
 
 class Model(NamedTuple):
     vocab: np.ndarray
     index: Index
 
+    def plain(self) -> tuple:
+        """As arrays and lists alone, which tasks read without this package."""
+        return self.vocab, tuple(self.index)
+
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "doc_id") -> tuple[Model, DataFrame]:
-    """Model from the labels given, and the vectors (key, __terms, __counts) of all documents, made anew at each use: with all terms they are larger than the texts.
+def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "doc_id") -> Model:
+    """Model from the labels given. An example is a sampled key with the text of one of its rows, that of the smallest hash, however many rows repeat it.
 
-    Without labels of both kinds the vocabulary is empty, and every score is the base rate (0 without labels).
+    Without labels of both kinds the vocabulary is empty, and every score is the base rate (0 without labels). Nulls and empty texts hold no terms.
     """
     taken, weight, base = sample(labels, key, label)
-    picked = docs.select(F.col(key).alias("id"), "text").join(F.broadcast(taken.select(F.col(key).alias("k"), "y")), F.col("id") == F.col("k"))  # at most MAX_TOXIC + MAX_CLEAN keys
-    examples = stage(picked.select("id", "text", "y"), "examples")
+    picked = docs.select(F.col(f"`{key}`").alias("id"), "text").join(F.broadcast(taken.select(F.col(f"`{key}`").alias("k"), "y")), F.col("id") == F.col("k"))
+    examples = stage(picked.groupBy("id").agg(F.max("y").alias("y"), F.min_by("text", F.xxhash64("text")).alias("text")), "examples")  # MAX_TOXIC + MAX_CLEAN rows at most
     vocab, evidence = vocabulary(examples)
-    size = len(vocab) + 1 if len(vocab) else 0
-    every = vectors(docs, vocab, [key])
-    df = np.zeros(size + 1)
-    seen = every.select("__terms").mapInArrow(_counter(size), "t int, n long").groupBy("t").agg(F.sum("n").alias("n")).toArrow()  # a row for each term of the vocabulary
-    df[seen["t"].to_numpy()] = seen["n"].to_numpy()
+    df, total = counts(docs, vocab)
     rows = vectors(examples, vocab, ["id", "y"]).toArrow().combine_chunks()
     lists = lambda c: [x.values.to_numpy() for x in rows[c]]
-    return Model(vocab, build(list(zip(rows["id"].to_pylist(), rows["y"].to_pylist(), lists("__terms"), lists("__counts"))), size, df[:size], int(df[size]), weight, base, np.append(evidence, 1.0)[:size])), every
+    index = build(list(zip(rows["id"].to_pylist(), rows["y"].to_pylist(), lists("__terms"), lists("__counts"))), len(df), df, total, weight, base, np.append(evidence, 1.0))
+    return Model(vocab, index)
+
+
+def _voted(terms: Terms, search: Search, vocab: np.ndarray, column: pa.Array) -> Iterator[tuple[np.ndarray, list, list]]:
+    """Votes on a column of texts, in runs of at most 256."""
+    for c in H.chunks(column, CHUNK):
+        doc, term, n = found(terms, c, vocab)
+        for low in range(0, c.count, 256):
+            i, j = np.searchsorted(doc, (low, low + 256))
+            yield vote(search, doc[i:j] - low, term[i:j], n[i:j].astype(float), min(256, c.count - low))
 
 
-def score_vectors(every: DataFrame, model: Model, key: str = "doc_id") -> DataFrame:
-    """(key, score, near, cosine): each row's score and the examples that back it."""
-    shared = every.sparkSession.sparkContext.broadcast(model)
-    kind = dict(every.dtypes)[key]
+def score(docs: DataFrame, model: Model, key: str = "doc_id") -> DataFrame:
+    """(key, score, near, cosine): each row's score and the examples that back it; one pass, no shuffle. Rows that repeat are scored each."""
+    shared = docs.sparkSession.sparkContext.broadcast(model.plain())
+    rows = docs.select(F.col(f"`{key}`").alias("id"), "text")
+    kind, ids = dict(rows.dtypes)["id"], pa.int64()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ix = Search(shared.value.index)
+        terms, (vocab, index) = Terms(), shared.value
+        search = Search(Index(*index))
         for batch in batches:
-            for at in range(0, len(batch), 256):
-                part = batch.slice(at, 256)
-                terms = part["__terms"]
-                doc = np.repeat(np.arange(len(part)), pc.list_value_length(terms).to_numpy(zero_copy_only=False))
-                score, near, cosine = vote(ix, doc, terms.flatten().to_numpy().astype(np.int64), part["__counts"].flatten().to_numpy().astype(float), len(part))
-                yield pa.RecordBatch.from_arrays([part[key], pa.array(score), pa.array(near, pa.list_(pa.int64())), pa.array(cosine, pa.list_(pa.float64()))], names=[key, "score", "near", "cosine"])
+            at = 0
+            for scores, near, cosine in _voted(terms, search, vocab, batch["text"]):
+                yield pa.RecordBatch.from_arrays([batch["id"].slice(at, len(scores)), pa.array(scores), pa.array(near, pa.list_(ids)), pa.array(cosine, pa.list_(pa.float64()))], names=["id", "score", "near", "cosine"])
+                at += len(scores)
 
-    return every.select(key, "__terms", "__counts").mapInArrow(run, f"{key} {kind}, score double, near array<bigint>, cosine array<double>")
+    return rows.mapInArrow(run, f"id {kind}, score double, near array<bigint>, cosine array<double>").withColumnRenamed("id", key)
 
 
 def reject(docs: DataFrame, model: Model, threshold: float) -> DataFrame:
     """The rows whose text scores below the threshold, unchanged; one pass, no shuffle."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(model.plain())
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        terms, m = Terms(), shared.value
-        ix = Search(m.index)
+        terms, (vocab, index) = Terms(), shared.value
+        search = Search(Index(*index))
         for batch in batches:
-            keep = []
-            for c in H.chunks(batch.column(at)):
-                doc, term, n = found(terms, c, m.vocab)
-                for low in range(0, c.count, 256):
-                    i, j = np.searchsorted(doc, (low, low + 256))
-                    keep.append(vote(ix, doc[i:j] - low, term[i:j], n[i:j].astype(float), min(256, c.count - low))[0] < threshold)
+            keep = [scores < threshold for scores, _, _ in _voted(terms, search, vocab, batch.column(at))]
             yield batch.filter(pa.array(np.concatenate([np.zeros(0, bool), *keep])))
 
     return docs.mapInArrow(run, docs.schema)

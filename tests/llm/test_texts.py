@@ -4,6 +4,7 @@ import base64
 import hashlib
 import json
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -62,12 +63,78 @@ def test_vote_is_exact_knn():
 def test_toxic_odd(spark, odd, nothing):
     labels = spark.createDataFrame([(1, 1, 0), (2, None, 1), (6, 0, 1), (6, 0, 0), (None, 1, 1), (4, 1, 0)], "doc_id long, quality int, toxic int")
     for docs, told in ((odd, labels), (odd, labels.limit(0)), (nothing, labels)):
-        model, every = toxic.fit(docs, told)
-        assert toxic.score_vectors(every, model).count() == docs.count()
+        model = toxic.fit(docs, told)
+        assert toxic.score(docs, model).count() == docs.count()
         left = toxic.reject(docs, model, 2.0)
         assert left.schema == docs.schema and left.count() == docs.count()
 
 
+def brute_toxicity(docs, labels):
+    """Scores by plain dictionaries: terms, counts over all documents, evidence, cosines with every example, votes. Fewer labels than the sample's bounds."""
+
+    def terms(text):
+        words = re.findall(r"[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+        words = [w.encode() for w in words]
+        return Counter([(0, w) for w in words] + [(p, w[:p]) for w in words for p in toxic.PREFIXES if len(w) > p])
+
+    y = {}
+    for k, t in labels:
+        if k is not None and t in (0, 1):
+            y[k] = max(t, y.get(k, 0))
+    bags = [(k, terms(t)) for k, t in docs]
+    base = sum(y.values()) / len(y)
+    examples = [(y[k], b) for k, b in bags if k in y]
+    n1, n0 = sum(t for t, _ in examples), sum(1 - t for t, _ in examples)
+    in1, in0 = Counter(t for c, b in examples if c for t in b), Counter(t for c, b in examples if not c for t in b)
+    vocab = set(in1) | set(in0)
+    df = Counter(t for _, b in bags for t in b)
+
+    def weigh(t):
+        p = (in1[t] + in0[t]) / (n1 + n0)
+        z = (in1[t] / n1 - in0[t] / n0) / (max(p * (1 - p), 1e-9) * (1 / n1 + 1 / n0)) ** 0.5
+        return np.log1p(len(bags) / df[t]) * max(abs(z), 1.0)
+
+    weight = {t: weigh(t) for t in vocab}
+
+    def unit(bag):
+        v = {t: (1 + np.log(n)) * weight[t] for t, n in bag.items() if t in vocab}
+        length = sum(x * x for x in v.values()) ** 0.5
+        return {t: x / length for t, x in v.items()}
+
+    units = [(c, unit(b)) for c, b in examples if b]
+    none = [c for c, b in examples if not b]
+    out = []
+    for k, b in bags:
+        v = unit(b)
+        if not b:
+            out.append((sum(none) + toxic.PRIOR * base) / (len(none) + toxic.PRIOR))
+            continue
+        cos = [(sum(x * u.get(t, 0.0) for t, x in v.items()), c) for c, u in units]
+        floor = max(sorted((s for s, _ in cos), reverse=True)[: toxic.NEIGHBOURS][-1] - 1e-9, 1e-12)
+        near = [(s, c) for s, c in cos if s >= floor]
+        out.append((sum(s * c for s, c in near) + toxic.PRIOR * base) / (sum(s for s, _ in near) + toxic.PRIOR) if near else base)
+    return out
+
+
+def test_toxicity_equals_brute_force(spark):
+    """The whole operator on all documents of the smallest table."""
+    folder = "/root/testdata/sf0.001"
+    docs, labels = spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/labels.parquet")
+    rows = docs.select("doc_id", "text").collect()
+    want = dict(zip([r.doc_id for r in rows], brute_toxicity([tuple(r) for r in rows], [(r.doc_id, r.toxic) for r in labels.collect()])))
+    got = {r.doc_id: r.score for r in toxic.score(docs, toxic.fit(docs, labels)).collect()}
+    assert got.keys() == want.keys() and max(abs(got[k] - want[k]) for k in want) < 1e-9
+
+
+def test_a_repeated_key_is_one_example(spark):
+    """One labelled key on 401 rows: its vote counts once, and the examples stay as many as the keys."""
+    texts = [(i, f"plain words of number{i}") for i in range(40)] + [(99, "vile words here")] * 401
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 0) for i in range(40)] + [(99, 1)], "doc_id long, toxic int")
+    model = toxic.fit(docs, labels)
+    assert model.index.rows.sum() == 41 and model.index.votes1.sum() == 1
+
+
 def leaked(docs, items):
     """(doc_id, item_id) of all items verified by comparing every text with every item."""
     words = hashing.WordHasher(hashing.spaces(punctuation=True))
@@ -221,8 +288,8 @@ def test_toxic_rare_terms_count(spark):
     examples = [(i, f"common words here number{i} thing{i}", 0) for i in range(40)] + [(100 + i, f"zqrare{i} vxodd{i} kwseldom{i}", 1) for i in range(3)]
     docs = [(i, text) for i, text, _ in examples] + [(200, "zqrare1 vxodd1 kwseldom1"), (201, "unheard unseen"), (202, "")]
     labels = spark.createDataFrame([(i, y) for i, _, y in examples], "doc_id long, toxic int")
-    model, every = toxic.fit(spark.createDataFrame(docs, "doc_id long, text string"), labels)
-    got = {r.doc_id: r for r in toxic.score_vectors(every, model).collect()}
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r.doc_id: r for r in toxic.score(docs, toxic.fit(docs, labels)).collect()}
     assert got[200].near[0] == 101 and abs(got[200].cosine[0] - 1) < 1e-9 and got[200].score > 0.5 > got[0].score
     assert got[201].near == [] and abs(got[201].score - 3 / 43) < 1e-9 and abs(got[202].score - 3 / 43) < 1e-9
 
