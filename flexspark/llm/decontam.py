@@ -245,10 +245,10 @@ def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", item: str = "i
     types = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}
     out = None
     for ix in indexes(items, item):
-        shared = docs.sparkSession.sparkContext.broadcast(ix)
+        shared = docs.sparkSession.sparkContext.broadcast(tuple(ix))  # plain arrays: tasks read them without this package
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            words, ix = H.WordHasher(H.spaces(punctuation=True)), shared.value
+            words, ix = H.WordHasher(H.spaces(punctuation=True)), Index(*shared.value)
             for batch in batches:
                 rows, at = [], 0
                 for c in H.chunks(batch["__text"]):
@@ -269,10 +269,10 @@ def clean(docs: DataFrame, items: DataFrame, item: str = "item_id") -> DataFrame
     """The rows whose text holds no verified item, unchanged; no shuffle."""
     at = docs.columns.index("text")
     for ix in indexes(items, item):
-        shared = docs.sparkSession.sparkContext.broadcast(ix)
+        shared = docs.sparkSession.sparkContext.broadcast(tuple(ix))  # plain arrays: tasks read them without this package
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            words, ix = H.WordHasher(H.spaces(punctuation=True)), shared.value
+            words, ix = H.WordHasher(H.spaces(punctuation=True)), Index(*shared.value)
             for batch in batches:
                 keep, first = np.ones(len(batch), bool), 0
                 for c in H.chunks(batch.column(at)):

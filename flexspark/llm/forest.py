@@ -128,18 +128,20 @@ def nearest(df: DataFrame, key: str, vector: str, is_query, k: int = 20) -> Data
     entries = stage(ids.select(F.xxhash64("v").alias("h"), "ids", "v"), "entries")
     total = entries.count()
     top = entries.agg(F.max(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))).first()[0] ** 0.5
-    sample = entries.orderBy("h", "v").limit(SAMPLE).select("v").toArrow()
+    picked = entries.select(F.col("h").alias("p")).orderBy("p").limit(SAMPLE)
+    sample = entries.join(F.broadcast(picked.distinct()), F.col("h") == F.col("p"), "left_semi").select("h", "v").toArrow().sort_by("h")
     x = _matrix(sample["v"].combine_chunks(), dim) / top
     x = np.concatenate([x, np.sqrt(np.maximum(0, 1 - (x * x).sum(axis=1)))[:, None]], axis=1)
     trees = [grow(x, 1000 + i) for i in range(TREES)]
-    forest = spark.sparkContext.broadcast(trees)  # SAMPLE / LEAF * 2 nodes a tree at most
+    forest = spark.sparkContext.broadcast([tuple(t) for t in trees])  # SAMPLE / LEAF * 2 nodes a tree at most
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trees = [Tree(*t) for t in forest.value]
         for batch in batches:
             m = _matrix(batch["v"], dim)
             y = m / top
             y = np.concatenate([y, np.sqrt(np.maximum(0, 1 - (y * y).sum(axis=1)))[:, None]], axis=1)
-            for i, t in enumerate(forest.value):
+            for i, t in enumerate(trees):
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(y), i), pa.int32()), pa.array(leaf_of(t, y), pa.int32()), batch["h"], batch["ids"], batch["v"]], names=["tree", "leaf", "h", "ids", "v"])
 
     index = stage(entries.mapInArrow(place, "tree int, leaf int, h long, ids array<long>, v array<double>"), "forest")
@@ -150,10 +152,11 @@ def nearest(df: DataFrame, key: str, vector: str, is_query, k: int = 20) -> Data
     want = max(LEAST, SHARE * total)
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trees = [Tree(*t) for t in forest.value]
         for batch in batches:
             y = _matrix(batch["v"], dim)
             y = np.concatenate([y / np.linalg.norm(y, axis=1)[:, None], np.zeros((len(y), 1))], axis=1)
-            found = [search(forest.value, shared.value, q, want, k + 1) for q in y]
+            found = [search(trees, shared.value, q, want, k + 1) for q in y]
             of = pa.array(np.repeat(np.arange(len(y)), [len(f) for f in found]))
             flat = np.array([p for f in found for p in f], np.int32).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays([pa.array(flat[:, 0]), pa.array(flat[:, 1]), batch["v"].take(of)], names=["tree", "leaf", "qv"])

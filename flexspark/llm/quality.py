@@ -103,11 +103,11 @@ def logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1.0) -> Logistic:
 
 def described(df: DataFrame, keep: list[str], model: Logistic | None = None) -> DataFrame:
     """The kept columns, with ``__figures``, or the model's ``__odds``, of ``text``."""
-    shared = df.sparkSession.sparkContext.broadcast(model)
+    shared = df.sparkSession.sparkContext.broadcast(None if model is None else tuple(model))  # plain arrays: tasks read them without this package
     fields = ", ".join(f"`{n}` {t}" for n, t in df.select(*keep).dtypes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, m = H.WordHasher(H.spaces()), shared.value
+        words, m = H.WordHasher(H.spaces()), None if shared.value is None else Logistic(*shared.value)
         for batch in batches:
             x = np.concatenate([np.zeros((0, len(FIGURES))), *[figures(words, c) for c in H.chunks(batch["__text"])]])
             value = pa.array(list(x), pa.list_(pa.float64())) if m is None else pa.array(m.log_odds(x))
@@ -118,9 +118,12 @@ def described(df: DataFrame, keep: list[str], model: Logistic | None = None) ->
 
 
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "quality") -> Logistic:
+    """The classifier from at most SAMPLE labelled keys; of rows that repeat a key, the text with the smallest hash is its one example."""
     taken = labels.where(F.col(key).isNotNull() & F.col(label).isin(0, 1)).groupBy(key).agg(F.min(label).cast("int").alias("y"))
     taken = stage(taken.orderBy(F.xxhash64(F.col(key), F.lit(5)), key).limit(SAMPLE).select(F.col(key).alias("k"), "y"), "sample")
-    rows = described(docs.join(F.broadcast(taken), F.col(key) == F.col("k")).select("y", "text"), ["y"]).collect()  # SAMPLE keys at most
+    picked = docs.select(F.col(key).alias("id"), "text").join(F.broadcast(taken), F.col("id") == F.col("k"))
+    one = picked.groupBy("id").agg(F.max("y").alias("y"), F.min_by("text", F.xxhash64("text")).alias("text"))
+    rows = sorted(described(one.select("id", "y", "text"), ["id", "y"]).collect(), key=lambda r: r["id"])  # SAMPLE rows at most
     return logistic(np.array([r["__value"] for r in rows]).reshape(-1, len(FIGURES)), np.array([r["y"] for r in rows], float))
 
 
@@ -137,7 +140,7 @@ def _worth(sites: DataFrame) -> float:
 
 
 def score(docs: DataFrame, labels: DataFrame, host: Column, path: Column, key: str = "doc_id", label: str = "quality") -> DataFrame:
-    """(key, host, path, evidence, host_rate, path_rate, score): the document's own probability, its sites' posteriors and the combined score.
+    """(key, host, path, evidence, host_rate, path_rate, score): the document's own probability, its sites' posteriors (of all their other documents) and the combined score.
 
     ``labels`` are those that may be learned. Null hosts and paths are sites of their own. Null and empty texts have figures of 0.
     Rows that repeat are scored each. An empty table gives no rows; no labels: evidence of one half.
@@ -145,19 +148,22 @@ def score(docs: DataFrame, labels: DataFrame, host: Column, path: Column, key: s
     model = fit(docs, labels, key, label)
     told = labels.where(F.col(label).isin(0, 1)).groupBy(F.col(key).alias("__k")).agg(F.min(label).cast("double").alias("__y"))
     odds = described(docs.select(key, host.cast("string").alias("host"), path.cast("string").alias("path"), "text"), [key, "host", "path"], model)
-    odds = stage(odds.select(key, "host", "path", F.col("__value").alias("odds")), "evidence")
+    odds = odds.select(key, "host", "path", F.col("__value").alias("odds"))
     p = 1 / (1 + F.exp(-F.col("odds")))
-    rows = odds.join(told, F.col(key) == F.col("__k"), "left").withColumn("__q", F.coalesce("__y", p))
-    paths = stage(rows.groupBy("host", "path").agg(F.count("*").cast("double").alias("n"), F.sum("__q").alias("s")), "paths")
+    rows = stage(odds.join(told, F.col(key) == F.col("__k"), "left").select(key, "host", "path", "odds", F.coalesce("__y", p).alias("q")), "evidence")
+    paths = stage(rows.groupBy("host", "path").agg(F.count("*").cast("double").alias("n"), F.sum("q").alias("s")), "paths")
     total = paths.agg(F.coalesce(F.sum("n"), F.lit(0.0)), F.coalesce(F.sum("s"), F.lit(0.0))).first()
     rate = (total[1] + 0.5) / (total[0] + 1)
     hosts = paths.groupBy("host").agg(F.sum("n").alias("n"), F.sum("s").alias("s")).withColumn("parent", F.lit(rate))
     a = _worth(hosts)
-    hosts = hosts.select(F.col("host").alias("__h"), ((F.col("s") + a * F.col("parent")) / (F.col("n") + a)).alias("parent"))
+    hosts = hosts.select(F.col("host").alias("__h"), F.col("n").alias("hn"), F.col("s").alias("hs"), ((F.col("s") + a * F.col("parent")) / (F.col("n") + a)).alias("parent"))
     nested = stage(paths.join(hosts, F.col("host").eqNullSafe(F.col("__h"))), "hosts")
     b = _worth(nested)
-    sites = stage(nested.select(F.col("host").alias("__h"), F.col("path").alias("__p"), F.col("parent").alias("host_rate"), ((F.col("s") + b * F.col("parent")) / (F.col("n") + b)).alias("path_rate")), "sites")
-    out = odds.join(sites, F.col("host").eqNullSafe(F.col("__h")) & F.col("path").eqNullSafe(F.col("__p")))
+    sites = nested.select(F.col("host").alias("__h"), F.col("path").alias("__p"), "n", "s", "hn", "hs")
+    # each document meets the rates of its sites without itself
+    without = lambda s, n, prior, worth: (F.col(s) - F.col("q") + worth * prior) / (F.col(n) - 1 + worth)
+    out = rows.join(sites, F.col("host").eqNullSafe(F.col("__h")) & F.col("path").eqNullSafe(F.col("__p")))
+    out = out.withColumn("host_rate", without("hs", "hn", F.lit(rate), a)).withColumn("path_rate", without("s", "n", F.col("host_rate"), b))
     logit = lambda x: F.log(x / (1 - x))
     clip = lambda x: F.least(F.greatest(x, F.lit(1e-9)), F.lit(1 - 1e-9))
     all_odds = F.col("odds") + logit(clip(F.col("path_rate"))) - F.lit(float(np.log(rate / (1 - rate))))

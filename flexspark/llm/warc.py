@@ -29,9 +29,11 @@ PIECE = 1 << 16
 
 
 def dictionary(pages: DataFrame) -> bytes:
-    """A dictionary trained on at most SAMPLE_PAGES pages of at most SAMPLE_BYTES; empty if they are too few to train on."""
+    """A dictionary trained on at most SAMPLE_PAGES different pages of at most SAMPLE_BYTES; empty if they are too few to train on."""
     fit = pages.where(F.octet_length("html").between(1, SAMPLE_BYTES)).select("html", F.xxhash64("html").alias("o"))
-    some = [r["html"].encode() for r in fit.orderBy("o", "html").limit(SAMPLE_PAGES).collect()]
+    picked = fit.select(F.col("o").alias("p")).distinct().orderBy("p").limit(SAMPLE_PAGES)  # hashes alone are ordered; pages are fetched by them
+    rows = fit.join(F.broadcast(picked), F.col("o") == F.col("p"), "left_semi").groupBy("o").agg(F.min("html").alias("html"))
+    some = [r["html"].encode() for r in sorted(rows.collect(), key=lambda r: r["o"])]
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, some).as_bytes() if len(some) >= 8 else b""
     except zstandard.ZstdError:
