@@ -13,11 +13,13 @@ together. A key is one example: of the rows that repeat it, the text with the sm
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,7 +30,7 @@ PREFIXES = (4, 5, 6, 7)
 MAX_TOXIC, MAX_CLEAN = 2000, 4000
 NEIGHBOURS, PRIOR, BLOCK = 16, 0.5, 32
 DENSE, FEW = 16, 8
-CHUNK = 1 << 20
+CHUNK, DOCS = 1 << 20, 128
 
 
 class Terms:
@@ -92,7 +94,10 @@ def vocabulary(examples: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     told = counts.select("h", F.greatest(F.abs(z), F.lit(1.0)).alias("z")).toArrow()  # of a bounded sample
     h = told["h"].to_numpy().view(H.U64)
     order = np.argsort(h)
-    return h[order], told["z"].to_numpy()[order]
+    out = h[order], told["z"].to_numpy()[order]
+    del told, h
+    pa.default_memory_pool().release_unused()
+    return out
 
 
 def found(terms: Terms, c: H.Chunk, vocab: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -130,11 +135,19 @@ def vectors(df: DataFrame, vocab: np.ndarray, keep: list[str]) -> DataFrame:
 
 
 class Index(NamedTuple):
-    """Bounded by the sample: unit vectors of distinct examples, entry by entry."""
+    """Bounded by the sample: unit vectors of distinct examples (entries), by term.
+
+    Frequent terms (those of one entry in DENSE, or more) are rows of a matrix, with every block's largest weight; the others are postings. The
+    matrix is in single precision, with what that leaves out beside it: most products need the first alone.
+    """
 
     idf: np.ndarray  # times evidence
-    first: np.ndarray  # of each entry, in term and value
-    term: np.ndarray
+    column: np.ndarray  # each term's row in the matrix, or -1
+    high: np.ndarray
+    low: np.ndarray
+    tops: np.ndarray
+    first: np.ndarray  # of each term, in entry and value
+    entry: np.ndarray
     value: np.ndarray
     votes1: np.ndarray
     votes0: np.ndarray
@@ -144,62 +157,46 @@ class Index(NamedTuple):
     base: float
 
 
-def build(examples: list, vocab_size: int, df: np.ndarray, total: int, weight: dict[int, float], base: float, evidence: np.ndarray | float = 1.0) -> Index:
-    """Index of (id, y, terms, counts) rows."""
+def build(ids: list, y: np.ndarray, first: np.ndarray, term: np.ndarray, count: np.ndarray, df: np.ndarray, total: int, weight: dict[int, float], base: float, evidence: np.ndarray | float = 1.0) -> Index:
+    """Index of examples (id, label) whose terms and counts stand between ``first`` and the next one. Ids differ."""
     idf = np.log1p(total / np.maximum(df, 1.0)) * evidence
-    entries: dict[tuple, list] = {}
-    for key, y, terms, counts in sorted(examples, key=lambda r: r[0]):
-        slot = entries.setdefault((np.asarray(terms, np.int32).tobytes(), np.asarray(counts, np.int32).tobytes()), [0.0, 0.0, 0, []])
-        slot[1 - y] += weight[y]
-        slot[2] += 1
-        slot[3] = [*slot[3], key][:NEIGHBOURS]
-    none = entries.pop((b"", b""), [0.0, 0.0, 0, []])
-    units = []
-    for (terms, counts), slot in entries.items():
-        terms = np.frombuffer(terms, np.int32)
-        w = (1 + np.log(np.frombuffer(counts, np.int32))) * idf[terms]
-        units.append((terms[np.argsort(-w, kind="stable")[:4]].tolist(), terms, w / np.linalg.norm(w), slot))
+    entries: dict[bytes, list] = {}  # by digest: where its terms stand, votes of label 1 and 0, rows, first ids
+    for i in sorted(range(len(ids)), key=lambda i: ids[i]):
+        a, b = int(first[i]), int(first[i + 1])
+        digest = hashlib.sha256(np.concatenate([term[a:b], count[a:b]]).astype(np.int32).tobytes()).digest() if a < b else b""
+        slot = entries.setdefault(digest, [a, b, 0.0, 0.0, 0, []])
+        slot[3 - y[i]] += weight[int(y[i])]
+        slot[4] += 1
+        slot[5] = [*slot[5], ids[i]][:NEIGHBOURS]
+    none = entries.pop(b"", [0, 0, 0.0, 0.0, 0, []])
+
+    def unit(a: int, b: int) -> np.ndarray:
+        w = (1 + np.log(count[a:b])) * idf[term[a:b]]
+        return w / np.linalg.norm(w)
+
     # entries with the same heaviest terms stand in one block, so a block's bounds are tight
-    units.sort(key=lambda u: u[0])
-    col = lambda i: np.array([u[3][i] for u in units], float)
-    return Index(
-        idf,
-        np.cumsum([0, *[len(u[1]) for u in units]]),
-        np.concatenate([np.zeros(0, np.int32), *[u[1] for u in units]]),
-        np.concatenate([np.zeros(0), *[u[2] for u in units]]),
-        col(0),
-        col(1),
-        col(2),
-        [u[3][3] for u in units],
-        (none[0], none[1], none[3]),
-        base,
-    )
-
-
-class Search:
-    """An index term by term: its frequent terms (those of one entry in DENSE, or more) as a matrix, with every block's largest weight, the others as
-    postings. Products with the matrix are made in single precision first; what that leaves over is computed in double precision."""
-
-    def __init__(self, ix: Index):
-        self.ix, size = ix, len(ix.rows)
-        self.blocks = size // BLOCK + 1
-        n = np.bincount(ix.term, minlength=len(ix.idf))
-        often = np.flatnonzero(n * DENSE >= max(size, DENSE))
-        self.column = np.full(len(ix.idf), -1, np.int32)
-        self.column[often] = np.arange(len(often), dtype=np.int32)
-        entry = np.repeat(np.arange(size, dtype=np.int32), np.diff(ix.first))
-        column = self.column[ix.term]
-        self.exact = np.zeros((len(often), self.blocks * BLOCK))
-        dense = column >= 0
-        self.exact[column[dense], entry[dense]] = ix.value[dense]
-        self.values = self.exact.astype(np.float32)
-        self.tops = self.values.reshape(len(often), self.blocks, BLOCK).max(axis=2)
-        rare = np.flatnonzero(~dense)
-        rare = rare[np.argsort(ix.term[rare], kind="stable")]
-        self.first = np.searchsorted(ix.term[rare], np.arange(len(ix.idf) + 1))
-        self.entry, self.value = entry[rare], ix.value[rare]
-        # products with the matrix, in single precision, are off by less than this share
-        self.off = 2.0**-24 * (len(often) + 64)
+    kept = sorted(entries.values(), key=lambda e: term[e[0] : e[1]][np.argsort(-unit(e[0], e[1]), kind="stable")[:4]].tolist())
+    n = np.zeros(len(idf), np.int64)
+    for a, b, *_ in kept:
+        n[term[a:b]] += 1
+    often = np.flatnonzero(n * DENSE >= max(len(kept), DENSE))
+    column = np.full(len(idf), -1, np.int32)
+    column[often] = np.arange(len(often), dtype=np.int32)
+    blocks = len(kept) // BLOCK + 1
+    high, low = (np.zeros((len(often), blocks * BLOCK), np.float32) for _ in range(2))
+    places = np.concatenate([[0], np.cumsum(np.where(column < 0, n, 0))])
+    at, entry, value = places[:-1].copy(), np.zeros(places[-1], np.int32), np.zeros(places[-1])
+    for j, (a, b, *_) in enumerate(kept):
+        t, u = term[a:b], unit(a, b)
+        dense = column[t] >= 0
+        high[column[t[dense]], j] = u[dense]
+        low[column[t[dense]], j] = u[dense] - u[dense].astype(np.float32)
+        rare = t[~dense]
+        entry[at[rare]], value[at[rare]] = j, u[~dense]
+        at[rare] += 1
+    col = lambda i: np.array([e[i] for e in kept], float)
+    tops = high.reshape(len(often), blocks, BLOCK).max(axis=2)
+    return Index(idf, column, high, low, tops, places, entry, value, col(2), col(3), col(4), [e[5] for e in kept], (none[2], none[3], none[5]), base)
 
 
 def _floor(score: np.ndarray, rows: np.ndarray) -> np.ndarray:
@@ -213,11 +210,9 @@ def _floor(score: np.ndarray, rows: np.ndarray) -> np.ndarray:
     return np.where(enough.any(axis=1), s[np.arange(len(s)), np.argmax(enough, axis=1)], 0.0)
 
 
-def vote(ix: Index | Search, doc: np.ndarray, term: np.ndarray, count: np.ndarray, docs: int) -> tuple[np.ndarray, list, list]:
+def vote(ix: Index, doc: np.ndarray, term: np.ndarray, count: np.ndarray, docs: int) -> tuple[np.ndarray, list, list]:
     """Scores of ``docs`` documents given as (document, term, count) rows by document, and the nearest examples (keys, cosines) each rests on."""
-    search = ix if isinstance(ix, Search) else Search(ix)
-    ix, blocks = search.ix, search.blocks
-    size = len(ix.rows)
+    blocks, size = ix.tops.shape[1], len(ix.rows)
     score = np.full(docs, ix.base)
     near: list = [[] for _ in range(docs)]
     cosine: list = [[] for _ in range(docs)]
@@ -230,32 +225,33 @@ def vote(ix: Index | Search, doc: np.ndarray, term: np.ndarray, count: np.ndarra
         return score, near, cosine
     w = (1 + np.log(count)) * ix.idf[term]
     w = w / np.sqrt(np.bincount(doc, weights=w * w, minlength=docs))[doc]
-    column = search.column[term]
+    column = ix.column[term]
     often, rare = np.flatnonzero(column >= 0), np.flatnonzero(column < 0)
-    x = np.zeros((docs, len(search.values)), np.float32)
+    x = np.zeros((docs, len(ix.high)), np.float32)
     x[doc[often], column[often]] = w[often]
     width = blocks * BLOCK
     some = np.zeros((docs, width))
     begin = np.searchsorted(doc[rare], np.arange(0, docs + FEW, FEW))
     # a few documents at a time, so that the sums stay in the processor's cache
     for i, part in enumerate(rare[begin[k] : begin[k + 1]] for k in range(len(begin) - 1)):
-        n = search.first[term[part] + 1] - search.first[term[part]]
+        n = ix.first[term[part] + 1] - ix.first[term[part]]
         part, n = part[n > 0], n[n > 0]
-        at = np.repeat(search.first[term[part]] - np.cumsum(n) + n, n) + np.arange(n.sum())
-        cell = np.repeat((doc[part] - i * FEW) * width, n) + search.entry[at]
+        at = np.repeat(ix.first[term[part]] - np.cumsum(n) + n, n) + np.arange(n.sum())
+        cell = np.repeat((doc[part] - i * FEW) * width, n) + ix.entry[at]
         into = some[i * FEW : (i + 1) * FEW]
-        into += np.bincount(cell, weights=np.repeat(w[part], n) * search.value[at], minlength=into.size).reshape(into.shape)
-    bound = x @ search.tops + some.reshape(docs, blocks, BLOCK).max(axis=2)
+        into += np.bincount(cell, weights=np.repeat(w[part], n) * ix.value[at], minlength=into.size).reshape(into.shape)
+    bound = x @ ix.tops + some.reshape(docs, blocks, BLOCK).max(axis=2)
     whole = np.zeros_like(some)
     rows = np.append(ix.rows, np.zeros(width - size))
-    up, down = 1 + search.off, 1 - search.off
+    off = 2.0**-24 * (len(ix.high) + 64)  # products in single precision are off by less than this share
+    up, down = 1 + off, 1 - off
 
     def look(which: np.ndarray) -> None:
         if which.all():
-            np.add(some, x @ search.values, out=whole)
+            np.add(some, x @ ix.high, out=whole)
             return
         at = (np.flatnonzero(which)[:, None] * BLOCK + np.arange(BLOCK)).ravel()
-        whole[:, at] = some[:, at] + x @ search.values[:, at]
+        whole[:, at] = some[:, at] + x @ ix.high[:, at]
 
     # the best block of each document gives a floor; then every block whose bound reaches it for some document
     first = np.zeros(blocks, bool)
@@ -271,7 +267,8 @@ def vote(ix: Index | Search, doc: np.ndarray, term: np.ndarray, count: np.ndarra
     ends, terms = np.searchsorted(d, np.arange(docs + 1)), np.searchsorted(doc[often], np.arange(docs + 1))
     for i in np.flatnonzero(np.diff(ends)).tolist():
         own, of = slice(ends[i], ends[i + 1]), often[terms[i] : terms[i + 1]]
-        s[own] += w[of] @ search.exact[column[of][:, None], e[own]]
+        cells = column[of][:, None], e[own]
+        s[own] += w[of] @ (ix.high[cells] + ix.low[cells].astype(float))
     order = np.lexsort((e, -s, d))
     d, e, s = d[order], e[order], s[order]
     n = np.cumsum(rows[e])
@@ -330,19 +327,22 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "do
     examples = stage(picked.groupBy("id").agg(F.max("y").alias("y"), F.min_by("text", F.xxhash64("text")).alias("text")), "examples")  # MAX_TOXIC + MAX_CLEAN rows at most
     vocab, evidence = vocabulary(examples)
     df, total = counts(docs, vocab)
-    rows = vectors(examples, vocab, ["id", "y"]).toArrow().combine_chunks()
-    lists = lambda c: [x.values.to_numpy() for x in rows[c]]
-    index = build(list(zip(rows["id"].to_pylist(), rows["y"].to_pylist(), lists("__terms"), lists("__counts"))), len(df), df, total, weight, base, np.append(evidence, 1.0))
+    rows = vectors(examples, vocab, ["id", "y"]).toArrow()
+    flat = lambda c: np.concatenate([np.zeros(0, np.int32), *[x.flatten().to_numpy() for x in rows[c].chunks]])
+    first = np.cumsum([0, *pc.list_value_length(rows["__terms"]).to_pylist()])
+    index = build(rows["id"].to_pylist(), np.array(rows["y"].to_pylist(), int), first, flat("__terms"), flat("__counts"), df, total, weight, base, np.append(evidence, 1.0))
+    del rows
+    pa.default_memory_pool().release_unused()
     return Model(vocab, index)
 
 
-def _voted(terms: Terms, search: Search, vocab: np.ndarray, column: pa.Array) -> Iterator[tuple[np.ndarray, list, list]]:
-    """Votes on a column of texts, in runs of at most 256."""
+def _voted(terms: Terms, ix: Index, vocab: np.ndarray, column: pa.Array) -> Iterator[tuple[np.ndarray, list, list]]:
+    """Votes on a column of texts, in runs of at most DOCS."""
     for c in H.chunks(column, CHUNK):
         doc, term, n = found(terms, c, vocab)
-        for low in range(0, c.count, 256):
-            i, j = np.searchsorted(doc, (low, low + 256))
-            yield vote(search, doc[i:j] - low, term[i:j], n[i:j].astype(float), min(256, c.count - low))
+        for low in range(0, c.count, DOCS):
+            i, j = np.searchsorted(doc, (low, low + DOCS))
+            yield vote(ix, doc[i:j] - low, term[i:j], n[i:j].astype(float), min(DOCS, c.count - low))
 
 
 def score(docs: DataFrame, model: Model, key: str = "doc_id") -> DataFrame:
@@ -353,10 +353,10 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         terms, (vocab, index) = Terms(), shared.value
-        search = Search(Index(*index))
+        ix = Index(*index)
         for batch in batches:
             at = 0
-            for scores, near, cosine in _voted(terms, search, vocab, batch["text"]):
+            for scores, near, cosine in _voted(terms, ix, vocab, batch["text"]):
                 yield pa.RecordBatch.from_arrays([batch["id"].slice(at, len(scores)), pa.array(scores), pa.array(near, pa.list_(ids)), pa.array(cosine, pa.list_(pa.float64()))], names=["id", "score", "near", "cosine"])
                 at += len(scores)
 
@@ -370,9 +370,9 @@ def reject(docs: DataFrame, model: Model, threshold: float) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         terms, (vocab, index) = Terms(), shared.value
-        search = Search(Index(*index))
+        ix = Index(*index)
         for batch in batches:
-            keep = [scores < threshold for scores, _, _ in _voted(terms, search, vocab, batch.column(at))]
+            keep = [scores < threshold for scores, _, _ in _voted(terms, ix, vocab, batch.column(at))]
             yield batch.filter(pa.array(np.concatenate([np.zeros(0, bool), *keep])))
 
     return docs.mapInArrow(run, docs.schema)

@@ -40,7 +40,9 @@ def test_vote_is_exact_knn():
     for i in range(700):
         t = np.sort(rng.choice(size, rng.integers(0, 6), replace=False))
         rows.append((i, int(rng.random() < 0.3), t.tolist(), rng.integers(1, 4, len(t)).tolist()))
-    ix = toxic.build(rows, size, df, 1000, {0: 5.0, 1: 1.0}, 0.1)
+    first = np.cumsum([0, *[len(t) for _, _, t, _ in rows]])
+    flat = lambda k: np.array([x for r in rows for x in r[k]], np.int32)
+    ix = toxic.build([r[0] for r in rows], np.array([r[1] for r in rows]), first, flat(2), flat(3), df, 1000, {0: 5.0, 1: 1.0}, 0.1)
     idf = np.log1p(1000 / df)
 
     def vector(t, n):
