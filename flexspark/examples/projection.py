@@ -290,9 +290,9 @@ def unbox_array_errors(spark, sf):
     broken = F.when(F.col("event_type") == "error", F.concat(F.lit("<"), "props")).otherwise(F.col("props"))
     boxed = load(spark, sf, "events").select("event_id", F.array(F.struct(F.col("props").alias("text")), F.struct(broken.alias("text"))).alias("list"))
     opened = FlexFrame(boxed).unbox("list.text", "json", schema="struct<k:bigint>")
-    n = opened.df.agg(F.count("*").alias("n_rows"))
-    bad = opened.errors().df.groupBy("stage").agg(F.count("*").alias("errors"), F.sum(F.get_json_object("record", "$.event_id").cast("long")).alias("ids"))
-    return bad.join(n)
+    kept = opened.df.select(F.lit(None).cast("string").alias("stage"), F.lit(None).cast("long").alias("id"))
+    bad = opened.errors().df.select("stage", F.get_json_object("record", "$.event_id").cast("long").alias("id"))
+    return kept.unionByName(bad).agg(F.max("stage").alias("stage"), F.count("stage").alias("errors"), F.sum("id").alias("ids"), F.count_if(F.col("stage").isNull()).alias("n_rows"))
 
 
 @query("""

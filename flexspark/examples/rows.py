@@ -313,3 +313,16 @@ def partition_hints(spark, sf):
     ]
     total = many.coalesce(2).df.agg(F.lit("lineitem").alias("source"), F.count("*").alias("n"))
     return total.select("*", *[F.lit(c).alias(n) for n, c in zip(["many", "few", "hinted", "shuffled"], counts)])
+
+
+@query("""
+WITH l AS (SELECT CASE WHEN l_partkey % 3 = 0 THEN 0 ELSE l_suppkey END AS k, l_quantity FROM lineitem),
+s AS (SELECT s_suppkey AS k, s_name AS who FROM supplier UNION ALL SELECT 0, s_name FROM supplier WHERE s_suppkey <= 3)
+SELECT k, count(*) AS n, CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS quantity, max(who) AS who FROM l JOIN s USING (k) GROUP BY k""")
+def join_hot_key(spark, sf):
+    """A key with a third of the rows is dealt over eight tasks, and the result grouped on it."""
+    line = load(spark, sf, "lineitem").select(F.when(F.col("l_partkey") % 3 == 0, F.lit(0)).otherwise(F.col("l_suppkey")).cast("long").alias("k"), "l_quantity")
+    supplier = load(spark, sf, "supplier")
+    who = supplier.select(F.col("s_suppkey").alias("k"), F.col("s_name").alias("who")).unionByName(supplier.where("s_suppkey <= 3").select(F.lit(0).cast("long").alias("k"), F.col("s_name").alias("who")))
+    joined = FlexFrame(line).join("k", "k", FlexFrame(who), salts=8).df
+    return joined.groupBy("k").agg(F.count("*").alias("n"), exact_sum("l_quantity").alias("quantity"), F.max("who").alias("who"))

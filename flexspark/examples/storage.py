@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from flexspark.examples.registry import exact_sum, load, query
 from flexspark.frame import FlexFrame, FrameSet
 from flexspark.sources.bookmarks import Bookmarks
+from flexspark.sources.ledger import JobRun
 from flexspark.sources.purge import purge_path
 from flexspark.sources.purge import purge_table as purge_catalog_table
 from flexspark.sources.read import FlexDataFrameReader, FlexReader
@@ -284,3 +285,69 @@ def bookmark_paused(spark, sf):
     paused = Bookmarks(new_dir(spark, "bookmarks"), "events job", "pause", now - day, now + day)
     paused.read(spark, "inbox", path, "parquet", events.schema, lambda df: df.write.parquet(target))
     return spark.read.parquet(target).groupBy("event_type").agg(F.count("*").alias("n"))
+
+
+@query("""
+WITH f AS (SELECT *, o_orderkey % 3 AS part FROM orders)
+SELECT 'first' AS run, 'orders' AS source, count(*) AS n, sum(o_orderkey) AS keys FROM f WHERE part < 2
+UNION ALL SELECT 'first', 'customers', count(*), sum(c_custkey) FROM customer
+UNION ALL SELECT 'repeated', 'orders', count(*), sum(o_orderkey) FROM f WHERE part < 2
+UNION ALL SELECT 'repeated', 'customers', count(*), sum(c_custkey) FROM customer
+UNION ALL SELECT 'next', 'orders', count(*), sum(o_orderkey) FROM f WHERE part = 2
+UNION ALL SELECT 'next', 'customers', 0, NULL""")
+def bookmark_commit(spark, sf):
+    """Two sources: a run that dies before its commit is repeated whole; after a commit only new files are read, from both sources."""
+    orders, customer = load(spark, sf, "orders"), load(spark, sf, "customer")
+    inbox, people, root = new_dir(spark, "order-files"), new_dir(spark, "customer-files"), new_dir(spark, "ledger")
+    for part in (0, 1):
+        orders.where(F.col("o_orderkey") % 3 == part).write.mode("append").parquet(inbox)
+    customer.write.json(people)
+
+    def run(label, commit):
+        job = JobRun(spark, root, "nightly orders")
+        reader = FlexReader(spark, run=job)
+        a = reader.from_options("file", {"path": inbox}, "parquet", transformation_ctx="orders").df
+        b = reader.from_options("file", {"path": people}, "json", transformation_ctx="customers", schema=customer.schema).df
+        sums = [df.agg(F.count("*").alias("n"), F.sum(key).alias("keys")).select(F.lit(label).alias("run"), F.lit(source).alias("source"), "n", "keys") for df, key, source in ((a, "o_orderkey", "orders"), (b, "c_custkey", "customers"))]
+        out = sums[0].unionByName(sums[1])
+        if commit:
+            job.commit()
+        return out
+
+    first, repeated = run("first", False), run("repeated", True)
+    orders.where(F.col("o_orderkey") % 3 == 2).write.mode("append").parquet(inbox)
+    return first.unionByName(repeated).unionByName(run("next", True))
+
+
+@query("""
+SELECT o_orderkey AS id, o_orderkey % 2 AS half, CASE WHEN o_orderkey % 2 = 1 THEN o_orderpriority END AS priority, o_totalprice AS price, NULL AS refused
+FROM orders WHERE o_orderkey % 2 = 0 OR o_orderkey % 10 <> 1
+UNION ALL SELECT NULL, NULL, NULL, NULL, 'price is not double: ' || count(*) FROM orders WHERE o_orderkey % 2 = 1 AND o_orderkey % 10 = 1""")
+def catalog_evolving_append(spark, sf):
+    """A second append brings a new column, columns in another order and case, keys as text, and prices some of which are no numbers."""
+    db, table, writer = database(spark), _table("orders_evolving"), FlexWriter()
+    orders = load(spark, sf, "orders").select(F.col("o_orderkey").alias("id"), (F.col("o_orderkey") % 2).alias("half"), F.col("o_orderpriority").alias("priority"), F.col("o_totalprice").alias("price"))
+    even, odd = orders.where("half = 0").drop("priority"), orders.where("half = 1")
+    price = F.when(F.col("id") % 10 == 1, F.lit("n/a")).otherwise(F.col("price").cast("string"))
+    writer.from_catalog(FlexFrame(even), db, table, additional_options={"path": new_dir(spark, table)})
+    refused = writer.from_catalog(FlexFrame(odd.select("priority", price.alias("PRICE"), F.col("id").cast("string").alias("id"), "half")), db, table).df
+    kept = spark.table(f"{db}.{table}").select("id", "half", "priority", "price", F.lit(None).cast("string").alias("refused"))
+    counted = refused.groupBy("error_message").agg(F.count("*").alias("n"))
+    told = counted.select(*[F.lit(None).cast(t).alias(c) for c, t in (("id", "long"), ("half", "long"), ("priority", "string"), ("price", "double"))], F.concat_ws(": ", "error_message", F.col("n").cast("string")).alias("refused"))
+    return kept.unionByName(told)
+
+
+@query("SELECT o_orderkey, o_custkey, o_totalprice FROM orders ORDER BY md5('7:' || o_orderkey) LIMIT 100")
+def sample_seeded(spark, sf):
+    """A hundred rows drawn by a seed: the same ones on every run and however the file is cut."""
+    reader = FlexReader(spark)
+    sample = reader.sample_from_options("parquet", {"paths": [f"{sf}/orders.parquet"]}, 100, {"seed": 7, "key": ["o_orderkey"]})
+    return sample.df.select("o_orderkey", "o_custkey", "o_totalprice")
+
+
+@query("SELECT event_id, event_type, user_id FROM events ORDER BY md5('11:' || event_id) LIMIT 50")
+def spigot_seeded(spark, sf):
+    """A sample on the way, drawn by a seed, read back."""
+    path = new_dir(spark, "spigot")
+    FlexFrame(load(spark, sf, "events")).spigot(path, {"topk": 50, "seed": 11, "key": ["event_id"]})
+    return spark.read.schema("event_id long, event_type string, user_id long").json(path)

@@ -235,8 +235,9 @@ class FlexFrame:
 
     mapPartitionsWithIndex = map_partitions_with_index
 
-    def join(self, paths1, paths2, other: FlexFrame, **limits) -> FlexFrame:
-        joined = _rows.join_on(self.df, other.df, paths1, paths2)
+    def join(self, paths1, paths2, other: FlexFrame, salts: int = 0, **limits) -> FlexFrame:
+        """Inner equality join; with ``salts``, frequent keys of either side are dealt over so many tasks."""
+        joined = _rows.join_on(self.df, other.df, paths1, paths2, salts=salts)
         return self._next("join", joined, name=self.name + other.name, others=other.steps, **limits)
 
     def merge(self, staged: FlexFrame, primary_keys, **limits) -> FlexFrame:
@@ -249,7 +250,10 @@ class FlexFrame:
         return self._next("distinct", _rows.distinct_rows(self.df), **limits)
 
     def spigot(self, path: str, options: dict | None = None, **limits) -> FlexFrame:
-        """Write a sample (``topk`` first rows, ``prob`` share of them) as JSON now; the frame passes through."""
+        """Write a sample (``topk`` first rows, ``prob`` share of them) as JSON now; the frame passes through.
+
+        With a ``seed`` and without ``prob``, the ``topk`` rows are drawn uniformly, by ``key`` columns if given, and the same on every run.
+        """
         from flexspark.sources.write import write_sample
 
         write_sample(self.df, path, options or {})

@@ -207,15 +207,11 @@ def unbox(
 
 
 def _unquoted_lines(text: Column) -> Column:
-    """Lines of CSV text; a line break between double quotes does not end one."""
-
-    def add(lines: Column, line: Column) -> Column:
-        last = F.get(lines, F.size(lines) - 1)
-        open_ = (F.size(lines) > 0) & (F.length(F.regexp_replace(last, '[^"]', "")) % 2 == 1)
-        longer = F.concat(F.slice(lines, 1, F.size(lines) - 1), F.array(F.concat(last, F.lit("\n"), line)))
-        return F.when(open_, longer).otherwise(F.concat(lines, F.array(line)))
-
-    return F.aggregate(F.split(text, "\r?\n"), F.array().cast("array<string>"), add)
+    """Lines of CSV text; a line break between double quotes does not end one. Every second part between quotes is quoted."""
+    mark, own = "\u001e1", "\u001e0"  # the text's own mark characters are followed by 0 meanwhile
+    parts = F.split(F.replace(F.replace(text, F.lit("\r\n"), F.lit("\n")), F.lit("\u001e"), F.lit(own)), '"')
+    marked = F.transform(parts, lambda p, i: F.when(i % 2 == 0, F.replace(p, F.lit("\n"), F.lit(mark))).otherwise(p))
+    return F.transform(F.split(F.array_join(marked, '"'), mark), lambda line: F.replace(line, F.lit(own), F.lit("\u001e")))
 
 
 _PARSED = "__parsed"

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from flexspark.operators.hot import dealt
 from flexspark.plans.discover import choice_paths
 from flexspark.plans.paths import as_list, top, value_at
 from flexspark.plans.types import Choice, contains, merge_types, to_spark
@@ -42,8 +43,14 @@ def split_rows(df: DataFrame, comparisons: dict[str, dict[str, object]]) -> tupl
     return df.where(inside), df.where(~F.coalesce(inside, F.lit(False)))
 
 
-def join_on(left: DataFrame, right: DataFrame, left_paths, right_paths, how: str = "inner") -> DataFrame:
-    """Equality join on path lists. Both sides keep all columns; clashing right names get ``right_``."""
+def join_on(left: DataFrame, right: DataFrame, left_paths, right_paths, how: str = "inner", salts: int = 0, share: float = 0.01) -> DataFrame:
+    """Equality join on path lists. Both sides keep all columns; clashing right names get ``right_``.
+
+    With ``salts``, keys that hold ``share`` of the rows of either side are dealt over so many tasks (:func:`~flexspark.operators.hot.dealt`), which
+    also holds where the result is grouped on the key or both sides are hot; two small passes over the keys find them. Inner joins only.
+    """
+    if salts and how != "inner":
+        raise ValueError("only inner joins are dealt over salts")
     left_paths, right_paths = as_list(left_paths), as_list(right_paths)
     if not left_paths or len(left_paths) != len(right_paths):
         raise ValueError("both sides need the same number of join paths")
@@ -60,8 +67,16 @@ def join_on(left: DataFrame, right: DataFrame, left_paths, right_paths, how: str
         taken.add(new.lower())
         names[c] = new
     renamed = right.select(*[top(c).alias(n) for c, n in names.items()], *[k.alias(n) for n, k in right_keys])
-    condition = reduce(operator.and_, [value_at(left.schema, p) == top(n) for p, (n, _) in zip(left_paths, right_keys)])
-    return left.join(renamed, condition, how).drop(*[n for n, _ in right_keys])
+    keys = [value_at(left.schema, p) for p in left_paths]
+    condition = reduce(operator.and_, [k == top(n) for k, (n, _) in zip(keys, right_keys)])
+    if salts > 1:
+        # hashes of a key agree where its types do
+        kinds = [left.select(k.alias("k")).schema["k"].dataType for k in keys]
+        cast = [top(n).cast(t) for (n, _), t in zip(right_keys, kinds)]
+        left, renamed = dealt(left, renamed, keys, cast, salts, share)
+        renamed = renamed.withColumnRenamed("__salt", "__right_salt")
+        condition &= top("__salt") == top("__right_salt")
+    return left.join(renamed, condition, how).drop(*[n for n, _ in right_keys], "__salt", "__right_salt")
 
 
 def merge_rows(source: DataFrame, staged: DataFrame, keys) -> DataFrame:
@@ -88,8 +103,12 @@ def _by_keys(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> Da
 def union_rows(left: DataFrame, right: DataFrame) -> DataFrame:
     """All rows of both by column name. Missing columns become null; conflicting ones become choices.
 
-    VARIANT stores integers without a width, so columns that differ only in integer width are widened.
+    VARIANT stores integers without a width, so columns that differ only in integer width are widened. Names are compared as
+    ``spark.sql.caseSensitive`` says; the left's spelling stays.
     """
+    if left.sparkSession.conf.get("spark.sql.caseSensitive", "false").lower() != "true":
+        spelt = {c.lower(): c for c in left.columns}
+        right = right.select(*[top(c).alias(spelt.get(c.lower(), c)) for c in right.columns])
     theirs = {f.name: f for f in right.schema.fields}
     ours = {f.name for f in left.schema.fields}
     merged: list[tuple[str, T.DataType]] = []

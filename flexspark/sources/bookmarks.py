@@ -35,7 +35,7 @@ class Bookmarks:
         """Checkpoint folder of one reading place."""
         if not transformation_ctx:
             raise ValueError("a bookmark needs a transformation_ctx")
-        return f"{self.root}/{_folder(self.job)}/{_folder(transformation_ctx)}"
+        return f"{self.root}/{folder_name(self.job)}/{folder_name(transformation_ctx)}"
 
     def read(
         self,
@@ -55,7 +55,7 @@ class Bookmarks:
         process(df if self.mode == "disable" else modified_between(df, self.start, self.end))
 
 
-def _folder(name: str) -> str:
+def folder_name(name: str) -> str:
     """Folder name for any text; a digest keeps apart names that differ only in what a folder name cannot hold."""
     clean = re.sub(r"[^A-Za-z0-9_.-]", "_", name)
     return clean if clean == name else f"{clean}-{hashlib.sha256(name.encode()).hexdigest()[:12]}"

@@ -14,9 +14,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flexspark.frame import FlexFrame, Step
+from flexspark.operators.sample import seeded_sample
 from flexspark.plans.discover import discover, from_variant
 from flexspark.plans.paths import as_list
 from flexspark.plans.types import Choice, merge_types, type_name
+from flexspark.sources.ledger import JobRun
 
 # Codecs that need a named format, and CSV options under their names here and in Spark.
 NAMED_FORMAT_CODECS = ["lzo"]
@@ -62,8 +64,9 @@ def partition_hint(df: DataFrame, minimum: int | None = None, target: int | None
 class FlexReader:
     """Batch sources that give FlexFrames."""
 
-    def __init__(self, spark: SparkSession, min_partitions: int | None = None, target_partitions: int | None = None):
-        self.spark = spark
+    def __init__(self, spark: SparkSession, min_partitions: int | None = None, target_partitions: int | None = None, run: JobRun | None = None):
+        """With a ``run``, reads that name a ``transformation_ctx`` give what its bookmark leaves."""
+        self.spark, self.run = spark, run
         self.min_partitions, self.target_partitions = min_partitions, target_partitions
 
     def from_options(
@@ -77,19 +80,31 @@ class FlexReader:
         schema: T.StructType | str | None = None,
         min_partitions: int | None = None,
         target_partitions: int | None = None,
+        transformation_ctx: str = "",
     ) -> FlexFrame:
         """Read by connection, format and options. The predicate is a plain filter, so Spark prunes by it.
 
         JSON goes through :meth:`json`, which keeps bad records as errors; with a schema and a Spark parser ``mode`` in the
         format options it goes to Spark's typed reader, which is about twice as fast and keeps none.
+        Files that the bookmark of the reader's run holds back are not read, nor do their types count; if none is due the frame is empty,
+        with the columns of all files.
         """
         options, format_options = dict(connection_options or {}), dict(format_options or {})
+        name = name or frame_name(options)
+        if self.run is not None and transformation_ctx and _paths(options):
+            roots, files = _paths(options), self.run.due(transformation_ctx, _paths(options))
+            base = {"basePath": roots[0]} if len(roots) == 1 and not re.search(r"[*?{\[]", roots[0]) else {}
+            plain = FlexReader(self.spark, self.min_partitions, self.target_partitions)
+            rest = (format, format_options, push_down_predicate, name, schema, min_partitions, target_partitions)
+            if files:
+                return plain.from_options(connection_type, {**base, **options, "paths": files}, *rest)
+            frame = plain.from_options(connection_type, options, *rest)
+            return FlexFrame(frame.df.where(F.lit(False)), frame.name)
         as_map = as_list(format_options.pop("asMap", ()))
         format = format.lower() if format else None
         codec = str(options.pop("compressionType", "") or "").lower()
         if codec in NAMED_FORMAT_CODECS and format is None:
             raise ValueError(f"compressionType {codec} needs a format")
-        name = name or frame_name(options)
         if connection_type.lower() == "jdbc":
             from flexspark.sources.jdbc import read_jdbc
 
@@ -146,9 +161,15 @@ class FlexReader:
         push_down_predicate: str = "",
         name_space: str | None = None,
         name: str | None = None,
+        transformation_ctx: str = "",
     ) -> FlexFrame:
-        """Catalog table; a predicate on partition columns prunes partitions."""
+        """Catalog table; a predicate on partition columns prunes partitions. With the bookmark of the reader's run, the rows of the files due."""
         df = self.spark.table(table_name_of(database, table_name, name_space))
+        if self.run is not None and transformation_ctx:
+            have = df.inputFiles()
+            due = self.run.due(transformation_ctx, have) if have else []
+            file = F.regexp_replace("_metadata.file_path", "^file:/+", "file:/")
+            df = df.where(file.isin([re.sub("^file:/+", "file:/", p) for p in due]) if due else F.lit(False))
         if push_down_predicate:
             df = df.where(push_down_predicate)
         return FlexFrame(partition_hint(df, self.min_partitions, self.target_partitions), name or table_name)
@@ -168,8 +189,12 @@ class FlexReader:
         return self._sampled(self.from_options(connection_type, connection_options, **kwargs), num, sample_options or {})
 
     def _sampled(self, frame: FlexFrame, num: int, options: dict) -> FlexFrame:
-        """At most ``num`` rows; ``fraction`` (with ``seed``) thins them at random first."""
+        """At most ``num`` rows: the first ones, thinned at random before by ``fraction`` (with ``seed``). A ``seed`` alone draws exactly ``num``
+        rows uniformly, the same on every run, by the ``key`` columns if given.
+        """
         df = frame.df
+        if "seed" in options and "fraction" not in options:
+            return FlexFrame(seeded_sample(df, num, int(options["seed"]), options.get("key")), frame.name, frame.steps)
         if "fraction" in options:
             df = df.sample(float(options["fraction"]), seed=options.get("seed"))
         return FlexFrame(df.limit(num), frame.name, frame.steps)

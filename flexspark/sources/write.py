@@ -8,12 +8,13 @@ from collections.abc import Callable
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, DataFrameWriter
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flexspark.frame import FlexFrame, FrameSet
 from flexspark.operators.choice import drop_null_fields
+from flexspark.operators.sample import seeded_sample
 from flexspark.plans.paths import top
 from flexspark.plans.types import contains, parse_type
 from flexspark.sources.jdbc import write_jdbc
@@ -77,7 +78,11 @@ class FlexWriter:
 
     def from_catalog(self, frame, database: str | None = None, table_name: str | None = None, name_space: str | None = None,
                      additional_options: dict | None = None) -> FlexFrame:
-        """Append to a catalog table, columns matched by name. With ``path`` the table is created or updated there."""
+        """Append to a catalog table, columns matched by name; a table that isn't there is created, at ``path`` if given.
+
+        New columns are added to the table (``schema_change="fail"``: raise), values are cast to its types where they fit, and rows that don't
+        fit come back as the errors, like those of ``required``.
+        """
         options = dict(additional_options or {})
         table = table_name_of(database, table_name, name_space)
         return self._one(frame, options, lambda df: _to_table(df, table, options))
@@ -92,7 +97,7 @@ class FlexWriter:
             return FrameSet(out)
         return write(frame, options)
 
-    def _one(self, frame, options: dict, write: Callable[[DataFrame], None]) -> FlexFrame:
+    def _one(self, frame, options: dict, write: Callable[[DataFrame], DataFrame | None]) -> FlexFrame:
         if not isinstance(frame, FlexFrame):
             raise TypeError(f"can write a FlexFrame or FrameSet, not {type(frame).__name__}")
         frame.assert_error_threshold()
@@ -100,9 +105,9 @@ class FlexWriter:
         required = options.pop("required", None)
         if required:
             df, bad = divert(df, required)
-        write(df)
+        refused = [b for b in (bad, write(df)) if b is not None]
         empty = frame.df.sparkSession.createDataFrame([], "error_message string, record string")
-        return FlexFrame(empty if bad is None else bad, f"{frame.name}_errors")
+        return FlexFrame(reduce(DataFrame.unionByName, refused) if refused else empty, f"{frame.name}_errors")
 
     def _files(self, frame, options: dict, kind: str, format_options: dict) -> FlexFrame:
         options = dict(options)
@@ -129,25 +134,84 @@ def _partitioned(writer: DataFrameWriter, by) -> DataFrameWriter:
     return writer.partitionBy(*by) if by else writer
 
 
-def _to_table(df: DataFrame, table: str, options: dict) -> None:
-    spark = df.sparkSession
-    if options.get("path") or not spark.catalog.tableExists(table):
+def _same(spark: SparkSession) -> Callable[[str], str]:
+    """How column names are compared in this session."""
+    return (lambda n: n) if spark.conf.get("spark.sql.caseSensitive", "false").lower() == "true" else str.lower
+
+
+def fitted(df: DataFrame, wanted: T.StructType) -> tuple[DataFrame, DataFrame | None]:
+    """The rows cast to a table's columns, in their order, and those that don't fit as error rows (None where every row must fit).
+
+    A value fits if it is cast without loss: text must parse, numbers and times must come back unchanged. Columns missing in ``df`` are null;
+    columns of ``df`` that the table lacks are left out. Nested values must have the table's type.
+    """
+    same = _same(df.sparkSession)
+    have = {same(f.name): f for f in df.schema.fields}
+    out, fits, problems = [], [], []
+    for f in wanted.fields:
+        mine = have.get(same(f.name))
+        if mine is None:
+            out.append(F.lit(None).cast(f.dataType).alias(f.name))
+            continue
+        value = top(mine.name)
+        if mine.dataType == f.dataType or isinstance(mine.dataType, T.NullType):
+            out.append(value.cast(f.dataType).alias(f.name))
+            continue
+        if isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType)) and not isinstance(mine.dataType, T.VariantType):
+            raise ValueError(f"column {f.name}: {mine.dataType.simpleString()} is not the table's {f.dataType.simpleString()}")
+        nested = isinstance(mine.dataType, (T.StructType, T.ArrayType, T.MapType))
+        cast = F.to_json(value).try_cast(f.dataType) if nested else value.try_cast(f.dataType)
+        out.append(cast.alias(f.name))
+        fine = cast.isNotNull()
+        if not nested and not isinstance(mine.dataType, (T.StringType, T.VariantType)) and not isinstance(f.dataType, T.StringType):
+            fine &= cast.try_cast(mine.dataType).eqNullSafe(value)
+        fits.append(value.isNull() | fine)
+        problems.append(F.when(~fits[-1], F.lit(f"{f.name} is not {f.dataType.simpleString()}")))
+    if not fits:
+        return df.select(*out), None
+    ok = reduce(and_, fits)
+    bad = df.where(~ok).select(F.concat_ws(", ", *problems).alias("error_message"), F.to_json(F.struct(*[top(c) for c in df.columns])).alias("record"))
+    return df.where(ok).select(*out), bad
+
+
+def _to_table(df: DataFrame, table: str, options: dict) -> DataFrame | None:
+    """Write to a catalog table, created where it isn't there; returns the rows it refused.
+
+    ``schema_change``: columns that the table lacks are added to it (``add``, the default) or raise (``fail``); they are never dropped. Columns
+    without a type are. Rows whose values don't fit the table's types are refused (:func:`fitted`).
+    """
+    spark, change = df.sparkSession, options.get("schema_change", "add")
+    if change not in ("add", "fail"):
+        raise ValueError(f"schema_change is add or fail, not {change!r}")
+    if not spark.catalog.tableExists(table):
         writer = df.write.format(options.get("format", "parquet")).mode(options.get("mode", "append"))
         if options.get("path"):
             writer = writer.option("path", options["path"])
         _partitioned(writer, options.get("partitionBy", [])).saveAsTable(table)
-    else:
-        df.select(*[top(c) for c in spark.table(table).columns]).write.mode(options.get("mode", "append")).insertInto(table)
+        return None
+    same, df = _same(spark), drop_null_fields(df)
+    known = {same(c) for c in spark.table(table).columns}
+    new = [f for f in df.schema.fields if same(f.name) not in known]
+    if new and change == "fail":
+        raise ValueError(f"{table} has no column {', '.join(f.name for f in new)}")
+    if new:
+        listed = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in new)
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({listed})")
+    good, bad = fitted(df, spark.table(table).schema)
+    good.write.mode(options.get("mode", "append")).insertInto(table)
+    return bad
 
 
-def write_data_frame(df: DataFrame, database: str | None = None, table_name: str | None = None, name_space: str | None = None, **options) -> None:
-    """Append a plain DataFrame to a catalog table."""
-    _to_table(df, table_name_of(database, table_name, name_space), options)
+def write_data_frame(df: DataFrame, database: str | None = None, table_name: str | None = None, name_space: str | None = None, **options) -> DataFrame | None:
+    """Append a plain DataFrame to a catalog table, as :meth:`FlexWriter.from_catalog` does; returns the rows refused, None where all must fit."""
+    return _to_table(df, table_name_of(database, table_name, name_space), options)
 
 
 def write_sample(df: DataFrame, path: str, options: dict) -> None:
-    """Sample as JSON: ``topk`` first rows (no order promised), thinned by ``prob``."""
-    if "topk" in options:
+    """Sample as JSON: ``topk`` first rows (no order promised; with ``seed`` and without ``prob`` drawn by it), thinned by ``prob``."""
+    if "topk" in options and "seed" in options and "prob" not in options:
+        df = seeded_sample(df, int(options["topk"]), int(options["seed"]), options.get("key"))
+    elif "topk" in options:
         df = df.limit(int(options["topk"]))
     if "prob" in options:
         df = df.sample(float(options["prob"]), seed=options.get("seed"))
