@@ -8,8 +8,10 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from flexspark.plans.paths import top
+from flexspark.sources.listing import bare, list_files, opened, partition_value
 from flexspark.sources.read import table_name_of
 from flexspark.sources.scratch import new_dir, stage
 
@@ -33,11 +35,10 @@ def purge_path(
 ) -> DataFrame:
     """Files below a path, at any depth, older than the retention: one row per file with what happened to it.
 
-    Only names and times are read. Deleting happens once, in tasks; the result is kept in a written table, and with
+    Only names and times are read, folder by folder in tasks. Deleting happens once, in tasks; the result is kept in a written table, and with
     ``manifest_path`` also as CSV in ``Success.csv`` and ``Failed.csv``.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    old = files.select("path", F.col("modificationTime").alias("modified")).where(F.col("modified") < _cutoff(retention_hours, now))
+    old = list_files(spark, path).select("path", "modified").where(F.col("modified") < _cutoff(retention_hours, now))
     return _delete(old, path, dry_run, manifest_path)
 
 
@@ -56,18 +57,16 @@ def _delete(old: DataFrame, root: str, dry_run: bool, manifest_path: str | None)
 
 
 def _delete_files(root: str):
-    inside = _bare(root).rstrip("/") + "/"
+    inside = bare(root).rstrip("/") + "/"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyarrow import fs
-
         for pdf in batches:
             ok, messages = [], []
             for uri in pdf["path"]:
                 try:
-                    if not _bare(uri).startswith(inside):
+                    if not bare(uri).startswith(inside):
                         raise ValueError("outside the purged path")
-                    system, name = fs.FileSystem.from_uri(uri)
+                    system, name = opened(uri)
                     system.delete_file(name)
                     ok.append(True)
                     messages.append("")
@@ -82,12 +81,6 @@ def _delete_files(root: str):
     return run
 
 
-def _bare(uri: str) -> str:
-    """Path of a URI without scheme and doubled slashes."""
-    text = uri.split(":", 1)[1] if ":" in uri.split("/", 1)[0] else uri
-    return "/" + text.lstrip("/")
-
-
 def purge_table(
     spark: SparkSession,
     database: str,
@@ -100,14 +93,13 @@ def purge_table(
 ) -> DataFrame:
     """Old files of a table, or of the partitions a predicate picks. Partitions left without files are dropped.
 
-    Files are listed below the table's location, with the partition values in their paths; no row is read.
+    Files are listed below the table's location, in tasks, with the partition values in their paths; no row is read.
     """
     table = table_name_of(database, table_name)
     root = spark.sql(f"DESCRIBE FORMATTED {table}").where("col_name = 'Location'").first()["data_type"]
     by = {c.name: c.dataType for c in spark.catalog.listColumns(table) if c.isPartition}
-    listed = spark.read.format("binaryFile").option("recursiveFileLookup", str(not by).lower()).load(root)
-    values = [top(c).cast(t).alias(c) for c, t in by.items() if c in listed.columns]
-    files = listed.select("path", F.col("modificationTime").alias("modified"), *values)
+    values = [partition_value(c, T.DataType.fromDDL(t)) for c, t in by.items()]
+    files = list_files(spark, root).select("path", "modified", *values)
     if partition_predicate:
         files = files.where(partition_predicate)
     if dry_run or not values:
