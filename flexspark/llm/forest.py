@@ -5,11 +5,13 @@ angle are then the largest inner products. Each tree splits at the median along
 sampled vectors, down to LEAF sampled vectors. Trees are fitted on at most SAMPLE vectors, those with the smallest hashes;
 every vector is indexed.
 
-A query's queue holds nodes of all trees, ordered by the smallest margin on the way to them; leaves are taken until they hold SHARE of
-all vectors (counted with repeats over trees, LEAST at least) and one tree alone gives ``k`` candidates. Candidates are ranked by the exact inner product.
+A query's queue holds nodes of all trees, ordered by the smallest margin on the way to them; leaves are taken until they hold a share of
+all vectors (counted with repeats over trees) and one tree alone gives ``k`` candidates. The share follows from the table at hand: HELD sampled vectors search the
+sample, and the least share that finds RECALL of their true neighbours there is taken. Vectors close to random need nearly all of it, clustered
+ones little. Candidates are ranked by the exact inner product.
 
-Equal vectors are one entry with their k + 1 smallest ids: more can never be among k nearest. Leaves are searched in blocks
-of at most BLOCK entries by QUERIES queries, whatever their size.
+Equal vectors are one entry with their k + 1 smallest ids: more can never be among k nearest. Neighbouring leaves of a tree are searched together, in
+blocks of about BLOCK entries by QUERIES queries; a larger leaf is cut into such blocks. A block gives each query's k + 1 best of the leaves it asked for.
 """
 
 from __future__ import annotations
@@ -20,13 +22,14 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from flexspark.sources.scratch import stage
 
-SAMPLE, TREES, LEAF = 20_000, 12, 100
-SHARE, LEAST = 0.4, 2000
+SAMPLE, TREES, LEAF = 20_000, 6, 100
+HELD, RECALL = 64, 0.96
 BLOCK, QUERIES = 4096, 4096
 
 
@@ -101,6 +104,27 @@ def search(trees: list[Tree], counts: list[np.ndarray], q: np.ndarray, want: flo
     return out
 
 
+def share_for(trees: list[Tree], x: np.ndarray, k: int) -> float:
+    """The least share of all rows (counted with repeats over trees) at which HELD of the rows find RECALL of their k nearest others among the rows."""
+    rows = np.random.default_rng(99).permutation(len(x))[:HELD]
+    leaves = [leaf_of(t, x) for t in trees]
+    counts = [np.bincount(a, minlength=t.leaves) for a, t in zip(leaves, trees)]
+    # as a query a row has its first components alone, at unit length
+    q = np.concatenate([x[rows, :-1] / np.maximum(np.linalg.norm(x[rows, :-1], axis=1), 1e-300)[:, None], np.zeros((len(rows), 1))], axis=1)
+    needed = []
+    for i, own in enumerate(rows.tolist()):
+        s = x @ q[i]
+        s[own] = -np.inf
+        nearest = np.argsort(-s, kind="stable")[: min(k, len(x) - 1)]
+        seen, met = 0, np.full(len(nearest), np.inf)
+        for t, leaf in search(trees, counts, q[i], np.inf, 0):
+            seen += counts[t][leaf]
+            met = np.where(leaves[t][nearest] == leaf, np.minimum(met, seen), met)
+        needed.append(met)
+    every = np.sort(np.concatenate([np.zeros(0), *needed]))
+    return float(every[int(np.ceil(RECALL * len(every))) - 1]) / len(x) if len(every) else 1.0
+
+
 def _matrix(column: pa.Array, dim: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
 
@@ -142,60 +166,78 @@ def nearest(df: DataFrame, key: str, vector: str, is_query, k: int = 20) -> Data
             y = m / top
             y = np.concatenate([y, np.sqrt(np.maximum(0, 1 - (y * y).sum(axis=1)))[:, None]], axis=1)
             for i, t in enumerate(trees):
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(y), i), pa.int32()), pa.array(leaf_of(t, y), pa.int32()), batch["h"], batch["ids"], batch["v"]], names=["tree", "leaf", "h", "ids", "v"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(y), i), pa.int32()), pa.array(leaf_of(t, y), pa.int32()), batch["h"], pc.list_element(batch["ids"], 0), batch["v"]], names=["tree", "leaf", "h", "first", "v"])
 
-    index = stage(entries.mapInArrow(place, "tree int, leaf int, h long, ids array<long>, v array<double>"), "forest")
+    index = stage(entries.mapInArrow(place, "tree int, leaf int, h long, first long, v array<double>"), "forest")
     counts = [np.zeros(t.leaves, np.int64) for t in trees]
     for r in index.groupBy("tree", "leaf").agg(F.count("*").alias("n")).collect():  # a row for each leaf of the forest
         counts[r["tree"]][r["leaf"]] = r["n"]
-    shared = spark.sparkContext.broadcast(counts)
-    want = max(LEAST, SHARE * total)
+    # neighbouring leaves make a group of about BLOCK entries
+    groups = [np.cumsum(n) // BLOCK for n in counts]
+    shared = spark.sparkContext.broadcast((counts, groups))
+    want = share_for(trees, x, k) * total
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trees = [Tree(*t) for t in forest.value]
         for batch in batches:
             y = _matrix(batch["v"], dim)
             y = np.concatenate([y / np.linalg.norm(y, axis=1)[:, None], np.zeros((len(y), 1))], axis=1)
-            found = [search(trees, shared.value, q, want, k + 1) for q in y]
-            of = pa.array(np.repeat(np.arange(len(y)), [len(f) for f in found]))
-            flat = np.array([p for f in found for p in f], np.int32).reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays([pa.array(flat[:, 0]), pa.array(flat[:, 1]), batch["v"].take(of)], names=["tree", "leaf", "qv"])
-
-    queries = stage(rows.where("q").select("id", "v").distinct(), "queries")
-    asked = stage(queries.select("v").distinct().mapInArrow(ask, "tree int, leaf int, qv array<double>"), "asked")
-    load = asked.groupBy("tree", "leaf").agg(F.count("*").alias("n")).collect()  # again a row for each leaf
-    blocks = [(r["tree"], r["leaf"], -(-int(counts[r["tree"]][r["leaf"]]) // BLOCK), -(-r["n"] // QUERIES)) for r in load]
+            counts, groups = shared.value
+            tree, group, of, leaves = [], [], [], []
+            for i, q in enumerate(y):
+                by: dict[tuple[int, int], list[int]] = {}
+                for t, leaf in search(trees, counts, q, want, k + 1):
+                    by.setdefault((t, int(groups[t][leaf])), []).append(leaf)
+                tree += [t for t, _ in by]
+                group += [g for _, g in by]
+                leaves += by.values()
+                of += [i] * len(by)
+            of = pa.array(of, pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(tree, pa.int32()), pa.array(group, pa.int32()), batch["qn"].take(of), pa.array(leaves, pa.list_(pa.int32())), batch["v"].take(of)], names=["tree", "grp", "qn", "leaves", "qv"])
+
+    queries = stage(rows.where("q").select("id", "v", F.xxhash64("v").alias("qn")).distinct(), "queries")
+    asked = stage(queries.select("v", "qn").distinct().mapInArrow(ask, "tree int, grp int, qn long, leaves array<int>, qv array<double>"), "asked")
+    load = asked.groupBy("tree", "grp").agg(F.count("*").alias("n")).collect()  # at most a row for each leaf
+    held = [np.bincount(g, weights=n) for g, n in zip(groups, counts)]
+    blocks = [(r["tree"], r["grp"], -(-int(held[r["tree"]][r["grp"]]) // (2 * BLOCK)), -(-r["n"] // QUERIES)) for r in load]
     if not blocks:
         return none
-    plan = spark.createDataFrame(blocks, "t int, l int, vs int, qs int")
-    on = (F.col("tree") == F.col("t")) & (F.col("leaf") == F.col("l"))
-    left = asked.join(F.broadcast(plan), on).withColumn("qb", F.pmod(F.xxhash64("qv"), F.col("qs")).cast("int")).withColumn("vb", F.explode(F.sequence(F.lit(0), F.col("vs") - 1)))
-    right = index.join(F.broadcast(plan), on).withColumn("vb", F.pmod(F.xxhash64(F.col("h"), F.lit(1)), F.col("vs")).cast("int")).withColumn("qb", F.explode(F.sequence(F.lit(0), F.col("qs") - 1)))
+    plan = F.broadcast(spark.createDataFrame(blocks, "t int, g int, vs int, qs int"))
+    numbered = spark.createDataFrame([(t, leaf, int(g)) for t, of in enumerate(groups) for leaf, g in enumerate(of)], "t int, l int, grp int")
+    placed = index.join(F.broadcast(numbered), (F.col("tree") == F.col("t")) & (F.col("leaf") == F.col("l"))).select("tree", "grp", "leaf", "h", "first", "v")
+    on = (F.col("tree") == F.col("t")) & (F.col("grp") == F.col("g"))
+    left = asked.join(plan, on).withColumn("qb", F.pmod(F.col("qn"), F.col("qs")).cast("int")).withColumn("vb", F.explode(F.sequence(F.lit(0), F.col("vs") - 1)))
+    right = placed.join(plan, on).withColumn("vb", F.pmod(F.xxhash64(F.col("h"), F.lit(1)), F.col("vs")).cast("int")).withColumn("qb", F.explode(F.sequence(F.lit(0), F.col("qs") - 1)))
 
     def rank(one: pa.Table, two: pa.Table) -> pa.Table:
-        q, m = _matrix(one["qv"].combine_chunks(), dim) if len(one) else np.zeros((0, dim)), _matrix(two["v"].combine_chunks(), dim) if len(two) else np.zeros((0, dim))
-        who, what = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        q, m = (_matrix(t[c].combine_chunks(), dim) if len(t) else np.zeros((0, dim)) for t, c in ((one, "qv"), (two, "v")))
+        who, what = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         if len(q) and len(m):
-            # smallest ids first, so that a stable order settles ties
-            order = np.argsort([i[0] for i in two["ids"].to_pylist()], kind="stable")
+            here, place = np.unique(two["leaf"].to_numpy(), return_inverse=True)
+            asked = np.zeros((len(q), len(here)), bool)
+            wanted = one["leaves"].combine_chunks()
+            row = np.repeat(np.arange(len(q)), np.diff(wanted.offsets.to_numpy()))
+            flat = wanted.flatten().to_numpy()
+            at = np.minimum(np.searchsorted(here, flat), len(here) - 1)
+            asked[row[here[at] == flat], at[here[at] == flat]] = True
+            n = min(k + 1, len(m))
             for a in range(0, len(q), 256):
-                s = q[a : a + 256] @ m[order].T
-                n = min(k + 1, len(m))
-                if n < len(m):
-                    floor = np.partition(s, len(m) - n, axis=1)[:, len(m) - n, None]
-                    i, j = np.nonzero(s >= floor - 1e-12)
-                else:
-                    i, j = (z.ravel() for z in np.indices(s.shape))
-                who, what = np.concatenate([who, i + a]), np.concatenate([what, order[j]])
-        score = (q[who] * m[what]).sum(axis=1)
-        return pa.table({"qv": one["qv"].take(pa.array(who)), "ids": two["ids"].take(pa.array(what)), "score": pa.array(score, pa.float64())})
-
-    by = ["tree", "leaf", "vb", "qb"]
-    hits = left.select(*by, "qv").groupBy(*by).cogroup(right.select(*by, "ids", "v").groupBy(*by)).applyInArrow(rank, "qv array<double>, ids array<long>, score double")
-    best = Window.partitionBy("qv").orderBy(F.desc("score"), F.col("ids")[0])
-    near = hits.distinct().withColumn("r", F.row_number().over(best)).where(F.col("r") <= k + 1).select("qv", "ids", "score")
+                s = np.where(asked[a : a + 256][:, place], q[a : a + 256] @ m.T, -np.inf)
+                floor = np.partition(s, len(m) - n, axis=1)[:, len(m) - n, None]
+                i, j = np.nonzero((s >= floor - 1e-12) & (s > -np.inf))
+                who.append(i + a)
+                what.append(j)
+        who, what = np.concatenate(who), np.concatenate(what)
+        return pa.table({"qn": one["qn"].take(pa.array(who)), "h": two["h"].take(pa.array(what)), "first": two["first"].take(pa.array(what)), "score": pa.array((q[who] * m[what]).sum(axis=1), pa.float64())})
+
+    by = ["tree", "grp", "vb", "qb"]
+    hits = left.select(*by, "qn", "leaves", "qv").groupBy(*by).cogroup(right.select(*by, "leaf", "h", "first", "v").groupBy(*by)).applyInArrow(rank, "qn long, h long, first long, score double")
+    best = Window.partitionBy("qn").orderBy(F.desc("score"), "first")
+    near = hits.groupBy("qn", "h", "first").agg(F.max("score").alias("score")).withColumn("r", F.row_number().over(best)).where(F.col("r") <= k + 1).select("qn", "h", "first", "score")
     near = stage(near, "near")
-    pairs = queries.select(F.col("id").alias("query_id"), "v").join(near, F.col("v") == F.col("qv")).select("query_id", F.explode("ids").alias("vec_id"), "score").where("query_id <> vec_id")
+    known = entries.select(F.col("h").alias("eh"), F.col("ids")[0].alias("ef"), "ids")
+    named = near.join(known, (F.col("h") == F.col("eh")) & (F.col("first") == F.col("ef"))).select("qn", "ids", "score")
+    pairs = queries.select(F.col("id").alias("query_id"), "qn").join(named, "qn").select("query_id", F.explode("ids").alias("vec_id"), "score").where("query_id <> vec_id")
     pairs = pairs.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     ranked = pairs.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")).cast("int"))
     return ranked.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

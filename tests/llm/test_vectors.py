@@ -5,6 +5,7 @@ import struct
 from collections import defaultdict
 
 import numpy as np
+import pytest
 import zstandard
 from pyspark.sql import functions as F
 
@@ -45,6 +46,32 @@ def test_recall(spark):
     assert np.mean([len({j for j, _ in got[q]} & {j for j, _ in want[q]}) / 20 for q in want]) >= 0.9
 
 
+@pytest.mark.parametrize("n", [2000, 5000, 20000])
+def test_recall_holds_at_any_size(spark, n):
+    """Random unit vectors, the hardest case: at least 0.9 of the true neighbours, at every size."""
+    x = np.random.default_rng(n).standard_normal((n, 64)).astype(np.float32)
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    pick = n // 50
+    got = found(spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(8), F.col("vec_id") % pick == 0)
+    s = x[::pick].astype(float) @ x.T.astype(float)
+    s[np.arange(len(s)), np.arange(0, n, pick)] = -np.inf
+    want = {i * pick: set(np.argpartition(-r, 20)[:20].tolist()) for i, r in enumerate(s)}
+    assert np.mean([len({j for j, _ in got[q]} & w) / 20 for q, w in want.items()]) >= 0.9
+
+
+def test_share_follows_the_data():
+    """Clustered vectors are searched in a small share, random ones in a large one."""
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(50, 16))
+    shares = []
+    for x in (centres[rng.integers(0, 50, 5000)] + 0.1 * rng.normal(size=(5000, 16)), rng.normal(size=(5000, 16))):
+        x /= np.linalg.norm(x, axis=1)[:, None]
+        x = np.concatenate([x, np.zeros((len(x), 1))], axis=1)
+        shares.append(forest.share_for([forest.grow(x, i, 50) for i in range(6)], x, 20))
+    assert shares[0] < 0.5 * shares[1]
+
+
 def test_forest_prunes_clusters():
     """On clustered vectors the queue reaches the true neighbours in few leaves of many."""
     rng = np.random.default_rng(5)
