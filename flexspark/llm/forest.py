@@ -8,7 +8,8 @@ every vector is indexed.
 A query's queue holds nodes of all trees, ordered by the smallest margin on the way to them; leaves are taken until they hold a share of
 all vectors (counted with repeats over trees) and one tree alone gives ``k`` candidates. The share follows from the table at hand: HELD sampled vectors search the
 sample, and the least share that finds RECALL of their true neighbours there is taken. Vectors close to random need nearly all of it, clustered
-ones little. Candidates are ranked by the exact inner product.
+ones little. Candidates are ranked by the exact inner product; those below the k + 1st best of the sampled vectors in a query's own leaves
+can't be among its nearest and are let go at once.
 
 Equal vectors are one entry with their k + 1 smallest ids: more can never be among k nearest. Neighbouring leaves of a tree are searched together, in
 blocks of about BLOCK entries by QUERIES queries; a larger leaf is cut into such blocks. A block gives each query's k + 1 best of the leaves it asked for.
@@ -175,6 +176,7 @@ def nearest(df: DataFrame, key: str, vector: str, is_query, k: int = 20) -> Data
     # neighbouring leaves make a group of about BLOCK entries
     groups = [np.cumsum(n) // BLOCK for n in counts]
     shared = spark.sparkContext.broadcast((counts, groups))
+    known = spark.sparkContext.broadcast((x, [leaf_of(t, x) for t in trees]))  # SAMPLE vectors at most
     want = share_for(trees, x, k) * total
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,20 +185,26 @@ def nearest(df: DataFrame, key: str, vector: str, is_query, k: int = 20) -> Data
             y = _matrix(batch["v"], dim)
             y = np.concatenate([y / np.linalg.norm(y, axis=1)[:, None], np.zeros((len(y), 1))], axis=1)
             counts, groups = shared.value
-            tree, group, of, leaves = [], [], [], []
-            for i, q in enumerate(y):
+            sampled, places = known.value
+            tree, group, of, leaves, floors = [], [], [], [], []
+            for i, (q, size) in enumerate(zip(y, np.linalg.norm(_matrix(batch["v"], dim), axis=1))):
                 by: dict[tuple[int, int], list[int]] = {}
+                chosen = [np.zeros(n.shape, bool) for n in counts]
                 for t, leaf in search(trees, counts, q, want, k + 1):
                     by.setdefault((t, int(groups[t][leaf])), []).append(leaf)
+                    chosen[t][leaf] = True
+                met = np.flatnonzero(np.any([c[p] for c, p in zip(chosen, places)], axis=0))
+                floor = np.partition(sampled[met] @ q, len(met) - k - 1)[len(met) - k - 1] * size * top if len(met) > k else -np.inf
+                floors += [floor - 1e-9 * abs(floor) - 1e-300 if np.isfinite(floor) else -np.inf] * len(by)
                 tree += [t for t, _ in by]
                 group += [g for _, g in by]
                 leaves += by.values()
                 of += [i] * len(by)
             of = pa.array(of, pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(tree, pa.int32()), pa.array(group, pa.int32()), batch["qn"].take(of), pa.array(leaves, pa.list_(pa.int32())), batch["v"].take(of)], names=["tree", "grp", "qn", "leaves", "qv"])
+            yield pa.RecordBatch.from_arrays([pa.array(tree, pa.int32()), pa.array(group, pa.int32()), batch["qn"].take(of), pa.array(leaves, pa.list_(pa.int32())), batch["v"].take(of), pa.array(floors, pa.float64())], names=["tree", "grp", "qn", "leaves", "qv", "floor"])
 
     queries = stage(rows.where("q").select("id", "v", F.xxhash64("v").alias("qn")).distinct(), "queries")
-    asked = stage(queries.select("v", "qn").distinct().mapInArrow(ask, "tree int, grp int, qn long, leaves array<int>, qv array<double>"), "asked")
+    asked = stage(queries.select("v", "qn").distinct().mapInArrow(ask, "tree int, grp int, qn long, leaves array<int>, qv array<double>, floor double"), "asked")
     load = asked.groupBy("tree", "grp").agg(F.count("*").alias("n")).collect()  # at most a row for each leaf
     held = [np.bincount(g, weights=n) for g, n in zip(groups, counts)]
     blocks = [(r["tree"], r["grp"], -(-int(held[r["tree"]][r["grp"]]) // (2 * BLOCK)), -(-r["n"] // QUERIES)) for r in load]
@@ -220,23 +228,23 @@ def nearest(df: DataFrame, key: str, vector: str, is_query, k: int = 20) -> Data
             flat = wanted.flatten().to_numpy()
             at = np.minimum(np.searchsorted(here, flat), len(here) - 1)
             asked[row[here[at] == flat], at[here[at] == flat]] = True
-            n = min(k + 1, len(m))
+            n, least = min(k + 1, len(m)), one["floor"].to_numpy()
             for a in range(0, len(q), 256):
                 s = np.where(asked[a : a + 256][:, place], q[a : a + 256] @ m.T, -np.inf)
                 floor = np.partition(s, len(m) - n, axis=1)[:, len(m) - n, None]
-                i, j = np.nonzero((s >= floor - 1e-12) & (s > -np.inf))
+                i, j = np.nonzero((s >= np.maximum(floor - 1e-12, least[a : a + 256, None])) & (s > -np.inf))
                 who.append(i + a)
                 what.append(j)
         who, what = np.concatenate(who), np.concatenate(what)
         return pa.table({"qn": one["qn"].take(pa.array(who)), "h": two["h"].take(pa.array(what)), "first": two["first"].take(pa.array(what)), "score": pa.array((q[who] * m[what]).sum(axis=1), pa.float64())})
 
     by = ["tree", "grp", "vb", "qb"]
-    hits = left.select(*by, "qn", "leaves", "qv").groupBy(*by).cogroup(right.select(*by, "leaf", "h", "first", "v").groupBy(*by)).applyInArrow(rank, "qn long, h long, first long, score double")
+    hits = left.select(*by, "qn", "leaves", "qv", "floor").groupBy(*by).cogroup(right.select(*by, "leaf", "h", "first", "v").groupBy(*by)).applyInArrow(rank, "qn long, h long, first long, score double")
     best = Window.partitionBy("qn").orderBy(F.desc("score"), "first")
     near = hits.groupBy("qn", "h", "first").agg(F.max("score").alias("score")).withColumn("r", F.row_number().over(best)).where(F.col("r") <= k + 1).select("qn", "h", "first", "score")
     near = stage(near, "near")
-    known = entries.select(F.col("h").alias("eh"), F.col("ids")[0].alias("ef"), "ids")
-    named = near.join(known, (F.col("h") == F.col("eh")) & (F.col("first") == F.col("ef"))).select("qn", "ids", "score")
+    listed = entries.select(F.col("h").alias("eh"), F.col("ids")[0].alias("ef"), "ids")
+    named = near.join(listed, (F.col("h") == F.col("eh")) & (F.col("first") == F.col("ef"))).select("qn", "ids", "score")
     pairs = queries.select(F.col("id").alias("query_id"), "qn").join(named, "qn").select("query_id", F.explode("ids").alias("vec_id"), "score").where("query_id <> vec_id")
     pairs = pairs.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     ranked = pairs.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")).cast("int"))

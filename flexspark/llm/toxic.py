@@ -135,17 +135,9 @@ def vectors(df: DataFrame, vocab: np.ndarray, keep: list[str]) -> DataFrame:
 
 
 class Index(NamedTuple):
-    """Bounded by the sample: unit vectors of distinct examples (entries), by term.
-
-    Frequent terms (those of one entry in DENSE, or more) are rows of a matrix, with every block's largest weight; the others are postings. The
-    matrix is in single precision, with what that leaves out beside it: most products need the first alone.
-    """
+    """Bounded by the sample: unit vectors of distinct examples (entries) as postings, term by term."""
 
     idf: np.ndarray  # times evidence
-    column: np.ndarray  # each term's row in the matrix, or -1
-    high: np.ndarray
-    low: np.ndarray
-    tops: np.ndarray
     first: np.ndarray  # of each term, in entry and value
     entry: np.ndarray
     value: np.ndarray
@@ -179,24 +171,32 @@ def build(ids: list, y: np.ndarray, first: np.ndarray, term: np.ndarray, count:
     n = np.zeros(len(idf), np.int64)
     for a, b, *_ in kept:
         n[term[a:b]] += 1
-    often = np.flatnonzero(n * DENSE >= max(len(kept), DENSE))
-    column = np.full(len(idf), -1, np.int32)
-    column[often] = np.arange(len(often), dtype=np.int32)
-    blocks = len(kept) // BLOCK + 1
-    high, low = (np.zeros((len(often), blocks * BLOCK), np.float32) for _ in range(2))
-    places = np.concatenate([[0], np.cumsum(np.where(column < 0, n, 0))])
-    at, entry, value = places[:-1].copy(), np.zeros(places[-1], np.int32), np.zeros(places[-1])
+    places = np.concatenate([[0], np.cumsum(n)])
+    at, entry, value = places[:-1].copy(), np.zeros(places[-1], np.uint16 if len(kept) < 1 << 16 else np.int32), np.zeros(places[-1])
     for j, (a, b, *_) in enumerate(kept):
-        t, u = term[a:b], unit(a, b)
-        dense = column[t] >= 0
-        high[column[t[dense]], j] = u[dense]
-        low[column[t[dense]], j] = u[dense] - u[dense].astype(np.float32)
-        rare = t[~dense]
-        entry[at[rare]], value[at[rare]] = j, u[~dense]
-        at[rare] += 1
+        t = term[a:b]
+        entry[at[t]], value[at[t]] = j, unit(a, b)
+        at[t] += 1
     col = lambda i: np.array([e[i] for e in kept], float)
-    tops = high.reshape(len(often), blocks, BLOCK).max(axis=2)
-    return Index(idf, column, high, low, tops, places, entry, value, col(2), col(3), col(4), [e[5] for e in kept], (none[2], none[3], none[5]), base)
+    return Index(idf, places, entry, value, col(2), col(3), col(4), [e[5] for e in kept], (none[2], none[3], none[5]), base)
+
+
+class Search:
+    """An index with its frequent terms (those of one entry in DENSE, or more) as rows of a matrix, with every block's largest weight; the others stay
+    postings. The matrix is in single precision, with what that leaves out beside it: most products need the first alone."""
+
+    def __init__(self, ix: Index):
+        self.ix, size = ix, len(ix.rows)
+        blocks = size // BLOCK + 1
+        often = np.flatnonzero(np.diff(ix.first) * DENSE >= max(size, DENSE))
+        self.column = np.full(len(ix.idf), -1, np.int32)
+        self.column[often] = np.arange(len(often), dtype=np.int32)
+        self.high, self.low = (np.zeros((len(often), blocks * BLOCK), np.float32) for _ in range(2))
+        for i, t in enumerate(often.tolist()):
+            a, b = ix.first[t], ix.first[t + 1]
+            high = ix.value[a:b].astype(np.float32)
+            self.high[i, ix.entry[a:b]], self.low[i, ix.entry[a:b]] = high, ix.value[a:b] - high
+        self.tops = self.high.reshape(len(often), blocks, BLOCK).max(axis=2)
 
 
 def _floor(score: np.ndarray, rows: np.ndarray) -> np.ndarray:
@@ -210,9 +210,11 @@ def _floor(score: np.ndarray, rows: np.ndarray) -> np.ndarray:
     return np.where(enough.any(axis=1), s[np.arange(len(s)), np.argmax(enough, axis=1)], 0.0)
 
 
-def vote(ix: Index, doc: np.ndarray, term: np.ndarray, count: np.ndarray, docs: int) -> tuple[np.ndarray, list, list]:
+def vote(ix: Index | Search, doc: np.ndarray, term: np.ndarray, count: np.ndarray, docs: int) -> tuple[np.ndarray, list, list]:
     """Scores of ``docs`` documents given as (document, term, count) rows by document, and the nearest examples (keys, cosines) each rests on."""
-    blocks, size = ix.tops.shape[1], len(ix.rows)
+    search = ix if isinstance(ix, Search) else Search(ix)
+    ix, blocks = search.ix, search.tops.shape[1]
+    size = len(ix.rows)
     score = np.full(docs, ix.base)
     near: list = [[] for _ in range(docs)]
     cosine: list = [[] for _ in range(docs)]
@@ -225,9 +227,9 @@ def vote(ix: Index, doc: np.ndarray, term: np.ndarray, count: np.ndarray, docs:
         return score, near, cosine
     w = (1 + np.log(count)) * ix.idf[term]
     w = w / np.sqrt(np.bincount(doc, weights=w * w, minlength=docs))[doc]
-    column = ix.column[term]
+    column = search.column[term]
     often, rare = np.flatnonzero(column >= 0), np.flatnonzero(column < 0)
-    x = np.zeros((docs, len(ix.high)), np.float32)
+    x = np.zeros((docs, len(search.high)), np.float32)
     x[doc[often], column[often]] = w[often]
     width = blocks * BLOCK
     some = np.zeros((docs, width))
@@ -240,18 +242,18 @@ def vote(ix: Index, doc: np.ndarray, term: np.ndarray, count: np.ndarray, docs:
         cell = np.repeat((doc[part] - i * FEW) * width, n) + ix.entry[at]
         into = some[i * FEW : (i + 1) * FEW]
         into += np.bincount(cell, weights=np.repeat(w[part], n) * ix.value[at], minlength=into.size).reshape(into.shape)
-    bound = x @ ix.tops + some.reshape(docs, blocks, BLOCK).max(axis=2)
+    bound = x @ search.tops + some.reshape(docs, blocks, BLOCK).max(axis=2)
     whole = np.zeros_like(some)
     rows = np.append(ix.rows, np.zeros(width - size))
-    off = 2.0**-24 * (len(ix.high) + 64)  # products in single precision are off by less than this share
+    off = 2.0**-24 * (len(search.high) + 64)  # products in single precision are off by less than this share
     up, down = 1 + off, 1 - off
 
     def look(which: np.ndarray) -> None:
         if which.all():
-            np.add(some, x @ ix.high, out=whole)
+            np.add(some, x @ search.high, out=whole)
             return
         at = (np.flatnonzero(which)[:, None] * BLOCK + np.arange(BLOCK)).ravel()
-        whole[:, at] = some[:, at] + x @ ix.high[:, at]
+        whole[:, at] = some[:, at] + x @ search.high[:, at]
 
     # the best block of each document gives a floor; then every block whose bound reaches it for some document
     first = np.zeros(blocks, bool)
@@ -268,7 +270,7 @@ def vote(ix: Index, doc: np.ndarray, term: np.ndarray, count: np.ndarray, docs:
     for i in np.flatnonzero(np.diff(ends)).tolist():
         own, of = slice(ends[i], ends[i + 1]), often[terms[i] : terms[i + 1]]
         cells = column[of][:, None], e[own]
-        s[own] += w[of] @ (ix.high[cells] + ix.low[cells].astype(float))
+        s[own] += w[of] @ (search.high[cells] + search.low[cells].astype(float))
     order = np.lexsort((e, -s, d))
     d, e, s = d[order], e[order], s[order]
     n = np.cumsum(rows[e])
@@ -336,7 +338,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "do
     return Model(vocab, index)
 
 
-def _voted(terms: Terms, ix: Index, vocab: np.ndarray, column: pa.Array) -> Iterator[tuple[np.ndarray, list, list]]:
+def _voted(terms: Terms, ix: Search, vocab: np.ndarray, column: pa.Array) -> Iterator[tuple[np.ndarray, list, list]]:
     """Votes on a column of texts, in runs of at most DOCS."""
     for c in H.chunks(column, CHUNK):
         doc, term, n = found(terms, c, vocab)
@@ -353,7 +355,7 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         terms, (vocab, index) = Terms(), shared.value
-        ix = Index(*index)
+        ix = Search(Index(*index))
         for batch in batches:
             at = 0
             for scores, near, cosine in _voted(terms, ix, vocab, batch["text"]):
@@ -370,7 +372,7 @@ def reject(docs: DataFrame, model: Model, threshold: float) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         terms, (vocab, index) = Terms(), shared.value
-        ix = Index(*index)
+        ix = Search(Index(*index))
         for batch in batches:
             keep = [scores < threshold for scores, _, _ in _voted(terms, ix, vocab, batch.column(at))]
             yield batch.filter(pa.array(np.concatenate([np.zeros(0, bool), *keep])))
