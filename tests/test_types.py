@@ -101,7 +101,7 @@ def test_json_form():
     assert schema_from_json(schema_to_json(schema)) == schema
 
 
-def test_names():
+def test_names(spark):
     assert parse_type("decimal") == T.DecimalType(10, 2)
     assert parse_type("int") == I and parse_type("long") == L and parse_type("array<string>") == T.ArrayType(S)
     assert to_spark(struct(a=Choice([L, S]))) == struct(a=T.VariantType())
