@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from flexspark.examples.registry import exact_sum, load, load_wide, query
 from flexspark.functions.columns import add_ingestion_time_columns
+from flexspark.jobs.entities import KINDS, count_entities, detect_entities, mask_entities
 from flexspark.jobs.summary import ENTITY_PATTERNS, entity_share as share_of_entities, evaluate_rules
 from flexspark.jobs.versions import backup, restore, rollback, write_backup
 from flexspark.operators.rows import latest_per_key
@@ -208,6 +209,67 @@ def entity_share(spark, sf):
     return share_of_entities(load_wide(spark, sf, "documents"), ["text"])
 
 
+# The confirmations in SQL; its patterns know no look-around, so word borders stand for it.
+_CONFIRMED = {
+    "EMAIL": "NOT contains(x, '..')",
+    "IP_ADDRESS": "list_max(list_transform(string_split(x, '.'), lambda o: CAST(o AS INTEGER))) <= 255",
+    "CREDIT_CARD": """regexp_matches(x, '^[2-6]') AND list_sum(list_transform(range(1, len(regexp_replace(x, '[^0-9]', '', 'g')) + 1),
+        lambda i: CASE WHEN i % 2 = 1 THEN CAST(regexp_replace(x, '[^0-9]', '', 'g')[-i] AS INTEGER)
+                       ELSE 2 * CAST(regexp_replace(x, '[^0-9]', '', 'g')[-i] AS INTEGER) // 10 + 2 * CAST(regexp_replace(x, '[^0-9]', '', 'g')[-i] AS INTEGER) % 10 END)) % 10 = 0""",
+    "IBAN": """list_reduce(list_prepend(0, list_transform(string_split(x[5:] || x[:4], ''), lambda c: CASE WHEN c >= 'A' THEN ascii(c) - 55 ELSE ascii(c) - 48 END)),
+        lambda a, v: (a * CASE WHEN v >= 10 THEN 100 ELSE 10 END + v) % 97) = 1""",
+    "PHONE_NUMBER": "x[1] >= '2' AND x[5] >= '2' AND x[2:3] <> '11' AND x[6:7] <> '11'",
+    "SSN": "x[1:3] NOT IN ('000', '666') AND x[1] <> '9' AND x[5:6] <> '00' AND x[8:] <> '0000'",
+}
+
+
+def _sql_pattern(name: str) -> str:
+    return KINDS[name].pattern.replace("(?<![0-9A-Za-z_])", r"\b").replace("(?![0-9A-Za-z_])", r"\b")
+
+
+def _candidates(name: str, table: str) -> str:
+    """(doc_id, i, x, hits, gaps): every candidate of a kind, one a row."""
+    cut = f"regexp_extract_all(text, '{_sql_pattern(name)}') AS hits, string_split_regex(text, '{_sql_pattern(name)}') AS gaps"
+    return f"(SELECT *, hits[i] AS x FROM (SELECT *, unnest(range(1, len(hits) + 1)) AS i FROM (SELECT doc_id, {cut} FROM {table})))"
+
+
+@query("\nUNION ALL ".join(
+    f"""SELECT 'text' AS "column", '{n}' AS entity, (SELECT count(*) FROM documents) AS "rows", count(DISTINCT doc_id) AS matches, count(*) AS found
+FROM {_candidates(n, 'documents')} WHERE {c}""" for n, c in _CONFIRMED.items()
+))
+def entity_counts(spark, sf):
+    """Entities that checksums and number ranges confirm."""
+    return count_entities(load_wide(spark, sf, "documents"), ["text"])
+
+
+@query("\nUNION ALL ".join(
+    f"""SELECT doc_id, '{n}' AS entity, start, start + length(x) AS stop FROM (
+  SELECT doc_id, x, list_sum(list_transform(gaps[1:i], lambda g: length(g))) + coalesce(list_sum(list_transform(hits[1:i - 1], lambda h: length(h))), 0) AS start
+  FROM {_candidates(n, 'documents')}) WHERE {c}""" for n, c in _CONFIRMED.items()
+))
+def entity_spans(spark, sf):
+    """Place of every confirmed entity."""
+    found = detect_entities(load_wide(spark, sf, "documents"), "text")
+    return found.select("doc_id", F.explode("entities").alias("e")).select("doc_id", "e.entity", F.col("e.start").cast("long").alias("start"), F.col("e.stop").cast("long").alias("stop"))
+
+
+def _masked_sql(names: list[str]) -> str:
+    parts, table = [], "documents"
+    for n in names:
+        shown = f"string_agg(gaps[i] || CASE WHEN i > len(hits) THEN '' WHEN {_CONFIRMED[n]} THEN '[{n}]' ELSE x END, '' ORDER BY i)"
+        every = _candidates(n, table).replace("len(hits) + 1", "len(hits) + 2")
+        parts.append(f"m{len(parts)} AS (SELECT doc_id, {shown} AS text FROM {every} GROUP BY doc_id)")
+        table = f"m{len(parts) - 1}"
+    return f"WITH {', '.join(parts)} SELECT doc_id, length(text) AS n_chars, md5(text) AS masked FROM {table}"
+
+
+@query(_masked_sql(["EMAIL", "CREDIT_CARD", "IP_ADDRESS"]))
+def entity_masked(spark, sf):
+    """Texts with three kinds of confirmed entities replaced."""
+    masked = mask_entities(load_wide(spark, sf, "documents"), "text", ["EMAIL", "CREDIT_CARD", "IP_ADDRESS"])
+    return masked.select("doc_id", F.length("text").cast("long").alias("n_chars"), F.md5("text").alias("masked"))
+
+
 @query("""
 SELECT event_type, user_id, event_id FROM (
   SELECT *, rank() OVER (PARTITION BY event_type, user_id ORDER BY ts DESC) AS r FROM events) WHERE r = 1""")
