@@ -16,7 +16,13 @@ def op1_projection_forest(spark: SparkSession, folder: str) -> DataFrame:
     return forest.nearest(load(spark, folder, "embeddings"), "vec_id", "embedding", F.col("vec_id") % 20 == 0, 20)
 
 
-@query()
+@query("""
+WITH sized AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+told AS (SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes, sha256(payload) AS payload_digest FROM sized),
+firsts AS (SELECT payload_digest AS digest, min(page_id) AS first FROM told WHERE payload_bytes >= 100 GROUP BY payload_digest)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first <> page_id THEN first END AS refers_to, CAST(NULL AS VARCHAR) AS error
+FROM told LEFT JOIN firsts ON payload_digest = digest""")
 def op7_warc_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """Every page written as a record and read back from the archives."""
     pages = load(spark, folder, "pages")
