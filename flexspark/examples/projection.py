@@ -7,7 +7,7 @@ from flexspark.frame import FlexFrame, FrameSet
 from flexspark.functions.columns import add_ingestion_time_columns, expand_items, explode_with_index, named_struct, replace_array_element
 from flexspark.jobs.summary import distinct_pairs as count_pairs
 from flexspark.jobs.summary import summarize_csv
-from flexspark.operators.nest import nest_rows, relationalize
+from flexspark.operators.nest import FILE_ROW, nest_rows, relationalize
 from flexspark.operators.project import apply_mapping, expand_struct, order_columns
 from flexspark.sources.read import FlexReader
 from flexspark.sources.scratch import new_dir
@@ -237,6 +237,17 @@ def relationalize_staged(spark, sf):
     return joined.select("conv_id", F.col("`val.turn`").alias("turn"), F.col("`val.role`").alias("role"), F.col("`val.text`").alias("text"))
 
 
+@query("""
+SELECT doc_id, i - 1 AS "index", length(ls[i]) AS size
+FROM (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS i FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents WHERE lang <> 'en'))""")
+def relationalize_file_rows(spark, sf):
+    """Rows keyed by their file and place in it: no pass over the keys and no copy, root and child join back to the whole."""
+    docs = load(spark, sf, "documents").where("lang <> 'en'").select("doc_id", F.transform(F.split("text", "\n", -1), lambda line: F.struct(F.length(line).alias("size"))).alias("lines"))
+    tables = relationalize(docs, "documents", key_cols=FILE_ROW)
+    root, lines = tables["documents"].select("doc_id", F.col("lines").alias("key")), tables["documents_lines"]
+    return root.join(lines, F.col("key") == F.col("id")).select("doc_id", "index", F.col("`val.size`").alias("size"))
+
+
 @query("""
 SELECT user_id AS user, event_type AS kind, event_id AS first, value AS second, value > 10 AS big FROM events""")
 def tagged_unnest(spark, sf):

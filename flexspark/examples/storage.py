@@ -91,6 +91,26 @@ def json_partitioned(spark, sf):
     return read.df.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority", "o_orderstatus")
 
 
+@query("""
+SELECT count(*) FILTER (WHERE event_id % 7 <> 0 AND event_id % 5 <> 0) AS good, count(*) FILTER (WHERE event_id % 7 = 0) AS broken_lines,
+       count(*) FILTER (WHERE event_id % 7 <> 0 AND event_id % 5 = 0) AS broken_texts FROM events""")
+def json_limits_one_pass(spark, sf):
+    """Broken lines and broken boxed text within limits: types, rows, errors and limits from one pass over the source."""
+    path, out = new_dir(spark, "event-lines"), new_dir(spark, "event-boxes")
+    boxed = F.when(F.col("event_id") % 5 == 0, F.lit("{")).otherwise(F.to_json(F.struct("user_id", "event_type")))
+    line = F.when(F.col("event_id") % 7 == 0, F.lit("{broken")).otherwise(F.to_json(F.struct("event_id", boxed.alias("box"))))
+    load(spark, sf, "events").select(line.alias("value")).write.text(path)
+    stage = new_dir(spark, "parsed")
+    frame = FlexReader(spark).from_options("file", {"paths": [path]}, "json", staging_path=stage)
+    opened = frame.unbox("box", "json", "user_id bigint, event_type string", staging_path=stage, total_threshold=2**40)
+    opened.write("file", {"path": out}, "parquet")
+    found = opened.errors().df.groupBy().pivot("stage", ["read_json", "unbox"]).count()
+    good = spark.read.parquet(out).where("box is not null and box.user_id is not null").agg(F.count("*").alias("good"))
+    counted = good.select("good", F.lit(0).cast("long").alias("broken_lines"), F.lit(0).cast("long").alias("broken_texts"))
+    errors = found.select(F.lit(0).cast("long").alias("good"), F.col("read_json").alias("broken_lines"), F.col("unbox").alias("broken_texts"))
+    return counted.unionByName(errors).agg(*[F.sum(c).alias(c) for c in counted.columns])
+
+
 @query("SELECT event_id, user_id, event_type, CASE WHEN event_id % 3 = 0 THEN 1 ELSE 2 END AS copies FROM events")
 def json_root_array_schema(spark, sf):
     """Root arrays count as their elements, also where the schema is given."""

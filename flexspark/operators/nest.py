@@ -10,6 +10,7 @@ from collections.abc import Iterable
 from functools import reduce
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,6 +23,7 @@ from flexspark.plans.types import contains
 from flexspark.sources.scratch import stage
 
 KEY = "__row_key"
+FILE_ROW = "_metadata"  # as key_cols: the place of a row in its Parquet file
 
 
 # ------------------------------------------------------------------------------------ unnest, relationalize
@@ -30,7 +32,8 @@ def unnest(df: DataFrame, key_cols: str | Iterable[str] | None = None, staging_p
     """Nested structs as top-level columns named by their path; every array becomes the key of its rows.
 
     The key is taken from ``key_cols`` when the rows have one; otherwise rows are numbered, which needs one
-    written copy (below ``staging_path``, else the session's shared folder) so that the numbers never change.
+    written copy (below ``staging_path``, else the session's shared folder) so that the numbers never change. Rows of Parquet
+    files need neither: ``key_cols=FILE_ROW`` takes their file and place in it.
     """
     arrays = any(isinstance(t, (T.ArrayType, T.MapType)) for _, t in _leaves(df.schema))
     if not arrays:
@@ -50,7 +53,8 @@ def relationalize(
     Children have ``id``, ``index`` and ``val`` or ``val.<field>``; a null array gives a null key, an empty one a
     key without rows. Maps count as arrays of (key, value). Every table is a narrow projection of the keyed
     frame: no shuffle and no collected group, however long one array is. With ``staging_path`` the keyed frame is written there
-    once, so that many tables do not read and parse the source as often.
+    once, so that many tables do not read and parse the source as often. ``key_cols=FILE_ROW`` is for frames read from Parquet files whose
+    rows were selected and filtered only, neither joined nor exploded: their file and place is the key, and nothing runs before an action.
     """
     if key_cols is None and staging_path is None:
         raise RuntimeError("relationalize needs key_cols or a staging_path")
@@ -64,6 +68,8 @@ def relationalize(
 
 def _with_key(df: DataFrame, key_cols, staging_path) -> DataFrame:
     """Frame with a key no two rows share. Key columns that repeat or hold nulls get the row's number in a staged copy besides."""
+    if key_cols == FILE_ROW:
+        return _with_file_row(df)
     if key_cols is None:
         return stage(df.withColumn(KEY, F.monotonically_increasing_id()), "keyed", staging_path)
     cols = [value_at(df.schema, c).alias(f"k{i}") for i, c in enumerate(as_list(key_cols))]
@@ -75,6 +81,15 @@ def _with_key(df: DataFrame, key_cols, staging_path) -> DataFrame:
     return stage(df.withColumn(KEY, numbered), "keyed", staging_path)
 
 
+def _with_file_row(df: DataFrame) -> DataFrame:
+    if FILE_ROW in df.columns:
+        raise ValueError(f"a column named {FILE_ROW} hides the files' rows")
+    try:
+        return df.withColumn(KEY, F.concat_ws(":", F.md5(F.col(f"{FILE_ROW}.file_path")), F.col(f"{FILE_ROW}.row_index")))
+    except AnalysisException as e:
+        raise ValueError("key_cols=FILE_ROW needs a frame read from Parquet files") from e
+
+
 def _inner_schema(keyed: DataFrame) -> T.StructType:
     return T.StructType([f for f in keyed.schema.fields if f.name != KEY])
 

@@ -19,6 +19,7 @@ from flexspark.plans.discover import discover, from_variant
 from flexspark.plans.paths import as_list
 from flexspark.plans.types import Choice, merge_types, type_name
 from flexspark.sources.ledger import JobRun
+from flexspark.sources.scratch import stage
 
 # Codecs that need a named format, and CSV options under their names here and in Spark.
 NAMED_FORMAT_CODECS = ["lzo"]
@@ -81,11 +82,13 @@ class FlexReader:
         min_partitions: int | None = None,
         target_partitions: int | None = None,
         transformation_ctx: str = "",
+        staging_path: str | None = None,
     ) -> FlexFrame:
         """Read by connection, format and options. The predicate is a plain filter, so Spark prunes by it.
 
         JSON goes through :meth:`json`, which keeps bad records as errors; with a schema and a Spark parser ``mode`` in the
         format options it goes to Spark's typed reader, which is about twice as fast and keeps none.
+        With a ``staging_path`` JSON is parsed in one pass, see :meth:`json`.
         Files that the bookmark of the reader's run holds back are not read, nor do their types count; if none is due the frame is empty,
         with the columns of all files.
         """
@@ -95,7 +98,7 @@ class FlexReader:
             roots, files = _paths(options), self.run.due(transformation_ctx, _paths(options))
             base = {"basePath": roots[0]} if len(roots) == 1 and not re.search(r"[*?{\[]", roots[0]) else {}
             plain = FlexReader(self.spark, self.min_partitions, self.target_partitions)
-            rest = (format, format_options, push_down_predicate, name, schema, min_partitions, target_partitions)
+            rest = (format, format_options, push_down_predicate, name, schema, min_partitions, target_partitions, "", staging_path)
             if files:
                 return plain.from_options(connection_type, {**base, **options, "paths": files}, *rest)
             frame = plain.from_options(connection_type, options, *rest)
@@ -110,7 +113,7 @@ class FlexReader:
 
             frame = FlexFrame(read_jdbc(self.spark, options), name)
         elif format == "json" and (schema is None or "mode" not in format_options):
-            frame = self.json(_paths(options), name, _reader_options(options, format_options), schema, predicate=push_down_predicate, as_map=as_map)
+            frame = self.json(_paths(options), name, _reader_options(options, format_options), schema, predicate=push_down_predicate, as_map=as_map, staging_path=staging_path)
         else:
             kind = format or connection_type.lower()
             reader = self.spark.read.format(kind).options(**_reader_options(options, format_options))
@@ -124,13 +127,14 @@ class FlexReader:
         return FlexFrame(df, name, frame.steps)
 
     def json(self, paths: list[str], name: str = "", options: dict | None = None, schema: T.StructType | str | None = None,
-             discover_types: bool = True, predicate: str = "", as_map: Iterable[str] = ()) -> FlexFrame:
+             discover_types: bool = True, predicate: str = "", as_map: Iterable[str] = (), staging_path: str | None = None) -> FlexFrame:
         """JSON records and partition columns, the records' types given or discovered. Top-level arrays count as their elements.
 
         Text that does not parse, and values that are no objects, become error records; values that do not fit a given
         type are null. Each text is parsed once, by the scan. The parts of ``predicate`` that need partition columns only are applied
         first, so that other folders are neither discovered nor read; the rest is left to the caller. Objects at the ``as_map`` paths,
-        whose keys are data, are discovered as maps (format option ``asMap`` of :meth:`from_options`).
+        whose keys are data, are discovered as maps (format option ``asMap`` of :meth:`from_options`). With a ``staging_path`` the parsed
+        records are written there at once, so that types, rows, errors and limits come from one pass over the source.
         """
         raw = (
             self.spark.read.options(**{**(options or {}), "singleVariantColumn": "v", "columnNameOfCorruptRecord": _CORRUPT})
@@ -141,6 +145,8 @@ class FlexReader:
         for part in _conjuncts(predicate) if partitions else ():
             if _fits(raw.select(*partitions), part):
                 raw = raw.where(part)
+        if staging_path is not None:
+            raw = stage(raw, "json", staging_path)
         found = T.DataType.fromDDL(schema) if isinstance(schema, str) else schema
         given = found is not None or not discover_types
         if not given:

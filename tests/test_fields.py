@@ -6,7 +6,7 @@ from pyspark.sql import types as T
 
 from flexspark.frame import FlexFrame
 from flexspark.functions.columns import add_ingestion_time_columns, explode_with_index, named_struct, replace_array_element
-from flexspark.operators.nest import nest_rows, relationalize, unnest
+from flexspark.operators.nest import FILE_ROW, nest_rows, relationalize, unnest
 from flexspark.operators.project import apply_mapping, drop_fields, rename_field, select_fields, split_fields
 
 
@@ -195,3 +195,23 @@ def test_tagged_json(spark):
     got = FlexFrame(df).unnest_tagged_json().df
     r = got.select(F.col("a").cast("double"), "b.c", F.to_json("d"), "e", F.col("f")[0].cast("int"), "g").first()
     assert tuple(r) == (1.5, "x", '[1,"y"]', ["p"], 4, True)
+
+
+def test_rows_keyed_by_their_file(spark, folder):
+    rows = [(i % 3, [i, None] if i % 4 else None) for i in range(40)]
+    spark.createDataFrame(rows, "k int, xs array<int>").repartition(3).write.parquet(f"{folder}/t")
+    read = spark.read.parquet(f"{folder}/t").where("k < 2").select("xs", "k")
+    spark.sparkContext.setJobGroup("keyed", "relationalize")
+    tables = relationalize(read, "r", key_cols=FILE_ROW)
+    flat = unnest(read, FILE_ROW)
+    assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("keyed")) == []
+    spark.sparkContext.setJobGroup("rest", "rest")
+    root, xs = tables["r"], tables["r_xs"]
+    keys = [r["xs"] for r in root.collect()]
+    assert len(keys) == sum(k < 2 for k, _ in rows) and len({k for k in keys if k}) == sum(k < 2 and v is not None for k, v in rows)
+    assert sorted(map(str, keys)) == sorted(str(r["xs"]) for r in flat.collect())
+    joined = root.select("k", F.col("xs").alias("id")).join(xs, "id").select("k", "index", "val").collect()
+    assert sorted(map(repr, map(tuple, joined))) == sorted(repr((k, i, v)) for k, a in rows if k < 2 for i, v in enumerate(a or []))
+    for bad in (spark.createDataFrame(rows, "k int, xs array<int>"), read.withColumn("_metadata", F.lit(1))):
+        with pytest.raises(ValueError, match="_metadata|Parquet"):
+            relationalize(bad, "r", key_cols=FILE_ROW)

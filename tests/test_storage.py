@@ -290,3 +290,24 @@ def test_a_failed_run_is_repeated(spark, folder):
         except Exception:
             pass
     assert got == [5, 5]
+
+
+def test_staged_json_is_parsed_once(spark, folder):
+    lines = ['{"a": 1, "b": "{\\"x\\": 1}"}', '{"a": "t", "b": "{"}', "{", "[1]", '{"a": null}']
+    spark.createDataFrame([(v,) for v in lines], "value string").write.text(f"{folder}/in/p=1")
+    spark.createDataFrame([('{"a": 2.5, "b": "{}"}',)], "value string").write.text(f"{folder}/in/p=2")
+    plain = FlexReader(spark).json([f"{folder}/in"])
+    held = FlexReader(spark).from_options("file", {"paths": [f"{folder}/in"]}, "json", staging_path=f"{folder}/stage")
+    assert held.df.schema == plain.df.schema and held.schema() == plain.schema()
+    shown = lambda df: sorted(map(repr, df.select(F.to_json(F.struct("*"))).collect()))
+    assert shown(held.df) == shown(plain.df) and shown(held.errors().df) == shown(plain.errors().df)
+    opened = held.unbox("b", "json", "x int", staging_path=f"{folder}/stage", stage_threshold=1, total_threshold=4)
+    for df in (opened.df, opened.errors().df):
+        assert all("/stage/" in f for f in df.inputFiles())
+    opened.write("file", {"path": f"{folder}/out"}, "parquet")
+    pruned = FlexReader(spark).from_options("file", {"paths": [f"{folder}/in"]}, "json", push_down_predicate="p = 2", staging_path=f"{folder}/stage")
+    assert pruned.df.count() == 1 and pruned.errors_count() == 0
+    late = FlexReader(spark).from_options("file", {"paths": [f"{folder}/in"]}, "json", staging_path=f"{folder}/stage").filter("p = 1", total_threshold=1)
+    with pytest.raises(ErrorThresholdExceeded):
+        late.write("file", {"path": f"{folder}/never"}, "parquet")
+    assert not os.path.exists(f"{folder}/never")
