@@ -5,12 +5,13 @@ from pyspark.sql import functions as F
 from flexspark.examples.registry import exact_sum, load, load_wide, query
 from flexspark.functions.columns import add_ingestion_time_columns
 from flexspark.jobs.entities import KINDS, count_entities, detect_entities, mask_entities
+from flexspark.jobs.measures import check_measures, measure, merge_measures, repeated_rows, report, unmatched_rows
 from flexspark.jobs.summary import ENTITY_PATTERNS, entity_share as share_of_entities, evaluate_rules
 from flexspark.jobs.versions import backup, restore, rollback, write_backup
 from flexspark.operators.rows import latest_per_key
 from flexspark.sources.bookmarks import Bookmarks
 from flexspark.sources.read import FlexDataFrameReader
-from flexspark.sources.scratch import new_dir
+from flexspark.sources.scratch import new_dir, stage
 from flexspark.sources.write import write_data_frame
 from flexspark.streaming.batches import for_each_batch, sample_stream as take_sample
 
@@ -209,6 +210,64 @@ def entity_share(spark, sf):
     return share_of_entities(load_wide(spark, sf, "documents"), ["text"])
 
 
+_MEASURED = ["l_quantity", "l_extendedprice", "l_orderkey", "l_linestatus"]
+
+
+def _measures(spark, sf):
+    """States of two parts of the line items, stored apart and merged."""
+    items = load(spark, sf, "lineitem").select(*_MEASURED, "l_returnflag")
+    parts = [stage(measure(items.where(w), _MEASURED), "measures") for w in ("l_returnflag = 'N'", "l_returnflag <> 'N'")]
+    return merge_measures(*parts)
+
+
+@query("\nUNION ALL ".join(
+    f"""SELECT '{c}' AS "column", count(*) AS n, count(*) FILTER (WHERE {c} IS NULL) AS nulls, {"NULL" if c == "l_linestatus" else f"CAST(min({c}) AS DOUBLE)"} AS low,
+       {"NULL" if c == "l_linestatus" else f"CAST(max({c}) AS DOUBLE)"} AS high, {f"min({c})" if c == "l_linestatus" else "NULL"} AS low_text,
+       {f"max({c})" if c == "l_linestatus" else "NULL"} AS high_text, true AS near FROM lineitem""" for c in _MEASURED
+))
+def measures_merged(spark, sf):
+    """Measures of two parts merged; ``near``: the sketched distinct count and median are those of the whole, within 5 % of count and rank."""
+    found, items = report(_measures(spark, sf), [0.5]), load(spark, sf, "lineitem")
+    whole = items.agg(*[F.count_distinct(c).alias(f"d_{c}") for c in _MEASURED], *[F.expr(f"percentile({c}, array(0.45, 0.55))").alias(f"q_{c}") for c in _MEASURED[:3]])
+    truth = whole.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("c"), F.col(f"d_{c}").alias("d"), (F.col(f"q_{c}") if c != "l_linestatus" else F.lit(None).cast("array<double>")).alias("q")) for c in _MEASURED
+    ])))
+    median = F.col("quantiles")[0]
+    near = (F.abs(F.col("distinct_values") / F.col("d") - 1) < 0.05) & F.coalesce(median.between(F.col("q")[0], F.col("q")[1]), F.lit(True))
+    return found.join(truth, F.col("column") == F.col("c")).select("column", "n", "nulls", "low", "high", "low_text", "high_text", near.alias("near"))
+
+
+@query("""
+SELECT 'rows' AS rule, 'l_quantity' AS "column", CAST(count(*) AS DOUBLE) AS value, count(*) >= 1 AS passed FROM lineitem
+UNION ALL SELECT 'null_share', 'l_linestatus', avg(CASE WHEN l_linestatus IS NULL THEN 1.0 ELSE 0 END), avg(CASE WHEN l_linestatus IS NULL THEN 1.0 ELSE 0 END) <= 0.01 FROM lineitem
+UNION ALL SELECT 'low', 'l_quantity', CAST(min(l_quantity) AS DOUBLE), min(l_quantity) >= 2 FROM lineitem
+UNION ALL SELECT 'high', 'l_extendedprice', CAST(max(l_extendedprice) AS DOUBLE), max(l_extendedprice) <= 1000000 FROM lineitem""")
+def measures_rules(spark, sf):
+    """Rules on merged states."""
+    rules = [
+        {"rule": "rows", "column": "l_quantity", "min": 1},
+        {"rule": "null_share", "column": "l_linestatus", "max": 0.01},
+        {"rule": "low", "column": "l_quantity", "min": 2},
+        {"rule": "high", "column": "l_extendedprice", "max": 1000000},
+    ]
+    return check_measures(_measures(spark, sf), rules)
+
+
+@query("""
+SELECT l_orderkey, l_partkey, l_linenumber FROM lineitem
+WHERE (l_orderkey, l_partkey) IN (SELECT (l_orderkey, l_partkey) FROM lineitem GROUP BY l_orderkey, l_partkey HAVING count(*) > 1)""")
+def rule_repeated(spark, sf):
+    """Line items whose order and part are not unique together."""
+    return repeated_rows(load(spark, sf, "lineitem"), ["l_orderkey", "l_partkey"]).select("l_orderkey", "l_partkey", "l_linenumber")
+
+
+@query("SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')")
+def rule_unmatched(spark, sf):
+    """Orders that refer to no customer of a segment."""
+    known = load(spark, sf, "customer").where("c_mktsegment = 'BUILDING'")
+    return unmatched_rows(load(spark, sf, "orders"), ["o_custkey"], known, ["c_custkey"]).select("o_orderkey", "o_custkey")
+
+
 # The confirmations in SQL; its patterns know no look-around, so word borders stand for it.
 _CONFIRMED = {
     "EMAIL": "NOT contains(x, '..')",
