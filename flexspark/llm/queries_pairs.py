@@ -9,22 +9,26 @@ from flexspark.llm.registry import load, query
 
 
 _WORDS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"
-_SHINGLES = "list_distinct(list_transform(range(1, greatest(len(words) - 3, 1) + 1), lambda i: array_to_string(words[i:i + 3], ' ')))"
 
 
 @query(f"""
 WITH RECURSIVE texts AS (
-  SELECT *, CASE WHEN len(words) = 0 THEN 0 ELSE len({_SHINGLES}) END AS size
-  FROM (SELECT text, min(doc_id) AS first, {_WORDS} AS words FROM documents WHERE text IS NOT NULL GROUP BY text)),
-posts AS (SELECT first AS id, size, unnest({_SHINGLES}) AS shingle FROM texts WHERE size > 0),
+  SELECT min(doc_id) AS first, text, any_value({_WORDS}) AS words FROM documents WHERE text IS NOT NULL GROUP BY text),
+spread AS (SELECT first AS id, len(words) AS n, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS i FROM texts),
+runs AS (
+  SELECT id, n, i, concat_ws(' ', word, lead(word, 1) OVER w, lead(word, 2) OVER w, lead(word, 3) OVER w) AS shingle
+  FROM spread WINDOW w AS (PARTITION BY id ORDER BY i)),
+sets AS (SELECT DISTINCT id, shingle FROM runs WHERE i <= greatest(n - 3, 1)),
+sizes AS (SELECT id, count(*) AS size FROM sets GROUP BY id),
+posts AS (SELECT id, size, shingle FROM sets JOIN sizes USING (id)),
 links AS (
-  SELECT a.id AS a, b.id AS b FROM posts a JOIN posts b ON a.shingle = b.shingle AND a.id <> b.id
+  SELECT a.id AS a, b.id AS b FROM posts a JOIN posts b ON a.shingle = b.shingle AND a.id <> b.id AND 100 * least(a.size, b.size) >= 80 * greatest(a.size, b.size)
   GROUP BY a.id, b.id, a.size, b.size HAVING 100 * count(*) >= 80 * (a.size + b.size - count(*))),
 reached AS (SELECT first AS id, first AS other FROM texts UNION SELECT r.id, l.b FROM reached r JOIN links l ON r.other = l.a),
 named AS (SELECT id, min(other) AS component FROM reached GROUP BY id)
 SELECT doc_id, CAST(coalesce(size, 0) AS BIGINT) AS n_shingles, CASE WHEN size > 0 THEN component ELSE doc_id END AS component_id,
        CASE WHEN size > 0 THEN component = doc_id ELSE true END AS kept
-FROM documents LEFT JOIN texts USING (text) LEFT JOIN named ON id = first""")
+FROM documents LEFT JOIN texts USING (text) LEFT JOIN sizes ON sizes.id = first LEFT JOIN named ON named.id = first""")
 def op6_minhash_groups(spark: SparkSession, folder: str) -> DataFrame:
     """Groups of documents linked at Jaccard similarity 0.8 of four-word shingles."""
     return minhash.near_duplicates(load(spark, folder, "documents"), 4, 80).select("doc_id", "n_shingles", "component_id", "kept")
