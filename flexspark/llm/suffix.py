@@ -5,14 +5,18 @@ trigger, so equal strings have equal triggers, at the same place in them, whatev
 ``length`` bytes that share one trigger start in one run of positions; that run, to the end of its last string, is a
 phrase. Phrases overlap so that every string lies in exactly one phrase: the parse is free of prefixes and loses nothing.
 
-The corpus order of suffixes is needed only up to equality of their first ``length`` bytes, so ranks are 64-bit hashes, paired with the
-trigger's hash, and suffixes are brought together by grouping on them instead of by one global sort:
+Every string lies in one phrase, so the parse's suffixes differ, as far as ``length`` bytes reach, in their first phrase: order among the
+parse's suffixes is order among phrases, and order in the corpus is order among the dictionary's suffixes. Steps:
 
 1. parse: (trigger, phrase) counts. A trigger seen once cannot stand in a repeated string; its phrase is done.
-2. parse order: a phrase that occurs again is repeated with all the strings in it.
-3. dictionary order: where a trigger has several different phrases, one copy of each is looked at more closely, first in blocks of strings
-   at the same distances from the trigger. What all strings of a block have in common must occur again, else none of them
-   does; a block that occurs again as a whole is repeated; only in other blocks strings are ranked one by one.
+2. a phrase that occurs again is repeated with all the strings in it.
+3. dictionary: where a trigger has several different phrases, one copy of each enters a sparse suffix array: one suffix for each block of ``size``
+   strings at the same distances from the trigger, from the start of their common bytes. Range-partitioned sorting puts these suffixes into the order of
+   their bytes; neighbours are compared. A block whose neighbour agrees in all its bytes is repeated; one whose common bytes no neighbour has holds no repeat.
+4. where blocks agree in their common bytes only, their strings, named by their common bytes and the few bytes around, are sorted the same way; strings equal to a neighbour are repeated.
+
+Equal suffixes may lie in several partitions, as many as sorting deals them to, so none grows with a frequent passage: only a partition's first and
+last rows don't know a neighbour. Blocks there go to step 4, and strings there are compared among themselves.
 
 So highly repetitive text costs a row for each phrase, about 2 / (length - TRIGGER + 2) of its bytes, and single strings are only
 looked at around the ends of repeats.
@@ -78,9 +82,6 @@ class Parser:
         phrase = H.mix(self.roll.between(sums, lo, end) + self.salt[0] * count.astype(H.U64))
         return of, lo - c.offsets[of], count, trig[first] - lo, gram[trig[first]], phrase
 
-    def strings(self, sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return H.mix(self.roll.between(sums, start, end) ^ self.salt[1])
-
 
 def _longs(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64) if x.dtype == H.U64 else x, pa.int64())
@@ -138,12 +139,13 @@ def repeats(docs: DataFrame, length: int = 200, trigger: int = TRIGGER) -> tuple
     keyed = docs.select(key.alias("key"), "doc_id", text.alias("text"))
     long = keyed.where(F.octet_length("text") >= length)
     parsed = parse(long.select("key", "text"), length, trigger)
-    seen = parsed.groupBy(F.col("trig").alias("t")).agg(F.count("*").alias("c"), F.min("phrase").alias("p"), F.max("phrase").alias("q"))
-    again = seen.where("c > 1").select("t", (F.col("p") != F.col("q")).alias("mixed"))
+    # grouped by a struct, so that the join below has its own two shuffles and a hot trigger's partition can be split
+    seen = parsed.groupBy(F.struct(F.col("trig").alias("t")).alias("x")).agg(F.count("*").alias("c"), F.min("phrase").alias("p"), F.max("phrase").alias("q"))
+    again = seen.where("c > 1").select("x.t", (F.col("p") != F.col("q")).alias("mixed"))
     hit = stage(parsed.join(again, F.col("trig") == F.col("t")).drop("t"), "phrases")
     pure, mixed = hit.where("not mixed"), hit.where("mixed")
     kinds = stage(mixed.groupBy("trig", "phrase").agg(F.count("*").alias("c"), F.min(F.struct("key", "lo", "n", "d")).alias("one")), "dictionary")
-    status = kinds.join(_dictionary(long, kinds, length, trigger).withColumnsRenamed({"trig": "t", "phrase": "p"}), (F.col("trig") == F.col("t")) & (F.col("phrase") == F.col("p")), "left")
+    status = kinds.join(_dictionary(long, kinds, length).withColumnsRenamed({"trig": "t", "phrase": "p"}), (F.col("trig") == F.col("t")) & (F.col("phrase") == F.col("p")), "left")
     status = stage(status.select("trig", "phrase", (F.col("c") > 1).alias("whole"), "runs").where("whole or runs is not null").withColumnsRenamed({"trig": "t", "phrase": "p"}), "status")
     tagged = mixed.join(status, (F.col("trig") == F.col("t")) & (F.col("phrase") == F.col("p")))
     full = F.array(F.struct(F.lit(0).alias("a"), (F.col("n") - 1).alias("b")))
@@ -153,23 +155,24 @@ def repeats(docs: DataFrame, length: int = 200, trigger: int = TRIGGER) -> tuple
     return keyed, stage(ranges, "ranges")
 
 
-def _dictionary(long: DataFrame, kinds: DataFrame, length: int, trigger: int) -> DataFrame:
+def _dictionary(long: DataFrame, kinds: DataFrame, length: int) -> DataFrame:
     """(trig, phrase, runs): which strings of a phrase, by offsets (a, b), other phrases of its trigger hold too."""
     one = kinds.select(F.col("one.key").alias("k"), F.struct("one.lo", "one.n", "one.d", "trig", "phrase").alias("x"))
     wanted = stage(one.groupBy("k").agg(F.collect_list("x").alias("x")), "wanted")
     held = packed(long).join(wanted, F.col("key") == F.col("k")).dropDuplicates(["key"]).select("packed", "x")
     texts = stage(held.mapInArrow(_cut(length), "trig long, phrase long, n int, d int, data binary"), "phrase-texts")
     size = max(1, min(16, length // 4))
-    blocks = texts.mapInArrow(_blocks(length, trigger, size), "trig long, phrase long, block int, inner long, outer long, a int, b int")
-    met = blocks.groupBy(F.col("trig").alias("t"), F.col("block").alias("l"), F.col("inner").alias("i")).agg(F.count("*").alias("c"), F.min("outer").alias("p"), F.max("outer").alias("q")).where("c > 1")
-    met = met.select("t", "l", "i", (F.col("p") != F.col("q")).alias("open"))
-    found = stage(blocks.join(met, (F.col("trig") == F.col("t")) & (F.col("block") == F.col("l")) & (F.col("inner") == F.col("i"))).select("trig", "phrase", "a", "b", "open"), "blocks")
-    open_ = found.where("open").groupBy(F.col("trig").alias("t"), F.col("phrase").alias("p")).agg(F.collect_list(F.struct("a", "b")).alias("x"))  # length / size at most
-    ranked = texts.join(open_, (F.col("trig") == F.col("t")) & (F.col("phrase") == F.col("p"))).select("trig", "phrase", "data", "x").mapInArrow(_ranks(length, trigger), "trig long, phrase long, a int, rank long")
-    ranked = stage(ranked, "ranks")
-    twice = ranked.groupBy(F.col("trig").alias("t"), F.col("rank").alias("r")).agg(F.count("*").alias("c")).where("c > 1")
-    single = ranked.join(twice, (F.col("trig") == F.col("t")) & (F.col("rank") == F.col("r"))).select("trig", "phrase", "a", F.col("a").alias("b"))
-    runs = found.where("not open").select("trig", "phrase", "a", "b").unionByName(single)
+    blocks = texts.mapInArrow(_blocks(length, size), "trig long, phrase long, a int, b int, inner binary, right binary, left binary")
+    blocks = blocks.repartitionByRange("inner", "right", "left", "trig", "phrase").sortWithinPartitions("inner", "right", "left")
+    found = stage(blocks.mapInArrow(_matched, "trig long, phrase long, a int, b int, whole boolean, name binary, around binary, before int"), "blocks")
+    strings = found.where("name is not null").mapInArrow(_strings(size), "trig long, phrase long, a int, s binary")
+    strings = strings.repartitionByRange("s", "trig", "phrase").sortWithinPartitions("s")
+    ranked = stage(strings.mapInArrow(_repeated, "trig long, phrase long, a int, twice boolean, edge binary"), "strings")
+    at = F.struct("trig", "phrase", "a", "twice")
+    edges = ranked.where("edge is not null").groupBy("edge").agg(F.collect_list(at).alias("x")).where("size(x) > 1")  # two rows of a partition at most
+    edges = edges.select(F.explode("x").alias("x")).where("not x.twice").select("x.*")
+    single = ranked.where("twice").drop("edge").unionByName(edges).select("trig", "phrase", "a", F.col("a").alias("b"))
+    runs = found.where("whole").select("trig", "phrase", "a", "b").unionByName(single)
     return runs.groupBy("trig", "phrase").agg(F.collect_set(F.struct("a", "b")).alias("runs"))  # length at most
 
 
@@ -187,11 +190,25 @@ def _cut(length: int):
     return run
 
 
-def _blocks(length: int, trigger: int, size: int):
-    """Function from phrases to their blocks: strings whose distance from the trigger has the same quotient by ``size``."""
+def _binary(rows: np.ndarray) -> pa.Array:
+    """The rows of a matrix of bytes."""
+    n, k = rows.shape
+    return pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(np.arange(n + 1, dtype=np.int32) * np.int32(k)), pa.py_buffer(np.ascontiguousarray(rows))])
+
+
+def _slices(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
+    """The bytes of data in the ranges [start, end)."""
+    n = end - start
+    at = np.concatenate([[0], np.cumsum(n)])
+    pick = np.arange(at[-1]) + np.repeat(start - at[:-1], n)
+    return pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(at.astype(np.int32)), pa.py_buffer(data[pick])])
+
+
+def _blocks(length: int, size: int):
+    """Function from phrases to their blocks, strings whose distance from the trigger has the same quotient by ``size``: the strings' offsets a to b,
+    the bytes that a whole block of strings has in common, and those right and left of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parser = Parser(length, trigger)
         for batch in batches:
             at = 0
             for c in H.chunks(batch["data"]):
@@ -203,41 +220,92 @@ def _blocks(length: int, trigger: int, size: int):
                 block = np.arange(len(of)) - np.repeat(np.cumsum(high - low + 1) - (high - low + 1), high - low + 1) + low[of]
                 a = d[of] - np.minimum(d[of], block * size + size - 1)
                 b = d[of] - np.maximum(d[of] - n[of] + 1, block * size)
-                sums, base = parser.roll.sums(c.data), c.offsets[of]
+                base = c.offsets[of]
                 common = base + d[of] - block * size
-                inner = parser.strings(sums, common, common - size + 1 + length)
-                outer = H.mix(parser.strings(sums, base + a, base + b + length) + (d[of] - a).astype(H.U64) * H.U64(1 << 20) + (b - a).astype(H.U64))
+                after = common - size + 1 + length
+                inner = np.lib.stride_tricks.sliding_window_view(c.data, length - size + 1)[common]
                 pick = pa.array(of)
-                small = lambda x: pa.array(x, pa.int32())
-                yield pa.RecordBatch.from_arrays([part["trig"].take(pick), part["phrase"].take(pick), small(block), _longs(inner), _longs(outer), small(a), small(b)], names=["trig", "phrase", "block", "inner", "outer", "a", "b"])
+                yield pa.RecordBatch.from_arrays(
+                    [part["trig"].take(pick), part["phrase"].take(pick), pa.array(a, pa.int32()), pa.array(b, pa.int32()), _binary(inner), _slices(c.data, after, base + b + length), _slices(c.data, base + a, common)],
+                    names=["trig", "phrase", "a", "b", "inner", "right", "left"],
+                )
 
     return run
 
 
-def _ranks(length: int, trigger: int):
-    """Function from phrases and ranges of strings in them to these strings' ranks."""
+def _adjacent(batches: Iterator[pa.RecordBatch], *levels: list[str]) -> Iterator[tuple]:
+    """(rows, for each level whether a row equals the one before and the one after in that level's columns and those of the levels above, whether it is
+    the first or last) of a sorted partition, batch by batch; a batch's last row waits for the next batch."""
+    held, before, first = None, [False] * len(levels), True
+    for batch in batches:
+        if not len(batch):
+            continue
+        rows = pa.Table.from_batches([batch] if held is None else [held, batch]).combine_chunks().to_batches()[0]
+        equal, flags = np.ones(len(rows) - 1, bool), []
+        for k, level in enumerate(levels):
+            for name in level:
+                equal = equal & pc.equal(rows[name].slice(1), rows[name].slice(0, len(rows) - 1)).to_numpy(zero_copy_only=False)
+            back = np.concatenate([[before[k]], equal])
+            flags.append((back[:-1].astype(bool), equal))
+            before[k] = bool(back[-1])
+        held, edge = rows.slice(len(rows) - 1), np.zeros(len(rows) - 1, bool)
+        if len(edge):
+            edge[0], first = first, False
+            yield rows.slice(0, len(edge)), flags, edge
+    if held is not None:
+        yield held, [(np.array([x]), np.zeros(1, bool)) for x in before], np.ones(1, bool)
+
+
+def _matched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of sorted blocks those that may hold a repeat: whether all their strings are repeated, and, where strings are to be compared one by one, the digest of
+    the common bytes, the bytes left and right of them, and the number of those on the left.
+
+    Strings are compared of blocks that share their common bytes with others but not all bytes. Of blocks equal in all bytes the first and the last stand
+    for the others there.
+    """
+    for rows, ((near, near_next), (same, same_next)), edge in _adjacent(batches, ["inner"], ["right", "left"]):
+        whole, compare = same | same_next, (near & ~same) | (near_next & ~same_next) | edge
+        keep = np.flatnonzero(whole | compare)
+        rows, whole, compare = rows.take(pa.array(keep)), whole[keep], compare[keep]
+        texts = [(hashlib.md5(x).digest(), y + z, len(y)) if c else None for c, x, y, z in zip(compare, *(rows[f].to_pylist() for f in ("inner", "left", "right")))]
+        more = [pa.array([t and t[i] for t in texts], k) for i, k in enumerate((pa.binary(), pa.binary(), pa.int32()))]
+        yield pa.RecordBatch.from_arrays([*(rows[f] for f in ("trig", "phrase", "a", "b")), pa.array(whole), *more], names=["trig", "phrase", "a", "b", "whole", "name", "around", "before"])
+
+
+def _strings(size: int):
+    """Function from blocks to their strings: the name of the common bytes, how many bytes stand left of them, and the bytes around."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parser = Parser(length, trigger)
         for batch in batches:
             at = 0
-            for c in H.chunks(batch["data"]):
+            for c in H.chunks(batch["around"]):
                 part = batch.slice(at, c.count)
                 at += c.count
-                x = part["x"]
-                doc = np.repeat(np.arange(c.count), pc.list_value_length(x).to_numpy(zero_copy_only=False))
-                a, b = (x.flatten().field(f).to_numpy().astype(np.int64) for f in ("a", "b"))
+                a, b, before = (part[f].to_numpy().astype(np.int64) for f in ("a", "b", "before"))
                 n = b - a + 1
                 of = np.repeat(np.arange(len(n)), n)
-                place = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n) + a[of]
-                start = c.offsets[doc[of]] + place
-                rank = parser.strings(parser.roll.sums(c.data), start, start + length)
-                pick = pa.array(doc[of])
-                yield pa.RecordBatch.from_arrays([part["trig"].take(pick), part["phrase"].take(pick), pa.array(place, pa.int32()), _longs(rank)], names=["trig", "phrase", "a", "rank"])
+                i = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
+                name = np.frombuffer(b"".join(part["name"].to_pylist()), np.uint8).reshape(-1, 16)
+                around = c.data[(c.offsets[of] + i)[:, None] + np.arange(size - 1)]
+                s = np.concatenate([name[of], (before[of] - i).astype(np.uint8)[:, None], around], axis=1)
+                pick = pa.array(of)
+                yield pa.RecordBatch.from_arrays([part["trig"].take(pick), part["phrase"].take(pick), pa.array(a[of] + i, pa.int32()), _binary(s)], names=["trig", "phrase", "a", "s"])
 
     return run
 
 
+def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of sorted strings those that equal a neighbour, and the partition's first and last, whose neighbours may lie in other partitions."""
+    for rows, ((back, forth),), edge in _adjacent(batches, ["s"]):
+        twice = back | forth
+        keep = np.flatnonzero(twice | edge)
+        rows, twice, edge = rows.take(pa.array(keep)), twice[keep], edge[keep]
+        yield pa.RecordBatch.from_arrays(
+            [*(rows[f] for f in ("trig", "phrase", "a")), pa.array(twice), pc.if_else(pa.array(edge), rows["s"], pa.scalar(None, pa.binary()))],
+            names=["trig", "phrase", "a", "twice", "edge"],
+        )
+
+
 def remove_repeats(docs: DataFrame, length: int = 200, trigger: int = TRIGGER, texts: bool = True) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans, kept) for every row of docs (doc_id, text).
 

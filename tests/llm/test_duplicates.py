@@ -123,6 +123,22 @@ def test_repeats_small_alphabet(spark, length, trigger):
     assert stripped(df, length, trigger) == without_repeats(rows, length)
 
 
+def test_repeats_across_partitions(spark):
+    """Equal suffixes dealt over more partitions than there are texts: partitions of one row, and runs that go on in the next partition."""
+    rng = random.Random(9)
+    common = "".join(rng.choice("abcd") for _ in range(120))
+    rows = [(d, "".join(rng.choice("abcd") for _ in range(40 + d % 3)) + common[d % 5 : 120 - d % 7] + chr(97 + d % 4) * (d % 11)) for d in range(60)]
+    conf = {"spark.sql.shuffle.partitions": "97", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        assert stripped(spark.createDataFrame(rows, "doc_id long, text string"), 60, 16) == without_repeats(rows, 60)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
 def test_repeats_odd(spark, odd, nothing):
     short = [r for r in odd_rows() if len(r[1] or "") < 100_000]
     assert stripped(spark.createDataFrame(short, ODD), 30) == without_repeats([r[:2] for r in short], 30)
