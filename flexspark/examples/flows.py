@@ -14,6 +14,7 @@ from flexspark.sources.read import FlexDataFrameReader
 from flexspark.sources.scratch import new_dir, stage
 from flexspark.sources.write import write_data_frame
 from flexspark.streaming.batches import for_each_batch, sample_stream as take_sample
+from flexspark.streaming.sink import BatchSink
 
 
 def event_files(spark, sf):
@@ -42,6 +43,26 @@ def stream_foreach(spark, sf):
     return spark.read.parquet(target).groupBy("event_type").agg(F.count("*").alias("n"), F.sum("event_id").alias("ids"))
 
 
+@query("SELECT event_type, count(*) AS n, sum(event_id) AS ids, 2 AS batches FROM events GROUP BY event_type")
+def stream_once(spark, sf):
+    """Micro-batches put into a table; the first batch fails before it counts, the second after it does, and each is repeated: every row is there once."""
+    stream, _ = event_files(spark, sf)
+    sink, tried, put = BatchSink(spark, new_dir(spark, "sink"), "events", stream.schema), [], []
+
+    def process(batch, batch_id):
+        tried.append(batch_id)
+        if tried == [0]:
+            batch.write.parquet(f"{sink.base}/rows/attempt-{0:032x}")
+            raise RuntimeError("lost before its commit")
+        put.append((batch_id, sink.write(batch, batch_id)))
+        if tried == [0, 0, 1]:
+            raise RuntimeError("lost after its commit")
+
+    for_each_batch(stream, process, "availableNow", new_dir(spark, "state"), wait=lambda s: None)
+    batches = len([i for i, new in put if new])
+    return sink.read().groupBy("event_type").agg(F.count("*").alias("n"), F.sum("event_id").alias("ids"), F.lit(batches).alias("batches"))
+
+
 @query("SELECT count(*) AS n_rows, 2 AS batches FROM events")
 def stream_metrics(spark, sf):
     """Metrics of every batch arrive while the stream runs; only the latest ones are kept."""

@@ -12,6 +12,7 @@ from flexspark.sources.purge import purge_path
 from flexspark.sources.read import FlexDataFrameReader, FlexReader, frame_name, table_name_of
 from flexspark.sources.write import FlexWriter, stamped, storable
 from flexspark.streaming.batches import for_each_batch, sample_stream, window_ms
+from flexspark.streaming.sink import BatchSink
 
 
 def rows(df):
@@ -229,6 +230,37 @@ def test_batch_metrics_are_live_and_bounded(stream, folder, monkeypatch):
     assert live[0] == 0 and len(live) == 8 and [m["batch"] for m in kept] == [2, 3]
 
 
+def test_sink_takes_every_batch_once(spark, stream, folder):
+    sink = BatchSink(spark, folder + "/t", "ids", stream.schema)
+    assert sink.read().count() == 0 and sink.read().schema.names == ["id"]
+    tried = []
+
+    def process(df, i):
+        tried.append(i)
+        put = sink.write(df, i)
+        if tried.count(i) == 1 and i in (1, 2):
+            assert put
+            raise RuntimeError("after the commit, before the checkpoint's")
+        assert put == (i not in (1, 2))
+
+    for_each_batch(stream, process, "availableNow", folder + "/c", wait=lambda s: None)
+    assert tried == [0, 1, 1, 2, 2, 3]
+    assert sorted(r.id for r in sink.read().collect()) == list(range(40))
+
+
+def test_sink_reads_only_what_is_committed(spark, folder):
+    sink = BatchSink(spark, folder + "/t", "a/b", spark.createDataFrame([], "row long, attempt string").schema)
+    rows = spark.createDataFrame([(1, "x"), (1, "x"), (None, None)], sink.schema)
+    assert sink.write(rows, 7) and not sink.write(rows, 7)
+    rows.write.parquet(f"{sink.base}/rows/attempt-{5:032x}")  # of a run that died before its commit
+    assert sorted(map(tuple, sink.read().collect()), key=str) == [(1, "x"), (1, "x"), (None, None)]
+    open(f"{sink.base}/commits/0000000008", "w").close()  # of a run that died in its commit
+    assert not sink.committed(8) and sink.write(rows, 8) and sink.read().count() == 6
+    with pytest.raises(ValueError, match="columns"):
+        sink.write(rows.withColumn("more", F.lit(1)), 9)
+    assert sink.write(rows.limit(0), 9) and sink.read().count() == 6
+
+
 def test_for_each_batch_arguments(stream, folder):
     nothing = lambda df, i: None
     for kwargs in ({"window_size": None, "checkpoint_location": "c"}, {"window_size": "1 second", "checkpoint_location": None},
