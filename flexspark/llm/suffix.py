@@ -13,7 +13,8 @@ parse's suffixes is order among phrases, and order in the corpus is order among
 3. dictionary: where a trigger has several different phrases, one copy of each enters a sparse suffix array: one suffix for each block of ``size``
    strings at the same distances from the trigger, from the start of their common bytes. Range-partitioned sorting puts these suffixes into the order of
    their bytes; neighbours are compared. A block whose neighbour agrees in all its bytes is repeated; one whose common bytes no neighbour has holds no repeat.
-4. where blocks agree in their common bytes only, their strings, named by their common bytes and the few bytes around, are sorted the same way; strings equal to a neighbour are repeated.
+4. where blocks agree in their common bytes only, their strings, named by a digest of their common bytes and the few bytes around, are sorted the same
+   way; strings equal to a neighbour are repeated.
 
 Equal suffixes may lie in several partitions, as many as sorting deals them to, so none grows with a frequent passage: only a partition's first and
 last rows don't know a neighbour. Blocks there go to step 4, and strings there are compared among themselves.
@@ -311,7 +312,7 @@ def remove_repeats(docs: DataFrame, length: int = 200, trigger: int = TRIGGER, t
 
     Removed is every byte in a string of ``length`` bytes that starts anywhere else in the corpus too. ``spans``: the maximal removed byte
     ranges (start, end); ``kept``: the bytes left (a cut may fall inside a character), null with ``texts=False``. Null and empty
-    texts are empty. Rows equal in doc_id and text repeat each other. An empty table gives no rows.
+    texts are empty. Rows equal in doc_id and text repeat each other. An empty table gives no rows. Spark holds no text above 2 GB, so offsets are ints.
     """
     keyed, ranges = repeats(docs, length, trigger)
     span = pa.struct([("start", pa.int32()), ("end", pa.int32())])
