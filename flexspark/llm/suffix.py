@@ -39,6 +39,7 @@ from flexspark.llm import hashing as H
 from flexspark.sources.scratch import stage
 
 TRIGGER = 64
+CHUNK = 1 << 19  # bytes looked at together: a few dozen numbers of eight bytes stand for each
 
 
 class Parser:
@@ -91,17 +92,23 @@ def _longs(x: np.ndarray) -> pa.Array:
 def parse(docs: DataFrame, length: int, trigger: int = TRIGGER) -> DataFrame:
     """(key, lo, n, d, trig, phrase) of docs (key, text): n strings from byte lo on share the trigger, which stands at lo + d."""
 
+    return docs.mapInArrow(_phrases(length, trigger), "key binary, lo int, n int, d int, trig long, phrase long")
+
+
+def _phrases(length: int, trigger: int):
+    """Function from keyed texts to their phrases."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parser = Parser(length, trigger)
         for batch in batches:
             at = 0
-            for c in H.chunks(batch["text"]):
+            for c in H.chunks(batch["text"], CHUNK):
                 doc, lo, n, d, trig, phrase = parser.phrases(c)
                 small = [pa.array(x, pa.int32()) for x in (lo, n, d)]
                 yield pa.RecordBatch.from_arrays([batch["key"].take(pa.array(doc + at)), *small, _longs(trig), _longs(phrase)], names=["key", "lo", "n", "d", "trig", "phrase"])
                 at += c.count
 
-    return docs.mapInArrow(run, "key binary, lo int, n int, d int, trig long, phrase long")
+    return run
 
 
 def merged(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -116,18 +123,20 @@ def merged(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def packed(docs: DataFrame) -> DataFrame:
     """(key, doc_id, packed): texts compressed before they are shuffled."""
+    return docs.select("key", "doc_id", F.col("text").cast("binary").alias("data")).mapInArrow(_packed, "key binary, doc_id long, packed binary")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pack = zstandard.ZstdCompressor(level=1).compress
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch["key"], batch["doc_id"], pa.array([pack(t) for t in batch["data"].to_pylist()], pa.binary())], names=["key", "doc_id", "packed"])
 
-    return docs.select("key", "doc_id", F.col("text").cast("binary").alias("data")).mapInArrow(run, "key binary, doc_id long, packed binary")
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    pack = zstandard.ZstdCompressor(level=1).compress
+    for batch in batches:
+        texts = (pack(t.as_buffer()) if t.is_valid else None for t in batch["data"])
+        yield pa.RecordBatch.from_arrays([batch["key"], batch["doc_id"], pa.array(texts, pa.binary(), size=len(batch))], names=["key", "doc_id", "packed"])
 
 
-def _unpacked(column: pa.Array) -> list[bytes]:
+def _unpacked(column: pa.Array) -> Iterator[bytes]:
+    """The texts one by one; a batch of them is never held unpacked."""
     unpack = zstandard.ZstdDecompressor().decompress
-    return [unpack(z) for z in column.to_pylist()]
+    return (unpack(z.as_buffer()) for z in column)
 
 
 def repeats(docs: DataFrame, length: int = 200, trigger: int = TRIGGER) -> tuple[DataFrame, DataFrame]:
@@ -212,7 +221,7 @@ def _blocks(length: int, size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = 0
-            for c in H.chunks(batch["data"]):
+            for c in H.chunks(batch["data"], CHUNK):
                 part = batch.slice(at, c.count)
                 at += c.count
                 n, d = (part[f].to_numpy().astype(np.int64) for f in ("n", "d"))
@@ -279,7 +288,7 @@ def _strings(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = 0
-            for c in H.chunks(batch["around"]):
+            for c in H.chunks(batch["around"], CHUNK):
                 part = batch.slice(at, c.count)
                 at += c.count
                 a, b, before = (part[f].to_numpy().astype(np.int64) for f in ("a", "b", "before"))

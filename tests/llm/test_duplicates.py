@@ -3,8 +3,10 @@
 import hashlib
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -155,3 +157,18 @@ def test_kept_and_spans(spark):
         for s in r.spans:
             gone |= set(range(s.start, s.end))
         assert bytes(r.kept) == bytes(b for i, b in enumerate(whole) if i not in gone)
+
+
+def test_tasks_hold_little_at_once():
+    """A task's arrays stand for half a megabyte of text, and texts are packed and unpacked one by one."""
+    rng = random.Random(5)
+    texts = ["".join(rng.choices("abcdefgh \n", k=4000)) for _ in range(2000)]
+    batch = pa.RecordBatch.from_pydict({"key": [b"k"] * len(texts), "doc_id": list(range(len(texts))), "text": texts, "data": [t.encode() for t in texts]})
+    peak = {}
+    for name, run in (("phrases", suffix._phrases(200, 64)), ("packed", suffix._packed)):
+        tracemalloc.start()
+        out = list(run(iter([batch]))) if name == "packed" else sum(len(b) for b in run(iter([batch])))
+        peak[name] = tracemalloc.get_traced_memory()[1] / 1e6
+        tracemalloc.stop()
+    assert peak["phrases"] < 90 and peak["packed"] < 10, peak
+    assert list(suffix._unpacked(out[0]["packed"])) == [t.encode() for t in texts]
