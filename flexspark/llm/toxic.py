@@ -29,7 +29,7 @@ from flexspark.sources.scratch import stage
 PREFIXES = (4, 5, 6, 7)
 MAX_TOXIC, MAX_CLEAN = 2000, 4000
 NEIGHBOURS, PRIOR, BLOCK = 16, 0.5, 32
-DENSE, FEW = 16, 8
+DENSE = 16
 CHUNK, DOCS = 1 << 20, 128
 
 
@@ -100,16 +100,42 @@ def vocabulary(examples: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return out
 
 
-def found(terms: Terms, c: H.Chunk, vocab: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+class Lookup:
+    """Sorted hashes with the place where each value of their leading bits begins: a place is found by one look, not by halving."""
+
+    def __init__(self, vocab: np.ndarray):
+        self.vocab = np.append(vocab, H.U64(0))
+        bits = max(1, len(vocab).bit_length() + 2)
+        self.shift = H.U64(64 - bits)
+        self.first = np.searchsorted(vocab >> self.shift, np.arange((1 << bits) + 1, dtype=H.U64)).astype(np.int32)
+
+    def __len__(self) -> int:
+        return len(self.vocab) - 1
+
+    def __call__(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of h are in the vocabulary, by number in h, and the number there."""
+        part = (h >> self.shift).astype(np.int64)
+        at, end = self.first[part], self.first[part + 1]
+        left = np.flatnonzero(at < end)
+        at, end, place = at[left].astype(np.int64), end[left], np.full(len(h), -1, np.int64)
+        while len(left):
+            same = self.vocab[at] == h[left]
+            place[left[same]] = at[same]
+            more = np.flatnonzero(~same & (at + 1 < end))
+            left, at, end = left[more], at[more] + 1, end[more]
+        known = np.flatnonzero(place >= 0)
+        return known, place[known]
+
+
+def found(terms: Terms, c: H.Chunk, vocab: np.ndarray | Lookup) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(document, term number, count) of the vocabulary's terms, ordered by document. A text with other terms only has the number after the last, once."""
     if not len(vocab):
         return (np.zeros(0, np.int64),) * 3
     h, doc = terms(c)
-    at = np.minimum(np.searchsorted(vocab, h), len(vocab) - 1)
-    known = vocab[at] == h
+    known, at = (vocab if isinstance(vocab, Lookup) else Lookup(vocab))(h)
     other = np.flatnonzero((np.bincount(doc, minlength=c.count) > 0) & (np.bincount(doc[known], minlength=c.count) == 0))
     size = len(vocab) + 1
-    u, n = np.unique(np.concatenate([doc[known] * size + at[known], other * size + len(vocab)]), return_counts=True)
+    u, n = np.unique(np.concatenate([doc[known] * size + at, other * size + len(vocab)]), return_counts=True)
     return u // size, u % size, n
 
 
@@ -119,7 +145,7 @@ def vectors(df: DataFrame, vocab: np.ndarray, keep: list[str]) -> DataFrame:
     fields = ", ".join(f"`{n}` {t}" for n, t in df.select(*keep).dtypes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        terms, vocab = Terms(), shared.value
+        terms, vocab = Terms(), Lookup(shared.value)
         kind = pa.list_(pa.int32())
         for batch in batches:
             ids, counts = [], []
@@ -182,8 +208,9 @@ def build(ids: list, y: np.ndarray, first: np.ndarray, term: np.ndarray, count:
 
 
 class Search:
-    """An index with its frequent terms (those of one entry in DENSE, or more) as rows of a matrix, with every block's largest weight; the others stay
-    postings. The matrix is in single precision, with what that leaves out beside it: most products need the first alone."""
+    """An index with its frequent terms (those of one entry in DENSE, or more) as columns of a matrix, with every block's largest weight; the others stay
+    postings. An entry's weights stand together, so the entries of a few blocks are read in runs. The matrix is in single precision, with what that
+    leaves out beside it: most products need the first alone."""
 
     def __init__(self, ix: Index):
         self.ix, size = ix, len(ix.rows)
@@ -191,12 +218,12 @@ class Search:
         often = np.flatnonzero(np.diff(ix.first) * DENSE >= max(size, DENSE))
         self.column = np.full(len(ix.idf), -1, np.int32)
         self.column[often] = np.arange(len(often), dtype=np.int32)
-        self.high, self.low = (np.zeros((len(often), blocks * BLOCK), np.float32) for _ in range(2))
+        self.high, self.low = (np.zeros((blocks * BLOCK, len(often)), np.float32) for _ in range(2))
         for i, t in enumerate(often.tolist()):
             a, b = ix.first[t], ix.first[t + 1]
             high = ix.value[a:b].astype(np.float32)
-            self.high[i, ix.entry[a:b]], self.low[i, ix.entry[a:b]] = high, ix.value[a:b] - high
-        self.tops = self.high.reshape(len(often), blocks, BLOCK).max(axis=2)
+            self.high[ix.entry[a:b], i], self.low[ix.entry[a:b], i] = high, ix.value[a:b] - high
+        self.tops = self.high.reshape(blocks, BLOCK, len(often)).max(axis=1)
 
 
 def _floor(score: np.ndarray, rows: np.ndarray) -> np.ndarray:
@@ -213,7 +240,7 @@ def _floor(score: np.ndarray, rows: np.ndarray) -> np.ndarray:
 def vote(ix: Index | Search, doc: np.ndarray, term: np.ndarray, count: np.ndarray, docs: int) -> tuple[np.ndarray, list, list]:
     """Scores of ``docs`` documents given as (document, term, count) rows by document, and the nearest examples (keys, cosines) each rests on."""
     search = ix if isinstance(ix, Search) else Search(ix)
-    ix, blocks = search.ix, search.tops.shape[1]
+    ix, blocks = search.ix, len(search.tops)
     size = len(ix.rows)
     score = np.full(docs, ix.base)
     near: list = [[] for _ in range(docs)]
@@ -229,31 +256,36 @@ def vote(ix: Index | Search, doc: np.ndarray, term: np.ndarray, count: np.ndarra
     w = w / np.sqrt(np.bincount(doc, weights=w * w, minlength=docs))[doc]
     column = search.column[term]
     often, rare = np.flatnonzero(column >= 0), np.flatnonzero(column < 0)
-    x = np.zeros((docs, len(search.high)), np.float32)
+    x = np.zeros((docs, search.high.shape[1]), np.float32)
     x[doc[often], column[often]] = w[often]
     width = blocks * BLOCK
     some = np.zeros((docs, width))
-    begin = np.searchsorted(doc[rare], np.arange(0, docs + FEW, FEW))
-    # a few documents at a time, so that the sums stay in the processor's cache
-    for i, part in enumerate(rare[begin[k] : begin[k + 1]] for k in range(len(begin) - 1)):
-        n = ix.first[term[part] + 1] - ix.first[term[part]]
-        part, n = part[n > 0], n[n > 0]
-        at = np.repeat(ix.first[term[part]] - np.cumsum(n) + n, n) + np.arange(n.sum())
-        cell = np.repeat((doc[part] - i * FEW) * width, n) + ix.entry[at]
-        into = some[i * FEW : (i + 1) * FEW]
-        into += np.bincount(cell, weights=np.repeat(w[part], n) * ix.value[at], minlength=into.size).reshape(into.shape)
-    bound = x @ search.tops + some.reshape(docs, blocks, BLOCK).max(axis=2)
+    first = ix.first[term[rare]]
+    n = ix.first[term[rare] + 1] - first
+    rare, first, n = rare[n > 0], first[n > 0], n[n > 0]
+    begin = np.searchsorted(doc[rare], np.arange(docs + 1))
+    # one document at a time, so that its postings and sums stay in the processor's cache
+    for i in range(docs):
+        part = slice(begin[i], begin[i + 1])
+        ends = np.cumsum(n[part])
+        if len(ends):
+            at = np.repeat(first[part] - ends + n[part], n[part])
+            at += np.arange(ends[-1])
+            weights = ix.value.take(at, mode="clip")
+            weights *= np.repeat(w[rare[part]], n[part])
+            some[i] = np.bincount(ix.entry.take(at, mode="clip"), weights=weights, minlength=width)
+    bound = x @ search.tops.T + some.reshape(docs, blocks, BLOCK).max(axis=2)
     whole = np.zeros_like(some)
     rows = np.append(ix.rows, np.zeros(width - size))
-    off = 2.0**-24 * (len(search.high) + 64)  # products in single precision are off by less than this share
+    off = 2.0**-24 * (search.high.shape[1] + 64)  # products in single precision are off by less than this share
     up, down = 1 + off, 1 - off
 
     def look(which: np.ndarray) -> None:
         if which.all():
-            np.add(some, x @ search.high, out=whole)
+            np.add(some, x @ search.high.T, out=whole)
             return
         at = (np.flatnonzero(which)[:, None] * BLOCK + np.arange(BLOCK)).ravel()
-        whole[:, at] = some[:, at] + x @ search.high[:, at]
+        whole[:, at] = some[:, at] + x @ search.high[at].T
 
     # the best block of each document gives a floor; then every block whose bound reaches it for some document
     first = np.zeros(blocks, bool)
@@ -269,7 +301,7 @@ def vote(ix: Index | Search, doc: np.ndarray, term: np.ndarray, count: np.ndarra
     ends, terms = np.searchsorted(d, np.arange(docs + 1)), np.searchsorted(doc[often], np.arange(docs + 1))
     for i in np.flatnonzero(np.diff(ends)).tolist():
         own, of = slice(ends[i], ends[i + 1]), often[terms[i] : terms[i + 1]]
-        cells = column[of][:, None], e[own]
+        cells = e[own], column[of][:, None]
         s[own] += w[of] @ (search.high[cells] + search.low[cells].astype(float))
     order = np.lexsort((e, -s, d))
     d, e, s = d[order], e[order], s[order]
@@ -296,7 +328,7 @@ def counts(docs: DataFrame, vocab: np.ndarray) -> tuple[np.ndarray, int]:
     shared, size = docs.sparkSession.sparkContext.broadcast(vocab), len(vocab) + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        terms, n, vocab = Terms(), np.zeros(size + 1, np.int64), shared.value
+        terms, n, vocab = Terms(), np.zeros(size + 1, np.int64), Lookup(shared.value)
         for batch in batches:
             for c in H.chunks(batch["text"], CHUNK):
                 n[:size] += np.bincount(found(terms, c, vocab)[1], minlength=size)
@@ -338,7 +370,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "do
     return Model(vocab, index)
 
 
-def _voted(terms: Terms, ix: Search, vocab: np.ndarray, column: pa.Array) -> Iterator[tuple[np.ndarray, list, list]]:
+def _voted(terms: Terms, ix: Search, vocab: Lookup, column: pa.Array) -> Iterator[tuple[np.ndarray, list, list]]:
     """Votes on a column of texts, in runs of at most DOCS."""
     for c in H.chunks(column, CHUNK):
         doc, term, n = found(terms, c, vocab)
@@ -355,7 +387,7 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         terms, (vocab, index) = Terms(), shared.value
-        ix = Search(Index(*index))
+        ix, vocab = Search(Index(*index)), Lookup(vocab)
         for batch in batches:
             at = 0
             for scores, near, cosine in _voted(terms, ix, vocab, batch["text"]):
@@ -372,7 +404,7 @@ def reject(docs: DataFrame, model: Model, threshold: float) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         terms, (vocab, index) = Terms(), shared.value
-        ix = Search(Index(*index))
+        ix, vocab = Search(Index(*index)), Lookup(vocab)
         for batch in batches:
             keep = [scores < threshold for scores, _, _ in _voted(terms, ix, vocab, batch.column(at))]
             yield batch.filter(pa.array(np.concatenate([np.zeros(0, bool), *keep])))

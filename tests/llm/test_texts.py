@@ -4,6 +4,7 @@ import base64
 import hashlib
 import json
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -62,6 +63,36 @@ def test_vote_is_exact_knn():
         assert abs(toxic.vote(ix, np.zeros(len(t), np.int64), t, n, 1)[0][0] - want) < 1e-9
 
 
+def test_vote_sums_postings_of_one_document_at_a_time():
+    rng = np.random.default_rng(2)
+    size, entries, docs = 2000, 640, 32
+    held = [np.sort(rng.choice(entries, 39, replace=False)) for _ in range(size)]
+    terms = [np.flatnonzero([e in set(h.tolist()) for h in held]) for e in range(entries)]
+    first = np.cumsum([0, *map(len, terms)])
+    df = np.full(size, 39.0)
+    ix = toxic.build(list(range(entries)), rng.integers(0, 2, entries), first, np.concatenate(terms), np.ones(first[-1], int), df, 1000, {0: 1.0, 1: 1.0}, 0.1)
+    search = toxic.Search(ix)
+    doc, term = np.repeat(np.arange(docs), size), np.tile(np.arange(size), docs)
+    tracemalloc.start()
+    whole = toxic.vote(search, doc, term, np.ones(len(doc)), docs)[0]
+    peak = tracemalloc.get_traced_memory()[1] / 1e6
+    tracemalloc.stop()
+    assert peak < 12, peak
+    alone = toxic.vote(search, doc[:size], term[:size], np.ones(size), 1)[0]
+    assert np.array_equal(whole, np.repeat(alone, docs))
+
+
+def test_lookup_finds_the_places_of_known_hashes():
+    rng = np.random.default_rng(3)
+    spread = rng.integers(0, 2**64, 5000, np.uint64)
+    close = np.arange(300, dtype=np.uint64) + np.uint64(7 << 60)
+    for vocab in (np.zeros(0, np.uint64), np.array([0], np.uint64), np.array([2**64 - 1], np.uint64), np.unique(np.concatenate([spread, close, [np.uint64(0)]]))):
+        h = np.concatenate([vocab[::-1], vocab + np.uint64(1), spread[:50], np.array([0, 1, 2**64 - 1], np.uint64)])
+        known, at = toxic.Lookup(vocab)(h)
+        place = {x: i for i, x in enumerate(vocab.tolist())}
+        assert [(i, place[x]) for i, x in enumerate(h.tolist()) if x in place] == list(zip(known.tolist(), at.tolist()))
+
+
 def test_toxic_odd(spark, odd, nothing):
     labels = spark.createDataFrame([(1, 1, 0), (2, None, 1), (6, 0, 1), (6, 0, 0), (None, 1, 1), (4, 1, 0)], "doc_id long, quality int, toxic int")
     for docs, told in ((odd, labels), (odd, labels.limit(0)), (nothing, labels)):
