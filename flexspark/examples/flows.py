@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from flexspark.examples.registry import exact_sum, load, load_wide, query
 from flexspark.functions.columns import add_ingestion_time_columns
 from flexspark.jobs.entities import KINDS, count_entities, detect_entities, mask_entities
-from flexspark.jobs.measures import check_measures, measure, merge_measures, repeated_rows, report, unmatched_rows
+from flexspark.jobs.measures import check_measures, lies_between, measure, merge_measures, repeated_rows, report, unmatched_rows
 from flexspark.jobs.summary import ENTITY_PATTERNS, entity_share as share_of_entities, evaluate_rules
 from flexspark.jobs.versions import backup, restore, rollback, write_backup
 from flexspark.operators.rows import latest_per_key
@@ -249,12 +249,12 @@ def _measures(spark, sf):
 def measures_merged(spark, sf):
     """Measures of two parts merged; ``near``: the sketched distinct count and median are those of the whole, within 5 % of count and rank."""
     found, items = report(_measures(spark, sf), [0.5]), load(spark, sf, "lineitem")
-    whole = items.agg(*[F.count_distinct(c).alias(f"d_{c}") for c in _MEASURED], *[F.expr(f"percentile({c}, array(0.45, 0.55))").alias(f"q_{c}") for c in _MEASURED[:3]])
+    medians = {r["column"]: r["quantiles"][0] for r in found.select("column", "quantiles").collect()}  # a row a column
+    whole = items.agg(*[F.count_distinct(c).alias(f"d_{c}") for c in _MEASURED], *[lies_between(F.col(c), medians[c], 0.45, 0.55).alias(f"q_{c}") for c in _MEASURED[:3]])
     truth = whole.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("c"), F.col(f"d_{c}").alias("d"), (F.col(f"q_{c}") if c != "l_linestatus" else F.lit(None).cast("array<double>")).alias("q")) for c in _MEASURED
+        F.struct(F.lit(c).alias("c"), F.col(f"d_{c}").alias("d"), (F.col(f"q_{c}") if c != "l_linestatus" else F.lit(None).cast("boolean")).alias("q")) for c in _MEASURED
     ])))
-    median = F.col("quantiles")[0]
-    near = (F.abs(F.col("distinct_values") / F.col("d") - 1) < 0.05) & F.coalesce(median.between(F.col("q")[0], F.col("q")[1]), F.lit(True))
+    near = (F.abs(F.col("distinct_values") / F.col("d") - 1) < 0.05) & F.coalesce("q", F.lit(True))
     return found.join(truth, F.col("column") == F.col("c")).select("column", "n", "nulls", "low", "high", "low_text", "high_text", near.alias("near"))
 
 

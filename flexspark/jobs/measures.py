@@ -89,6 +89,25 @@ def check_measures(states: DataFrame, rules: list[dict]) -> DataFrame:
     return reduce(DataFrame.unionByName, out)
 
 
+def lies_between(values: Column, x: float | None, low: float, high: float) -> Column:
+    """Aggregate: whether x lies between the exact quantiles of two shares (linear between ranks, as ``percentile`` has them); null without x or values.
+
+    How many values stand before x, and those next to it, decide that. So counts and extremes are merged, and no task holds the values.
+    """
+    v, x = values.cast("double"), F.lit(x).cast("double")
+    n = F.count(v)
+
+    def reached(share: float, before: Column, left: Column, right: Column, x_first: bool) -> Column:
+        place = F.lit(share) * (n - 1)
+        lo, hi = F.floor(place), F.ceil(place)
+        between = (hi - place) * left + (place - lo) * right
+        return F.when(hi < before, F.lit(not x_first)).when(lo >= before, F.lit(x_first)).otherwise(x <= between if x_first else between <= x)
+
+    above = reached(low, F.count_if(v <= x), F.max(F.when(v <= x, v)), F.min(F.when(v > x, v)), False)
+    below = reached(high, F.count_if(v < x), F.max(F.when(v < x, v)), F.min(F.when(v >= x, v)), True)
+    return F.when(x.isNotNull() & (n > 0), above & below)
+
+
 def _keys(columns: list[str]) -> Column:
     return F.struct(*[top(c).alias(f"__k{i}") for i, c in enumerate(columns)]).alias("__keys")
 

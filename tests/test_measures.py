@@ -3,7 +3,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from flexspark.jobs.measures import STATE, check_measures, measure, merge_measures, repeated_rows, report, unmatched_rows
+from flexspark.examples import flows
+from flexspark.jobs.measures import STATE, check_measures, lies_between, measure, merge_measures, repeated_rows, report, unmatched_rows
 
 
 def test_merged_states_are_those_of_the_whole(spark, folder):
@@ -47,3 +48,19 @@ def test_failing_rows(spark):
     other = spark.createDataFrame([(1, "a"), (1, "a"), (2, None)], "k int, w string")
     assert [r["count"] for r in unmatched_rows(df, ["k", "w.w"], other, ["k", "w"]).collect()] == [3]
     assert unmatched_rows(df, ["k"], other.where("false"), ["k"]).count() == 3
+
+
+def test_lies_between_as_percentile_has_it(spark):
+    rng = random.Random(4)
+    for values in ([1.0], [1.0, 2.0], [3.0, 3.0, 3.0, 4.0], [rng.randrange(9) / 2 for _ in range(41)] + [None], [float(i) for i in range(100)], [1.0, float("nan"), 2.0], [None]):
+        df = spark.createDataFrame([(v,) for v in values], "v double").repartition(3)
+        near = [v + d for v in sorted({v for v in values if v is not None and v == v}) for d in (-0.3, 0.0, 0.45, 0.55)][:60]
+        for x in (near, [None, 0.0]):
+            if x:
+                want = df.agg(*[F.expr("percentile(v, array(0.45, 0.55))").alias("q")]).select(*[F.lit(y).cast("double").between(F.col("q")[0], F.col("q")[1]) for y in x]).first()
+                assert list(df.agg(*[lies_between(F.col("v"), y, 0.45, 0.55) for y in x]).first()) == list(want)
+
+
+def test_whole_columns_are_not_gathered(spark):
+    plan = flows.measures_merged(spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
+    assert "count(distinct" in plan and "percentile(" not in plan
