@@ -1,5 +1,8 @@
 """Queries that map, keep, drop, rename, split and flatten fields."""
 
+import hashlib
+
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from flexspark.examples.registry import exact_sum, load, load_wide, query
@@ -7,7 +10,7 @@ from flexspark.frame import FlexFrame, FrameSet
 from flexspark.functions.columns import add_ingestion_time_columns, expand_items, explode_with_index, named_struct, replace_array_element
 from flexspark.jobs.summary import distinct_pairs as count_pairs
 from flexspark.jobs.summary import summarize_csv
-from flexspark.operators.nest import FILE_ROW, nest_rows, relationalize
+from flexspark.operators.nest import FILE_ROW, nest_rows, parts_for, relationalize
 from flexspark.operators.project import apply_mapping, expand_struct, order_columns
 from flexspark.sources.read import FlexReader
 from flexspark.sources.scratch import new_dir
@@ -146,6 +149,9 @@ def nest_per_key(spark, sf):
     return _listed(nest_rows(load(spark, sf, "lineitem").withColumn("n", F.expr("l_linenumber * 1000 + int(l_quantity)")), "l_orderkey", 1), "l_orderkey")
 
 
+_PART_ROWS, _RANGE = 100_000, 2_000  # rows of a part; width of a range of numbers
+
+
 def _listed(nested, *keys):
     numbers = F.array_sort(F.transform("items", lambda x: x.n))
     return nested.select(*keys, F.array_join(F.transform(numbers, lambda n: n.cast("string")), ",").alias("items"))
@@ -155,10 +161,36 @@ def _listed(nested, *keys):
 SELECT l_returnflag, l_linestatus, md5(array_to_string(list_sort(list(l_orderkey * 10 + l_linenumber)), ',')) AS items
 FROM lineitem GROUP BY ALL""")
 def nest_whole(spark, sf):
-    """A few large groups, each in one row."""
+    """A few large groups: whole rows nested in parts of bounded size, a group's numbers listed range by range, its digest taken range after range."""
     lines = load(spark, sf, "lineitem").withColumn("n", F.expr("l_orderkey * 10 + l_linenumber"))
-    listed = _listed(nest_rows(lines, ["l_returnflag", "l_linestatus"], 1), "l_returnflag", "l_linestatus")
-    return listed.withColumn("items", F.md5("items"))
+    keys = ["l_returnflag", "l_linestatus"]
+    nested = nest_rows(lines, keys, parts_for(lines, _PART_ROWS))
+    numbers = nested.select(*keys, F.explode("items.n").alias("n")).withColumn("range", F.expr(f"n div {_RANGE}"))
+    texts = numbers.groupBy(*keys, "range").agg(F.collect_list("n").alias("ns"))
+    text = F.array_join(F.transform(F.array_sort("ns"), lambda n: n.cast("string")), ",")
+    texts = texts.select(*keys, "range", F.when(F.col("range").isNotNull(), text).alias("text"))
+    return texts.repartition(*keys).sortWithinPartitions(*keys, "range").select(*keys, "text").mapInArrow(_digests, "l_returnflag string, l_linestatus string, items string")
+
+
+def _digests(batches):
+    """A row for each run of equal keys: the MD5 of its texts joined by commas, taken as they pass; nulls are left out."""
+    keys, held, digest, mark = [], None, None, b""
+
+    def row():
+        return pa.RecordBatch.from_arrays([*[pa.array([k], pa.string()) for k in held], pa.array([digest.hexdigest()])], names=[*keys, "items"])
+
+    for batch in batches:
+        keys = batch.schema.names[:-1]
+        for *key, text in zip(*(c.to_pylist() for c in batch.columns)):
+            if key != held:
+                if held is not None:
+                    yield row()
+                held, digest, mark = key, hashlib.md5(), b""
+            if text is not None:
+                digest.update(mark + text.encode())
+                mark = b","
+    if held is not None:
+        yield row()
 
 
 @query("SELECT l_returnflag, l_linestatus, l_orderkey, l_linenumber, 16 AS parts, true AS split FROM lineitem")

@@ -158,6 +158,11 @@ def nest_rows(df: DataFrame, keys: str | Iterable[str], parts: int, items: str =
     return listed.select(*[F.col(b).alias(k) for b, k in zip(by, keys)], F.col("__part").alias(part), F.col("__rows").alias(items))
 
 
+def parts_for(df: DataFrame, rows: int) -> int:
+    """How many parts of ``nest_rows`` keep every part at about ``rows`` rows or fewer, even if all rows have one key. Counts the rows."""
+    return df.count() // rows + 1
+
+
 # -------------------------------------------------------------------------------------------------- unbox
 
 def unbox(

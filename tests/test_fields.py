@@ -1,9 +1,12 @@
 """Projection, nesting and column functions on small frames."""
 
+import hashlib
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from flexspark.examples import projection
 from flexspark.frame import FlexFrame
 from flexspark.functions.columns import add_ingestion_time_columns, explode_with_index, named_struct, replace_array_element
 from flexspark.operators.nest import FILE_ROW, nest_rows, relationalize, unnest
@@ -215,3 +218,18 @@ def test_rows_keyed_by_their_file(spark, folder):
     for bad in (spark.createDataFrame(rows, "k int, xs array<int>"), read.withColumn("_metadata", F.lit(1))):
         with pytest.raises(ValueError, match="_metadata|Parquet"):
             relationalize(bad, "r", key_cols=FILE_ROW)
+
+
+def test_nest_whole_holds_a_group_in_bounded_parts(spark, folder, monkeypatch):
+    rows = [("N" if i % 9 else None, "O", i % 700, i % 7, f"c{i}") for i in range(6000)] + [("R", "F", None, 1, "a"), ("A", "F", None, 1, "b"), ("A", "F", 5, 2, "c")]
+    spark.createDataFrame(rows, "l_returnflag string, l_linestatus string, l_orderkey long, l_linenumber int, l_comment string").write.parquet(f"{folder}/lineitem.parquet")
+    seen = []
+    monkeypatch.setattr(projection, "nest_rows", lambda *a: seen.append(nest_rows(*a)) or seen[-1])
+    monkeypatch.setattr(projection, "_PART_ROWS", 500)
+    monkeypatch.setattr(projection, "_RANGE", 64)
+    got = {(r.l_returnflag, r.l_linestatus): r["items"] for r in projection.nest_whole(spark, folder).collect()}
+    want = {}
+    for flag, status, order, line, _ in rows:
+        want.setdefault((flag, status), []).extend([] if order is None else [order * 10 + line])
+    assert got == {k: hashlib.md5(",".join(map(str, sorted(v))).encode()).hexdigest() for k, v in want.items()}
+    assert seen[0].agg(F.max(F.size("items"))).first()[0] < 700 and "l_comment" in seen[0].select(F.inline("items")).columns
