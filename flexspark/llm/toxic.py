@@ -30,7 +30,7 @@ PREFIXES = (4, 5, 6, 7)
 MAX_TOXIC, MAX_CLEAN = 2000, 4000
 NEIGHBOURS, PRIOR, BLOCK = 16, 0.5, 32
 DENSE = 16
-CHUNK, DOCS = 1 << 20, 128
+CHUNK, DOCS = 1 << 18, 128
 
 
 class Terms:
@@ -71,7 +71,7 @@ def vocabulary(examples: DataFrame) -> tuple[np.ndarray, np.ndarray]:
         terms = Terms()
         for batch in batches:
             y, at = np.asarray(batch["y"].to_numpy(zero_copy_only=False)), 0
-            for c in H.chunks(batch["text"]):
+            for c in H.chunks(batch["text"], CHUNK):
                 h, doc = terms(c)
                 order = np.lexsort((doc, h))
                 h, doc = h[order], doc[order]
@@ -149,7 +149,7 @@ def vectors(df: DataFrame, vocab: np.ndarray, keep: list[str]) -> DataFrame:
         kind = pa.list_(pa.int32())
         for batch in batches:
             ids, counts = [], []
-            for c in H.chunks(batch["__text"]):
+            for c in H.chunks(batch["__text"], CHUNK):
                 doc, term, n = found(terms, c, vocab)
                 at = pa.array(np.searchsorted(doc, np.arange(c.count + 1)), pa.int32())
                 ids.append(pa.ListArray.from_arrays(at, pa.array(term, pa.int32())))
@@ -406,8 +406,10 @@ def reject(docs: DataFrame, model: Model, threshold: float) -> DataFrame:
         terms, (vocab, index) = Terms(), shared.value
         ix, vocab = Search(Index(*index)), Lookup(vocab)
         for batch in batches:
-            keep = [scores < threshold for scores, _, _ in _voted(terms, ix, vocab, batch.column(at))]
-            yield batch.filter(pa.array(np.concatenate([np.zeros(0, bool), *keep])))
+            first = 0
+            for scores, _, _ in _voted(terms, ix, vocab, batch.column(at)):
+                yield batch.slice(first, len(scores)).filter(pa.array(scores < threshold))
+                first += len(scores)
 
     return docs.mapInArrow(run, docs.schema)
 

@@ -172,3 +172,17 @@ def test_tasks_hold_little_at_once():
         tracemalloc.stop()
     assert peak["phrases"] < 90 and peak["packed"] < 10, peak
     assert list(suffix._unpacked(out[0]["packed"])) == [t.encode() for t in texts]
+
+
+def test_signatures_hold_little_at_once():
+    """Near duplicates: a task's arrays stand for a part of a batch, and the signatures are those of each text alone."""
+    rng = random.Random(6)
+    texts = ["".join(rng.choices("abcdefgh \n", k=4000)) for _ in range(2000)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "digest": [b"d"] * len(texts), "text": texts})
+    tracemalloc.start()
+    whole = pa.Table.from_batches(list(minhash._described(5)(iter([batch]))))
+    peak = tracemalloc.get_traced_memory()[1] / 1e6
+    tracemalloc.stop()
+    assert peak < 40, peak
+    alone = pa.Table.from_batches(list(minhash._described(5)(batch.slice(i, 1) for i in range(0, 2000, 100))))
+    assert alone.equals(whole.take(list(range(0, 2000, 100))))
