@@ -30,7 +30,7 @@ PREFIXES = (4, 5, 6, 7)
 MAX_TOXIC, MAX_CLEAN = 2000, 4000
 NEIGHBOURS, PRIOR, BLOCK = 16, 0.5, 32
 DENSE = 16
-CHUNK, DOCS = 1 << 18, 128
+CHUNK, DOCS, PAIRS, LOOK = 1 << 18, 128, 512, 16
 
 
 class Terms:
@@ -107,7 +107,12 @@ class Lookup:
         self.vocab = np.append(vocab, H.U64(0))
         bits = max(1, len(vocab).bit_length() + 2)
         self.shift = H.U64(64 - bits)
-        self.first = np.searchsorted(vocab >> self.shift, np.arange((1 << bits) + 1, dtype=H.U64)).astype(np.int32)
+        self.first = np.zeros((1 << bits) + 1, np.int32)
+        for low in range(0, len(self.first), 1 << 16):  # in pieces, so that they alone are held twice
+            part = self.first[low : low + (1 << 16)]
+            # the first hash of each value; past the last one, the end
+            part[:] = np.searchsorted(vocab, np.minimum(np.arange(low, low + len(part)), (1 << bits) - 1).astype(H.U64) << self.shift)
+        self.first[-1] = len(vocab)
 
     def __len__(self) -> int:
         return len(self.vocab) - 1
@@ -161,12 +166,17 @@ def vectors(df: DataFrame, vocab: np.ndarray, keep: list[str]) -> DataFrame:
 
 
 class Index(NamedTuple):
-    """Bounded by the sample: unit vectors of distinct examples (entries) as postings, term by term."""
+    """Bounded by the sample: unit vectors of distinct examples (entries). Frequent terms (those of one entry in DENSE, or more) have a column each and
+    stand entry by entry; the others are postings, term by term. Each weight stands in one place only."""
 
     idf: np.ndarray  # times evidence
+    column: np.ndarray  # of each term; -1: none
     first: np.ndarray  # of each term, in entry and value
     entry: np.ndarray
     value: np.ndarray
+    begin: np.ndarray  # of each entry, in held and exact
+    held: np.ndarray  # columns
+    exact: np.ndarray  # and weights there
     votes1: np.ndarray
     votes0: np.ndarray
     rows: np.ndarray
@@ -197,33 +207,37 @@ def build(ids: list, y: np.ndarray, first: np.ndarray, term: np.ndarray, count:
     n = np.zeros(len(idf), np.int64)
     for a, b, *_ in kept:
         n[term[a:b]] += 1
+    often = np.flatnonzero(n * DENSE >= max(len(kept), DENSE))
+    column, cells = np.full(len(idf), -1, np.int32), int(n[often].sum())
+    column[often], n[often] = np.arange(len(often)), 0
+    small = lambda size, most: np.zeros(size, np.uint16 if most < 1 << 16 else np.int32)
     places = np.concatenate([[0], np.cumsum(n)])
-    at, entry, value = places[:-1].copy(), np.zeros(places[-1], np.uint16 if len(kept) < 1 << 16 else np.int32), np.zeros(places[-1])
+    at, entry, value = places[:-1].copy(), small(places[-1], len(kept)), np.zeros(places[-1])
+    begin, held, exact = np.zeros(len(kept) + 1, np.int64), small(cells, len(often)), np.zeros(cells)
     for j, (a, b, *_) in enumerate(kept):
-        t = term[a:b]
-        entry[at[t]], value[at[t]] = j, unit(a, b)
+        w, c = unit(a, b), column[term[a:b]]
+        rare = c < 0
+        t = term[a:b][rare]
+        entry[at[t]], value[at[t]] = j, w[rare]
         at[t] += 1
+        begin[j + 1] = begin[j] + len(c) - len(t)
+        held[begin[j] : begin[j + 1]], exact[begin[j] : begin[j + 1]] = c[~rare], w[~rare]
     col = lambda i: np.array([e[i] for e in kept], float)
-    return Index(idf, places, entry, value, col(2), col(3), col(4), [e[5] for e in kept], (none[2], none[3], none[5]), base)
+    return Index(idf, column, places, entry, value, begin, held, exact, col(2), col(3), col(4), [e[5] for e in kept], (none[2], none[3], none[5]), base)
 
 
 class Search:
-    """An index with its frequent terms (those of one entry in DENSE, or more) as columns of a matrix, with every block's largest weight; the others stay
-    postings. An entry's weights stand together, so the entries of a few blocks are read in runs. The matrix is in single precision, with what that
-    leaves out beside it: most products need the first alone."""
+    """An index with its frequent terms as columns of a matrix in single precision, with every block's largest weight. An entry's weights stand together,
+    so the entries of a few blocks are read in runs. Products with the matrix tell which entries come into question; theirs are then made exactly."""
 
     def __init__(self, ix: Index):
         self.ix, size = ix, len(ix.rows)
         blocks = size // BLOCK + 1
-        often = np.flatnonzero(np.diff(ix.first) * DENSE >= max(size, DENSE))
-        self.column = np.full(len(ix.idf), -1, np.int32)
-        self.column[often] = np.arange(len(often), dtype=np.int32)
-        self.high, self.low = (np.zeros((blocks * BLOCK, len(often)), np.float32) for _ in range(2))
-        for i, t in enumerate(often.tolist()):
-            a, b = ix.first[t], ix.first[t + 1]
-            high = ix.value[a:b].astype(np.float32)
-            self.high[ix.entry[a:b], i], self.low[ix.entry[a:b], i] = high, ix.value[a:b] - high
-        self.tops = self.high.reshape(blocks, BLOCK, len(often)).max(axis=1)
+        self.high = np.zeros((blocks * BLOCK, int(ix.column.max(initial=-1)) + 1), np.float32)
+        for j in range(size):
+            cells = slice(ix.begin[j], ix.begin[j + 1])
+            self.high[j, ix.held[cells]] = ix.exact[cells]
+        self.tops = self.high.reshape(blocks, BLOCK, self.high.shape[1]).max(axis=1)
 
 
 def _floor(score: np.ndarray, rows: np.ndarray) -> np.ndarray:
@@ -254,7 +268,7 @@ def vote(ix: Index | Search, doc: np.ndarray, term: np.ndarray, count: np.ndarra
         return score, near, cosine
     w = (1 + np.log(count)) * ix.idf[term]
     w = w / np.sqrt(np.bincount(doc, weights=w * w, minlength=docs))[doc]
-    column = search.column[term]
+    column = ix.column[term]
     often, rare = np.flatnonzero(column >= 0), np.flatnonzero(column < 0)
     x = np.zeros((docs, search.high.shape[1]), np.float32)
     x[doc[often], column[often]] = w[often]
@@ -284,8 +298,10 @@ def vote(ix: Index | Search, doc: np.ndarray, term: np.ndarray, count: np.ndarra
         if which.all():
             np.add(some, x @ search.high.T, out=whole)
             return
-        at = (np.flatnonzero(which)[:, None] * BLOCK + np.arange(BLOCK)).ravel()
-        whole[:, at] = some[:, at] + x @ search.high[at].T
+        at = np.flatnonzero(which)
+        for low in range(0, len(at), LOOK):  # a few blocks are copied out of the matrix at a time
+            part = (at[low : low + LOOK, None] * BLOCK + np.arange(BLOCK)).ravel()
+            whole[:, part] = some[:, part] + x @ search.high[part].T
 
     # the best block of each document gives a floor; then every block whose bound reaches it for some document
     first = np.zeros(blocks, bool)
@@ -299,10 +315,17 @@ def vote(ix: Index | Search, doc: np.ndarray, term: np.ndarray, count: np.ndarra
     d, e = np.nonzero((whole > 0) & (whole * up >= _floor(whole, rows)[:, None] * down - 1e-9))
     s = some[d, e]
     ends, terms = np.searchsorted(d, np.arange(docs + 1)), np.searchsorted(doc[often], np.arange(docs + 1))
+    own = np.zeros(search.high.shape[1])  # one document's weights, in double precision
     for i in np.flatnonzero(np.diff(ends)).tolist():
-        own, of = slice(ends[i], ends[i + 1]), often[terms[i] : terms[i + 1]]
-        cells = e[own], column[of][:, None]
-        s[own] += w[of] @ (search.high[cells] + search.low[cells].astype(float))
+        of = often[terms[i] : terms[i + 1]]
+        own[column[of]] = w[of]
+        for low in range(ends[i], ends[i + 1], PAIRS):
+            part = slice(low, min(low + PAIRS, ends[i + 1]))
+            begin = ix.begin[e[part]]
+            n = ix.begin[e[part] + 1] - begin
+            at = np.arange(n.sum()) + np.repeat(begin - np.cumsum(n) + n, n)
+            s[part] += np.bincount(np.repeat(np.arange(len(n)), n), weights=ix.exact[at] * own[ix.held[at]], minlength=len(n))
+        own[column[of]] = 0
     order = np.lexsort((e, -s, d))
     d, e, s = d[order], e[order], s[order]
     n = np.cumsum(rows[e])

@@ -82,6 +82,29 @@ def test_vote_sums_postings_of_one_document_at_a_time():
     assert np.array_equal(whole, np.repeat(alone, docs))
 
 
+def test_vote_holds_frequent_terms_once():
+    """One matrix in single precision, of which a vote copies a few blocks at a time; the scores are those of all products in double precision."""
+    rng = np.random.default_rng(4)
+    size, entries, docs = 512, 4096, 8
+    terms = [np.sort(rng.choice(size, 128, replace=False)) for _ in range(entries)]
+    first, y = np.arange(entries + 1) * 128, rng.integers(0, 2, entries)
+    matrix = entries * size * 4 / 1e6
+    ix = toxic.build(list(range(entries)), y, first, np.concatenate(terms), np.ones(first[-1], int), np.full(size, 10.0), 1000, {0: 1.0, 1: 1.0}, 0.1)
+    held = np.sort(rng.permuted(np.tile(np.arange(size), (docs, 1)), axis=1)[:, :100], axis=1)
+    tracemalloc.start()
+    search = toxic.Search(ix)
+    laid = tracemalloc.get_traced_memory()[1] / 1e6
+    tracemalloc.reset_peak()
+    score = toxic.vote(search, np.repeat(np.arange(docs), 100), held.ravel(), np.ones(docs * 100), docs)[0]
+    peak = tracemalloc.get_traced_memory()[1] / 1e6 - tracemalloc.get_traced_memory()[0] / 1e6
+    tracemalloc.stop()
+    assert laid < 1.3 * matrix and peak < 0.6 * matrix, (laid, peak, matrix)
+    common = np.array([[len(np.intersect1d(h, t)) for t in terms] for h in held]) / np.sqrt(128 * 100)
+    for c, s in zip(common, score):
+        w = np.where(c >= np.sort(c)[-toxic.NEIGHBOURS] - 1e-9, c, 0)
+        assert abs(s - ((w * y).sum() + toxic.PRIOR * 0.1) / (w.sum() + toxic.PRIOR)) < 1e-9
+
+
 def test_lookup_finds_the_places_of_known_hashes():
     rng = np.random.default_rng(3)
     spread = rng.integers(0, 2**64, 5000, np.uint64)
